@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from omnimart.operators import cube, keysets
-from omnimart.plans import core, flash, marts, reports, staging
-from omnimart.sources.star import StarSource
+from omnimart.functions.scalars import email_hash as hash_email, signed_percent_text
+from omnimart.operators import checks, cube, keysets, snapshot, tables
+from omnimart.operators.quantiles import nearest_rank
+from omnimart.plans import contracts, core, flash, marts, quality, reports, staging
+from omnimart.plans.warehouse import Warehouse
+from omnimart.session import pin, scratch_path
+from omnimart.sources.landing import LandingSource, source_counts as count_sources
+from omnimart.sources.schemas import file_of
+from omnimart.sources.star import StarSource, map_web_events
+from omnimart.streaming import events as stream_events, sinks, validation
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,6 +26,10 @@ AS_OF = datetime(2001, 11, 5, 6, 0, 0)
 BOUNDS = flash.Bounds(date(2001, 11, 5))
 
 
+_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+_WAREHOUSE_LOCK = Lock()
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Result with four column types only: text, bigint, double, boolean."""
     columns = []
@@ -76,6 +88,15 @@ class Model:
     def available(self) -> DataFrame:
         return marts.available_to_promise(self.inventory(), self.sales())
 
+    def warehouse(self) -> Warehouse:
+        """Stored models, built once per session and folder."""
+        spark = self.source.spark
+        key = (spark.sparkContext.applicationId, self.source.folder)
+        with _WAREHOUSE_LOCK:
+            if key not in _WAREHOUSES:
+                _WAREHOUSES[key] = Warehouse(self.source)
+            return _WAREHOUSES[key]
+
     def selection(self, channel: str = "all", period: int = 30) -> reports.Selection:
         return reports.Selection(AS_OF, channel, period)
 
@@ -278,8 +299,6 @@ def latency_p95(m: Model) -> DataFrame:
 
 @query
 def latency_p95_by_type(m: Model) -> DataFrame:
-    from omnimart.operators.quantiles import nearest_rank
-
     return nearest_rank(
         staging.typed_events(m.source.table("retail_events")),
         "latency_ms",
@@ -350,7 +369,10 @@ def kpi_record(m: Model) -> DataFrame:
 @query
 def batch_stream_full_outer(m: Model) -> DataFrame:
     stream = m.events().filter("event_type = 'purchase'")
-    return keysets.quantity_mismatches(m.sales(), stream)
+    # Quantities may be null here; doubles keep that portable between result readers.
+    return keysets.quantity_mismatches(m.sales(), stream).withColumns(
+        {c: F.col(c).cast("double") for c in ("batch_quantity", "stream_quantity")}
+    )
 
 
 @query
@@ -375,3 +397,353 @@ def text_search_customers(m: Model) -> DataFrame:
     return keysets.search_rows(
         reports.customer_360(m.selected(), m.customers()).select(*columns), columns, "store,WEB"
     )
+
+
+@query
+def email_hash(m: Model) -> DataFrame:
+    customers = m.source.spark.read.parquet(f"{m.source.folder}/customer.parquet")
+    return customers.select("c_custkey", hash_email(F.upper("c_name")).alias("email_hash"))
+
+
+@query
+def flash_percent_text(m: Model) -> DataFrame:
+    rows = flash.flash_rows(_filled(m), BOUNDS, 7)
+    return rows.select(
+        "channel",
+        "day",
+        signed_percent_text(F.col("week_change")).alias("week_text"),
+        signed_percent_text(F.col("day_change")).alias("day_text"),
+    )
+
+
+# -- quality -----------------------------------------------------------------
+
+
+@query
+def not_null_report(m: Model) -> DataFrame:
+    return checks.run_checks(m.warehouse(), quality.not_null_checks())
+
+
+@query
+def unique_report(m: Model) -> DataFrame:
+    return checks.run_checks(m.warehouse(), quality.unique_checks())
+
+
+@query
+def fk_report(m: Model) -> DataFrame:
+    return checks.run_checks(m.warehouse(), quality.parent_checks())
+
+
+@query
+def accepted_values_report(m: Model) -> DataFrame:
+    return checks.run_checks(m.warehouse(), quality.accepted_checks())
+
+
+@query
+def expression_report(m: Model) -> DataFrame:
+    return checks.run_checks(m.warehouse(), quality.EXPRESSIONS)
+
+
+@query
+def check_summary(m: Model) -> DataFrame:
+    return checks.summary(checks.run_checks(m.warehouse(), quality.all_checks()))
+
+
+@query
+def check_score(m: Model) -> DataFrame:
+    return checks.score(checks.run_checks(m.warehouse(), quality.all_checks()))
+
+
+def _contracts(m: Model) -> DataFrame:
+    raw = staging.typed_sources(m.source)
+    for name in ("orders", "retail_events", "payments"):
+        raw[name] = pin(raw[name], name)
+    return contracts.run_contracts(raw, AS_OF)
+
+
+@query
+def contracts_24(m: Model) -> DataFrame:
+    return _contracts(m)
+
+
+@query
+def quality_score(m: Model) -> DataFrame:
+    return checks.score(contracts.as_check_results(_contracts(m)))
+
+
+@query
+def one_current_price(m: Model) -> DataFrame:
+    return quality.not_one_current_price({"dim_product_price": m.prices()})
+
+
+@query
+def scd_overlap(m: Model) -> DataFrame:
+    return contracts.version_overlaps(m.prices())
+
+
+@query
+def total_reconciliation(m: Model) -> DataFrame:
+    from omnimart.plans.daily_run import total_reconciliation as totals
+
+    return totals(staging.typed_sources(m.source))
+
+
+@query
+def source_freshness(m: Model) -> DataFrame:
+    """Age of the newest row per source against a clock set to the last order."""
+    raw = staging.typed_sources(m.source)
+    loaded = {
+        "orders": raw["orders"].withColumnRenamed("ordered_at", "at"),
+        "payments": raw["payments"].withColumnRenamed("paid_at", "at"),
+        "retail_events": raw["retail_events"].withColumnRenamed("event_at", "at"),
+    }
+    return quality.freshness(loaded, "at", datetime(2001, 11, 4, 0, 20))
+
+
+@query
+def source_counts(m: Model) -> DataFrame:
+    return count_sources(m.source)
+
+
+# -- stored tables -----------------------------------------------------------
+
+
+def _scratch(m: Model, name: str) -> str:
+    return scratch_path(m.source.spark, name)
+
+
+@query
+def incremental_merge(m: Model) -> DataFrame:
+    """Sales loaded in two steps: all up to a day, then what is newer than the stored maximum.
+
+    Orders corrected after the first step are updated in place.
+    """
+    orders = staging.typed_orders(m.source.table("orders")).drop("payment_status")
+    month = F.date_format("ordered_at", "yyyy-MM")
+    table = tables.KeyedTable(m.source.spark, _scratch(m, "sales"), "order_id", month)
+    table.merge(orders.filter(F.col("ordered_at") < F.lit(datetime(2001, 1, 1))), "ordered_at")
+    newest = table.watermark("ordered_at")
+    table.merge(tables.later_than(orders, "ordered_at", newest), "ordered_at")
+    return table.read()
+
+
+@query
+def snapshot_two_states(m: Model) -> DataFrame:
+    """Stock history after two extracts; in the second some rows changed or are gone."""
+    history = snapshot.Snapshot(
+        m.source.spark, _scratch(m, "stock"), "product_id", SNAPSHOT_COLUMNS
+    )
+    stock = m.inventory()
+    number = F.col("product_id").cast("bigint")
+    history.apply(stock.filter(number % 13 != 0), SNAPSHOT_TIMES[0])
+    later = stock.filter(number % 11 != 0).withColumn(
+        "store_stock", F.col("store_stock") + F.when(number % 7 == 0, 5).otherwise(0)
+    )
+    history.apply(later, SNAPSHOT_TIMES[1])
+    return history.read()
+
+
+SNAPSHOT_COLUMNS = ("store_stock", "warehouse_stock", "reserved", "incoming", "safety_stock")
+SNAPSHOT_TIMES = (datetime(2001, 11, 4, 6, 0), datetime(2001, 11, 5, 6, 0))
+
+
+@query
+def raw_zone_audit(m: Model) -> DataFrame:
+    """Three sources landed twice for one day; the second run replaces the first."""
+    root, day = _scratch(m, "raw"), "2001-11-05"
+    names = ("products", "customer_identities", "payments")
+    for _ in range(2):
+        folders = {n: tables.write_raw_zone(m.source.table(n), root, n, day) for n in names}
+    return tables.landed_files(m.source.spark, folders).select("source", "rows")
+
+
+@query
+def csv_landing(m: Model) -> DataFrame:
+    """Payments written as a CSV source, read with its schema and staged."""
+    folder = _scratch(m, "landing")
+    (
+        m.source.table("payments")
+        .write.option("header", True)
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+        .csv(f"{folder}/{file_of('payments')}")
+    )
+    return staging.stg_payments(LandingSource(m.source.spark, folder))
+
+
+EXPORT_COLUMNS = (
+    "product_id",
+    "product_name",
+    "category",
+    "store_stock",
+    "warehouse_stock",
+    "reserved",
+    "incoming",
+    "units_sold",
+    "selected_units_sold",
+    "safety_stock",
+    "available_to_promise",
+    "risk_level",
+)
+
+
+@query
+def csv_export(m: Model) -> DataFrame:
+    """Lines of the stock export, without its header."""
+    path = _scratch(m, "export")
+    stock = reports.inventory_demand(m.available(), m.products(), m.selected())
+    tables.write_csv(reports.by_risk(stock), path, EXPORT_COLUMNS)
+    lines = m.source.spark.read.text(path).withColumnRenamed("value", "line")
+    return lines.filter(~F.col("line").startswith('"product_id"'))
+
+
+@query
+def stored_cube(m: Model) -> DataFrame:
+    """One cell row read back from the stored cube; only its folder is scanned."""
+    path = _scratch(m, "cube")
+    since = cube.period_start(AS_OF, max(cube.PERIODS))
+    tables.write_cube(cube.sales_cube(m.sales(since), AS_OF), path)
+    return m.source.spark.read.parquet(path).filter("channel = 'store' and period = 14")
+
+
+# -- event validation and streams --------------------------------------------
+
+
+def _records(m: Model) -> DataFrame:
+    """Base64 JSON records of the web events, some incomplete, some with a bad time."""
+    number = F.split_part("event_id", F.lit("-"), F.lit(2)).cast("bigint")
+    events = m.source.web_events().select(
+        F.when(number % 19 != 0, F.col("event_id")).alias("recordId"),
+        "event_id",
+        "event_type",
+        F.when(number % 13 != 0, F.col("source_customer_id")).alias("source_customer_id"),
+        "product_id",
+        F.when(number % 17 != 0, F.date_format("event_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+        .otherwise("yesterday")
+        .alias("event_at"),
+        "latency_ms",
+    )
+    payload = F.to_json(F.struct(*events.columns[1:]))
+    data = F.regexp_replace(F.base64(payload.cast("binary")), r"\s", "")
+    return events.select("recordId", F.when(number % 23 == 0, "###").otherwise(data).alias("data"))
+
+
+@query
+def event_validation(m: Model) -> DataFrame:
+    """Result of every record; good ones with the fields read back from their output."""
+    validated = validation.validate_records(_records(m))
+    text = F.expr("try_to_binary(data, 'base64')").cast("string")
+    fields = "event_id string, latency_ms int, schema_version string, idempotency_key string"
+    return validated.select(
+        F.col("recordId").alias("record_id"),
+        "result",
+        F.when(F.col("result") == validation.OK, F.from_json(text, fields)).alias("e"),
+    ).select(
+        "record_id",
+        "result",
+        "e.event_id",
+        F.col("e.latency_ms").cast("double").alias("latency_ms"),
+        "e.schema_version",
+        "e.idempotency_key",
+    )
+
+
+@query
+def event_routing(m: Model) -> DataFrame:
+    """Records per result after routing to the good and the failed folder by a stream."""
+    folder = _scratch(m, "routing")
+    source = f"{folder}/in"
+    _records(m).write.parquet(source)
+    stream = m.source.spark.readStream.schema("recordId string, data string").parquet(source)
+    sinks.run_available(
+        validation.validate_records(stream),
+        f"{folder}/checkpoint",
+        sinks.route_validated(f"{folder}/good", f"{folder}/failed"),
+    )
+    parts = [
+        m.source.spark.read.parquet(f"{folder}/{name}").select(F.lit(name).alias("route"), "result")
+        for name in ("good", "failed")
+    ]
+    return parts[0].unionByName(parts[1]).groupBy("route", "result").agg(
+        F.count("*").alias("records")
+    )
+
+
+def _event_stream(m: Model, resend: bool = False) -> DataFrame:
+    """Typed web events as a stream; with ``resend`` every tenth event arrives three times."""
+    spark, folder = m.source.spark, m.source.folder
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    raw = stream_events.read_event_files(spark, folder, schema, "events.parquet")
+    if resend:
+        copies = F.when(F.col("event_id") % 10 == 0, 3).otherwise(1)
+        raw = raw.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
+    return staging.typed_events(map_web_events(raw))
+
+
+def _streamed(m: Model, stream: DataFrame, name: str) -> DataFrame:
+    folder = _scratch(m, name)
+    sinks.append_parquet(stream, f"{folder}/out", f"{folder}/checkpoint")
+    return m.source.spark.read.schema(stream.schema).parquet(f"{folder}/out")
+
+
+@query
+def stream_dedup(m: Model) -> DataFrame:
+    return _streamed(m, stream_events.deduplicate(_event_stream(m, True), "40 days"), "dedup")
+
+
+@query
+def stream_enriched(m: Model) -> DataFrame:
+    return _streamed(m, stream_events.enrich(_event_stream(m), m.bridge()), "enriched")
+
+
+@query
+def stream_fact_merge(m: Model) -> DataFrame:
+    """Re-sent events merged into the fact by key; each is there once."""
+    folder = _scratch(m, "fact")
+    day = F.date_format("event_at", "yyyy-MM-dd")
+    table = tables.KeyedTable(m.source.spark, f"{folder}/fact", "event_id", day)
+    enriched = stream_events.enrich(_event_stream(m, True), m.bridge())
+    sinks.run_available(enriched, f"{folder}/checkpoint", sinks.merge_into(table, "event_at"))
+    return table.read()
+
+
+def _latency_stream(m: Model) -> DataFrame:
+    """Event time and latency of the purchase events, streamed from the order lines."""
+    spark, folder = m.source.spark, m.source.folder
+    schema = spark.read.parquet(f"{folder}/lineitem.parquet").schema
+    lines = stream_events.read_event_files(spark, folder, schema, "lineitem.parquet")
+    latency = (180 + (F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17) % 3400).cast("int")
+    moment = F.unix_millis(F.col("l_shipdate").cast("timestamp")) + latency
+    return lines.select(F.timestamp_millis(moment).alias("event_at"), latency.alias("latency_ms"))
+
+
+@query
+def stream_latency_windows(m: Model) -> DataFrame:
+    windows = stream_events.latency_windows(_event_stream(m), "10 minutes")
+    return _streamed(m, windows, "windows")
+
+
+@query
+def stream_latency_alarm(m: Model) -> DataFrame:
+    windows = stream_events.latency_windows(_latency_stream(m), "10 minutes")
+    return _streamed(m, stream_events.alarms(windows), "alarms")
+
+
+@query
+def latency_late_marker(m: Model) -> DataFrame:
+    events = staging.typed_events(m.source.table("retail_events"))
+    return stream_events.is_late(stream_events.latency_windows(events))
+
+
+@query
+def event_lines(m: Model) -> DataFrame:
+    """Events as broker lines: records per key after a write and a read."""
+    folder = _scratch(m, "lines")
+    lines = sinks.json_lines(staging.typed_events(m.source.web_events()))
+    sinks.write_json_lines(lines.filter("valid"), folder)
+    fields = F.from_json("value", "partition_key string, schema_version string, latency_ms int")
+    return (
+        m.source.spark.read.text(folder)
+        .select(fields.alias("e"))
+        .groupBy("e.partition_key", "e.schema_version")
+        .agg(F.count("*").alias("records"), F.sum("e.latency_ms").alias("latency_ms"))
+    )

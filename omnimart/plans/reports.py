@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from omnimart.functions.scalars import HALF_CENT, MONEY, ratio
 from omnimart.operators.cube import ALL, CHANNELS, period_start
@@ -92,7 +92,12 @@ def top_categories(selected: DataFrame, products: DataFrame, limit: int = 7) ->
     per_product = selected.groupBy("product_id").agg(
         F.sum("sales_amount").alias("revenue"), F.sum("quantity").alias("units")
     )
-    total = selected.agg(F.sum("sales_amount")).scalar()
+    # Summing both columns keeps the subquery equal to the branch below, so Spark
+    # runs the aggregation once and reuses its exchange.
+    totals = per_product.agg(
+        F.struct(F.sum("revenue").alias("revenue"), F.sum("units").alias("units")).alias("t")
+    )
+    total = totals.scalar()["revenue"]
     return (
         per_product.join(products.select("product_id", "category"), "product_id")
         .groupBy("category")
@@ -178,7 +183,7 @@ def segment_distribution(top_customers: DataFrame) -> DataFrame:
         F.count_if(F.col("channels").contains(",")).alias("omnichannel"),
     )
     names = top_customers.sparkSession.createDataFrame([(s,) for s in SEGMENTS], "segment string")
-    total = counts.agg(F.sum("customers")).scalar()
+    total = F.sum("customers").over(Window.partitionBy())  # over one row per segment
     return (
         names.join(counts, "segment", "left")
         .fillna(0, ["customers", "omnichannel"])

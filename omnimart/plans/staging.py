@@ -28,9 +28,9 @@ def _project(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(*[column.alias(name) for name, column in columns.items()])
 
 
-def stg_orders(source: Source, since: datetime | None = None) -> DataFrame:
-    typed = _project(
-        source.table("orders", since),
+def typed_orders(raw: DataFrame) -> DataFrame:
+    return _project(
+        raw,
         {
             **_typed(order_id="string", source_customer_id="string", product_id="string"),
             "channel": F.lower("channel"),
@@ -44,13 +44,16 @@ def stg_orders(source: Source, since: datetime | None = None) -> DataFrame:
             "payment_status": F.lower("payment_status"),
         },
     )
-    latest = keep_latest(typed, "order_id", "ordered_at")
+
+
+def stg_orders(source: Source, since: datetime | None = None) -> DataFrame:
+    latest = keep_latest(typed_orders(source.table("orders", since)), "order_id", "ordered_at")
     return latest.withColumn("sales_amount", line_amount("quantity", "unit_price"))
 
 
-def stg_payments(source: Source, since: datetime | None = None) -> DataFrame:
-    typed = _project(
-        source.table("payments", since),
+def typed_payments(raw: DataFrame) -> DataFrame:
+    return _project(
+        raw,
         {
             **_typed(
                 transaction_id="string",
@@ -63,7 +66,12 @@ def stg_payments(source: Source, since: datetime | None = None) -> DataFrame:
             **_typed(paid_at="timestamp"),
         },
     )
-    return keep_latest(typed, "transaction_id", "paid_at")
+
+
+def stg_payments(source: Source, since: datetime | None = None) -> DataFrame:
+    return keep_latest(
+        typed_payments(source.table("payments", since)), "transaction_id", "paid_at"
+    )
 
 
 def event_columns() -> dict[str, Column]:
@@ -88,14 +96,18 @@ def stg_retail_events(source: Source, since: datetime | None = None) -> DataFram
     return keep_latest(typed_events(source.table("retail_events", since)), "event_id", "event_at")
 
 
-def stg_customer_identities(source: Source) -> DataFrame:
-    typed = _project(
-        source.table("customer_identities"),
+def typed_identities(raw: DataFrame) -> DataFrame:
+    return _project(
+        raw,
         {
             "source_system": F.lower("source_system"),
             **_typed(source_customer_id="string", email_hash="string"),
         },
     )
+
+
+def stg_customer_identities(source: Source) -> DataFrame:
+    typed = typed_identities(source.table("customer_identities"))
     return keep_lowest(typed, "source_customer_id", "source_system")
 
 
@@ -143,3 +155,17 @@ def stg_price_history(source: Source) -> DataFrame:
             is_current="boolean",
         ),
     )
+
+
+def typed_sources(source: Source) -> dict[str, DataFrame]:
+    """All sources typed and normalised but with their duplicates, for the contracts."""
+    return {
+        "orders": typed_orders(source.table("orders")),
+        "payments": typed_payments(source.table("payments")),
+        "retail_events": typed_events(source.table("retail_events")),
+        "customer_identities": typed_identities(source.table("customer_identities")),
+        "customers": stg_customers(source),
+        "products": stg_products(source),
+        "inventory": stg_inventory(source),
+        "price_history": stg_price_history(source),
+    }

@@ -411,7 +411,7 @@ FINALS: dict[str, str] = {
         SELECT * {_fact_columns(time=('last_order',), money=('spend',))} FROM ({TOP_CUSTOMERS})""",
     "segment_distribution": f"""
         SELECT n.segment, count(t.segment) AS customers,
-               count_if(contains(t.channels, ',')) ::BIGINT AS omnichannel,
+               count(*) FILTER (contains(t.channels, ',')) AS omnichannel,
                CAST(count(t.segment) AS DOUBLE)
                  / nullif(CAST(sum(count(t.segment)) OVER () AS DOUBLE), 0) AS share
         FROM (VALUES ('Champions'), ('Fidèles'), ('Prometteurs'), ('Nouveaux')) n(segment)
@@ -495,8 +495,8 @@ FINALS: dict[str, str] = {
           (SELECT CAST(sum(available_to_promise) AS BIGINT) AS total_atp FROM atp) a""",
     "batch_stream_full_outer": """
         SELECT coalesce(b.order_id, s.order_id) AS order_id,
-               CAST(b.quantity AS BIGINT) AS batch_quantity,
-               CAST(s.quantity AS BIGINT) AS stream_quantity, count(*) AS copies
+               CAST(b.quantity AS DOUBLE) AS batch_quantity,
+               CAST(s.quantity AS DOUBLE) AS stream_quantity, count(*) AS copies
         FROM sales b
         FULL JOIN (SELECT order_id, quantity FROM fct_events WHERE event_type = 'purchase') s
           ON b.order_id = s.order_id
@@ -521,4 +521,388 @@ FINALS: dict[str, str] = {
                        'store,web')""",
 }
 
+
+
+# -- quality -----------------------------------------------------------------
+
+# Model names of the check lists and the block that computes each.
+MODEL_BLOCKS = {
+    "stg_orders": "stg_orders",
+    "stg_products": "products",
+    "stg_customers": "stg_customers",
+    "stg_customer_identities": "stg_identities",
+    "stg_inventory": "inventory",
+    "stg_payments": "stg_payments",
+    "stg_retail_events": "stg_events",
+    "stg_price_history": "prices",
+    "identity_bridge": "bridge",
+    "dim_product": "products",
+    "dim_customer": "dim_customer",
+    "dim_product_price": "prices",
+    "fct_sales": "sales",
+    "fct_retail_event": "fct_events",
+    "fct_payments": "stg_payments",
+    "payment_reconciliation": "reconciliation",
+    "available_to_promise": "atp",
+    "customer_rfm": "rfm",
+    "repricing": "repriced",
+}
+
+
+def _check(kind: str, name: str, table: str, violations: str) -> str:
+    return (
+        f"SELECT '{kind}.{name}' AS \"check\", '{kind}' AS kind, '{table}' AS \"table\","
+        f" CAST(({violations}) AS BIGINT) AS violations"
+    )
+
+
+def _check_rows() -> dict[str, str]:
+    from omnimart.plans import quality
+
+    block = MODEL_BLOCKS
+    not_null = [
+        _check("not_null", f"{t}.{c}", t, f"SELECT count(*) FROM {block[t]} WHERE {c} IS NULL")
+        for t, columns in quality.NOT_NULL.items()
+        for c in columns
+    ]
+    unique = [
+        _check(
+            "unique",
+            f"{t}.{c}",
+            t,
+            f"SELECT count(*) FROM (SELECT {c} FROM {block[t]} WHERE {c} IS NOT NULL"
+            f" GROUP BY 1 HAVING count(*) > 1)",
+        )
+        for t, columns in quality.UNIQUE.items()
+        for c in columns
+    ]
+    parents = [
+        _check(
+            "relationships",
+            f"{t}.{c}",
+            t,
+            f"SELECT count(*) FROM {block[t]} WHERE {c} IS NOT NULL"
+            f" AND {c} NOT IN (SELECT {c} FROM {block[p]} WHERE {c} IS NOT NULL)",
+        )
+        for t, c, p in quality.PARENTS
+    ]
+    accepted = [
+        _check(
+            "accepted_values",
+            f"{t}.{c}",
+            t,
+            f"SELECT count(*) FROM {block[t]} WHERE {c} NOT IN ({', '.join(map(repr, values))})",
+        )
+        for t, c, values in quality.ACCEPTED
+    ]
+    expressions = [
+        _check("expression", name, table, f"SELECT count(*) FROM {query}")
+        for name, table, query in (
+            (
+                "available_to_promise_not_negative",
+                "available_to_promise",
+                "atp WHERE available_to_promise < 0",
+            ),
+            ("batch_and_stream_agree", "fct_retail_event", f"({FINALS['batch_stream_full_outer']})"),
+            (
+                "every_identity_resolved",
+                "identity_bridge",
+                "stg_identities WHERE source_customer_id NOT IN"
+                " (SELECT source_customer_id FROM bridge)",
+            ),
+            (
+                "one_current_price",
+                "dim_product_price",
+                "(SELECT product_id FROM prices GROUP BY 1 HAVING count_if(is_current) <> 1)",
+            ),
+            (
+                "payments_reconciled",
+                "payment_reconciliation",
+                "reconciliation WHERE reconciliation_status <> 'reconciled'"
+                " OR abs(amount_delta) > 0.005",
+            ),
+            (
+                "price_moves_in_range",
+                "repricing",
+                "repriced WHERE recommended_price < round(current_price * 0.95, 2)"
+                " OR recommended_price > round(current_price * 1.03, 2)",
+            ),
+        )
+    ]
+    return {
+        "not_null_report": "\nUNION ALL ".join(not_null),
+        "unique_report": "\nUNION ALL ".join(unique),
+        "fk_report": "\nUNION ALL ".join(parents),
+        "accepted_values_report": "\nUNION ALL ".join(accepted),
+        "expression_report": "\nUNION ALL ".join(expressions),
+    }
+
+
+_CHECK_ROWS = _check_rows()
+_ALL_CHECKS = "\nUNION ALL ".join(f"({rows})" for rows in _CHECK_ROWS.values())
+
+
+def _with_status(rows: str) -> str:
+    return f"SELECT *, CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({rows})"
+
+
+SCORE = """
+    SELECT count(*) AS total, CAST(count_if({ok}) AS BIGINT) AS passed,
+           CAST(count(*) - count_if({ok}) AS BIGINT) AS failed,
+           round(100.0::DOUBLE * count_if({ok}) / count(*), 1) AS score,
+           CASE WHEN count_if({ok}) = count(*) THEN 'PASS' ELSE 'FAIL' END AS status
+    FROM ({rows})"""
+
+OVERLAPS = """
+    SELECT product_id, valid_from, max(valid_to) AS valid_to,
+           lead(valid_from) OVER (PARTITION BY product_id ORDER BY valid_from) AS next_from,
+           greatest(count_if(valid_to >= valid_from) - 1, 0) AS same_day
+    FROM prices GROUP BY 1, 2"""
+
+# What each contract counts; the raw blocks still hold duplicates.
+CONTRACT_COUNTS = {
+    "contract.orders.order_id_unique":
+        "SELECT count(*) - count(DISTINCT order_id) FROM typed_orders",
+    "contract.events.event_id_unique":
+        "SELECT count(*) - count(DISTINCT event_id) FROM raw_events",
+    "contract.payments.transaction_id_unique":
+        "SELECT count(*) - count(DISTINCT transaction_id) FROM raw_payments",
+    "contract.identities.source_customer_id_unique":
+        "SELECT count(*) - count(DISTINCT source_customer_id) FROM raw_identities",
+    "integrity.orders_product_fk":
+        "SELECT count(*) FROM typed_orders WHERE product_id NOT IN (SELECT product_id FROM products)",
+    "integrity.orders_identity_fk":
+        "SELECT count(*) FROM typed_orders"
+        " WHERE source_customer_id NOT IN (SELECT source_customer_id FROM raw_identities)",
+    "integrity.events_identity_fk":
+        "SELECT count(*) FROM raw_events"
+        " WHERE source_customer_id NOT IN (SELECT source_customer_id FROM raw_identities)",
+    "integrity.identity_hash_fk":
+        "SELECT count(*) FROM raw_identities"
+        " WHERE email_hash NOT IN (SELECT email_hash FROM stg_customers)",
+    "integrity.payments_order_fk":
+        "SELECT count(*) FROM raw_payments WHERE order_id NOT IN (SELECT order_id FROM typed_orders)",
+    "business.positive_quantities": "SELECT count(*) FROM typed_orders WHERE quantity <= 0",
+    "business.positive_sales_amount": "SELECT count(*) FROM typed_orders WHERE sales_amount <= 0",
+    "business.discount_rate_in_range":
+        "SELECT count(*) FROM typed_orders WHERE discount_rate < 0 OR discount_rate >= 1",
+    "stream.purchase_count_matches_batch":
+        "SELECT abs((SELECT count(*) FROM purchase_events) - (SELECT count(*) FROM typed_orders))",
+    "stream.purchase_units_match_batch":
+        "SELECT abs((SELECT sum(quantity) FROM purchase_events)"
+        " - (SELECT sum(quantity) FROM typed_orders))",
+    "stream.purchase_order_ids_match_batch":
+        "SELECT count(*) FROM (SELECT DISTINCT order_id FROM purchase_events) a"
+        " FULL JOIN (SELECT DISTINCT order_id FROM typed_orders) b ON a.order_id = b.order_id"
+        " WHERE a.order_id IS NULL OR b.order_id IS NULL",
+    "stream.partition_key_matches_customer":
+        "SELECT count(*) FROM raw_events WHERE partition_key <> source_customer_id",
+    "payments.one_settlement_per_order":
+        "SELECT count(*) FROM (SELECT DISTINCT order_id FROM raw_payments) a"
+        " FULL JOIN (SELECT DISTINCT order_id FROM typed_orders) b ON a.order_id = b.order_id"
+        " WHERE a.order_id IS NULL OR b.order_id IS NULL",
+    "payments.status_settled": "SELECT count(*) FROM raw_payments WHERE lower(status) <> 'settled'",
+    "payments.amount_matches_sales":
+        "SELECT count(*) FROM"
+        " (SELECT order_id, arg_max(sales_amount, (ordered_at, sales_amount)) AS due"
+        "  FROM typed_orders GROUP BY 1) o"
+        " LEFT JOIN (SELECT order_id, arg_max(amount, (paid_at, amount)) AS paid"
+        "  FROM raw_payments GROUP BY 1) p ON p.order_id = o.order_id"
+        " WHERE abs(coalesce(paid, -1) - due) > 0.005",
+    "privacy.email_hash_shape":
+        "SELECT count(*) FROM stg_customers WHERE NOT regexp_full_match(email_hash, '[0-9a-f]{16}')",
+    "scd.one_current_version_per_product":
+        "SELECT count(*) FROM (SELECT product_id FROM prices GROUP BY 1"
+        " HAVING count_if(is_current) <> 1)",
+    "scd.current_version_is_open_ended":
+        "SELECT count(*) FROM prices WHERE is_current AND valid_to <> DATE '9999-12-31'",
+    "scd.version_ranges_do_not_overlap":
+        "SELECT count(*) FROM (SELECT valid_to, lead(valid_from) OVER"
+        " (PARTITION BY product_id ORDER BY valid_from, valid_to) AS next_from FROM prices)"
+        " WHERE valid_to >= next_from",
+    "freshness.latest_event_under_24h":
+        f"SELECT CASE WHEN epoch(TIMESTAMP '{AS_OF}') - epoch(date_trunc('second', max(event_at)))"
+        " < 24 * 3600 THEN 0 ELSE 1 END FROM raw_events",
+}
+
+_CONTRACTS = "\nUNION ALL ".join(
+    f"SELECT '{name}' AS contract, CAST(({sql}) AS BIGINT) AS violations"
+    for name, sql in CONTRACT_COUNTS.items()
+)
+
+STOCK = "store_stock, warehouse_stock, reserved, incoming, safety_stock"
+STOCK_BIGINT = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in STOCK.split(", "))
+
+
+def _percent_text(now: str, then: str) -> str:
+    """Signed French percentage at one decimal."""
+    change = (
+        f"floor((CAST({now} AS DOUBLE) - CAST({then} AS DOUBLE))"
+        f" / nullif(CAST({then} AS DOUBLE), 0) * 1000.0 + 0.5) / 10.0"
+    )
+    digits = f"replace(replace(replace(format('{{:,.1f}}', abs({change})), ',', '~'), '.', ','), '~', '\u202f')"
+    return (
+        f"coalesce(CASE WHEN {change} > 0 THEN '+' WHEN {change} < 0 THEN '−' ELSE '' END"
+        f" || {digits} || '\u202f%', 'n.d.')"
+    )
+
+
+WEB_WINDOWS = """
+    SELECT time_bucket(INTERVAL 1 MINUTE, event_at) AS start, count(latency_ms) AS events,
+           quantile_disc(latency_ms, 0.95) AS p95
+    FROM {rows} GROUP BY 1
+    HAVING start + INTERVAL 1 MINUTE <= (SELECT max(event_at) FROM {rows}) - INTERVAL 10 MINUTE"""
+
+WINDOW_TEXT = """strftime(start, '%Y-%m-%d %H:%M:%S.%g') AS window_start,
+               strftime(start + INTERVAL 1 MINUTE, '%Y-%m-%d %H:%M:%S.%g') AS window_end,
+               events, CAST(p95 AS BIGINT) AS latency_p95_ms"""
+
+WEB_TYPED = """
+    SELECT event_id, lower(event_type) AS event_type, nullif(order_id, '') AS order_id,
+           source_customer_id, product_id, lower(channel) AS channel,
+           CAST(quantity AS BIGINT) AS quantity,
+           strftime(event_at, '%Y-%m-%d %H:%M:%S.%g') AS event_at,
+           CAST(latency_ms AS BIGINT) AS latency_ms, partition_key
+    FROM web_events"""
+
+LINE_EVENTS = """
+    SELECT 180 + (l_orderkey * 31 + l_linenumber * 17) % 3400 AS latency_ms,
+           l_shipdate + INTERVAL 1 MILLISECOND
+             * (180 + (l_orderkey * 31 + l_linenumber * 17) % 3400) AS event_at
+    FROM lineitem"""
+
+EXPORT_LINE = " || ';' || ".join(
+    f"'\"' || replace(CAST({c} AS VARCHAR), '\"', '\"\"') || '\"'"
+    for c in (
+        "product_id", "product_name", "category", "store_stock", "warehouse_stock", "reserved",
+        "incoming", "units_sold", "selected_units_sold", "safety_stock", "available_to_promise",
+        "risk_level",
+    )
+)
+
+VALID_RECORD = "event_id % 13 <> 0 AND event_id % 17 <> 0 AND event_id % 19 <> 0 AND event_id % 23 <> 0"
+
+FINALS |= {
+    "email_hash": "SELECT c_custkey, substr(sha256(lower(c_name)), 1, 16) AS email_hash FROM customer",
+    "flash_percent_text": f"""
+        SELECT channel, strftime(day, '%Y-%m-%d') AS day,
+               {_percent_text('week_revenue', 'previous_week_revenue')} AS week_text,
+               {_percent_text('day_revenue', 'previous_day_revenue')} AS day_text
+        FROM ({_flash(7)})""",
+    **{name: _with_status(rows) for name, rows in _CHECK_ROWS.items()},
+    "check_summary": f"""
+        SELECT kind, count(*) AS total, CAST(count_if(status = 'pass') AS BIGINT) AS passed,
+               CAST(count_if(status = 'fail') AS BIGINT) AS failed,
+               coalesce(string_agg("check", ',' ORDER BY "check") FILTER (status = 'fail'), '')
+                 AS failed_checks
+        FROM ({_with_status(_ALL_CHECKS)}) GROUP BY 1""",
+    "check_score": SCORE.format(ok="violations = 0", rows=_ALL_CHECKS),
+    "contracts_24": f"SELECT *, violations = 0 AS passed FROM ({_CONTRACTS})",
+    "quality_score": SCORE.format(ok="violations = 0", rows=_CONTRACTS),
+    "one_current_price": """
+        SELECT product_id, CAST(count_if(is_current) AS BIGINT) AS current_versions
+        FROM prices GROUP BY 1 HAVING count_if(is_current) <> 1""",
+    "scd_overlap": f"""
+        SELECT product_id, strftime(valid_from, '%Y-%m-%d') AS valid_from,
+               strftime(valid_to, '%Y-%m-%d') AS valid_to,
+               strftime(next_from, '%Y-%m-%d') AS next_from,
+               CAST(same_day + CASE WHEN valid_to >= next_from THEN 1 ELSE 0 END AS BIGINT)
+                 AS overlaps
+        FROM ({OVERLAPS}) WHERE same_day > 0 OR valid_to >= next_from""",
+    "total_reconciliation": """
+        SELECT batch_units, stream_units, CAST(sales AS DOUBLE) AS sales_amount,
+               CAST(paid AS DOUBLE) AS payment_amount, batch_units - stream_units AS unit_delta,
+               CAST(sales - paid AS DOUBLE) AS amount_delta,
+               CASE WHEN batch_units = stream_units AND abs(sales - paid) <= 0.005
+                    THEN 'PASS' ELSE 'FAIL' END AS status
+        FROM (SELECT CAST(sum(quantity) AS BIGINT) AS batch_units, sum(sales_amount) AS sales
+              FROM typed_orders),
+             (SELECT CAST(sum(quantity) AS BIGINT) AS stream_units FROM purchase_events),
+             (SELECT sum(amount) AS paid FROM raw_payments)""",
+    "source_freshness": """
+        SELECT source, strftime(latest, '%Y-%m-%d %H:%M:%S.%g') AS latest,
+               (epoch(TIMESTAMP '2001-11-04 00:20:00') - floor(epoch(latest))) / 60.0 AS age_minutes,
+               CASE WHEN (epoch(TIMESTAMP '2001-11-04 00:20:00') - floor(epoch(latest))) > 7200
+                    THEN 'error'
+                    WHEN (epoch(TIMESTAMP '2001-11-04 00:20:00') - floor(epoch(latest))) > 1800
+                    THEN 'warn' ELSE 'pass' END AS status
+        FROM (SELECT 'orders' AS source, max(ordered_at) AS latest FROM typed_orders
+              UNION ALL SELECT 'payments', max(paid_at) FROM raw_payments
+              UNION ALL SELECT 'retail_events', max(event_at) FROM raw_events)""",
+    "source_counts": """
+        SELECT 'products' AS source, count(*) AS records FROM products
+        UNION ALL SELECT 'customers', count(*) FROM stg_customers
+        UNION ALL SELECT 'customer_identities', count(*) FROM raw_identities
+        UNION ALL SELECT 'inventory', count(*) FROM inventory
+        UNION ALL SELECT 'orders', count(*) FROM raw_orders
+        UNION ALL SELECT 'payments', count(*) FROM raw_payments
+        UNION ALL SELECT 'retail_events', count(*) FROM raw_events
+        UNION ALL SELECT 'price_history', count(*) FROM prices""",
+    "incremental_merge": f"""
+        SELECT * EXCLUDE (payment_status, sales_amount) {_fact_columns(
+            time=('ordered_at',), money=('unit_price', 'discount_rate'), whole=('quantity',))}
+        FROM stg_orders""",
+    "snapshot_two_states": f"""
+        SELECT * FROM (WITH at AS (SELECT TIMESTAMP '2001-11-04 06:00:00' AS t1, TIMESTAMP '2001-11-05 06:00:00' AS t2),
+        stock AS (SELECT *, CAST(product_id AS BIGINT) AS n FROM inventory),
+        versions AS (
+          SELECT product_id, {STOCK}, t1 AS valid_from,
+                 CASE WHEN n % 11 = 0 OR n % 7 = 0 THEN t2 END AS valid_to
+          FROM stock, at WHERE n % 13 <> 0
+          UNION ALL
+          SELECT product_id, store_stock + CASE WHEN n % 7 = 0 THEN 5 ELSE 0 END,
+                 warehouse_stock, reserved, incoming, safety_stock, t2, NULL
+          FROM stock, at WHERE n % 11 <> 0 AND (n % 13 = 0 OR n % 7 = 0))
+        SELECT product_id, {STOCK_BIGINT},
+               strftime(valid_from, '%Y-%m-%d %H:%M:%S.%g') AS valid_from,
+               strftime(valid_to, '%Y-%m-%d %H:%M:%S.%g') AS valid_to,
+               strftime(coalesce(valid_to, valid_from), '%Y-%m-%d %H:%M:%S.%g') AS updated_at,
+               md5(product_id || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) AS scd_id
+        FROM versions)""",
+    "raw_zone_audit": """
+        SELECT 'products' AS source, count(*) AS rows FROM products
+        UNION ALL SELECT 'customer_identities', count(*) FROM raw_identities
+        UNION ALL SELECT 'payments', count(*) FROM raw_payments""",
+    "csv_landing": f"SELECT * {PAYMENT_CASTS} FROM stg_payments",
+    "csv_export": f"SELECT {EXPORT_LINE} AS line FROM ({DEMAND_ROWS.format(where=RECENT)})",
+    "stored_cube": f"""
+        SELECT {KPI}, 'store' AS channel, 14::BIGINT AS period
+        FROM sales WHERE {RECENT_14} AND channel = 'store'""",
+    "event_validation": f"""
+        SELECT CASE WHEN event_id % 19 <> 0 THEN 'W-' || event_id ELSE 'unknown' END AS record_id,
+               CASE WHEN {VALID_RECORD} THEN 'Ok' ELSE 'ProcessingFailed' END AS result,
+               CASE WHEN {VALID_RECORD} THEN 'W-' || event_id END AS event_id,
+               CASE WHEN {VALID_RECORD}
+                    THEN CAST(90 + 25 * CAST(json_extract_string(props, '$.k') AS INTEGER) AS DOUBLE)
+                    END AS latency_ms,
+               CASE WHEN {VALID_RECORD} THEN 'retail-event/2.1' END AS schema_version,
+               CASE WHEN {VALID_RECORD} THEN 'W-' || event_id END AS idempotency_key
+        FROM events""",
+    "event_routing": f"""
+        SELECT CASE WHEN {VALID_RECORD} THEN 'good' ELSE 'failed' END AS route,
+               CASE WHEN {VALID_RECORD} THEN 'Ok' ELSE 'ProcessingFailed' END AS result,
+               count(*) AS records
+        FROM events GROUP BY 1, 2""",
+    "stream_dedup": WEB_TYPED,
+    "stream_enriched": f"""
+        SELECT e.*, b.customer_id FROM ({WEB_TYPED}) e
+        JOIN bridge b ON b.source_customer_id = e.source_customer_id""",
+    "stream_fact_merge": f"""
+        SELECT e.*, b.customer_id FROM ({WEB_TYPED}) e
+        JOIN bridge b ON b.source_customer_id = e.source_customer_id""",
+    "stream_latency_windows": f"""
+        SELECT {WINDOW_TEXT} FROM ({WEB_WINDOWS.format(rows='web_events')})""",
+    "stream_latency_alarm": f"""
+        SELECT {WINDOW_TEXT} FROM ({WEB_WINDOWS.format(rows=f'({LINE_EVENTS})')}) WHERE p95 > 3000""",
+    "latency_late_marker": f"""
+        SELECT {WINDOW_TEXT}, p95 >= 3000 AS late
+        FROM (SELECT time_bucket(INTERVAL 1 MINUTE, event_at) AS start,
+                     count(latency_ms) AS events, quantile_disc(latency_ms, 0.95) AS p95
+              FROM raw_events GROUP BY 1)""",
+    "event_lines": """
+        SELECT partition_key, 'retail-event/2.1' AS schema_version, count(*) AS records,
+               CAST(sum(latency_ms) AS BIGINT) AS latency_ms
+        FROM web_events GROUP BY 1""",
+}
+
 ORACLES = {name: statement(final) for name, final in FINALS.items()}
