@@ -843,16 +843,16 @@ FINALS |= {
             time=('ordered_at',), money=('unit_price', 'discount_rate'), whole=('quantity',))}
         FROM stg_orders""",
     "snapshot_two_states": f"""
-        SELECT * FROM (WITH at AS (SELECT TIMESTAMP '2001-11-04 06:00:00' AS t1, TIMESTAMP '2001-11-05 06:00:00' AS t2),
+        SELECT * FROM (WITH moments AS (SELECT TIMESTAMP '2001-11-04 06:00:00' AS t1, TIMESTAMP '2001-11-05 06:00:00' AS t2),
         stock AS (SELECT *, CAST(product_id AS BIGINT) AS n FROM inventory),
         versions AS (
           SELECT product_id, {STOCK}, t1 AS valid_from,
                  CASE WHEN n % 11 = 0 OR n % 7 = 0 THEN t2 END AS valid_to
-          FROM stock, at WHERE n % 13 <> 0
+          FROM stock, moments WHERE n % 13 <> 0
           UNION ALL
           SELECT product_id, store_stock + CASE WHEN n % 7 = 0 THEN 5 ELSE 0 END,
                  warehouse_stock, reserved, incoming, safety_stock, t2, NULL
-          FROM stock, at WHERE n % 11 <> 0 AND (n % 13 = 0 OR n % 7 = 0))
+          FROM stock, moments WHERE n % 11 <> 0 AND (n % 13 = 0 OR n % 7 = 0))
         SELECT product_id, {STOCK_BIGINT},
                strftime(valid_from, '%Y-%m-%d %H:%M:%S.%g') AS valid_from,
                strftime(valid_to, '%Y-%m-%d %H:%M:%S.%g') AS valid_to,
