@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
@@ -21,6 +22,11 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def moment(at: datetime) -> Column:
+    """Timestamp literal; a moment without an offset is wall-clock time of the session."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp")
+
+
 def line_amount(quantity: Column | str, unit_price: Column | str) -> Column:
     """Quantity times unit price, to the cent."""
     return F.round(_col(quantity) * _col(unit_price), 2).cast(MONEY)

@@ -7,6 +7,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from omnimart.functions.scalars import moment
+
 ALL = "all"
 
 # Reported channels and periods in days.
@@ -22,7 +24,7 @@ def smallest_period(time: Column, as_of: datetime, periods: Sequence[int]) -> Co
     """Shortest period the row falls in; null when it is older than all of them."""
     result = None
     for days in sorted(periods):
-        hit = time >= F.lit(period_start(as_of, days))
+        hit = time >= moment(period_start(as_of, days))
         result = F.when(hit, days) if result is None else result.when(hit, days)
     return result
 
@@ -60,7 +62,7 @@ def sales_cube(
     """
     start = period_start(as_of, max(periods))
     per_customer = (
-        sales.filter(F.col("ordered_at") >= F.lit(start))
+        sales.filter(F.col("ordered_at") >= moment(start))
         .groupBy(
             "channel",
             smallest_period(F.col("ordered_at"), as_of, periods).alias("period"),

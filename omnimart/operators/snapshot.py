@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from omnimart.functions.scalars import moment
 from omnimart.operators.tables import PART, KeyedTable
 
 OPEN = "open"
@@ -22,7 +23,7 @@ def advance(
     and opens another, an absent key closes, a new key opens. Presence is a flag of
     each side, not a null value, and values compare null-safe.
     """
-    moment = F.lit(at).cast("timestamp")
+    now = moment(at)
     old = current.select(F.col(key), F.struct("*").alias("old"))
     new = extract.select(F.col(key), F.struct(key, *checked).alias("new"))
     joined = old.join(new, key, "full_outer")
@@ -41,8 +42,8 @@ def advance(
 
     never = F.lit(None).cast("timestamp")
     kept = version("old", *(F.col(f"old.{c}") for c in ("valid_from", "valid_to", "updated_at", "scd_id")))
-    closed = version("old", F.col("old.valid_from"), moment, moment, F.col("old.scd_id"))
-    opened = version("new", moment, never, moment, version_id(F.col(f"new.{key}"), moment))
+    closed = version("old", F.col("old.valid_from"), now, now, F.col("old.scd_id"))
+    opened = version("new", now, never, now, version_id(F.col(f"new.{key}"), now))
     unchanged = had & has & same
     versions = F.array(
         F.when(unchanged, kept).when(had, closed),
@@ -60,14 +61,14 @@ def version_id(key: Column, at: Column) -> Column:
 def first_versions(
     extract: DataFrame, key: str, checked: Sequence[str], at: datetime
 ) -> DataFrame:
-    moment = F.lit(at).cast("timestamp")
+    now = moment(at)
     return extract.select(
         key,
         *checked,
-        moment.alias("valid_from"),
+        now.alias("valid_from"),
         F.lit(None).cast("timestamp").alias("valid_to"),
-        moment.alias("updated_at"),
-        version_id(F.col(key), moment).alias("scd_id"),
+        now.alias("updated_at"),
+        version_id(F.col(key), now).alias("scd_id"),
     )
 
 

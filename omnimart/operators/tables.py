@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from omnimart.functions.scalars import moment
 from omnimart.operators import files
 from omnimart.operators.dedup import keep_latest
 from omnimart.session import pin
@@ -80,7 +81,10 @@ class KeyedTable:
         """Largest stored ``time``, or None. Partitions must be named in time order,
         so that one column of the last one is all there is to read."""
         names = self.partitions()
-        return self.read(names[-1:]).agg(F.max(time)).first()[0] if names else None
+        if not names:
+            return None
+        newest = self.read(names[-1:]).agg(F.max(time).cast("timestamp_ntz")).first()[0]
+        return newest  # wall-clock time of the session, as ``moment`` takes it
 
     # -- writing -----------------------------------------------------------
 
@@ -145,7 +149,7 @@ def _part_names(df: DataFrame) -> list[str]:
 
 def later_than(df: DataFrame, time: str, watermark) -> DataFrame:
     """Rows strictly newer than the stored maximum; all of them on a first load."""
-    return df if watermark is None else df.filter(F.col(time) > F.lit(watermark))
+    return df if watermark is None else df.filter(F.col(time) > moment(watermark))
 
 
 def write_raw_zone(df: DataFrame, root: str, source: str, ingestion_date: str) -> str:

@@ -8,7 +8,7 @@ from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from omnimart.functions.scalars import email_hash as hash_email, signed_percent_text
+from omnimart.functions.scalars import email_hash as hash_email, moment, signed_percent_text
 from omnimart.operators import checks, cube, keysets, snapshot, tables
 from omnimart.operators.quantiles import nearest_rank
 from omnimart.plans import contracts, core, flash, marts, quality, reports, staging
@@ -521,7 +521,7 @@ def incremental_merge(m: Model) -> DataFrame:
     orders = staging.typed_orders(m.source.table("orders")).drop("payment_status")
     month = F.date_format("ordered_at", "yyyy-MM")
     table = tables.KeyedTable(m.source.spark, _scratch(m, "sales"), "order_id", month)
-    table.merge(orders.filter(F.col("ordered_at") < F.lit(datetime(2001, 1, 1))), "ordered_at")
+    table.merge(orders.filter(F.col("ordered_at") < moment(datetime(2001, 1, 1))), "ordered_at")
     newest = table.watermark("ordered_at")
     table.merge(tables.later_than(orders, "ordered_at", newest), "ordered_at")
     return table.read()

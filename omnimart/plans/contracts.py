@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from omnimart.functions.scalars import HALF_CENT, is_email_hash, line_amount
+from omnimart.functions.scalars import HALF_CENT, is_email_hash, line_amount, moment
 from omnimart.operators.dedup import keep_latest
 from omnimart.operators.keysets import key_differences, missing_keys
 
@@ -116,7 +116,7 @@ def _amounts(raw: Mapping[str, DataFrame], as_of: datetime) -> Iterator[DataFram
         c14=-F.col("units"),
     )
     bought = F.col("event_type") == "purchase"
-    age = F.unix_timestamp(F.lit(as_of)) - F.unix_timestamp("latest")
+    age = F.unix_timestamp(moment(as_of)) - F.unix_timestamp("latest")
     yield _row(
         events.agg(
             F.count_if(bought).alias("n"),

@@ -16,7 +16,7 @@ from omnimart.operators.checks import (
 )
 from omnimart.operators.keysets import quantity_mismatches
 from omnimart.plans.marts import CUT, RAISE
-from omnimart.functions.scalars import HALF_CENT
+from omnimart.functions.scalars import HALF_CENT, moment
 
 # Columns that may not be null, per table.
 NOT_NULL = {
@@ -191,7 +191,7 @@ def freshness(
     ages = parts[0]
     for part in parts[1:]:
         ages = ages.unionByName(part)
-    minutes = (F.unix_timestamp(F.lit(as_of)) - F.unix_timestamp("latest")) / 60.0
+    minutes = (F.unix_timestamp(moment(as_of)) - F.unix_timestamp("latest")) / 60.0
     status = (
         F.when(F.col("latest").isNull() | (minutes > error_minutes), "error")
         .when(minutes > warn_minutes, "warn")

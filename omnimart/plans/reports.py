@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from omnimart.functions.scalars import HALF_CENT, MONEY, ratio
+from omnimart.functions.scalars import HALF_CENT, MONEY, moment, ratio
 from omnimart.operators.cube import ALL, CHANNELS, period_start
 from omnimart.operators.quantiles import nearest_rank
 
@@ -41,7 +41,7 @@ class Selection:
         return period_start(self.as_of, self.period)
 
     def apply(self, df: DataFrame, time: str) -> DataFrame:
-        chosen = df.filter(F.col(time) >= F.lit(self.start))
+        chosen = df.filter(F.col(time) >= moment(self.start))
         return chosen if self.channel == ALL else chosen.filter(F.col("channel") == self.channel)
 
     def sales(self, sales: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from omnimart.functions.scalars import moment
 from omnimart.operators import files
 from omnimart.sources.schemas import EVENT_TIME, SOURCE_NAMES, file_of, schema_of
 
@@ -52,7 +53,7 @@ class LandingSource:
     def table(self, name: str, since: datetime | None = None) -> DataFrame:
         df = self._read(name).drop(BAD_RECORD)
         if since is not None and name in EVENT_TIME:
-            df = df.filter(F.col(EVENT_TIME[name]) >= F.lit(since))
+            df = df.filter(F.col(EVENT_TIME[name]) >= moment(since))
         return df
 
     def quarantine(self, name: str) -> DataFrame:
@@ -61,8 +62,8 @@ class LandingSource:
 
     def loaded(self, name: str) -> DataFrame:
         """The table with its ingestion time, one value for the whole load."""
-        moment = F.lit(self.loaded_at) if self.loaded_at else F.current_timestamp()
-        return self.table(name).withColumn(INGESTED_AT, moment.cast("timestamp"))
+        loaded = moment(self.loaded_at) if self.loaded_at else F.current_timestamp()
+        return self.table(name).withColumn(INGESTED_AT, loaded)
 
     def register_views(self, prefix: str = "raw_") -> list[str]:
         """One temporary view per source, after checking that all files are there."""

@@ -6,11 +6,11 @@ bound or a column list set downstream still reaches the Parquet scan.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from omnimart.functions.scalars import email_hash
+from omnimart.functions.scalars import email_hash, moment
 
 # Days by which the web events are moved back so that they end with the sales.
 WEB_EVENT_SHIFT_DAYS = 8122
@@ -38,7 +38,7 @@ class StarSource:
     def _lines(self, since: datetime | None) -> DataFrame:
         lines = self._read("lineitem")
         if since is not None:
-            lines = lines.filter(F.col("l_shipdate") >= F.lit(since).cast("timestamp_ntz"))
+            lines = lines.filter(F.col("l_shipdate") >= moment(since).cast("timestamp_ntz"))
         return lines.select(
             "l_orderkey",
             "l_linenumber",
@@ -134,7 +134,7 @@ class StarSource:
                 partition_key.alias("partition_key"),
             )
         )
-        return events if since is None else events.filter(F.col("event_at") >= F.lit(since))
+        return events if since is None else events.filter(F.col("event_at") >= moment(since))
 
     def web_events(self, since: datetime | None = None) -> DataFrame:
         return map_web_events(self._read("events"), since)
@@ -230,7 +230,7 @@ def map_web_events(events: DataFrame, since: datetime | None = None) -> DataFram
     """Web events from the events table; works on a batch and on a stream."""
     kind = F.col("event_type")
     if since is not None:
-        bound = F.lit(since).cast("timestamp_ntz") + F.make_dt_interval(F.lit(WEB_EVENT_SHIFT_DAYS))
+        bound = moment(since).cast("timestamp_ntz") + F.make_dt_interval(F.lit(WEB_EVENT_SHIFT_DAYS))
         events = events.filter(F.col("ts") >= bound)
     return events.select(
         F.concat(F.lit("W-"), "event_id").alias("event_id"),
@@ -257,7 +257,5 @@ def _every(column: str, n: int) -> Column:
     return F.when(F.col(column) % n == 0, 1).otherwise(0)
 
 
-def _minute_before(moment: datetime) -> datetime:
-    from datetime import timedelta
-
-    return moment - timedelta(minutes=1)
+def _minute_before(time: datetime) -> datetime:
+    return time - timedelta(minutes=1)

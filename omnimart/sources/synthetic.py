@@ -12,7 +12,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from omnimart.functions.scalars import email_hash
+from omnimart.functions.scalars import email_hash, moment
 from omnimart.sources.schemas import EVENT_TIME, SOURCE_NAMES, file_of, schema_of
 
 SPAN_DAYS = 29  # transactions are spread over this many days before the end
@@ -59,7 +59,7 @@ class SyntheticSource:
                 choice = choice.when(point < upto, F.lit(value))
         return choice
 
-    def _moment(self, purpose: str) -> Column:
+    def _time(self, purpose: str) -> Column:
         seconds = self._between(purpose, 0, SPAN_DAYS * 86400)
         start = int(self._start.replace(tzinfo=self._start.tzinfo or timezone.utc).timestamp())
         return F.timestamp_seconds(F.lit(start) + seconds)
@@ -69,7 +69,7 @@ class SyntheticSource:
     def table(self, name: str, since: datetime | None = None) -> DataFrame:
         df = getattr(self, f"_{name}")()
         if since is not None and name in EVENT_TIME:
-            df = df.filter(F.col(EVENT_TIME[name]) >= F.lit(since))
+            df = df.filter(F.col(EVENT_TIME[name]) >= moment(since))
         return df.select(schema_of(name).names)
 
     def _price(self, key: str = "id") -> Column:
@@ -164,7 +164,7 @@ class SyntheticSource:
                     "decimal(12,2)"
                 ),
             )
-            .withColumn("ordered_at", self._moment("order time"))
+            .withColumn("ordered_at", self._time("order time"))
         )
 
     def _orders(self) -> DataFrame:
@@ -219,7 +219,7 @@ class SyntheticSource:
             F.format_string("P%d", product).alias("product_id"),
             F.lit("web").alias("channel"),
             F.lit(0).alias("quantity"),
-            self._moment("web time").alias("event_at"),
+            self._time("web time").alias("event_at"),
             self._between("web latency", 90, 900).alias("latency_ms"),
             customer.alias("partition_key"),
         )
