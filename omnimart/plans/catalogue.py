@@ -73,20 +73,24 @@ class Model:
     def inventory(self) -> DataFrame:
         return staging.stg_inventory(self.source)
 
-    def sales(self, since: datetime | None = None) -> DataFrame:
-        return core.fct_sales(staging.stg_orders(self.source, since), self.bridge())
+    def sales(self, *wanted: str, since: datetime | None = None) -> DataFrame:
+        """Sales with at least the wanted columns, by default all."""
+        columns = {*wanted, "source_customer_id"} if wanted else None
+        return core.fct_sales(staging.stg_orders(self.source, since, columns), self.bridge())
 
-    def events(self, since: datetime | None = None) -> DataFrame:
-        return core.fct_retail_event(staging.stg_retail_events(self.source, since), self.bridge())
+    def events(self, *wanted: str, since: datetime | None = None) -> DataFrame:
+        columns = {*wanted, "source_customer_id"} if wanted else None
+        staged = staging.stg_retail_events(self.source, since, columns)
+        return core.fct_retail_event(staged, self.bridge())
 
-    def payments(self, since: datetime | None = None) -> DataFrame:
-        return core.fct_payments(staging.stg_payments(self.source, since))
+    def payments(self, *wanted: str, since: datetime | None = None) -> DataFrame:
+        return core.fct_payments(staging.stg_payments(self.source, since, wanted or None))
 
     def prices(self) -> DataFrame:
         return core.dim_product_price(staging.stg_price_history(self.source))
 
     def available(self) -> DataFrame:
-        return marts.available_to_promise(self.inventory(), self.sales())
+        return marts.available_to_promise(self.inventory(), self.sales("product_id", "quantity"))
 
     def warehouse(self) -> Warehouse:
         """Stored models, built once per session and folder."""
@@ -100,9 +104,9 @@ class Model:
     def selection(self, channel: str = "all", period: int = 30) -> reports.Selection:
         return reports.Selection(AS_OF, channel, period)
 
-    def selected(self, channel: str = "all", period: int = 30) -> DataFrame:
+    def selected(self, *wanted: str, channel: str = "all", period: int = 30) -> DataFrame:
         chosen = self.selection(channel, period)
-        return chosen.sales(self.sales(chosen.start))
+        return chosen.sales(self.sales(*wanted, "channel", since=chosen.start))
 
 
 # -- staging, identity, dimensions, facts ------------------------------------
@@ -165,7 +169,8 @@ def fct_retail_event(m: Model) -> DataFrame:
 
 @query
 def unresolved_sales(m: Model) -> DataFrame:
-    return core.unresolved(staging.stg_orders(m.source), m.bridge()).select(
+    orders = staging.stg_orders(m.source, wanted=("source_customer_id", "channel", "sales_amount"))
+    return core.unresolved(orders, m.bridge()).select(
         "order_id", "source_customer_id", "channel", "sales_amount"
     )
 
@@ -183,15 +188,20 @@ def atp_negative(m: Model) -> DataFrame:
     return m.available().filter("available_to_promise < 0")
 
 
+def _reconciliation(m: Model) -> DataFrame:
+    payments = m.payments("order_id", "amount", "status")
+    return marts.payment_reconciliation(m.sales("sales_amount"), payments)
+
+
 @query
 def payment_reconciliation(m: Model) -> DataFrame:
-    return marts.payment_reconciliation(m.sales(), m.payments())
+    return _reconciliation(m)
 
 
 @query
 def recon_status_counts(m: Model) -> DataFrame:
     return (
-        marts.payment_reconciliation(m.sales(), m.payments())
+        _reconciliation(m)
         .groupBy("reconciliation_status")
         .agg(F.count("*").alias("orders"), F.sum("amount_delta").cast("decimal(18,2)").alias("gap"))
     )
@@ -199,21 +209,26 @@ def recon_status_counts(m: Model) -> DataFrame:
 
 @query
 def rfm_segments(m: Model) -> DataFrame:
-    return marts.customer_rfm(m.sales(), m.customers())
+    return marts.customer_rfm(m.sales("channel", "sales_amount"), m.customers())
 
 
 @query
 def rfm_segment_counts(m: Model) -> DataFrame:
     return (
-        marts.customer_rfm(m.sales(), m.customers())
+        marts.customer_rfm(m.sales("channel", "sales_amount"), m.customers())
         .groupBy("rfm_segment")
         .agg(F.count("*").alias("customers"), F.sum("monetary").cast("decimal(18,2)").alias("spend"))
     )
 
 
+def _repricing(m: Model) -> DataFrame:
+    sales = m.sales("product_id", "sales_amount", "discount_rate")
+    return marts.repricing(m.products(), m.inventory(), sales)
+
+
 @query
 def repricing(m: Model) -> DataFrame:
-    return marts.repricing(m.products(), m.inventory(), m.sales())
+    return _repricing(m)
 
 
 @query
@@ -221,7 +236,7 @@ def repricing_guardrail(m: Model) -> DataFrame:
     """Recommendations outside minus five to plus three percent; none is expected."""
     low = F.round(F.col("current_price") * F.lit(marts.CUT), 2)
     high = F.round(F.col("current_price") * F.lit(marts.RAISE), 2)
-    return marts.repricing(m.products(), m.inventory(), m.sales()).filter(
+    return _repricing(m).filter(
         (F.col("recommended_price") < low) | (F.col("recommended_price") > high)
     )
 
@@ -229,7 +244,7 @@ def repricing_guardrail(m: Model) -> DataFrame:
 @query
 def repricing_actions(m: Model) -> DataFrame:
     return (
-        marts.repricing(m.products(), m.inventory(), m.sales())
+        _repricing(m)
         .groupBy("recommended_action")
         .agg(
             F.count("*").alias("products"),
@@ -251,50 +266,53 @@ def atp_ratio_to_max(m: Model) -> DataFrame:
 
 @query
 def kpi_block(m: Model) -> DataFrame:
-    return reports.kpi_block(m.selected())
+    return reports.kpi_block(m.selected("sales_amount"))
 
 
 @query
 def kpi_block_web_7(m: Model) -> DataFrame:
-    return reports.kpi_block(m.selected("web", 7))
+    return reports.kpi_block(m.selected("sales_amount", channel="web", period=7))
 
 
 @query
 def daily_series(m: Model) -> DataFrame:
-    return reports.daily_series(m.selected())
+    return reports.daily_series(m.selected("sales_amount"))
 
 
 @query
 def channel_mix(m: Model) -> DataFrame:
-    return reports.channel_mix(m.selected())
+    return reports.channel_mix(m.selected("sales_amount"))
 
 
 @query
 def top_categories(m: Model) -> DataFrame:
-    return reports.top_categories(m.selected(), m.products())
+    return reports.top_categories(m.selected("product_id", "sales_amount"), m.products())
 
 
 @query
 def inventory_demand(m: Model) -> DataFrame:
     return reports.by_risk(
-        reports.inventory_demand(m.available(), m.products(), m.selected("store"))
+        reports.inventory_demand(
+            m.available(), m.products(), m.selected("product_id", "quantity", channel="store")
+        )
     )
 
 
 @query
 def customer_360(m: Model) -> DataFrame:
-    return reports.customer_360(m.selected(), m.customers())
+    return reports.customer_360(m.selected("sales_amount"), m.customers())
 
 
 @query
 def segment_distribution(m: Model) -> DataFrame:
-    return reports.segment_distribution(reports.customer_360(m.selected(), m.customers()))
+    return reports.segment_distribution(reports.customer_360(m.selected("sales_amount"), m.customers()))
 
 
 @query
 def latency_p95(m: Model) -> DataFrame:
     chosen = m.selection("web")
-    return reports.event_metrics(chosen.events(m.events(chosen.start)))
+    events = m.events("channel", "latency_ms", since=chosen.start)
+    return reports.event_metrics(chosen.events(events))
 
 
 @query
@@ -310,28 +328,37 @@ def latency_p95_by_type(m: Model) -> DataFrame:
 
 @query
 def selected_reconciliation(m: Model) -> DataFrame:
-    return reports.selected_reconciliation(m.selected(), m.events(), m.payments())
+    return reports.selected_reconciliation(
+        m.selected("sales_amount"),
+        m.events("event_type", "order_id", "quantity"),
+        m.payments("order_id", "amount", "status"),
+    )
+
+
+def _stock(m: Model) -> DataFrame:
+    demand = m.selected("product_id", "quantity")
+    return reports.inventory_demand(m.available(), m.products(), demand)
 
 
 @query
 def stock_summary(m: Model) -> DataFrame:
-    stock = reports.inventory_demand(m.available(), m.products(), m.selected())
+    stock = _stock(m)
     return reports.stock_summary(stock, 30)
 
 
 @query
 def kpi_cube(m: Model) -> DataFrame:
     since = cube.period_start(AS_OF, max(cube.PERIODS))
-    return cube.sales_cube(m.sales(since), AS_OF)
+    return cube.sales_cube(m.sales("channel", "sales_amount", since=since), AS_OF)
 
 
 @query
 def daily_pivot(m: Model) -> DataFrame:
-    return reports.daily_pivot(m.selected())
+    return reports.daily_pivot(m.selected("sales_amount"))
 
 
 def _filled(m: Model) -> DataFrame:
-    series = flash.channel_series(m.selected())
+    series = flash.channel_series(m.selected("sales_amount"))
     return flash.filled_series(series, BOUNDS)
 
 
@@ -358,9 +385,16 @@ def sparkline_extremes(m: Model) -> DataFrame:
 
 @query
 def kpi_record(m: Model) -> DataFrame:
-    return reports.kpi_record(m.sales(), m.products(), m.events(), m.available()).drop(
-        "quality_score"
+    # Sales feed the totals and the stock, so their few columns are stored once.
+    sales = pin(
+        m.sales("product_id", "sales_amount").select(
+            "customer_id", "product_id", "quantity", "sales_amount"
+        ),
+        "sales",
     )
+    available = marts.available_to_promise(m.inventory(), sales)
+    events = m.events("latency_ms")
+    return reports.kpi_record(sales, m.products(), events, available).drop("quality_score")
 
 
 # -- comparisons -------------------------------------------------------------
@@ -368,9 +402,9 @@ def kpi_record(m: Model) -> DataFrame:
 
 @query
 def batch_stream_full_outer(m: Model) -> DataFrame:
-    stream = m.events().filter("event_type = 'purchase'")
+    stream = m.events("event_type", "order_id", "quantity").filter("event_type = 'purchase'")
     # Quantities may be null here; doubles keep that portable between result readers.
-    return keysets.quantity_mismatches(m.sales(), stream).withColumns(
+    return keysets.quantity_mismatches(m.sales("quantity"), stream).withColumns(
         {c: F.col(c).cast("double") for c in ("batch_quantity", "stream_quantity")}
     )
 
@@ -378,13 +412,13 @@ def batch_stream_full_outer(m: Model) -> DataFrame:
 @query
 def key_set_difference(m: Model) -> DataFrame:
     return keysets.key_differences(
-        staging.stg_orders(m.source), "order_id", m.payments(), "order_id"
+        staging.stg_orders(m.source, wanted=()), "order_id", m.payments("order_id"), "order_id"
     )
 
 
 @query
 def text_search_products(m: Model) -> DataFrame:
-    stock = reports.inventory_demand(m.available(), m.products(), m.selected())
+    stock = _stock(m)
     columns = ["product_name", "category", "product_id", "risk_label"]
     return keysets.search_rows(
         reports.with_risk_label(stock).select(*columns), columns, " Sous le SEUIL "
@@ -395,7 +429,7 @@ def text_search_products(m: Model) -> DataFrame:
 def text_search_customers(m: Model) -> DataFrame:
     columns = ["customer_id", "segment", "country", "channels"]
     return keysets.search_rows(
-        reports.customer_360(m.selected(), m.customers()).select(*columns), columns, "store,WEB"
+        reports.customer_360(m.selected("sales_amount"), m.customers()).select(*columns), columns, "store,WEB"
     )
 
 
@@ -590,7 +624,7 @@ EXPORT_COLUMNS = (
 def csv_export(m: Model) -> DataFrame:
     """Lines of the stock export, without its header."""
     path = _scratch(m, "export")
-    stock = reports.inventory_demand(m.available(), m.products(), m.selected())
+    stock = _stock(m)
     tables.write_csv(reports.by_risk(stock), path, EXPORT_COLUMNS)
     lines = m.source.spark.read.text(path).withColumnRenamed("value", "line")
     return lines.filter(~F.col("line").startswith('"product_id"'))
@@ -601,7 +635,7 @@ def stored_cube(m: Model) -> DataFrame:
     """One cell row read back from the stored cube; only its folder is scanned."""
     path = _scratch(m, "cube")
     since = cube.period_start(AS_OF, max(cube.PERIODS))
-    tables.write_cube(cube.sales_cube(m.sales(since), AS_OF), path)
+    tables.write_cube(cube.sales_cube(m.sales("channel", "sales_amount", since=since), AS_OF), path)
     return m.source.spark.read.parquet(path).filter("channel = 'store' and period = 14")
 
 

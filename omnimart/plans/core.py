@@ -34,8 +34,14 @@ def _resolve(facts: DataFrame, bridge: DataFrame) -> DataFrame:
     return facts.join(bridge.select("source_customer_id", "customer_id"), "source_customer_id")
 
 
+def _columns(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns, as far as the staged rows carry them."""
+    return df.select([c for c in names if c in df.columns])
+
+
 def fct_sales(orders: DataFrame, bridge: DataFrame) -> DataFrame:
-    return _resolve(orders, bridge).select(
+    return _columns(
+        _resolve(orders, bridge),
         "order_id",
         "customer_id",
         "source_customer_id",
@@ -51,7 +57,8 @@ def fct_sales(orders: DataFrame, bridge: DataFrame) -> DataFrame:
 
 
 def fct_retail_event(events: DataFrame, bridge: DataFrame) -> DataFrame:
-    return _resolve(events, bridge).select(
+    return _columns(
+        _resolve(events, bridge),
         "event_id",
         "event_type",
         "order_id",

@@ -7,13 +7,14 @@ so the source applies it first and the scan skips older data.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import datetime
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from omnimart.functions.scalars import blank_to_null, line_amount
-from omnimart.operators.dedup import keep_latest, keep_lowest
+from omnimart.operators.dedup import keep_latest_part, keep_lowest
 
 
 class Source(Protocol):
@@ -46,8 +47,45 @@ def typed_orders(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_orders(source: Source, since: datetime | None = None) -> DataFrame:
-    latest = keep_latest(typed_orders(source.table("orders", since)), "order_id", "ordered_at")
+# Tie-breaking order of the rows of one key; often used columns come first.
+ORDER_PRECEDENCE = (
+    "product_id",
+    "quantity",
+    "unit_price",
+    "source_customer_id",
+    "channel",
+    "discount_rate",
+    "store_id",
+    "payment_status",
+)
+PAYMENT_PRECEDENCE = ("order_id", "amount", "status", "payment_method", "currency")
+EVENT_PRECEDENCE = (
+    "source_customer_id",
+    "event_type",
+    "order_id",
+    "quantity",
+    "channel",
+    "latency_ms",
+    "product_id",
+    "partition_key",
+)
+
+
+def stg_orders(
+    source: Source, since: datetime | None = None, wanted: Collection[str] | None = None
+) -> DataFrame:
+    """Latest row per order; ``wanted`` names the columns a caller uses, by default all."""
+    if wanted is not None and "sales_amount" in wanted:
+        wanted = {*wanted, "quantity", "unit_price"}
+    latest = keep_latest_part(
+        typed_orders(source.table("orders", since)),
+        "order_id",
+        "ordered_at",
+        ORDER_PRECEDENCE,
+        wanted,
+    )
+    if wanted is not None and "sales_amount" not in wanted:
+        return latest
     return latest.withColumn("sales_amount", line_amount("quantity", "unit_price"))
 
 
@@ -68,9 +106,15 @@ def typed_payments(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_payments(source: Source, since: datetime | None = None) -> DataFrame:
-    return keep_latest(
-        typed_payments(source.table("payments", since)), "transaction_id", "paid_at"
+def stg_payments(
+    source: Source, since: datetime | None = None, wanted: Collection[str] | None = None
+) -> DataFrame:
+    return keep_latest_part(
+        typed_payments(source.table("payments", since)),
+        "transaction_id",
+        "paid_at",
+        PAYMENT_PRECEDENCE,
+        wanted,
     )
 
 
@@ -92,8 +136,16 @@ def typed_events(raw: DataFrame) -> DataFrame:
     return _project(raw, event_columns())
 
 
-def stg_retail_events(source: Source, since: datetime | None = None) -> DataFrame:
-    return keep_latest(typed_events(source.table("retail_events", since)), "event_id", "event_at")
+def stg_retail_events(
+    source: Source, since: datetime | None = None, wanted: Collection[str] | None = None
+) -> DataFrame:
+    return keep_latest_part(
+        typed_events(source.table("retail_events", since)),
+        "event_id",
+        "event_at",
+        EVENT_PRECEDENCE,
+        wanted,
+    )
 
 
 def typed_identities(raw: DataFrame) -> DataFrame:

@@ -26,15 +26,21 @@ def payload_fields(json: Column) -> Column:
 
     A field given twice keeps its last value.
     """
-    fields = F.from_json(json, "map<string,variant>")
-    keys = F.map_keys(fields)
-    last = F.filter(
-        F.map_entries(fields),
-        lambda entry, i: ~F.array_contains(
-            F.slice(keys, i + 2, F.greatest(F.size(keys) - i - 1, F.lit(0))), entry["key"]
-        ),
-    )
-    return F.map_from_entries(last)
+
+    def distinct(fields: Column) -> Column:
+        keys = F.map_keys(fields)
+        last = F.filter(
+            F.map_entries(fields),
+            lambda entry, i: ~F.array_contains(
+                F.slice(keys, i + 2, F.greatest(F.size(keys) - i - 1, F.lit(0))), entry["key"]
+            ),
+        )
+        repeated = F.size(F.array_distinct(keys)) < F.size(keys)
+        return F.when(repeated, F.map_from_entries(last)).otherwise(fields)
+
+    # The one-element array names the parsed map, so the text is parsed once.
+    parsed = F.array(F.from_json(json, "map<string,variant>"))
+    return F.transform(parsed, distinct)[0]
 
 
 def is_valid(fields: Column) -> Column:

@@ -41,8 +41,8 @@ BLOCKS: dict[str, str] = {
     "stg_orders": """
         SELECT * FROM typed_orders
         QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY ordered_at DESC,
-            source_customer_id DESC, product_id DESC, channel DESC, store_id DESC,
-            quantity DESC, unit_price DESC, discount_rate DESC) = 1""",
+            product_id DESC, quantity DESC, unit_price DESC, source_customer_id DESC,
+            channel DESC, discount_rate DESC, store_id DESC) = 1""",
     "raw_payments": """
         SELECT 'T-' || l_orderkey || '-' || l_linenumber AS transaction_id,
                l_orderkey || '-' || l_linenumber AS order_id,
@@ -89,8 +89,8 @@ BLOCKS: dict[str, str] = {
                latency_ms, partition_key
         FROM raw_events
         QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY event_at DESC,
-            lower(event_type) DESC, order_id DESC, source_customer_id DESC, product_id DESC,
-            lower(channel) DESC, quantity DESC, latency_ms DESC, partition_key DESC) = 1""",
+            source_customer_id DESC, lower(event_type) DESC, order_id DESC, quantity DESC,
+            lower(channel) DESC, latency_ms DESC, product_id DESC, partition_key DESC) = 1""",
     "stg_customers": """
         SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
                substr(sha256(lower(c_name)), 1, 16) AS email_hash,
