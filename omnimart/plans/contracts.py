@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from omnimart.functions.scalars import HALF_CENT, is_email_hash, line_amount, moment
 from omnimart.operators.dedup import keep_latest
-from omnimart.operators.keysets import key_differences, missing_keys
 
 # Contract names.
 CONTRACTS = (
@@ -89,15 +88,12 @@ def _amounts(raw: Mapping[str, DataFrame], as_of: datetime) -> Iterator[DataFram
     prices, products = raw["price_history"], raw["products"]
     purchases = events.filter("event_type = 'purchase'")
 
-    yield _repeats(orders, "order_id", 1)
     yield _repeats(events, "event_id", 2)
     yield _repeats(payments, "transaction_id", 3)
-    yield _repeats(identities, "source_customer_id", 4)
-    yield _orphans(orders, "product_id", products, 5)
-    yield _orphans(orders, "source_customer_id", identities, 6)
-    yield _orphans(events, "source_customer_id", identities, 7)
-    yield _orphans(identities, "email_hash", customers, 8)
-    yield _orphans(payments, "order_id", orders, 9)
+    yield _orders_ledger(orders, payments, purchases)
+    yield _identity_ledger(identities, orders, events)
+    yield _orphans("product_id", products, orders, 5)
+    yield _orphans("email_hash", customers, identities, 8)
 
     amount = line_amount("quantity", "unit_price")
     rate = F.col("discount_rate")
@@ -130,14 +126,6 @@ def _amounts(raw: Mapping[str, DataFrame], as_of: datetime) -> Iterator[DataFram
         # No event at all counts as stale.
         c24=F.when(age < 24 * 3600, 0).otherwise(1),
     )
-    yield _row(
-        key_differences(purchases, "order_id", orders, "order_id").agg(F.count("*").alias("n")),
-        c15=F.col("n"),
-    )
-    yield _row(
-        key_differences(payments, "order_id", orders, "order_id").agg(F.count("*").alias("n")),
-        c17=F.col("n"),
-    )
     yield _row(
         payments.agg(F.count_if(_not(F.col("status") == "settled")).alias("n")), c18=F.col("n")
     )
@@ -170,11 +158,65 @@ def _repeats(df: DataFrame, key: str, contract: int) -> DataFrame:
     return _row(extra.agg(F.sum("extra").alias("n")), **{f"c{contract}": F.col("n")})
 
 
-def _orphans(child: DataFrame, key: str, parent: DataFrame, contract: int) -> DataFrame:
-    found = missing_keys(child, key, parent, key)
-    nulls = child.filter(F.col(key).isNull()).select(F.lit(1).alias("row_count"))
-    rows = found.select("row_count").unionByName(nulls)
-    return _row(rows.agg(F.sum("row_count").alias("n")), **{f"c{contract}": F.col("n")})
+def _ledger(key: str, **sides: DataFrame) -> DataFrame:
+    """Rows of each side per key, by one grouping that first adds up in every task."""
+    entries = [
+        df.select(key, *[F.lit(int(other == side)).alias(other) for other in sides])
+        for side, df in sides.items()
+    ]
+    sums = [F.sum(side).alias(side) for side in sides]
+    return reduce(DataFrame.unionByName, entries).groupBy(key).agg(*sums)
+
+
+def _rows_without(side: str, parent: str) -> Column:
+    """Rows of ``side`` whose key the parent lacks; a null key has no parent."""
+    return F.sum(F.when(F.col(parent) == 0, F.col(side)))
+
+
+def _extra(side: str) -> Column:
+    return F.sum(F.greatest(F.col(side) - 1, F.lit(0)))
+
+
+def _one_sided(a: str, b: str) -> Column:
+    return F.count_if((F.col(a) > 0) != (F.col(b) > 0))
+
+
+def _orders_ledger(orders: DataFrame, payments: DataFrame, purchases: DataFrame) -> DataFrame:
+    ledger = _ledger("order_id", orders=orders, payments=payments, purchases=purchases)
+    return _row(
+        ledger.agg(
+            _extra("orders").alias("repeated"),
+            _rows_without("payments", "orders").alias("unknown"),
+            _one_sided("purchases", "orders").alias("streamed"),
+            _one_sided("payments", "orders").alias("settled"),
+        ),
+        c1=F.col("repeated"),
+        c9=F.col("unknown"),
+        c15=F.col("streamed"),
+        c17=F.col("settled"),
+    )
+
+
+def _identity_ledger(identities: DataFrame, orders: DataFrame, events: DataFrame) -> DataFrame:
+    known = identities.filter(F.col("source_customer_id").isNotNull())
+    ledger = _ledger("source_customer_id", identities=known, orders=orders, events=events)
+    return _row(
+        ledger.agg(
+            _extra("identities").alias("repeated"),
+            _rows_without("orders", "identities").alias("orders"),
+            _rows_without("events", "identities").alias("events"),
+        ),
+        c4=F.col("repeated"),
+        c6=F.col("orders"),
+        c7=F.col("events"),
+    )
+
+
+def _orphans(key: str, parent: DataFrame, child: DataFrame, contract: int) -> DataFrame:
+    ledger = _ledger(key, parent=parent.filter(F.col(key).isNotNull()), child=child)
+    return _row(
+        ledger.agg(_rows_without("child", "parent").alias("n")), **{f"c{contract}": F.col("n")}
+    )
 
 
 def _amount_gaps(orders: DataFrame, payments: DataFrame) -> DataFrame:
