@@ -7,6 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 
+def join_unique(
+    facts: DataFrame, dimension: DataFrame, key: str, how: str = "inner"
+) -> DataFrame:
+    """Join facts, which may repeat a text key heavily, to a table that has it once.
+
+    AQE splits the hot partition of the facts, but only when both inputs are
+    shuffled for this join. A dimension that already is partitioned by the key
+    would not be; rewriting the key makes Spark shuffle it, the smaller side, again.
+    """
+    fresh = dimension.withColumn(key, F.concat(F.col(key), F.lit("")))
+    return facts.join(fresh, key, how)
+
+
 def left_join_many(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left outer join where any key may repeat heavily on the right.
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from omnimart.operators.keysets import join_unique
+
 
 def identity_bridge(identities: DataFrame, customers: DataFrame) -> DataFrame:
     """Source customer ids with the customer their e-mail hash resolves to."""
@@ -29,9 +31,9 @@ def dim_product_price(price_history: DataFrame) -> DataFrame:
 
 
 def _resolve(facts: DataFrame, bridge: DataFrame) -> DataFrame:
-    # The bridge has one row per source id, so a much-used id is a hot key on the
-    # fact side only; AQE splits such a partition of an inner join.
-    return facts.join(bridge.select("source_customer_id", "customer_id"), "source_customer_id")
+    # The bridge has one row per source id, so only the facts can have a hot key.
+    links = bridge.select("source_customer_id", "customer_id")
+    return join_unique(facts, links, "source_customer_id")
 
 
 def _columns(df: DataFrame, *names: str) -> DataFrame:
@@ -79,7 +81,9 @@ def fct_payments(payments: DataFrame) -> DataFrame:
 
 def unresolved(facts: DataFrame, bridge: DataFrame) -> DataFrame:
     """Rows the inner joins above leave out: their source id has no customer."""
-    return facts.join(bridge.select("source_customer_id"), "source_customer_id", "left_anti")
+    return join_unique(
+        facts, bridge.select("source_customer_id"), "source_customer_id", "left_anti"
+    )
 
 
 def stamp(df: DataFrame) -> DataFrame:

@@ -294,7 +294,7 @@ class DailyRun:
                     "reports/platform_reconciliation.json",
                 ],
                 "reconciliation": reconciled,
-                "phases": self.phases,
+                "phases": list(self.phases),
             },
         )
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from omnimart.functions.scalars import moment
 from omnimart.operators import files
+from omnimart.session import pin
 from omnimart.sources.schemas import EVENT_TIME, SOURCE_NAMES, file_of, schema_of
 
 BAD_RECORD = "_bad_record"
@@ -57,8 +58,8 @@ class LandingSource:
         return df
 
     def quarantine(self, name: str) -> DataFrame:
-        """Lines that did not fit the schema."""
-        return self._read(name).filter(F.col(BAD_RECORD).isNotNull())
+        """Lines that did not fit the schema, stored because they are only known once parsed."""
+        return pin(self._read(name).filter(F.col(BAD_RECORD).isNotNull()), f"bad-{name}")
 
     def loaded(self, name: str) -> DataFrame:
         """The table with its ingestion time, one value for the whole load."""
