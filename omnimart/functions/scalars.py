@@ -81,7 +81,3 @@ def signed_percent_text(value: Column) -> Column:
     return F.coalesce(
         F.concat(sign, digits, F.lit(f"{NARROW_SPACE}%")), F.lit(NOT_AVAILABLE)
     )
-
-
-def clamp(c: Column, low: Column, high: Column) -> Column:
-    return F.least(F.greatest(c, low), high)

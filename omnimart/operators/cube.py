@@ -49,6 +49,67 @@ def grid(df: DataFrame, channels: Sequence[str], periods: Sequence[int]) -> Data
     return df.sparkSession.createDataFrame(rows, "channel string, period int")
 
 
+def reconciliation_cube(
+    sales: DataFrame,
+    events: DataFrame,
+    payments: DataFrame,
+    as_of: datetime,
+    channels: Sequence[str] = CHANNELS,
+    periods: Sequence[int] = PERIODS,
+) -> DataFrame:
+    """Batch, stream and payment totals of the sales in every cell, with their deltas.
+
+    Events and payments take channel and period from their order. All three
+    are summed per channel and shortest period before they are repeated.
+    """
+    start = period_start(as_of, max(periods))
+    chosen = sales.filter(F.col("ordered_at") >= moment(start)).select(
+        "order_id",
+        "channel",
+        smallest_period(F.col("ordered_at"), as_of, periods).alias("period"),
+        "quantity",
+        "sales_amount",
+    )
+    cell_of = chosen.select("order_id", "channel", "period")
+
+    def totals(df: DataFrame, **sums: str) -> DataFrame:
+        kinds = {"batch_units": "bigint", "stream_units": "bigint"}
+        names = ("batch_units", "stream_units", "sales_amount", "payment_amount")
+        return df.groupBy("channel", "period").agg(
+            *[
+                (F.sum(sums[n]) if n in sums else F.lit(0))
+                .cast(kinds.get(n, "decimal(38,2)"))
+                .alias(n)
+                for n in names
+            ]
+        )
+
+    purchases = events.filter("event_type = 'purchase'").select("order_id", "quantity")
+    settled = payments.filter("status = 'settled'").select("order_id", "amount")
+    parts = (
+        totals(chosen, batch_units="quantity", sales_amount="sales_amount")
+        .unionByName(totals(purchases.join(cell_of, "order_id"), stream_units="quantity"))
+        .unionByName(totals(settled.join(cell_of, "order_id"), payment_amount="amount"))
+    )
+    measures = ("batch_units", "stream_units", "sales_amount", "payment_amount")
+    cells = (
+        spread(parts, "channel", "period", periods)
+        .groupBy("channel", "period")
+        .agg(*[F.sum(m).alias(m) for m in measures])
+    )
+    filled = grid(sales, channels, periods).join(cells, ["channel", "period"], "left")
+    return filled.select(
+        "channel",
+        "period",
+        *[F.coalesce(m, F.lit(0)).cast("bigint").alias(m) for m in measures[:2]],
+        *[F.coalesce(m, F.lit(0)).cast("decimal(18,2)").alias(m) for m in measures[2:]],
+    ).select(
+        "*",
+        (F.col("batch_units") - F.col("stream_units")).alias("unit_delta"),
+        (F.col("sales_amount") - F.col("payment_amount")).cast("decimal(18,2)").alias("amount_delta"),
+    )
+
+
 def sales_cube(
     sales: DataFrame,
     as_of: datetime,

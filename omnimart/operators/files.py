@@ -25,15 +25,26 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(jvm_path))
 
 
-def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create or replace a file."""
     jvm_path, fs = _path(spark, path)
-    stream = fs.create(jvm_path, overwrite)
+    stream = fs.create(jvm_path, True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
 
 
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a file that appears only when complete and never replaces another."""
+    folder, name = path.rsplit("/", 1)
+    draft = f"{folder}/.{name}.draft"
+    write_text(spark, draft, text)
+    target, fs = _path(spark, path)
+    if fs.exists(target) or not fs.rename(_path(spark, draft)[0], target):
+        raise FileExistsError(path)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 

@@ -40,7 +40,7 @@ class KeyedTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
-        self.partition = partition
+        self.partition = F.coalesce(partition, F.lit("none"))
 
     # -- reading -----------------------------------------------------------
 
@@ -106,11 +106,10 @@ class KeyedTable:
         parts = {p: v for p, v in manifest["parts"].items() if p not in set(touched)}
         parts.update({p: version for p in written})
         schema = T.StructType([f for f in rows.schema if f.name != PART])
-        files.write_text(
+        files.publish_text(
             self.spark,
             f"{self.path}/manifest/{version:010d}.json",
             json.dumps({"version": version, "parts": parts, "schema": schema.jsonValue()}),
-            overwrite=False,
         )
 
     def overwrite(self, rows: DataFrame) -> None:
@@ -203,8 +202,3 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
 def write_cube(cube: DataFrame, path: str) -> None:
     """Cube cells in folders by channel and period, so a report reads one of them."""
     cube.write.mode("overwrite").partitionBy("channel", "period").parquet(path)
-
-
-def write_by_time(df: DataFrame, path: str, time: str) -> None:
-    """Files in time order, so a period filter skips most of them."""
-    df.repartitionByRange(time).sortWithinPartitions(time).write.mode("overwrite").parquet(path)

@@ -352,6 +352,17 @@ def kpi_cube(m: Model) -> DataFrame:
     return cube.sales_cube(m.sales("channel", "sales_amount", since=since), AS_OF)
 
 
+@query
+def cube_reconciliation(m: Model) -> DataFrame:
+    since = cube.period_start(AS_OF, max(cube.PERIODS))
+    return cube.reconciliation_cube(
+        m.sales("channel", "sales_amount", since=since),
+        m.events("event_type", "order_id", "quantity"),
+        m.payments("order_id", "amount", "status"),
+        AS_OF,
+    )
+
+
 @query
 def daily_pivot(m: Model) -> DataFrame:
     return reports.daily_pivot(m.selected("sales_amount"))

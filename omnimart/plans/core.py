@@ -86,6 +86,13 @@ def unresolved(facts: DataFrame, bridge: DataFrame) -> DataFrame:
     )
 
 
+def require_resolved(facts: DataFrame, bridge: DataFrame) -> None:
+    """Strict form of the fact joins: raise when a row would be left out."""
+    lost = unresolved(facts, bridge).limit(5).collect()
+    if lost:
+        raise LookupError(f"no customer for {[row['source_customer_id'] for row in lost]}")
+
+
 def stamp(df: DataFrame) -> DataFrame:
     """Load time of the row; kept out of comparisons."""
     return df.withColumn("transformed_at", F.current_timestamp())

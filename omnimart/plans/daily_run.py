@@ -35,6 +35,9 @@ PASS, FAIL, SKIPPED, NOT_RUN = "PASS", "FAIL", "SKIPPED", "NOT_RUN"
 PUBLISHED = "PUBLISHED"
 DUE = "08:00 Europe/Paris"
 
+# Incremental facts: key and event time.
+FACTS = {"fct_sales": ("order_id", "ordered_at"), "fct_retail_event": ("event_id", "event_at")}
+
 STOCK_COLUMNS = ("store_stock", "warehouse_stock", "reserved", "incoming", "safety_stock")
 
 
@@ -183,14 +186,10 @@ class DailyRun:
         )
         sales = tables["fct_sales"] = self.load_fact(
             "fct_sales",
-            "order_id",
-            "ordered_at",
             lambda since: core.fct_sales(staging.stg_orders(src, since), bridge),
         )
         events = tables["fct_retail_event"] = self.load_fact(
             "fct_retail_event",
-            "event_id",
-            "event_at",
             lambda since: core.fct_retail_event(staging.stg_retail_events(src, since), bridge),
         )
         payments = tables["fct_payments"] = self.refresh(
@@ -241,13 +240,15 @@ class DailyRun:
             "failed": overall["failed"],
         }
 
-    def load_fact(
-        self, name: str, key: str, time: str, build: Callable[[datetime | None], DataFrame]
-    ) -> DataFrame:
+    def fact(self, name: str) -> KeyedTable:
+        """Stored fact, in folders by day."""
+        key, time = FACTS[name]
+        day = F.date_format(time, "yyyy-MM-dd")
+        return KeyedTable(self.spark, self.path("tables", name), key, day)
+
+    def load_fact(self, name: str, build: Callable[[datetime | None], DataFrame]) -> DataFrame:
         """Merge rows newer than the stored maximum, or rebuild on a full refresh."""
-        table = KeyedTable(
-            self.spark, self.path("tables", name), key, F.date_format(time, "yyyy-MM-dd")
-        )
+        table, (_, time) = self.fact(name), FACTS[name]
         if self.full_refresh:
             table.overwrite(core.stamp(build(None)))
         else:

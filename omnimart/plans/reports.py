@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from omnimart.functions.scalars import HALF_CENT, MONEY, moment, ratio
 from omnimart.operators.cube import ALL, CHANNELS, period_start
 from omnimart.operators.quantiles import nearest_rank
+from omnimart.session import pin
 
 SHORTEST, LONGEST = 7, 30
 
@@ -281,6 +282,31 @@ def extremes(series: DataFrame, label: str) -> DataFrame:
     )
 
 
+def dashboard(
+    chosen: Selection,
+    sales: DataFrame,
+    events: DataFrame,
+    payments: DataFrame,
+    products: DataFrame,
+    customers: DataFrame,
+    available: DataFrame,
+) -> dict[str, DataFrame]:
+    """All blocks of one selection. The selected sales are stored once and shared."""
+    selected = pin(chosen.sales(sales), "selected-sales")
+    stock = inventory_demand(available, products, selected)
+    return {
+        "kpis": kpi_block(selected),
+        "series": daily_series(selected),
+        "channel_mix": channel_mix(selected),
+        "categories": top_categories(selected, products),
+        "inventory": by_risk(stock),
+        "stock": stock_summary(stock, chosen.period),
+        "customers": customer_360(selected, customers),
+        "events": event_metrics(chosen.events(events)),
+        "reconciliation": selected_reconciliation(selected, events, payments),
+    }
+
+
 def kpi_record(
     sales: DataFrame,
     products: DataFrame,

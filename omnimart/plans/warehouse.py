@@ -64,6 +64,12 @@ class Warehouse(Mapping[str, DataFrame]):
             self._built[name] = df if name in VIEWS else pin(df, name)
         return self._built[name]
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """One temporary view per model, for SQL users."""
+        for name in MODELS:
+            self[name].createOrReplaceTempView(prefix + name)
+        return [prefix + name for name in MODELS]
+
     def _build(self, name: str) -> DataFrame:
         if name.startswith("stg_"):
             return getattr(staging, name)(self.source)

@@ -463,6 +463,24 @@ FINALS: dict[str, str] = {
         LEFT JOIN sales s ON (g.channel = 'all' OR s.channel = g.channel)
              AND s.ordered_at >= TIMESTAMP '{AS_OF}' - g.period * INTERVAL 1 DAY
         GROUP BY 1, 2""",
+    "cube_reconciliation": f"""
+        SELECT channel, period, batch_units, stream_units,
+               CAST(sold AS DOUBLE) AS sales_amount, CAST(paid AS DOUBLE) AS payment_amount,
+               batch_units - stream_units AS unit_delta, CAST(sold - paid AS DOUBLE) AS amount_delta
+        FROM (SELECT g.channel, CAST(g.period AS BIGINT) AS period,
+                     CAST(coalesce(sum(s.quantity), 0) AS BIGINT) AS batch_units,
+                     CAST(coalesce(sum(e.units), 0) AS BIGINT) AS stream_units,
+                     coalesce(sum(s.sales_amount), 0) AS sold, coalesce(sum(p.paid), 0) AS paid
+              FROM (SELECT channel, period
+                    FROM (VALUES ('web'), ('store'), ('marketplace'), ('all')) c(channel),
+                         (VALUES (7), (14), (30)) p(period)) g
+              LEFT JOIN sales s ON (g.channel = 'all' OR s.channel = g.channel)
+                   AND s.ordered_at >= TIMESTAMP '{AS_OF}' - g.period * INTERVAL 1 DAY
+              LEFT JOIN (SELECT order_id, sum(quantity) AS units FROM fct_events
+                         WHERE event_type = 'purchase' GROUP BY 1) e ON e.order_id = s.order_id
+              LEFT JOIN (SELECT order_id, sum(amount) AS paid FROM stg_payments
+                         WHERE status = 'settled' GROUP BY 1) p ON p.order_id = s.order_id
+              GROUP BY 1, 2)""",
     "daily_pivot": f"""
         SELECT strftime(CAST(ordered_at AS DATE), '%Y-%m-%d') AS day,
                {', '.join(

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from omnimart.operators import files
+from omnimart.operators.cube import reconciliation_cube
+from omnimart.plans import reports
 from omnimart.plans.daily_run import DailyRun, GateClosed, run_evidence
 from omnimart.sources.landing import LandingSource
 from omnimart.sources.synthetic import SyntheticSource
@@ -84,6 +86,27 @@ class Changed:
         return self.change(df) if name == self.name else df
 
 
+def test_dashboards_agree_for_every_selection(published, spark):
+    """Blocks of a selection add up, stock ignores the selection, and batch equals stream."""
+    run = DailyRun(spark, published["source"], published["root"], END)
+    sales, events = run.fact("fct_sales").read(), run.fact("fct_retail_event").read()
+    shared = [run.stored(t) for t in ("fct_payments", "dim_product", "dim_customer", "available_to_promise")]
+    stock = set()
+    for channel, period in (("all", 30), ("web", 7)):
+        blocks = reports.dashboard(reports.Selection(END, channel, period), sales, events, *shared)
+        kpi = blocks["kpis"].first()
+        assert blocks["series"].agg(F.sum("revenue")).first()[0] == kpi["revenue"]
+        assert blocks["channel_mix"].agg(F.sum("orders")).first()[0] == kpi["orders"]
+        assert blocks["inventory"].agg(F.sum("selected_units_sold")).first()[0] == kpi["units"]
+        agreed = blocks["reconciliation"].first()
+        assert (agreed["unit_delta"], agreed["amount_delta"], agreed["status"]) == (0, 0, "PASS")
+        stock.add(blocks["stock"].first()["total_atp"])
+        assert blocks["customers"].count() == 20
+    assert len(stock) == 1
+    cells = reconciliation_cube(sales, events, shared[0], END).collect()
+    assert len(cells) == 12 and all(c["unit_delta"] == 0 == c["amount_delta"] for c in cells)
+
+
 def test_failed_contract_closes_the_gate(published, spark, tmp_path):
     source = Changed(
         published["source"], "payments", lambda d: d.withColumn("status", F.lit("pending"))

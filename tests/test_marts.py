@@ -79,6 +79,14 @@ def test_identity_is_resolved_by_hash_and_the_rest_is_reported(spark, rows):
     assert [r["resolved_identity_count"] for r in counts] == [2, 0]
 
 
+def test_strict_resolution_names_the_unknown_ids(spark):
+    bridge = spark.createDataFrame([("A", "C1")], "source_customer_id string, customer_id string")
+    facts = spark.createDataFrame([("A",), ("B",)], "source_customer_id string")
+    core.require_resolved(facts.filter("source_customer_id = 'A'"), bridge)
+    with pytest.raises(LookupError, match="'B'"):
+        core.require_resolved(facts, bridge)
+
+
 def test_tie_breaking_prefix_agrees_with_the_full_result(spark):
     random.seed(3)
     data = [
