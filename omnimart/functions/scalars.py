@@ -32,10 +32,6 @@ def line_amount(quantity: Column | str, unit_price: Column | str) -> Column:
     return F.round(_col(quantity) * _col(unit_price), 2).cast(MONEY)
 
 
-def blank_to_null(c: Column | str) -> Column:
-    return F.nullif(_col(c), F.lit(""))
-
-
 def email_hash(email: Column | str) -> Column:
     """First 16 hex digits of the SHA-256 of the lower-cased address."""
     return F.substring(F.sha2(F.lower(_col(email)), 256), 1, 16)

@@ -11,9 +11,9 @@ from collections.abc import Collection
 from datetime import datetime
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from omnimart.functions.scalars import blank_to_null, line_amount
+from omnimart.functions.scalars import line_amount
 from omnimart.operators.dedup import keep_latest_part, keep_lowest
 
 
@@ -21,29 +21,18 @@ class Source(Protocol):
     def table(self, name: str, since: datetime | None = None) -> DataFrame: ...
 
 
-def _typed(**types: str) -> dict[str, Column]:
-    return {name: F.col(name).cast(kind) for name, kind in types.items()}
-
-
-def _project(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return df.select(*[column.alias(name) for name, column in columns.items()])
-
-
 def typed_orders(raw: DataFrame) -> DataFrame:
-    return _project(
-        raw,
-        {
-            **_typed(order_id="string", source_customer_id="string", product_id="string"),
-            "channel": F.lower("channel"),
-            **_typed(
-                store_id="string",
-                quantity="int",
-                unit_price="decimal(12,2)",
-                discount_rate="decimal(5,4)",
-                ordered_at="timestamp",
-            ),
-            "payment_status": F.lower("payment_status"),
-        },
+    return raw.selectExpr(
+        "cast(order_id AS string) AS order_id",
+        "cast(source_customer_id AS string) AS source_customer_id",
+        "cast(product_id AS string) AS product_id",
+        "lower(channel) AS channel",
+        "cast(store_id AS string) AS store_id",
+        "cast(quantity AS int) AS quantity",
+        "cast(unit_price AS decimal(12,2)) AS unit_price",
+        "cast(discount_rate AS decimal(5,4)) AS discount_rate",
+        "cast(ordered_at AS timestamp) AS ordered_at",
+        "lower(payment_status) AS payment_status",
     )
 
 
@@ -90,19 +79,14 @@ def stg_orders(
 
 
 def typed_payments(raw: DataFrame) -> DataFrame:
-    return _project(
-        raw,
-        {
-            **_typed(
-                transaction_id="string",
-                order_id="string",
-                amount="decimal(12,2)",
-                currency="string",
-            ),
-            "status": F.lower("status"),
-            "payment_method": F.lower("payment_method"),
-            **_typed(paid_at="timestamp"),
-        },
+    return raw.selectExpr(
+        "cast(transaction_id AS string) AS transaction_id",
+        "cast(order_id AS string) AS order_id",
+        "cast(amount AS decimal(12,2)) AS amount",
+        "cast(currency AS string) AS currency",
+        "lower(status) AS status",
+        "lower(payment_method) AS payment_method",
+        "cast(paid_at AS timestamp) AS paid_at",
     )
 
 
@@ -118,22 +102,20 @@ def stg_payments(
     )
 
 
-def event_columns() -> dict[str, Column]:
-    """Typed projection of raw events, shared by the batch and the stream path."""
-    return {
-        **_typed(event_id="string"),
-        "event_type": F.lower("event_type"),
-        "order_id": blank_to_null(F.col("order_id").cast("string")),
-        **_typed(source_customer_id="string", product_id="string"),
-        "channel": F.lower("channel"),
-        **_typed(
-            quantity="int", event_at="timestamp", latency_ms="int", partition_key="string"
-        ),
-    }
-
-
 def typed_events(raw: DataFrame) -> DataFrame:
-    return _project(raw, event_columns())
+    """Shared by the batch and the stream path."""
+    return raw.selectExpr(
+        "cast(event_id AS string) AS event_id",
+        "lower(event_type) AS event_type",
+        "nullif(cast(order_id AS string), '') AS order_id",
+        "cast(source_customer_id AS string) AS source_customer_id",
+        "cast(product_id AS string) AS product_id",
+        "lower(channel) AS channel",
+        "cast(quantity AS int) AS quantity",
+        "cast(event_at AS timestamp) AS event_at",
+        "cast(latency_ms AS int) AS latency_ms",
+        "cast(partition_key AS string) AS partition_key",
+    )
 
 
 def stg_retail_events(
@@ -149,12 +131,10 @@ def stg_retail_events(
 
 
 def typed_identities(raw: DataFrame) -> DataFrame:
-    return _project(
-        raw,
-        {
-            "source_system": F.lower("source_system"),
-            **_typed(source_customer_id="string", email_hash="string"),
-        },
+    return raw.selectExpr(
+        "lower(source_system) AS source_system",
+        "cast(source_customer_id AS string) AS source_customer_id",
+        "cast(email_hash AS string) AS email_hash",
     )
 
 
@@ -164,48 +144,42 @@ def stg_customer_identities(source: Source) -> DataFrame:
 
 
 def stg_customers(source: Source) -> DataFrame:
-    return _project(
-        source.table("customers"),
-        {
-            **_typed(customer_id="string", email_hash="string"),
-            "loyalty_id": blank_to_null("loyalty_id"),
-            **_typed(country="string", acquisition_channel="string", consent_marketing="boolean"),
-        },
+    return source.table("customers").selectExpr(
+        "cast(customer_id AS string) AS customer_id",
+        "cast(email_hash AS string) AS email_hash",
+        "nullif(cast(loyalty_id AS string), '') AS loyalty_id",
+        "cast(country AS string) AS country",
+        "cast(acquisition_channel AS string) AS acquisition_channel",
+        "cast(consent_marketing AS boolean) AS consent_marketing",
     )
 
 
 def stg_products(source: Source) -> DataFrame:
-    return _project(
-        source.table("products"),
-        {
-            **_typed(product_id="string"),
-            "product_name": F.col("name"),
-            **_typed(category="string", department="string"),
-            "collection_name": F.col("collection"),
-            "current_price": F.col("price").cast("decimal(12,2)"),
-            **_typed(currency="string"),
-        },
+    return source.table("products").selectExpr(
+        "cast(product_id AS string) AS product_id",
+        "cast(name AS string) AS product_name",
+        "cast(category AS string) AS category",
+        "cast(department AS string) AS department",
+        "cast(collection AS string) AS collection_name",
+        "cast(price AS decimal(12,2)) AS current_price",
+        "cast(currency AS string) AS currency",
     )
 
 
 def stg_inventory(source: Source) -> DataFrame:
     counts = ("store_stock", "warehouse_stock", "reserved", "incoming", "safety_stock")
-    return _project(
-        source.table("inventory"),
-        {**_typed(product_id="string"), **_typed(**dict.fromkeys(counts, "int"))},
+    return source.table("inventory").selectExpr(
+        "cast(product_id AS string) AS product_id", *[f"cast({c} AS int) AS {c}" for c in counts]
     )
 
 
 def stg_price_history(source: Source) -> DataFrame:
-    return _project(
-        source.table("price_history"),
-        _typed(
-            product_id="string",
-            price="decimal(12,2)",
-            valid_from="date",
-            valid_to="date",
-            is_current="boolean",
-        ),
+    return source.table("price_history").selectExpr(
+        "cast(product_id AS string) AS product_id",
+        "cast(price AS decimal(12,2)) AS price",
+        "cast(valid_from AS date) AS valid_from",
+        "cast(valid_to AS date) AS valid_to",
+        "cast(is_current AS boolean) AS is_current",
     )
 
 

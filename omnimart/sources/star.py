@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from omnimart.functions.scalars import email_hash, moment
 
@@ -19,6 +19,16 @@ WEB_EVENT_SHIFT_DAYS = 8122
 IDENTITY_SYSTEMS = (("CRM", "CRM"), ("Ecommerce", "WEB"), ("POS", "POS"), ("Marketplace", "MKT"))
 
 
+# Schemas found so far, by table path: footers are read once per session.
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+CHANNEL = """CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'WEB'
+    WHEN o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED') THEN 'Store'
+    ELSE 'MarketPlace' END AS channel"""
+
+ID_PREFIX = "CASE channel WHEN 'WEB' THEN 'WEB' WHEN 'Store' THEN 'POS' ELSE 'MKT' END"
+
+
 class StarSource:
     """Serves the source tables by name from a folder of Parquet files."""
 
@@ -27,7 +37,11 @@ class StarSource:
         self.folder = folder.rstrip("/")
 
     def _read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        path = f"{self.folder}/{table}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _SCHEMAS:
+            _SCHEMAS[key] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
 
     def table(self, name: str, since: datetime | None = None) -> DataFrame:
         build = getattr(self, f"_{name}")
@@ -39,69 +53,55 @@ class StarSource:
         lines = self._read("lineitem")
         if since is not None:
             lines = lines.filter(F.col("l_shipdate") >= moment(since).cast("timestamp_ntz"))
-        return lines.select(
+        return lines.selectExpr(
             "l_orderkey",
             "l_linenumber",
-            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_id"),
-            F.col("l_partkey").cast("string").alias("product_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("l_extendedprice").cast("decimal(12,2)").alias("unit_price"),
-            F.col("l_discount").cast("decimal(5,4)").alias("discount_rate"),
-            F.col("l_shipdate").cast("timestamp").alias("ordered_at"),
+            "concat_ws('-', l_orderkey, l_linenumber) AS order_id",
+            "cast(l_partkey AS string) AS product_id",
+            "cast(l_quantity AS int) AS quantity",
+            "cast(l_extendedprice AS decimal(12,2)) AS unit_price",
+            "cast(l_discount AS decimal(5,4)) AS discount_rate",
+            "cast(l_shipdate AS timestamp) AS ordered_at",
         )
 
     def _order_lines(self, since: datetime | None) -> DataFrame:
-        priority = F.col("o_orderpriority")
-        channel = (
-            F.when(priority.isin("1-URGENT", "2-HIGH"), "WEB")
-            .when(priority.isin("3-MEDIUM", "4-NOT SPECIFIED"), "Store")
-            .otherwise("MarketPlace")
-        )
-        prefix = (
-            F.when(F.col("channel") == "WEB", "WEB")
-            .when(F.col("channel") == "Store", "POS")
-            .otherwise("MKT")
-        )
-        headers = self._read("orders").select("o_orderkey", "o_custkey", channel.alias("channel"))
+        headers = self._read("orders").selectExpr("o_orderkey", "o_custkey", CHANNEL)
         return (
             self._lines(since)
-            .join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
-            .withColumn("source_customer_id", F.concat_ws("-", prefix, "o_custkey"))
+            .join(headers, F.expr("l_orderkey = o_orderkey"))
+            .selectExpr("*", f"concat_ws('-', {ID_PREFIX}, o_custkey) AS source_customer_id")
         )
 
     def _orders(self, since: datetime | None = None) -> DataFrame:
-        store = F.concat(F.lit("S"), F.lpad((1 + F.col("l_orderkey") % 18).cast("string"), 3, "0"))
-        return self._order_lines(since).select(
+        return self._order_lines(since).selectExpr(
             "order_id",
             "source_customer_id",
             "product_id",
             "channel",
-            F.when(F.col("channel") == "Store", store).otherwise("ONLINE").alias("store_id"),
+            """CASE WHEN channel = 'Store'
+                THEN concat('S', lpad(cast(1 + l_orderkey % 18 AS string), 3, '0'))
+                ELSE 'ONLINE' END AS store_id""",
             "quantity",
             "unit_price",
             "discount_rate",
             "ordered_at",
-            F.lit("Paid").alias("payment_status"),
+            "'Paid' AS payment_status",
         )
 
     def _payments(self, since: datetime | None = None) -> DataFrame:
-        amount = F.col("quantity") * F.col("unit_price") + _every("l_orderkey", 89)
-        method = (
-            F.when(F.col("l_linenumber") % 3 == 0, "Card")
-            .when(F.col("l_linenumber") % 3 == 1, "PayPal")
-            .otherwise("Cash")
-        )
         return (
             self._lines(since)
-            .filter(F.col("l_orderkey") % 97 != 0)
-            .select(
-                F.concat(F.lit("T-"), "order_id").alias("transaction_id"),
+            .filter("l_orderkey % 97 <> 0")
+            .selectExpr(
+                "concat('T-', order_id) AS transaction_id",
                 "order_id",
-                amount.cast("decimal(12,2)").alias("amount"),
-                F.lit("EUR").alias("currency"),
-                F.when(F.col("l_orderkey") % 83 == 0, "Pending").otherwise("Settled").alias("status"),
-                method.alias("payment_method"),
-                F.col("ordered_at").alias("paid_at"),
+                """cast(quantity * unit_price + if(l_orderkey % 89 = 0, 1, 0) AS decimal(12,2))
+                    AS amount""",
+                "'EUR' AS currency",
+                "if(l_orderkey % 83 = 0, 'Pending', 'Settled') AS status",
+                """CASE l_linenumber % 3 WHEN 0 THEN 'Card' WHEN 1 THEN 'PayPal' ELSE 'Cash' END
+                    AS payment_method""",
+                "ordered_at AS paid_at",
             )
         )
 
@@ -109,29 +109,25 @@ class StarSource:
         return self.purchase_events(since).unionByName(self.web_events(since))
 
     def purchase_events(self, since: datetime | None = None) -> DataFrame:
-        latency = (180 + (F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17) % 3400).cast("int")
-        partition_key = F.when(F.col("l_orderkey") % 211 == 0, "unknown").otherwise(
-            F.col("source_customer_id")
-        )
-        # An event is never earlier than its order, so the order bound is safe too,
-        # but an event may pass the bound while its order does not: step one minute back.
-        lines = self._order_lines(None if since is None else _minute_before(since))
+        # An event follows its order by a few seconds at most, so orders up to a
+        # minute before the bound may have an event after it.
+        lines = self._order_lines(None if since is None else since - timedelta(minutes=1))
         events = (
-            lines.filter(F.col("l_orderkey") % 103 != 0)
-            .withColumn("latency_ms", latency)
-            .select(
-                F.concat(F.lit("E-"), "order_id").alias("event_id"),
-                F.lit("Purchase").alias("event_type"),
+            lines.filter("l_orderkey % 103 <> 0")
+            .selectExpr(
+                "*", "cast(180 + (l_orderkey * 31 + l_linenumber * 17) % 3400 AS int) AS latency_ms"
+            )
+            .selectExpr(
+                "concat('E-', order_id) AS event_id",
+                "'Purchase' AS event_type",
                 "order_id",
                 "source_customer_id",
                 "product_id",
                 "channel",
-                (F.col("quantity") + _every("l_orderkey", 101)).alias("quantity"),
-                F.timestamp_millis(F.unix_millis("ordered_at") + F.col("latency_ms")).alias(
-                    "event_at"
-                ),
+                "quantity + if(l_orderkey % 101 = 0, 1, 0) AS quantity",
+                "timestamp_millis(unix_millis(ordered_at) + latency_ms) AS event_at",
                 "latency_ms",
-                partition_key.alias("partition_key"),
+                "if(l_orderkey % 211 = 0, 'unknown', source_customer_id) AS partition_key",
             )
         )
         return events if since is None else events.filter(F.col("event_at") >= moment(since))
@@ -142,120 +138,94 @@ class StarSource:
     # -- master data -------------------------------------------------------
 
     def _products(self) -> DataFrame:
-        return self._read("part").select(
-            F.col("p_partkey").cast("string").alias("product_id"),
-            F.col("p_name").alias("name"),
-            F.col("p_type").alias("category"),
-            F.col("p_brand").alias("department"),
-            F.concat(F.lit("Size "), "p_size").alias("collection"),
-            F.col("p_retailprice").cast("decimal(12,2)").alias("price"),
-            F.lit("EUR").alias("currency"),
+        return self._read("part").selectExpr(
+            "cast(p_partkey AS string) AS product_id",
+            "p_name AS name",
+            "p_type AS category",
+            "p_brand AS department",
+            "concat('Size ', p_size) AS collection",
+            "cast(p_retailprice AS decimal(12,2)) AS price",
+            "'EUR' AS currency",
         )
 
     def _customers(self) -> DataFrame:
-        key = F.col("c_custkey")
         nations = self._read("nation").select("n_nationkey", "n_name")
         return (
             self._read("customer")
-            .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .select(
-                key.cast("string").alias("customer_id"),
-                email_hash("c_name").alias("email_hash"),
-                F.when(key % 5 == 0, "").otherwise(F.concat(F.lit("L"), key)).alias("loyalty_id"),
-                F.col("n_name").alias("country"),
-                F.lower("c_mktsegment").alias("acquisition_channel"),
-                (key % 4 != 0).alias("consent_marketing"),
+            .join(nations, F.expr("c_nationkey = n_nationkey"), "left")
+            .withColumn("email_hash", email_hash("c_name"))
+            .selectExpr(
+                "cast(c_custkey AS string) AS customer_id",
+                "email_hash",
+                "if(c_custkey % 5 = 0, '', concat('L', c_custkey)) AS loyalty_id",
+                "n_name AS country",
+                "lower(c_mktsegment) AS acquisition_channel",
+                "c_custkey % 4 <> 0 AS consent_marketing",
             )
         )
 
     def _customer_identities(self) -> DataFrame:
         """Four links per customer, some marketplace links missing, some POS links sent twice."""
-        key = F.col("c_custkey")
-        links = [
-            F.struct(F.lit(system).alias("source_system"), F.lit(prefix).alias("prefix"))
+        links = ", ".join(
+            f"named_struct('source_system', '{system}', 'prefix', '{prefix}')"
             for system, prefix in (*IDENTITY_SYSTEMS, ("Partner", "POS"))
-        ]
-        missing = (F.col("source_system") == "Marketplace") & (key % 50 == 7)
-        repeated = (F.col("source_system") != "Partner") | (key % 40 == 3)
+        )
         return (
             self._read("customer")
-            .select("c_custkey", "c_name", F.explode(F.array(*links)).alias("link"))
-            .select("c_custkey", "c_name", "link.*")
-            .filter(~missing & repeated)
-            .select(
+            .withColumn("email_hash", email_hash("c_name"))
+            .selectExpr("c_custkey", "email_hash", f"inline(array({links}))")
+            .filter("source_system <> 'Marketplace' OR c_custkey % 50 <> 7")
+            .filter("source_system <> 'Partner' OR c_custkey % 40 = 3")
+            .selectExpr(
                 "source_system",
-                F.concat_ws("-", "prefix", "c_custkey").alias("source_customer_id"),
-                email_hash("c_name").alias("email_hash"),
+                "concat_ws('-', prefix, c_custkey) AS source_customer_id",
+                "email_hash",
             )
         )
 
     def _inventory(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return self._read("part").select(
-            key.cast("string").alias("product_id"),
-            (key * 37 % 421).cast("int").alias("store_stock"),
-            (key * 53 % 751).cast("int").alias("warehouse_stock"),
-            (12 + key * 11 % 54).cast("int").alias("reserved"),
-            (80 + key * 29 % 221).cast("int").alias("incoming"),
-            (65 + key * 17 % 76).cast("int").alias("safety_stock"),
+        return self._read("part").selectExpr(
+            "cast(p_partkey AS string) AS product_id",
+            "cast(p_partkey * 37 % 421 AS int) AS store_stock",
+            "cast(p_partkey * 53 % 751 AS int) AS warehouse_stock",
+            "cast(12 + p_partkey * 11 % 54 AS int) AS reserved",
+            "cast(80 + p_partkey * 29 % 221 AS int) AS incoming",
+            "cast(65 + p_partkey * 17 % 76 AS int) AS safety_stock",
         )
 
     def _price_history(self) -> DataFrame:
         """Two versions per product; every 500th has an overlap, every 700th no current price."""
-        key = F.col("p_partkey")
-        price = F.col("p_retailprice").cast("decimal(12,2)")
-        old_end = F.when(key % 500 == 0, F.lit("1998-01-01")).otherwise(F.lit("1997-12-31"))
-        versions = F.array(
-            F.struct(
-                F.round(price * F.lit("1.08").cast("decimal(3,2)"), 2)
-                .cast("decimal(12,2)")
-                .alias("price"),
-                F.lit("1995-01-01").cast("date").alias("valid_from"),
-                old_end.cast("date").alias("valid_to"),
-                F.lit(False).alias("is_current"),
-            ),
-            F.struct(
-                price.alias("price"),
-                F.lit("1998-01-01").cast("date").alias("valid_from"),
-                F.lit("9999-12-31").cast("date").alias("valid_to"),
-                (key % 700 != 0).alias("is_current"),
-            ),
+        former = """named_struct('price', cast(round(price * 1.08BD, 2) AS decimal(12,2)),
+            'valid_from', date'1995-01-01',
+            'valid_to', if(p_partkey % 500 = 0, date'1998-01-01', date'1997-12-31'),
+            'is_current', false)"""
+        current = """named_struct('price', price, 'valid_from', date'1998-01-01',
+            'valid_to', date'9999-12-31', 'is_current', p_partkey % 700 <> 0)"""
+        return (
+            self._read("part")
+            .selectExpr("p_partkey", "cast(p_retailprice AS decimal(12,2)) AS price")
+            .selectExpr(
+                "cast(p_partkey AS string) AS product_id", f"inline(array({former}, {current}))"
+            )
         )
-        return self._read("part").select(
-            key.cast("string").alias("product_id"), F.explode(versions).alias("v")
-        ).select("product_id", "v.*")
 
 
 def map_web_events(events: DataFrame, since: datetime | None = None) -> DataFrame:
     """Web events from the events table; works on a batch and on a stream."""
-    kind = F.col("event_type")
+    shift = f"INTERVAL {WEB_EVENT_SHIFT_DAYS} DAY"
     if since is not None:
-        bound = moment(since).cast("timestamp_ntz") + F.make_dt_interval(F.lit(WEB_EVENT_SHIFT_DAYS))
+        bound = moment(since + timedelta(days=WEB_EVENT_SHIFT_DAYS)).cast("timestamp_ntz")
         events = events.filter(F.col("ts") >= bound)
-    return events.select(
-        F.concat(F.lit("W-"), "event_id").alias("event_id"),
-        F.when(kind == "view", "Product_View")
-        .when(kind == "click", "Add_To_Cart")
-        .when(kind == "purchase", "Checkout")
-        .otherwise(kind)
-        .alias("event_type"),
-        F.lit("").alias("order_id"),
-        F.concat(F.lit("WEB-"), "user_id").alias("source_customer_id"),
-        (F.col("event_id") % 200).cast("string").alias("product_id"),
-        F.lit("web").alias("channel"),
-        F.lit(0).alias("quantity"),
-        (F.col("ts") - F.make_dt_interval(F.lit(WEB_EVENT_SHIFT_DAYS)))
-        .cast("timestamp")
-        .alias("event_at"),
-        (90 + 25 * F.get_json_object("props", "$.k").cast("int")).alias("latency_ms"),
-        F.concat(F.lit("WEB-"), "user_id").alias("partition_key"),
+    return events.selectExpr(
+        "concat('W-', event_id) AS event_id",
+        """CASE event_type WHEN 'view' THEN 'Product_View' WHEN 'click' THEN 'Add_To_Cart'
+            WHEN 'purchase' THEN 'Checkout' ELSE event_type END AS event_type""",
+        "'' AS order_id",
+        "concat('WEB-', user_id) AS source_customer_id",
+        "cast(event_id % 200 AS string) AS product_id",
+        "'web' AS channel",
+        "0 AS quantity",
+        f"cast(ts - {shift} AS timestamp) AS event_at",
+        "90 + 25 * cast(get_json_object(props, '$.k') AS int) AS latency_ms",
+        "concat('WEB-', user_id) AS partition_key",
     )
-
-
-def _every(column: str, n: int) -> Column:
-    """One on every n-th key, else zero."""
-    return F.when(F.col(column) % n == 0, 1).otherwise(0)
-
-
-def _minute_before(time: datetime) -> datetime:
-    return time - timedelta(minutes=1)
