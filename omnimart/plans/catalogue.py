@@ -500,10 +500,8 @@ def check_score(m: Model) -> DataFrame:
 
 
 def _contracts(m: Model) -> DataFrame:
-    # Orders and events come out of a join and feed several contracts: stored once.
-    raw = staging.typed_sources(m.source)
-    for name in ("orders", "retail_events"):
-        raw[name] = pin(raw[name], name)
+    # Orders and events come out of a join here; payments are a plain projection.
+    raw = contracts.stored(staging.typed_sources(m.source), "orders", "retail_events")
     return contracts.run_contracts(raw, AS_OF)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from omnimart.functions.scalars import HALF_CENT, is_email_hash, line_amount, moment
 from omnimart.operators.dedup import keep_latest
+from omnimart.session import pin
 
 # Contract names.
 CONTRACTS = (
@@ -41,6 +43,40 @@ CONTRACTS = (
 
 OPEN_END = "9999-12-31"
 
+# Columns the contracts read of the large sources.
+USED = {
+    "orders": (
+        "order_id",
+        "source_customer_id",
+        "product_id",
+        "quantity",
+        "unit_price",
+        "discount_rate",
+        "ordered_at",
+    ),
+    "retail_events": (
+        "event_id",
+        "event_type",
+        "order_id",
+        "source_customer_id",
+        "quantity",
+        "event_at",
+        "partition_key",
+    ),
+    "payments": ("transaction_id", "order_id", "amount", "status", "paid_at"),
+}
+
+
+def stored(raw: Mapping[str, DataFrame], *names: str) -> dict[str, DataFrame]:
+    """The sources with the named large ones stored once, in the columns used here.
+
+    Worth it for a source that is costly to produce (parsed text, a join), since
+    several contracts read it. The writes run side by side.
+    """
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        tables = pool.map(lambda n: pin(raw[n].select(*USED[n]), n), names)
+        return {**raw, **dict(zip(names, tables))}
+
 
 def run_contracts(raw: Mapping[str, DataFrame], as_of: datetime) -> DataFrame:
     """One row per contract: violations, passed.

@@ -142,9 +142,9 @@ class DailyRun:
     def control(self, landed: dict) -> dict:
         """The contracts on the raw sources and the batch, stream and payment totals."""
         self.require(landed, PASS, SKIPPED)
-        raw = staging.typed_sources(self.source)
-        for name in ("orders", "retail_events", "payments"):
-            raw[name] = pin(raw[name], name)
+        raw = contracts.stored(
+            staging.typed_sources(self.source), "orders", "retail_events", "payments"
+        )
         results = pin(contracts.run_contracts(raw, self.as_of), "contracts")
         quality_row = files.one_row(score(contracts.as_check_results(results)))
         quality_row["checks"] = {r["contract"]: r["passed"] for r in results.collect()}
