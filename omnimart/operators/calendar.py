@@ -25,9 +25,10 @@ def fill_days(
     measures = [c for c in series.columns if c not in (label, "day")]
     grid = day_grid(series, label, labels, start, end)
     filled = grid.join(series, [label, "day"], "left")
-    return filled.select(
-        label, "day", *[F.coalesce(F.col(c), F.lit(0)).cast(series.schema[c].dataType).alias(c) for c in measures]
-    )
+    values = [
+        F.coalesce(c, F.lit(0)).cast(series.schema[c].dataType).alias(c) for c in measures
+    ]
+    return filled.select(label, "day", *values)
 
 
 def trailing_sum(value: Column | str, label: str, first: int, last: int = 0) -> Column:

@@ -41,7 +41,8 @@ def advance(
         )
 
     never = F.lit(None).cast("timestamp")
-    kept = version("old", *(F.col(f"old.{c}") for c in ("valid_from", "valid_to", "updated_at", "scd_id")))
+    marks = ("valid_from", "valid_to", "updated_at", "scd_id")
+    kept = version("old", *[F.col(f"old.{c}") for c in marks])
     closed = version("old", F.col("old.valid_from"), now, now, F.col("old.scd_id"))
     opened = version("new", now, never, now, version_id(F.col(f"new.{key}"), now))
     unchanged = had & has & same

@@ -439,9 +439,8 @@ def text_search_products(m: Model) -> DataFrame:
 @query
 def text_search_customers(m: Model) -> DataFrame:
     columns = ["customer_id", "segment", "country", "channels"]
-    return keysets.search_rows(
-        reports.customer_360(m.selected("sales_amount"), m.customers()).select(*columns), columns, "store,WEB"
-    )
+    top = reports.customer_360(m.selected("sales_amount"), m.customers())
+    return keysets.search_rows(top.select(*columns), columns, "store,WEB")
 
 
 @query
@@ -491,7 +490,8 @@ def expression_report(m: Model) -> DataFrame:
 
 @query
 def check_summary(m: Model) -> DataFrame:
-    return checks.summary(checks.run_checks(m.warehouse(), quality.all_checks()))
+    results = checks.run_checks(m.warehouse(), quality.all_checks())
+    return checks.summary(results)
 
 
 @query

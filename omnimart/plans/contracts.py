@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from omnimart.functions.scalars import HALF_CENT, is_email_hash, line_amount, moment
+from omnimart.functions.scalars import amounts_agree, is_email_hash, line_amount, moment
 from omnimart.operators.dedup import keep_latest
 from omnimart.session import pin
 
@@ -263,8 +263,8 @@ def _amount_gaps(orders: DataFrame, payments: DataFrame) -> DataFrame:
         "ordered_at",
     )
     paid = keep_latest(payments.select("order_id", "paid_at", "amount"), "order_id", "paid_at")
-    gap = F.abs(F.coalesce("amount", F.lit(-1)) - F.col("due"))
-    return due.join(paid, "order_id", "left").filter(gap > F.lit(HALF_CENT))
+    agrees = amounts_agree(F.coalesce("amount", F.lit(-1)), F.col("due"))
+    return due.join(paid, "order_id", "left").filter(~agrees)
 
 
 def version_overlaps(prices: DataFrame) -> DataFrame:

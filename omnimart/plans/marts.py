@@ -6,7 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, functions as F
 
-from omnimart.functions.scalars import HALF_CENT, MONEY, ratio
+from omnimart.functions.scalars import MONEY, amounts_agree, ratio
 from omnimart.operators.keysets import left_join_many
 from omnimart.operators.ranking import tile_scores
 from omnimart.session import pin
@@ -53,10 +53,10 @@ def payment_reconciliation(sales: DataFrame, payments: DataFrame) -> DataFrame:
         "order_id", F.col("amount").alias("payment_amount"), "status", F.lit(True).alias("has_payment")
     )
     joined = left_join_many(sales.select("order_id", "sales_amount"), paid, "order_id")
-    gap = F.abs(F.col("sales_amount") - F.col("payment_amount"))
+    agrees = amounts_agree(F.col("sales_amount"), F.col("payment_amount"))
     status = (
         F.when(F.col("has_payment").isNull(), "missing_payment")
-        .when(gap > F.lit(HALF_CENT), "amount_mismatch")
+        .when(~agrees, "amount_mismatch")
         .when(F.col("status") != "settled", "not_settled")
         .otherwise("reconciled")
     )

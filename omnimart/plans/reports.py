@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from omnimart.functions.scalars import HALF_CENT, MONEY, moment, ratio
+from omnimart.functions.scalars import MONEY, amounts_agree, moment, ratio
 from omnimart.operators.cube import ALL, CHANNELS, period_start
 from omnimart.operators.quantiles import nearest_rank
 from omnimart.session import pin
@@ -233,8 +233,8 @@ def selected_reconciliation(
 
 
 def agreement(unit_delta, amount_delta):
-    ok = (unit_delta == 0) & (F.abs(amount_delta) <= F.lit(HALF_CENT))
-    return F.when(ok, "PASS").otherwise("FAIL")
+    agreed = (unit_delta == 0) & amounts_agree(amount_delta, F.lit(0))
+    return F.when(agreed, "PASS").otherwise("FAIL")
 
 
 def stock_summary(inventory: DataFrame, period: int) -> DataFrame:

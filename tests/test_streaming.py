@@ -1,6 +1,6 @@
 import base64
 import json
-from datetime import datetime, timedelta
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +44,15 @@ def test_good_record_is_enriched(spark):
     }
 
 
+def test_good_records_become_typed_rows(spark):
+    df = spark.createDataFrame(
+        [("1", encoded(EVENT)), ("2", encoded(without("event_id")))], "recordId string, data string"
+    )
+    kind = "event_id string, quantity int, schema_version string"
+    found = validation.decode_good(validation.validate_records(df), kind).collect()
+    assert [tuple(r) for r in found] == [("e1", 2, "retail-event/2.1")]
+
+
 def test_long_records_stay_on_one_line(spark):
     found = results(spark, ("1", encoded({**EVENT, "note": "x" * 500})))["1"]
     assert "\n" not in found["data"] and json.loads(base64.b64decode(found["data"]))["note"] == "x" * 500
