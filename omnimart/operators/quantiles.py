@@ -36,10 +36,15 @@ def nearest_rank(
         .withColumn("upto", F.sum("n").over(group.orderBy("block")))
         .withColumn("rank", F.greatest(F.lit(1), F.ceil(F.lit(p) * F.col("total"))))
         .filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
-        .select(*keys, "block", "total", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"))
+        .select(
+            F.struct(*keys, "block").alias("cell"),
+            "total",
+            (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"),
+        )
     )
+    # Structs compare null-safe inside, so a group whose name is null is kept.
     chosen = (
-        counted.join(blocks, [*keys, "block"])
+        counted.join(blocks, F.struct(*keys, "block") == F.col("cell"))
         .withColumn("upto", F.sum("n").over(group.orderBy("v")))
         .filter("upto >= rank")
         .groupBy(*keys)

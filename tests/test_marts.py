@@ -153,10 +153,11 @@ def test_nearest_rank(spark, size):
 
 def test_nearest_rank_by_group(spark):
     random.seed(1)
-    data = [(random.choice("abc"), random.randint(0, 10**6)) for _ in range(500)]
+    groups = ["a", "b", None]
+    data = [(random.choice(groups), random.randint(0, 10**6)) for _ in range(500)]
     df = spark.createDataFrame(data, "g string, v int")
     found = {r["g"]: r["percentile"] for r in nearest_rank(df, "v", 0.5, by=["g"]).collect()}
-    for group in "abc":
+    for group in groups:
         values = sorted(v for g, v in data if g == group)
         assert found[group] == values[math.ceil(0.5 * len(values)) - 1]
 
