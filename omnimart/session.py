@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,26 +30,22 @@ def build_session(app: str = "omnimart", cores: int | None = None, **conf: str)
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables, as the cluster names it.
+    """Shared folder for intermediate tables: ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a temporary folder of its own; a
-    cluster session without it is refused, because a machine-local folder would
-    be lost with the machine.
+    Where the setting is absent, a folder below the warehouse is taken and set; the
+    warehouse is shared by the driver and all executors, whatever the master.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="omnimart-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, unique to this call."""
     app = spark.sparkContext.applicationId
-    return os.path.join(scratch_root(spark), "omnimart", app, f"{name}-{uuid.uuid4().hex[:12]}")
+    return "/".join((scratch_root(spark), "omnimart", app, f"{name}-{uuid.uuid4().hex[:12]}"))
 
 
 def pin(df: DataFrame, name: str) -> DataFrame:
