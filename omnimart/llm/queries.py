@@ -1,20 +1,66 @@
-"""Registered queries of the training-data operators, each over its whole table."""
+"""Registered queries of the training-data operators, each over its whole table.
+
+Where the rows of a query are set by its contract, columns come in that order and further
+ones follow.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from omnimart.llm import line_dedup, ngram_join
+from omnimart.llm import decontaminate, line_dedup, multi_index, ngram_join, quality, sentencepiece_codec, shard_table, token_files, toxicity, url_rules
+from omnimart.session import scratch_path
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+END_ID = 2
+SHARDS = tuple(f"shard-{i:04d}" for i in range(256))
+URL_RULES = (
+    url_rules.host_rule("org/", "allow"),
+    url_rules.host_rule("example.org/es/", "block"),
+    url_rules.host_rule("example.org/en/1", "block"),
+    url_rules.host_rule("com/fr/", "allow"),
+    url_rules.host_rule("com/de/", "block"),
+    url_rules.pattern_rule("*.cheap-pills.*", "block"),
+    url_rules.pattern_rule("cheap-pills.*", "block"),
+    url_rules.pattern_rule("*free-bets.*", "block"),
+    url_rules.pattern_rule("*ads-track.*", "block"),
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade, probability of a usable grade, and selection of each document."""
+    docs = _table(spark, folder, "documents")
+    model = quality.fit(docs, quality.quality_grades(_table(spark, folder, "labels")))
+    return quality.score(docs.select("doc_id", "text"), model, tail=1).drop("text")
+
+
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Host, path, rule and verdict of each page's url."""
+    return url_rules.judge(_table(spark, folder, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "pattern")
+
+
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: its lines, how many went, and length and checksum of the text that is left."""
     found = line_dedup.dedup_lines(_table(spark, folder, "documents"))
-    return found.select("doc_id", "n_lines", "n_removed", "n_left", F.length("text").alias("n_chars_left"), F.crc32("text").alias("text_crc32"))
+    return found.select("doc_id", "n_lines", "n_removed", F.length("text").alias("n_chars_left"), F.crc32("text").alias("text_crc32"))
+
+
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item's shingles and how many of them they hold."""
+    return decontaminate.contained_items(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op5_wavelet_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Place, count and checksum of each document's token ids, read back from the shard files."""
+    where = scratch_path(spark, "token-shards")
+    token_files.write_shards(_table(spark, folder, "documents"), BYTE_BPE, END_ID, where)
+    return token_files.read_documents(spark, where)
 
 
 def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
@@ -22,9 +68,44 @@ def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similarity_classes(_table(spark, folder, "documents"))
 
 
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: number and hash of its ids, and whether they decode to its text."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, PIECES), PIECES)
+    blank = F.replace(F.coalesce("text", F.lit("")), F.lit(sentencepiece_codec.MARK), F.lit(" "))
+    return found.select("doc_id", F.size("token_ids").alias("n_tokens"), F.xxhash64("token_ids").alias("ids_hash"), (F.col("decoded") == blank).alias("round_trip"))
+
+
+def op8_shard_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Slot and shard of each document."""
+    return shard_table.place(_table(spark, folder, "documents").select("doc_id"), "doc_id", SHARDS)
+
+
+def op9_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors found for every hundredth one."""
+    return multi_index.search(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score of each document, learnt from labels outside the held-out fifth."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    index = toxicity.learn(docs, labels.where(~held_out).select("doc_id", F.col("toxic").alias("label")))
+    found = toxicity.score(docs, index)
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op2_url_filter": op2_url_filter,
     "op3_line_dedup": op3_line_dedup,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_wavelet_tokens": op5_wavelet_tokens,
     "op6_ngram_jaccard": op6_ngram_jaccard,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op8_shard_table": op8_shard_table,
+    "op9_multi_index": op9_multi_index,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
