@@ -1,10 +1,68 @@
-"""Cleaning pipeline over ``documents``: each stage applies one operator to all that its predecessor kept."""
+"""Cleaning pipeline over ``documents``: each stage applies one operator to all that its predecessor kept.
+
+1. ``quality``: documents whose probability of a usable grade is below one half go.
+2. ``line_dedup``: lines that occurred before, alike or nearly, go; a document that loses all its
+   lines goes.
+3. ``ngram_jaccard``: of documents linked by similarity 0.8 on five-word shingles, the smallest id stays.
+4. ``decontaminate``: documents that hold a benchmark item go.
+5. ``sentencepiece``: the remaining texts as token ids.
+
+Rows with a null id can't be compared with others; they pass stages 2 to 4 unchanged.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from omnimart.llm import decontaminate, line_dedup, ngram_join, quality, sentencepiece_codec
+from omnimart.llm.frames import Pins
+from omnimart.llm.queries import PIECES
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit(docs, quality.quality_grades(labels))
+    return quality.score(docs, model, tail=1).where("selected").select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup_lines(docs)
+    emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike("[^ \\t\\r\\n]")
+    return found.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
+
+
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    pins = Pins(spark)
+    later = pins.pin(ngram_join.similarity_classes(docs).where("doc_id <> component_id").select("doc_id").distinct(), "later")
+    return pins.join(docs, later, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.remove_contaminated(docs, items).select(*docs.columns)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = sentencepiece_codec.encode(docs, PIECES)
+    return found.select("doc_id", "lang", "source", F.size("token_ids").alias("n_tokens"), "token_ids")
+
+
+STAGES = [
+    ("quality", keep_good),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_jaccard", keep_one_of_each_group),
+    ("decontaminate", drop_contaminated),
+    ("sentencepiece", tokenize),
+]
+
+#: The regression and the tokenizer have no SQL form; tests compare with a plain version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is written and read again."""
+    pins = Pins(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = pins.pin(stage(spark, docs, sf_dir), name)
+    return docs
