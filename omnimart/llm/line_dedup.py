@@ -129,25 +129,16 @@ def _banded(codes, starts, ends, node, first):
     return found
 
 
-def verify_lines(pairs: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of line nodes whose exact shingle sets reach the similarity."""
-
-    def shingle_set(line: str) -> np.ndarray:
-        codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        return np.unique(char_shingles(codes)) if len(codes) >= CHARS else np.zeros(0, np.uint64)
-
-    def linked(a: str, b: str) -> bool:
-        return a == b or textops.jaccard_at_least(shingle_set(a), shingle_set(b), percent)
-
-    def run(batches):
-        for batch in batches:
-            kept = [linked(a, b) for a, b in zip(batch["ta"].to_pylist(), batch["tb"].to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(kept, pa.bool_()))
-
-    left = lines.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    right = lines.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-    return map_batches(both, run, "a long, b long")
+def line_sets(lines: pa.Array):
+    """Sets of character shingles of texts that are one line each; see ``textops.word_sets``."""
+    for at, end, raw, bounds in textops.pieces(lines):
+        data = raw.tobytes()
+        found = []
+        for i, j in zip(bounds[:-1], bounds[1:]):
+            codes = np.frombuffer(data[i:j].decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32)
+            whole = line_hashes(codes, np.zeros(1, np.int64), np.array([len(codes)]))
+            found.append(np.unique(char_shingles(codes)) if len(codes) >= CHARS else whole)
+        yield at, end, np.concatenate(found), np.concatenate([[0], np.cumsum([len(x) for x in found])])
 
 
 def wanted_lines(docs: DataFrame) -> DataFrame:
@@ -162,12 +153,12 @@ def removals(docs: DataFrame, pins: Pins, percent: int = PERCENT) -> tuple[DataF
     keys = lines.where("size(keys) > 0").select("node", F.explode("keys").alias("bucket"))
     span = Window.partitionBy("bucket")
     shared = keys.withColumn("low", F.min("node").over(span)).withColumn("high", F.max("node").over(span)).where("low <> high").select("bucket", "node").distinct()
-    postings = pins.pin(shared.withColumn("need", F.lit(1)).withColumn("size", F.lit(1)), "postings")
+    postings = pins.pin(shared.withColumn("need", F.lit(1)).withColumn("size", F.lit(1)).withColumn("own", F.lit(0)).withColumn("core", F.lit(True)), "postings")
     nodes = postings.select("node").distinct()
     owners = lines.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "line")).alias("o"))
     wanted = pins.pin(owners.groupBy("o.doc_id").agg(F.collect_list(F.struct("node", "o.line")).alias("w")).select("doc_id", F.col("w.node").alias("nodes"), F.col("w.line").alias("numbers")), "wanted")
     texts = pins.pin(wanted_lines(pins.join(docs, wanted, "doc_id")).dropDuplicates(["node"]), "line-texts")
-    roots = pins.pin(link(postings, lambda pairs: verify_lines(pairs, texts, percent), percent, pins), "line-roots")
+    roots = pins.pin(link(postings, texts, line_sets, percent, pins), "line-roots")
     placed = pins.join(lines.select("doc_id", "line", "node"), roots, "node", "left").select("doc_id", "line", "node", F.coalesce("root", "node").alias("component"))
     kept = placed.groupBy("component").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1").select("component", "first")
     gone = placed.join(kept, "component").where(F.struct("doc_id", "line") != F.col("first"))
@@ -177,17 +168,17 @@ def removals(docs: DataFrame, pins: Pins, percent: int = PERCENT) -> tuple[DataF
 
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with every line gone whose component has an earlier one, and n_lines, n_removed, n_left.
-
-    n_left counts the lines of more than blanks that stay.
-    """
+    """``docs`` with every line gone whose component has an earlier one, and n_lines and n_removed."""
     pins = Pins(docs.sparkSession)
+    if {"n_lines", "n_removed"} & set(docs.columns):
+        raise ValueError("the input has a column n_lines or n_removed")
     _, drops = removals(docs, pins, percent)
-    split = F.split("text", "\n", -1)
-    cut = F.array_join(F.filter(split, lambda x, i: ~F.array_contains("gone", i)), "\n")
-    marked = pins.join(docs.withColumnRenamed("gone", "_gone") if "gone" in docs.columns else docs, drops, "doc_id", "left")
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(cut)
-    removed = F.coalesce(F.size("gone"), F.lit(0))
-    found = marked.withColumn("n_lines", F.coalesce(F.size(split), F.lit(0))).withColumn("n_removed", F.greatest(removed, F.lit(0))).withColumn("text", text)
-    found = found.withColumn("n_left", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: F.length(F.regexp_replace(x, "[ \\t\\r]", "")) > 0))).drop("gone")
-    return found.withColumnRenamed("_gone", "gone") if "_gone" in found.columns else found
+    gone = drops.withColumnsRenamed({"gone": "_gone"})
+    gone._pinned_at = drops._pinned_at
+    marked = pins.join(docs, gone, "doc_id", "left")
+    cut = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("_gone", i)), "\n")
+    return marked.select(
+        *(F.when(F.col("_gone").isNull(), F.col("text")).otherwise(cut).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns),
+        F.coalesce(1 + F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))), F.lit(0)).alias("n_lines"),
+        F.coalesce(F.size("_gone"), F.lit(0)).alias("n_removed"),
+    )

@@ -1,41 +1,53 @@
 """Connected components from postings, without listing the pairs of a bucket.
 
-A posting says that a node stands in a bucket; nodes sharing a bucket are candidates.
-First every node is compared with one hub, the smallest node of a bucket it shares
-most often. What that links is put into components, and then only nodes of different
-components that share buckets are still compared, all of them. So a bucket of many copies
-costs a comparison for each copy, and no link between different components is left out.
+A posting says that a node stands in a bucket; nodes that share enough buckets are candidates,
+and a candidate pair is linked if the two shingle sets are similar enough.
+
+1. The hub of a bucket is its most typical node (fewest shingles of its own). Every node is
+   compared with the hub that it shares most buckets with. Nodes and all hubs that are
+   candidates for them form families, whether or not they are similar.
+2. Most families are now one component. In the others, nodes of different components are
+   compared in blocks of bounded size; a block of one component is not compared with its like.
+3. Of different families, all nodes that share enough buckets are compared in pairs. Such pairs share
+   a core bucket, so only those are searched.
+
+So a bucket of many copies costs one comparison a copy, and no link between different
+components is left out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from omnimart.llm.frames import Pins
+from omnimart.llm import textops
+from omnimart.llm.frames import Pins, map_batches, ship
+
+#: Cuts a text column into runs of rows with the hashes of each row's ascending shingle set.
+Sets = Callable[[pa.Array], Iterator[tuple[int, int, np.ndarray, np.ndarray]]]
 
-Verify = Callable[[DataFrame], DataFrame]
+#: Bounds of a block: shingles and nodes.
+BLOCK_SHINGLES = 32_768
+BLOCK_NODES = 256
 
 
 def components(edges: DataFrame, pins: Pins) -> DataFrame:
     """Smallest node reachable from each node of ``edges`` (a, b): columns node, root.
 
-    Alternates two steps until nothing changes: each node hands its smallest neighbour to
+    Alternates two steps until only stars are left: each node hands its smallest neighbour to
     its larger neighbours, then to its smaller ones. Every step is a grouping and a join
-    on the shuffled edge table; nothing is gathered on the driver but a count and a sum.
+    on the shuffled edge table; nothing is gathered on the driver but whether a node is left
+    that stands on both sides or has two smaller neighbours.
     """
     now = pins.pin(_forward(edges), "edges")
-    before = None
-    while True:
-        state = now.agg(F.count("a"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
-        if tuple(state) == before or state[0] == 0:
-            break
-        before = tuple(state)
+    while _unfinished(now):
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b")
-        down = _forward(large)
+        down = large.where("a <> b")
         smallest = down.groupBy("b").agg(F.min("a").alias("m"))
         small = down.join(smallest, "b")
         spread = small.select(F.explode(F.array(F.struct(F.col("m").alias("a"), F.col("b")), F.struct(F.col("m").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
@@ -45,40 +57,142 @@ def components(edges: DataFrame, pins: Pins) -> DataFrame:
     return now.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
+def _unfinished(edges: DataFrame) -> bool:
+    sides = edges.select("a", "b").withColumn("s", F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))))
+    seen = sides.select(F.explode("s").alias("s")).groupBy("s.node").agg(F.sum("s.up").alias("up"), F.sum("s.down").alias("down"))
+    return bool(seen.where("down > 1 or (up > 0 and down > 0)").take(1))
+
+
 def _forward(edges: DataFrame) -> DataFrame:
     return edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def link(postings: DataFrame, verify: Verify, percent: int, pins: Pins) -> DataFrame:
+def _fits(x, y, percent: int):
+    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+
+
+def verify_pairs(pairs: DataFrame, texts: DataFrame, sets: Sets, percent: int) -> DataFrame:
+    """Pairs (a, b) whose whole sets reach the similarity."""
+
+    def run(batches):
+        for batch in batches:
+            n = batch.num_rows
+            kept = np.zeros(n, dtype=bool)
+            # The two rows of a pair lie next to each other, so that one set at most waits for its partner.
+            both = pa.concat_arrays([batch[c].cast(pa.large_string()) for c in ("ta", "tb")]).take(pa.array(np.arange(2 * n).reshape(2, n).T.ravel()))
+            waiting = None
+            for at, end, h, bounds in sets(both):
+                for k in range(at, end):
+                    own = h[bounds[k - at] : bounds[k - at + 1]]
+                    if k % 2:
+                        kept[k // 2] = textops.jaccard_at_least(waiting, own, percent)
+                    else:
+                        waiting = own.copy()
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(kept))
+
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
+    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb"), run, "a long, b long")
+
+
+def _similar(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which pairs of two lists of distinct hashes reach the similarity."""
+    size_l, size_r = (np.array([len(x) for x in side], dtype=np.int64) for side in (left, right))
+    flat_l, flat_r = np.concatenate(left), np.concatenate(right)
+    both = np.intersect1d(flat_l, flat_r)
+    places = []
+    for flat, size in ((flat_l, size_l), (flat_r, size_r)):
+        at = np.searchsorted(both, flat)
+        at[at == len(both)] = 0
+        there = both[at] == flat if len(both) else np.zeros(len(flat), dtype=bool)
+        places.append((np.repeat(np.arange(len(size)), size)[there], at[there]))
+    common = np.zeros((len(left), len(right)), dtype=np.float32)
+    for first in range(0, len(both), 4096):
+        width = min(4096, len(both) - first)
+        grids = []
+        for (row, at), n in zip(places, (len(left), len(right))):
+            own = (at >= first) & (at < first + width)
+            grid = np.zeros((n, width), dtype=np.float32)
+            grid[row[own], at[own] - first] = 1
+            grids.append(grid)
+        common += grids[0] @ grids[1].T
+    common = common.astype(np.int64)
+    return (common > 0) & (100 * common >= percent * (size_l[:, None] + size_r[None, :] - common))
+
+
+def verify_blocks(members: DataFrame, sets: Sets, percent: int) -> DataFrame:
+    """Links (a, b) that join different components of a family.
+
+    ``members`` (family, root, node, size, text) holds whole families. A pair of blocks yields
+    at most one link for each two components that it joins.
+    """
+    rank = Window.partitionBy("family").orderBy(F.desc("root_size"), "root", "node")
+    total = F.sum("size").over(rank.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    counted = members.withColumn("root_size", F.count("*").over(Window.partitionBy("family", "root")))
+    cut = counted.withColumn("block", F.floor(total / BLOCK_SHINGLES) + F.floor((F.row_number().over(rank) - 1) / BLOCK_NODES)).select("family", "block", "node", "root", "text")
+    blocks = cut.groupBy("family", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    left, right = blocks.toDF("family", "i", "li", "hi"), blocks.toDF("family", "j", "lj", "hj")
+    two = left.join(right, "family").where("i <= j and not (li = hi and lj = hj and li = lj)").select("family", "i", "j")
+    # A pair of blocks is one group; a block compared with itself stands on both sides.
+    sides = two.select("family", "i", "j", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("i").alias("block")), F.struct(F.lit(1).alias("side"), F.col("j").alias("block")))).alias("s")).select("family", "i", "j", "s.side", "s.block")
+    rows = sides.join(cut, ["family", "block"]).select("family", "i", "j", "side", "node", "root", "text")
+
+    def run(group: pa.Table) -> pa.Table:
+        parts = []
+        for side in (0, 1):
+            own = group.filter(pa.array(group["side"].to_numpy() == side)).combine_chunks()
+            found = []
+            for column in own["text"].chunks:
+                for at, end, h, bounds in sets(column):
+                    found += [h[bounds[k] : bounds[k + 1]].copy() for k in range(end - at)]
+            parts.append((own["node"].to_numpy(), own["root"].to_numpy(), found))
+        (na, ra, sa), (nb, rb, sb) = parts
+        a, b = np.nonzero(_similar(sa, sb, percent) & (ra[:, None] != rb[None, :]))
+        joined = np.stack([np.minimum(ra[a], rb[b]), np.maximum(ra[a], rb[b])], 1)
+        _, first = np.unique(joined, axis=0, return_index=True)
+        return pa.table({"a": na[a[first]], "b": nb[b[first]]})
+
+    ship(members.sparkSession)
+    return rows.groupBy("family", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins: Pins) -> DataFrame:
     """Components (node, root) of all nodes that have a verified link.
 
-    ``postings`` is a pinned table of distinct (bucket, node, need, size): two nodes are
+    ``postings`` is a pinned table of distinct (bucket, node, need, size, own, core): two nodes are
     candidates if they share at least the smaller of their ``need`` buckets and their sizes
-    allow the similarity. ``verify`` gets pairs (a, b) and returns those that are linked.
+    allow the similarity; of the buckets that linked nodes share, at least one is ``core`` to both.
+    ``own`` is the share of a node's shingles that no other node has. ``texts`` (node, text)
+    has the texts that ``sets`` makes shingle sets of.
     """
-    fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
-    hubs = postings.groupBy("bucket").agg(F.min_by(F.struct("node", "size"), "node").alias("hub"))
-    met = postings.join(hubs, "bucket").where((F.col("node") != F.col("hub.node")) & fits(F.col("size"), F.col("hub.size")))
-    best = (
-        met.groupBy("node", F.col("hub.node").alias("hub")).count()
-        .withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy(F.desc("count"), "hub")))
-        .where("place = 1").select(F.col("hub").alias("a"), F.col("node").alias("b"))
-    )
-    stars = pins.pin(verify(best), "stars")
+    hubs = postings.groupBy("bucket").agg(F.min(F.struct("own", "node", "size", "need")).alias("hub"))
+    met = postings.join(hubs, "bucket").where((F.col("node") != F.col("hub.node")) & _fits(F.col("size"), F.col("hub.size"), percent))
+    candidates = met.groupBy("node", F.struct("hub.own", "hub.node").alias("hub")).agg(F.count("*").alias("n"), F.min(F.least("need", "hub.need")).alias("need")).where("n >= need")
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("n"), "hub"))
+    followed = pins.pin(candidates.select(F.col("hub.node").alias("a"), F.col("node").alias("b"), place.alias("place")), "followed")
+    stars = pins.pin(verify_pairs(followed.where("place = 1"), texts, sets, percent), "stars")
     roots = pins.pin(components(stars, pins), "roots")
+    families = pins.pin(components(followed, pins).withColumnRenamed("root", "family"), "families")
+
+    placed = postings.select("node", "size").distinct().join(families, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = placed.groupBy("family").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("family")
+    inside = pins.pin(placed.join(several, "family", "left_semi"), "inside")
+    links = stars
+    if inside.take(1):
+        within = pins.pin(verify_blocks(inside.join(texts, "node"), sets, percent), "within")
+        links = links.union(within)
+        roots = pins.pin(components(links, pins), "roots")
 
-    placed = postings.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    rest = pins.pin(placed.join(mixed, "bucket", "left_semi"), "rest")
-    sides = rest.select("bucket", "root").distinct()
-    across = sides.select("bucket", F.col("root").alias("ra")).join(sides.select("bucket", F.col("root").alias("rb")), "bucket").where("ra < rb")
-    left = rest.select("bucket", F.col("root").alias("ra"), F.col("node").alias("na"), F.col("need").alias("da"), F.col("size").alias("sa"))
-    right = rest.select("bucket", F.col("root").alias("rb"), F.col("node").alias("nb"), F.col("need").alias("db"), F.col("size").alias("sb"))
-    pairs = (
-        across.join(left, ["bucket", "ra"]).join(right, ["bucket", "rb"]).where(fits(F.col("sa"), F.col("sb")))
-        .groupBy(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
-        .agg(F.count("*").alias("n"), F.min(F.least("da", "db")).alias("need")).where("n >= need").select("a", "b")
-    )
-    more = pins.pin(verify(pairs), "more")
-    found = components(stars.union(more), pins) if more.take(1) else roots
-    return found
+    named = families.join(roots, "node", "left").select("node", "family", F.coalesce("root", "node").alias("root"))
+    core = postings.where("core").select("bucket", "node", "size").join(named, "node", "left").withColumn("root", F.coalesce("root", "node")).withColumn("family", F.coalesce("family", "node"))
+    mixed = core.groupBy("bucket").agg(F.min("family").alias("low"), F.max("family").alias("high")).where("low <> high").select("bucket")
+    rest = pins.pin(core.join(mixed, "bucket", "left_semi"), "rest")
+    part = rest.select("bucket", "root", "family").distinct()
+    across = part.toDF("bucket", "ra", "fa").join(part.toDF("bucket", "rb", "fb"), "bucket").where("fa < fb and ra <> rb")
+    left, right = rest.toDF("na", "bucket", "sa", "fa", "ra"), rest.toDF("nb", "bucket", "sb", "fb", "rb")
+    pairs = pins.pin(across.join(left, ["bucket", "ra", "fa"]).join(right, ["bucket", "rb", "fb"]).where(_fits(F.col("sa"), F.col("sb"), percent)).select(F.col("na").alias("a"), F.col("nb").alias("b")).distinct(), "pairs")
+    # Before whole sets are compared, a pair must share enough buckets of its whole prefixes.
+    held = postings.groupBy("node").agg(F.collect_set("bucket").alias("buckets"), F.min("need").alias("need"))
+    shared = pairs.join(held.toDF("a", "ba", "da"), "a").join(held.toDF("b", "bb", "db"), "b").where(F.size(F.array_intersect("ba", "bb")) >= F.least("da", "db")).select("a", "b")
+    more = pins.pin(verify_pairs(shared, texts, sets, percent), "more")
+    return components(links.union(more), pins) if more.take(1) else roots

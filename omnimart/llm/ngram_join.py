@@ -87,7 +87,7 @@ def region_postings(docs: DataFrame, percent: int, most: int = MOST) -> DataFram
 
 
 def prefixes(postings: DataFrame, percent: int, most: int = MOST) -> DataFrame:
-    """Postings (bucket, node, need, size) of each document's adaptive prefix that others share."""
+    """Postings (bucket, node, need, size, own, core) of each document's adaptive prefix that others share."""
     by_token = Window.partitionBy("token")
     shared = postings.withColumn("df", F.count("*").over(by_token)).where("df > 1")
     # Low-range shingles that no one shares come first in the order: low minus the shared ones.
@@ -108,7 +108,7 @@ def prefixes(postings: DataFrame, percent: int, most: int = MOST) -> DataFrame:
         costs.append(F.when(F.lit(k) <= needed, F.struct((met + met / k * F.greatest(F.lit(1.0), F.col("n") / 16)).alias("c"), F.lit(k).alias("need"))))
     return (
         ranked.withColumn("need", F.least(*costs)["need"]).where(F.col("at") <= least + F.col("need"))
-        .select(F.col("token").alias("bucket"), F.col("doc_id").alias("node"), "need", F.col("n").alias("size"))
+        .select(F.col("token").alias("bucket"), F.col("doc_id").alias("node"), "need", F.col("n").alias("size"), (F.col("alone") / F.col("n")).alias("own"), (F.col("at") <= least + 1).alias("core"))
     )
 
 
@@ -116,32 +116,6 @@ def _order():
     return F.col("place") > 0, F.when(F.col("place") == 0, F.col("df")), F.col("place"), F.col("token")
 
 
-def verify_texts(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose whole shingle sets reach the similarity."""
-
-    def run(batches):
-        for batch in batches:
-            kept = np.zeros(batch.num_rows, dtype=bool)
-            both = pa.concat_arrays([batch["ta"].cast(pa.large_string()), batch["tb"].cast(pa.large_string())])
-            n = batch.num_rows
-            # Rows a and b of a pair lie next to each other, so that a piece holds few open pairs.
-            both = both.take(pa.array(np.arange(2 * n).reshape(2, n).T.ravel()))
-            waiting = None
-            for at, end, h, bounds in textops.word_sets(both):
-                for k in range(at, end):
-                    own = h[bounds[k - at] : bounds[k - at + 1]]
-                    if k % 2:
-                        kept[k // 2] = textops.jaccard_at_least(waiting, own, percent)
-                    else:
-                        waiting = own
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(kept))
-
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-    return map_batches(both, run, "a long, b long")
-
-
 def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest id reachable by links) of every document."""
     pins = Pins(docs.sparkSession)
@@ -153,9 +127,9 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     alone = pins.join(docs, copies, "doc_id", "left_anti")
     # A repeated id with other texts keeps each of them; equal rows count once.
     postings = prefixes(region_postings(alone, percent), percent)
-    prefix = pins.pin(postings.groupBy("bucket", "node").agg(F.min("need").alias("need"), F.max("size").alias("size")), "prefix")
-    wanted = pins.pin(prefix.select(F.col("node").alias("doc_id")).distinct(), "wanted")
-    texts = pins.pin(pins.join(docs, wanted, "doc_id", "left_semi"), "texts")
-    roots = link(prefix, lambda pairs: verify_texts(pairs, texts, percent), percent, pins)
+    prefix = pins.pin(postings.groupBy("bucket", "node").agg(F.min("need").alias("need"), F.max("size").alias("size"), F.min("own").alias("own"), F.max("core").alias("core")), "prefix")
+    wanted = pins.pin(prefix.select("node").distinct(), "wanted")
+    texts = pins.pin(pins.join(docs.withColumnRenamed("doc_id", "node"), wanted, "node", "left_semi"), "texts")
+    roots = link(prefix, texts, textops.word_sets, percent, pins)
     found = members.join(roots.withColumnRenamed("node", "first"), "first", "left").select("doc_id", "n_shingles", F.coalesce("root", "first").alias("component_id"))
     return found

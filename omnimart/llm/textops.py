@@ -59,7 +59,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return up, down
 
 
-def pieces(texts: pa.Array, limit: int = 1 << 20, rows: int = 20_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def pieces(texts: pa.Array, limit: int = 1 << 17, rows: int = 20_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a text column into runs of rows of about ``limit`` bytes: first row, end row, bytes, offsets.
 
     Nulls count as empty. A single longer text is a piece of its own.
