@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,17 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(jvm_path))
 
 
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Digest of names, sizes and modification times of the files directly below a folder and
+    below its folders."""
+    jvm_path, fs = _path(spark, path)
+    found = []
+    for status in fs.listStatus(jvm_path):
+        below = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [(s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in below]
+    return hashlib.sha256(repr(sorted(found)).encode()).hexdigest()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Create or replace a file."""
     jvm_path, fs = _path(spark, path)
@@ -45,6 +57,12 @@ def publish_text(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file, or a folder with all below it."""
+    jvm_path, fs = _path(spark, path)
+    fs.delete(jvm_path, True)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 

@@ -12,7 +12,7 @@ COMPARABLE = "decimal(28,4)"
 def tile_scores(
     df: DataFrame, key: str, measures: dict[str, Column], tiles: int = 4
 ) -> DataFrame:
-    """Add ``ntile(tiles) over (order by measure, key)`` for each named measure.
+    """Add ``ntile(tiles) over (order by measure nulls last, key)`` for each named measure.
 
     All measures are sorted together by one range shuffle on (measure, value, key).
     The key is unique, so even a value shared by most rows is spread over many
@@ -23,10 +23,14 @@ def tile_scores(
     base = pin(df, "tiles-base")
     names = list(measures)
     entries = [
-        F.struct(F.lit(i).alias("measure"), measures[name].cast(COMPARABLE).alias("value"))
+        F.struct(
+            F.lit(i).alias("measure"),
+            measures[name].isNull().alias("missing"),
+            measures[name].cast(COMPARABLE).alias("value"),
+        )
         for i, name in enumerate(names)
     ]
-    order = ["measure", "value", "row_key"]
+    order = ["measure", "missing", "value", "row_key"]
     placed = pin(
         base.select(F.col(key).alias("row_key"), F.explode(F.array(*entries)).alias("entry"))
         .select("row_key", "entry.*")
@@ -42,8 +46,12 @@ def tile_scores(
         score = F.lit(1)
         value = measures[name].cast(COMPARABLE)
         for end in (row for row in bounds if row["measure"] == i):
-            last = F.lit(end["value"]).cast(COMPARABLE)
-            after = (value > last) | ((value == last) & (F.col(key) > F.lit(end["row_key"])))
+            later_key = F.col(key) > F.lit(end["row_key"])
+            if end["missing"]:
+                after = value.isNull() & later_key
+            else:
+                last = F.lit(end["value"]).cast(COMPARABLE)
+                after = value.isNull() | (value > last) | ((value == last) & later_key)
             score = score + after.cast("int")
         scores.append(score.alias(name))
     return base.select("*", *scores)
@@ -70,5 +78,5 @@ def _tile_ends(placed: DataFrame, tiles: int) -> DataFrame:
     return (
         placed.join(F.broadcast(offsets), ["measure", "part"])
         .filter(rank.isin(*ends))
-        .select("measure", "value", "row_key")
+        .select("measure", "missing", "value", "row_key")
     )

@@ -14,6 +14,9 @@ from omnimart.session import pin
 
 PART = "_part"
 
+#: Partition of rows without a time.
+UNDATED = "none"
+
 
 class SchemaDrift(ValueError):
     """Incoming columns differ from the stored ones."""
@@ -34,17 +37,26 @@ class KeyedTable:
     small manifest naming the folder of every partition; readers follow the newest
     manifest. Untouched partitions are never rewritten, and a write that fails
     leaves the current version as it was. One writer at a time is assumed.
+
+    With ``held`` a commit is only seen by this object until ``publish`` writes its
+    manifest; without that, the next writer starts again from the stored version.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str, partition: Column):
+    def __init__(
+        self, spark: SparkSession, path: str, key: str, partition: Column, held: bool = False
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
-        self.partition = F.coalesce(partition, F.lit("none"))
+        self.partition = F.coalesce(partition, F.lit(UNDATED))
+        self.held = held
+        self._pending: dict | None = None
 
     # -- reading -----------------------------------------------------------
 
     def _manifest(self) -> dict:
+        if self._pending is not None:
+            return self._pending
         versions = [n for n in files.children(self.spark, f"{self.path}/manifest") if n[0] != "."]
         if not versions:
             return {"version": 0, "parts": {}, "schema": None}
@@ -79,8 +91,8 @@ class KeyedTable:
 
     def watermark(self, time: str):
         """Largest stored ``time``, or None. Partitions must be named in time order,
-        so that one column of the last one is all there is to read."""
-        names = self.partitions()
+        so that one column of the last dated one is all there is to read."""
+        names = [name for name in self.partitions() if name != UNDATED]
         if not names:
             return None
         newest = self.read(names[-1:]).agg(F.max(time).cast("timestamp_ntz")).first()[0]
@@ -93,8 +105,10 @@ class KeyedTable:
         manifest = self._manifest()
         version = manifest["version"] + 1
         folder = f"{self.path}/data/_version={version}"
-        # Rebalancing gathers a partition into few files and splits an oversized one.
-        rows.hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(folder)
+        # Rebalancing gathers a partition into few files and splits an oversized one; in the
+        # order of the key, row groups can be skipped by key range.
+        gathered = rows.hint("rebalance", PART).sortWithinPartitions(PART, self.key)
+        gathered.write.mode("overwrite").partitionBy(PART).parquet(folder)
         written = [
             name.split("=", 1)[1]
             for name in files.children(self.spark, folder)
@@ -106,11 +120,23 @@ class KeyedTable:
         parts = {p: v for p, v in manifest["parts"].items() if p not in set(touched)}
         parts.update({p: version for p in written})
         schema = T.StructType([f for f in rows.schema if f.name != PART])
+        self._pending = {
+            "version": version,
+            "parts": parts,
+            "schema": schema.jsonValue(),
+        }
+        if not self.held:
+            self.publish()
+
+    def publish(self) -> None:
+        """Make what was committed the state that all readers see."""
+        if self._pending is None:
+            return
+        content = {k: self._pending[k] for k in ("version", "parts", "schema")}
         files.publish_text(
-            self.spark,
-            f"{self.path}/manifest/{version:010d}.json",
-            json.dumps({"version": version, "parts": parts, "schema": schema.jsonValue()}),
+            self.spark, f"{self.path}/manifest/{content['version']:010d}.json", json.dumps(content)
         )
+        self._pending = None
 
     def overwrite(self, rows: DataFrame) -> None:
         """Full refresh: the new rows replace every partition."""
@@ -118,10 +144,11 @@ class KeyedTable:
         self.replace(placed, sorted({*self.partitions(), *_part_names(placed)}))
 
     def merge(self, batch: DataFrame, time: str) -> None:
-        """Update rows whose key is in the batch, insert the others.
+        """Keep the latest row of each key, be it stored or in the batch.
 
-        Only partitions that receive a row or lose an older version of one are
-        rewritten; finding the latter reads just the key of the stored table.
+        The result does not depend on the order in which batches arrive. Only partitions
+        that hold a stored row of a batch key or receive a row are rewritten. Stored rows
+        are searched within the batch's key range, which skips files and row groups.
         """
         batch = pin(
             keep_latest(batch, self.key, time).withColumn(PART, self.partition), "merge-batch"
@@ -134,11 +161,13 @@ class KeyedTable:
             return
         check_schema(self.schema(), T.StructType([f for f in batch.schema if f.name != PART]))
         keys = batch.select(self.key)
-        current = self._read_with_part()
-        replaced = current.select(self.key, PART).join(keys, self.key, "left_semi")
-        touched = sorted({*incoming, *_part_names(replaced)})
+        low, high = batch.agg(F.min(self.key), F.max(self.key)).first()
+        near = self._read_with_part().filter(F.col(self.key).between(low, high))
+        stored = pin(near.join(keys, self.key, "left_semi").select(*batch.columns), "merge-stored")
+        touched = sorted({*incoming, *_part_names(stored)})
+        latest = keep_latest(stored.unionByName(batch), self.key, time)
         kept = self._read_with_part(touched).join(keys, self.key, "left_anti")
-        self.replace(kept.select(*batch.columns).unionByName(batch), touched)
+        self.replace(kept.select(*batch.columns).unionByName(latest), touched)
 
 
 def _part_names(df: DataFrame) -> list[str]:
@@ -164,11 +193,16 @@ def write_raw_zone(df: DataFrame, root: str, source: str, ingestion_date: str) -
     return folder
 
 
-def landed_files(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
-    """Files, bytes and rows per landed source."""
+def landed_files(
+    spark: SparkSession, folders: dict[str, str], ingestion_date: str | None = None
+) -> DataFrame:
+    """Files, bytes and rows per landed source, of one day if given (only its folder is read)."""
     parts = []
     for source, folder in folders.items():
-        meta = spark.read.parquet(folder).select(
+        landed = spark.read.parquet(folder)
+        if ingestion_date is not None:
+            landed = landed.filter(F.col("ingestion_date").cast("string") == ingestion_date)
+        meta = landed.select(
             F.lit(source).alias("source"),
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_size").alias("bytes"),

@@ -9,7 +9,7 @@ from threading import Lock
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from omnimart.functions.scalars import email_hash as hash_email, moment, signed_percent_text
-from omnimart.operators import checks, cube, keysets, snapshot, tables
+from omnimart.operators import checks, cube, files, keysets, snapshot, tables
 from omnimart.operators.quantiles import nearest_rank
 from omnimart.plans import contracts, core, flash, marts, quality, reports, staging
 from omnimart.plans.warehouse import Warehouse
@@ -26,7 +26,8 @@ AS_OF = datetime(2001, 11, 5, 6, 0, 0)
 BOUNDS = flash.Bounds(date(2001, 11, 5))
 
 
-_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+#: Stored models by application, folder and state of the folder's files.
+_WAREHOUSES: dict[tuple[str, str, str], Warehouse] = {}
 _WAREHOUSE_LOCK = Lock()
 
 
@@ -95,7 +96,8 @@ class Model:
     def warehouse(self) -> Warehouse:
         """Stored models, built once per session and folder."""
         spark = self.source.spark
-        key = (spark.sparkContext.applicationId, self.source.folder)
+        state = files.fingerprint(spark, self.source.folder)
+        key = (spark.sparkContext.applicationId, self.source.folder, state)
         with _WAREHOUSE_LOCK:
             if key not in _WAREHOUSES:
                 _WAREHOUSES[key] = Warehouse(self.source)
@@ -500,8 +502,8 @@ def check_score(m: Model) -> DataFrame:
 
 
 def _contracts(m: Model) -> DataFrame:
-    # Orders and events come out of a join here; payments are a plain projection.
-    raw = contracts.stored(staging.typed_sources(m.source), "orders", "retail_events")
+    # Each of these feeds several contracts, so each is read and stored once.
+    raw = contracts.stored(staging.typed_sources(m.source), "orders", "retail_events", "payments")
     return contracts.run_contracts(raw, AS_OF)
 
 
@@ -720,7 +722,7 @@ def _event_stream(m: Model, resend: bool = False) -> DataFrame:
     if resend:
         copies = F.when(F.col("event_id") % 10 == 0, 3).otherwise(1)
         raw = raw.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
-    return staging.typed_events(map_web_events(raw))
+    return staging.typed_events(map_web_events(raw, m.source.product_count()))
 
 
 def _streamed(m: Model, stream: DataFrame, name: str) -> DataFrame:
@@ -754,7 +756,10 @@ def _latency_stream(m: Model) -> DataFrame:
     """Event time and latency of the purchase events, streamed from the order lines."""
     spark, folder = m.source.spark, m.source.folder
     schema = spark.read.parquet(f"{folder}/lineitem.parquet").schema
-    lines = stream_events.read_event_files(spark, folder, schema, "lineitem.parquet")
+    return _latencies(stream_events.read_event_files(spark, folder, schema, "lineitem.parquet"))
+
+
+def _latencies(lines: DataFrame) -> DataFrame:
     latency = (180 + (F.col("l_orderkey") * 31 + F.col("l_linenumber") * 17) % 3400).cast("int")
     moment = F.unix_millis(F.col("l_shipdate").cast("timestamp")) + latency
     return lines.select(F.timestamp_millis(moment).alias("event_at"), latency.alias("latency_ms"))
@@ -763,13 +768,16 @@ def _latency_stream(m: Model) -> DataFrame:
 @query
 def stream_latency_windows(m: Model) -> DataFrame:
     windows = stream_events.latency_windows(_event_stream(m), "10 minutes")
-    return _streamed(m, windows, "windows")
+    stored = staging.typed_events(m.source.web_events())
+    return stream_events.with_open_windows(_streamed(m, windows, "windows"), stored)
 
 
 @query
 def stream_latency_alarm(m: Model) -> DataFrame:
     windows = stream_events.latency_windows(_latency_stream(m), "10 minutes")
-    return _streamed(m, stream_events.alarms(windows), "alarms")
+    stored = _latencies(m.source._read("lineitem"))
+    every = stream_events.with_open_windows(_streamed(m, windows, "alarm-windows"), stored)
+    return stream_events.alarms(every)
 
 
 @query

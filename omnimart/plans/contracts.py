@@ -264,7 +264,7 @@ def _amount_gaps(orders: DataFrame, payments: DataFrame) -> DataFrame:
     )
     paid = keep_latest(payments.select("order_id", "paid_at", "amount"), "order_id", "paid_at")
     agrees = amounts_agree(F.coalesce("amount", F.lit(-1)), F.col("due"))
-    return due.join(paid, "order_id", "left").filter(~agrees)
+    return due.join(paid, "order_id", "left").filter(_not(agrees))
 
 
 def version_overlaps(prices: DataFrame) -> DataFrame:

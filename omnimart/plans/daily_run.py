@@ -1,12 +1,17 @@
 """The daily data product: sources, landing, control, marts, reconciliation, publication.
 
-Each stage takes the result of the one before and refuses to start when that one
-did not pass. Only one-row summaries reach the driver.
+Each stage adds its findings to one gate table (stage, finding, value, limit) and ends the run
+when one of them is beyond its limit. Tables are written to folders of the run and facts are
+merged without being published; only the last stage, after all gates, switches readers over. So a
+failed run leaves the state of the last good one. All reports carry the run's id, and
+evidence counts a report only if it belongs to the newest run. Only one-row summaries
+reach the driver.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -54,6 +59,13 @@ class DailyRun:
     land_raw: bool = True
     full_refresh: bool = False
     phases: list[dict] = field(default_factory=list)
+    gates: list[dict] = field(default_factory=list)
+    run_id: str = field(default_factory=lambda: uuid.uuid4().hex[:12])
+
+    def __post_init__(self) -> None:
+        self._written: dict[str, str] = {}
+        self._facts: dict[str, KeyedTable] = {}
+        self._kpis: dict = {}
 
     # -- helpers -----------------------------------------------------------
 
@@ -61,32 +73,44 @@ class DailyRun:
         return "/".join([self.root.rstrip("/"), *parts])
 
     def report(self, name: str, content: dict) -> dict:
-        content = {**content, "generated_at": datetime.now(timezone.utc).isoformat()}
+        written = datetime.now(timezone.utc).isoformat()
+        content = {**content, "run_id": self.run_id, "generated_at": written}
         return files.write_json(self.spark, self.path("reports", f"{name}.json"), content)
 
+    def published(self) -> dict[str, str]:
+        """Folder of each full-refresh table, as readers see it."""
+        return files.read_json(self.spark, self.path("tables", "current.json")).get("folders", {})
+
     def stored(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path("tables", name))
+        return self.spark.read.parquet(self.path(self._written.get(name) or self.published()[name]))
+
+    def new_folder(self, name: str) -> str:
+        self._written[name] = f"tables/{name}/run-{self.run_id}"
+        return self.path(self._written[name])
 
     def refresh(self, name: str, df: DataFrame) -> DataFrame:
-        """Full-refresh table."""
-        df.write.mode("overwrite").parquet(self.path("tables", name))
+        """Full-refresh table, in a folder of this run."""
+        df.write.parquet(self.new_folder(name))
         return self.stored(name)
 
     def timed(self, name: str, stage: Callable[..., dict], *inputs: dict) -> dict:
         started = time.perf_counter()
         result = stage(*inputs)
-        self.phases.append(
-            {
-                "name": name,
-                "status": result["status"],
-                "duration_ms": round((time.perf_counter() - started) * 1000, 1),
-            }
-        )
+        took = round((time.perf_counter() - started) * 1000, 1)
+        self.phases.append({"name": name, "status": result["status"], "duration_ms": took})
         return result
 
-    def require(self, result: dict, *allowed: str) -> None:
-        if result.get("status") not in (allowed or (PASS,)):
-            raise GateClosed(f"previous stage ended with {result.get('status')}")
+    def gate(self, stage: str, finding: str, value, limit=0) -> None:
+        """Enter a finding; beyond its limit it closes the gate."""
+        entry = {"stage": stage, "finding": finding, "value": float(value), "limit": float(limit)}
+        self.gates.append({**entry, "passed": abs(entry["value"]) <= entry["limit"]})
+
+    def pass_gate(self, stage: str) -> None:
+        """End the run if a finding of the stage, or of one before it, is beyond its limit."""
+        closed = [g for g in self.gates if not g["passed"]]
+        if closed:
+            self.report("gates", {"status": FAIL, "stage": stage, "gates": self.gates})
+            raise GateClosed("; ".join(f"{g['stage']}: {g['finding']} {g['value']:g}" for g in closed))
 
     # -- stages ------------------------------------------------------------
 
@@ -95,19 +119,25 @@ class DailyRun:
         if hasattr(self.source, "check_present"):
             self.source.check_present()
         counts = {r["source"]: r["records"] for r in source_counts(self.source).collect()}
-        return self.report(
+        damaged = {}
+        if hasattr(self.source, "quarantine"):
+            damaged = {name: self.source.quarantine(name).count() for name in SOURCE_NAMES}
+        self.gate("extract", "damaged lines", sum(damaged.values()))
+        result = self.report(
             "source_report",
             {
-                "status": PASS,
+                "status": PASS if not any(damaged.values()) else FAIL,
                 "sources": len(counts),
                 "records": sum(counts.values()),
                 "record_counts": counts,
+                "damaged_lines": damaged,
             },
         )
+        self.pass_gate("extract")
+        return result
 
     def land(self, extracted: dict) -> dict:
         """Copy the sources to the raw zone and the events to JSON lines, then audit both."""
-        self.require(extracted)
         if not self.land_raw:
             return {"status": SKIPPED}
         day = self.as_of.strftime("%Y-%m-%d")
@@ -115,19 +145,19 @@ class DailyRun:
             name: write_raw_zone(self.source.table(name), self.root, name, day)
             for name in SOURCE_NAMES
         }
-        audit = landed_files(self.spark, folders).agg(
+        audit = landed_files(self.spark, folders, day).agg(
             F.sum("files").alias("objects"), F.sum("bytes").alias("bytes")
         )
         lines = pin(json_lines(self.source.table("retail_events")), "event-lines")
         invalid = lines.filter("not valid").count()
-        if invalid:
-            raise GateClosed(f"{invalid} events are not valid")
+        self.gate("land", "invalid events", invalid)
+        self.pass_gate("land")
         folder = self.path("raw", "event_lines", f"ingestion_date={day}")
         write_json_lines(lines, folder)
         written = self.spark.read.text(folder).count()
         expected = extracted["record_counts"]["retail_events"]
-        if written != expected:
-            raise GateClosed(f"{expected - written} events were not written")
+        self.gate("land", "events not written", expected - written)
+        self.pass_gate("land")
         return self.report(
             "landing_report",
             {
@@ -139,9 +169,8 @@ class DailyRun:
             },
         )
 
-    def control(self, landed: dict) -> dict:
+    def control(self, extracted: dict) -> dict:
         """The contracts on the raw sources and the batch, stream and payment totals."""
-        self.require(landed, PASS, SKIPPED)
         raw = contracts.stored(
             staging.typed_sources(self.source), "orders", "retail_events", "payments"
         )
@@ -149,21 +178,20 @@ class DailyRun:
         quality_row = files.one_row(score(contracts.as_check_results(results)))
         quality_row["checks"] = {r["contract"]: r["passed"] for r in results.collect()}
         reconciliation = files.one_row(total_reconciliation(raw))
+        newest = raw["retail_events"].agg(F.max("event_at").cast("timestamp_ntz")).first()[0]
+        age = (self.as_of - newest).total_seconds() / 60 if newest else None
+        quality_row["freshness_minutes"] = None if age is None else round(age, 1)
+        quality_row["row_counts"] = extracted["record_counts"]
+        self.gate("control", "failed contracts", quality_row["failed"])
+        self.gate("control", "unit delta", reconciliation["unit_delta"])
+        self.gate("control", "payment delta", reconciliation["amount_delta"], HALF_CENT)
         report = {"quality": quality_row, "reconciliation": reconciliation}
         self.report("quality_report", {**report, "run": {"phases": self.phases}})
-        if quality_row["status"] != PASS:
-            raise GateClosed(f"{quality_row['failed']} contracts failed")
-        return {
-            "status": quality_row["status"],
-            "quality_checks": quality_row["total"],
-            "score": quality_row["score"],
-            "unit_delta": reconciliation["unit_delta"],
-            "payment_delta": reconciliation["amount_delta"],
-        }
+        self.pass_gate("control")
+        return {"status": quality_row["status"], **report}
 
     def build_marts(self, controlled: dict) -> dict:
         """Dimensions, incremental facts, stock history, marts and their checks."""
-        self.require(controlled)
         src, tables = self.source, {}
         for name in ("stg_customers", "stg_products", "stg_inventory", "stg_price_history"):
             tables[name] = getattr(staging, name)(src)
@@ -197,6 +225,8 @@ class DailyRun:
         )
         stock = tables["stg_inventory"]
         history = Snapshot(self.spark, self.path("tables", "stock_history"), "product_id", STOCK_COLUMNS)
+        history.table.held = True
+        self._facts["stock_history"] = history.table
         history.apply(stock.select("product_id", *STOCK_COLUMNS), self.as_of)
         available = tables["available_to_promise"] = self.refresh(
             "available_to_promise", marts.available_to_promise(stock, sales)
@@ -210,15 +240,15 @@ class DailyRun:
         tables["repricing"] = self.refresh(
             "repricing", marts.repricing(tables["dim_product"], stock, sales)
         )
-        write_cube(sales_cube(sales, self.as_of), self.path("tables", "sales_cube"))
+        write_cube(sales_cube(sales, self.as_of), self.new_folder("sales_cube"))
 
         results = pin(run_checks(tables, quality.all_checks()), "checks")
         overall = files.one_row(score(results))
         kinds = [r.asDict() for r in summary(results).collect()]
         kpis = reports.kpi_record(
-            sales, tables["dim_product"], events, available, controlled["score"]
+            sales, tables["dim_product"], events, available, controlled["quality"]["score"]
         )
-        files.write_json(self.spark, self.path("curated", "kpis.json"), files.one_row(kpis))
+        self._kpis = files.one_row(kpis)
         self.report(
             "mart_report",
             {
@@ -226,25 +256,21 @@ class DailyRun:
                 "models": len(tables),
                 "tests": overall["total"],
                 "snapshots": 1,
+                "failed": overall["failed"],
                 "by_kind": kinds,
             },
         )
-        if overall["status"] != PASS:
-            failed = [k["failed_checks"] for k in kinds if k["failed"]]
-            raise GateClosed(f"table checks failed: {failed}")
-        return {
-            "status": overall["status"],
-            "models": len(tables),
-            "tests": overall["total"],
-            "snapshots": 1,
-            "failed": overall["failed"],
-        }
+        self.gate("marts", "failed table checks", overall["failed"])
+        self.pass_gate("marts")
+        return {"status": overall["status"], "tests": overall["total"]}
 
     def fact(self, name: str) -> KeyedTable:
         """Stored fact, in folders by day."""
         key, time = FACTS[name]
-        day = F.date_format(time, "yyyy-MM-dd")
-        return KeyedTable(self.spark, self.path("tables", name), key, day)
+        if name not in self._facts:
+            day = F.date_format(time, "yyyy-MM-dd")
+            self._facts[name] = KeyedTable(self.spark, self.path("tables", name), key, day, held=True)
+        return self._facts[name]
 
     def load_fact(self, name: str, build: Callable[[datetime | None], DataFrame]) -> DataFrame:
         """Merge rows newer than the stored maximum, or rebuild on a full refresh."""
@@ -256,34 +282,27 @@ class DailyRun:
             table.merge(core.stamp(later_than(build(newest), time, newest)), time)
         return table.read().drop("transformed_at")
 
-    def reconcile(self, controlled: dict, built: dict, landed: dict) -> dict:
-        """Agree only when every enabled path passed and both deltas vanish."""
-        statuses = [controlled["status"], built["status"]]
-        if landed["status"] != SKIPPED:
-            statuses.append(landed["status"])
-        agreed = (
-            all(s == PASS for s in statuses)
-            and controlled["unit_delta"] == 0
-            and abs(controlled["payment_delta"]) <= HALF_CENT
-        )
-        result = self.report(
-            "platform_reconciliation",
-            {
-                "status": PASS if agreed else FAIL,
-                "unit_delta": controlled["unit_delta"],
-                "payment_delta": float(controlled["payment_delta"]),
-                "quality_checks": controlled["quality_checks"],
-                "table_checks": built["tests"],
-            },
-        )
-        if not agreed:
-            raise GateClosed(f"reconciliation failed: {result}")
-        return result
+    def reconcile(self) -> dict:
+        """The gate table as a report; every stage that ran must be in it."""
+        stages = {g["stage"] for g in self.gates}
+        for stage in ("extract", "control", "marts"):
+            self.gate("reconcile", f"{stage} without findings", stage not in stages)
+        self.pass_gate("reconcile")
+        deltas = {g["finding"].replace(" ", "_"): g["value"] for g in self.gates if "delta" in g["finding"]}
+        return self.report("gates", {"status": PASS, "stage": "reconcile", "gates": self.gates, **deltas})
 
     def publish(self, reconciled: dict) -> dict:
-        """Manifest of the published files, the last thing a run writes."""
-        self.require(reconciled)
-        return self.report(
+        """Switch readers to what this run wrote, then write the manifest, the last thing of all."""
+        self.pass_gate("publish")
+        if reconciled.get("run_id") != self.run_id or reconciled.get("status") != PASS:
+            raise GateClosed("no passed gate table of this run")
+        before = self.published()
+        for table in self._facts.values():
+            table.publish()
+        current = {"run_id": self.run_id, "folders": {**before, **self._written}}
+        files.write_json(self.spark, self.path("tables", "current.json"), current)
+        files.write_json(self.spark, self.path("curated", "kpis.json"), {**self._kpis, "run_id": self.run_id})
+        manifest = self.report(
             "publish_manifest",
             {
                 "status": PUBLISHED,
@@ -292,19 +311,29 @@ class DailyRun:
                     "curated/kpis.json",
                     "reports/quality_report.json",
                     "reports/mart_report.json",
-                    "reports/platform_reconciliation.json",
+                    "reports/gates.json",
                 ],
+                "tables": current["folders"],
                 "reconciliation": reconciled,
                 "phases": list(self.phases),
             },
         )
+        self._tidy({*before.values(), *self._written.values()})
+        return manifest
+
+    def _tidy(self, kept: set[str]) -> None:
+        """Delete table folders older than the previous publication, which readers may still use."""
+        for name in self._written:
+            for folder in files.children(self.spark, self.path("tables", name)):
+                if f"tables/{name}/{folder}" not in kept:
+                    files.delete(self.spark, self.path("tables", name, folder))
 
     def run(self) -> dict:
         extracted = self.timed("extract", self.extract)
-        landed = self.timed("land", self.land, extracted)
-        controlled = self.timed("control", self.control, landed)
-        built = self.timed("marts", self.build_marts, controlled)
-        reconciled = self.timed("reconcile", self.reconcile, controlled, built, landed)
+        self.timed("land", self.land, extracted)
+        controlled = self.timed("control", self.control, extracted)
+        self.timed("marts", self.build_marts, controlled)
+        reconciled = self.timed("reconcile", self.reconcile)
         return self.timed("publish", self.publish, reconciled)
 
 
@@ -352,39 +381,54 @@ def total_reconciliation(raw: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def run_evidence(spark: SparkSession, root: str) -> dict:
-    """State of the last run from its stored reports; what is missing reads as not run."""
-
-    def stored(name: str) -> dict:
-        return files.read_json(spark, f"{root.rstrip('/')}/reports/{name}.json")
+#: Reports in the order of the stages that write them, with the status of a finished stage.
+STAGE_REPORTS = {
+    "sources": ("source_report", PASS),
+    "landing": ("landing_report", PASS),
+    "quality": ("quality_report", None),
+    "marts": ("mart_report", PASS),
+    "gates": ("gates", PASS),
+    "publication": ("publish_manifest", PUBLISHED),
+}
 
-    quality_report, sources = stored("quality_report"), stored("source_report")
-    landing, built = stored("landing_report"), stored("mart_report")
-    platform, manifest = stored("platform_reconciliation"), stored("publish_manifest")
-    checks = quality_report.get("quality", {})
-    reconciliation = quality_report.get("reconciliation", {})
-    passed = checks.get("status") == PASS and reconciliation.get("status") == PASS
-    complete = platform.get("status") == PASS and manifest.get("status") == PUBLISHED
 
-    def step(report: dict, done: str = PASS) -> str:
-        return "executed" if report.get("status") == done else "not run"
+def run_evidence(spark: SparkSession, root: str) -> dict:
+    """State of the newest run from its own reports.
 
+    The newest run is the one whose source report is stored. A report of another run, or
+    none, reads as not run, so nothing old stands in for a stage that failed.
+    """
+    found = {
+        step: files.read_json(spark, f"{root.rstrip('/')}/reports/{name}.json")
+        for step, (name, _) in STAGE_REPORTS.items()
+    }
+    run_id = found["sources"].get("run_id")
+    found = {k: r if run_id and r.get("run_id") == run_id else {} for k, r in found.items()}
+    checks = found["quality"].get("quality", {})
+    totals = found["quality"].get("reconciliation", {})
+    states = {k: found[k].get("status") if done else checks.get("status") for k, (_, done) in STAGE_REPORTS.items()}
+    done = {k: states[k] == (wanted or PASS) for k, (_, wanted) in STAGE_REPORTS.items()}
+    if done["publication"]:
+        status = PASS
+    else:
+        status = FAIL if FAIL in states.values() else NOT_RUN
     return {
-        "status": PASS if complete else NOT_RUN,
-        "publishable": passed,
+        "run_id": run_id,
+        "status": status,
+        "publishable": done["quality"] and totals.get("status") == PASS and done["gates"],
         "quality": {
             **{k: checks.get(k) for k in ("status", "score", "total", "passed", "failed")},
             "privacy_ok": checks.get("checks", {}).get("privacy.email_hash_shape", False),
         },
-        "source_records": sources.get("records"),
-        "steps": {
-            "sources": step(sources),
-            "landing": step(landing),
-            "marts": step(built),
-            "quality": step(checks),
-            "publication": step(manifest, PUBLISHED),
-        },
-        "models": built.get("models"),
-        "tests": built.get("tests"),
-        "snapshots": built.get("snapshots"),
+        "unit_delta": totals.get("unit_delta"),
+        "payment_delta": totals.get("amount_delta"),
+        "source_records": found["sources"].get("records"),
+        "landed_objects": found["landing"].get("objects"),
+        "published_events": found["landing"].get("events_published"),
+        "steps": {k: "executed" if ok else "not run" for k, ok in done.items()},
+        "models": found["marts"].get("models"),
+        "tests": found["marts"].get("tests"),
+        "failed_tests": found["marts"].get("failed"),
+        "snapshots": found["marts"].get("snapshots"),
+        "manifest": found["publication"].get("status"),
     }

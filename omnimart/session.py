@@ -2,30 +2,36 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "omnimart", cores: int | None = None, **conf: str) -> SparkSession:
-    """Session for local runs; on a cluster spark-submit's own settings win.
+    """Session for local runs; settings that spark-submit or a properties file gave win.
 
     Timestamps are UTC everywhere, and AQE coalesces small shuffle partitions,
     picks broadcast joins from measured sizes and splits skewed join partitions.
     """
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.ui.enabled", "false")
-    )
+    wanted = {
+        "spark.app.name": app,
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.ui.enabled": "false",
+    }
     if cores is not None:
-        builder = builder.master(f"local[{cores}]").config(
-            "spark.sql.shuffle.partitions", str(max(cores, 1))
-        )
-    for key, value in conf.items():
-        builder = builder.config(key, value)
+        wanted["spark.master"] = f"local[{cores}]"
+        wanted["spark.sql.shuffle.partitions"] = str(max(cores, 1))
+    if "PYSPARK_GATEWAY_PORT" in os.environ:  # started by spark-submit, whose settings are there to be read
+        SparkContext._ensure_initialized()
+    given = SparkConf()
+    builder = SparkSession.builder
+    for key, value in {**wanted, **conf}.items():
+        if not given.contains(key):
+            builder = builder.config(key, value)
     return builder.getOrCreate()
 
 

@@ -19,9 +19,6 @@ WEB_EVENT_SHIFT_DAYS = 8122
 IDENTITY_SYSTEMS = (("CRM", "CRM"), ("Ecommerce", "WEB"), ("POS", "POS"), ("Marketplace", "MKT"))
 
 
-# Schemas found so far, by table path: footers are read once per session.
-_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
-
 CHANNEL = """CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'WEB'
     WHEN o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED') THEN 'Store'
     ELSE 'MarketPlace' END AS channel"""
@@ -35,13 +32,13 @@ class StarSource:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._schemas: dict[str, T.StructType] = {}
 
     def _read(self, table: str) -> DataFrame:
         path = f"{self.folder}/{table}.parquet"
-        key = (self.spark.sparkContext.applicationId, path)
-        if key not in _SCHEMAS:
-            _SCHEMAS[key] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[key]).parquet(path)
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
 
     def table(self, name: str, since: datetime | None = None) -> DataFrame:
         build = getattr(self, f"_{name}")
@@ -133,7 +130,10 @@ class StarSource:
         return events if since is None else events.filter(F.col("event_at") >= moment(since))
 
     def web_events(self, since: datetime | None = None) -> DataFrame:
-        return map_web_events(self._read("events"), since)
+        return map_web_events(self._read("events"), self.product_count(), since)
+
+    def product_count(self) -> int:
+        return self._read("part").count()
 
     # -- master data -------------------------------------------------------
 
@@ -210,8 +210,8 @@ class StarSource:
         )
 
 
-def map_web_events(events: DataFrame, since: datetime | None = None) -> DataFrame:
-    """Web events from the events table; works on a batch and on a stream."""
+def map_web_events(events: DataFrame, products: int, since: datetime | None = None) -> DataFrame:
+    """Web events from the events table, spread over all products; for a batch and a stream."""
     shift = f"INTERVAL {WEB_EVENT_SHIFT_DAYS} DAY"
     if since is not None:
         bound = moment(since + timedelta(days=WEB_EVENT_SHIFT_DAYS)).cast("timestamp_ntz")
@@ -222,7 +222,7 @@ def map_web_events(events: DataFrame, since: datetime | None = None) -> DataFram
             WHEN 'purchase' THEN 'Checkout' ELSE event_type END AS event_type""",
         "'' AS order_id",
         "concat('WEB-', user_id) AS source_customer_id",
-        "cast(event_id % 200 AS string) AS product_id",
+        f"cast(event_id % {max(products, 1)} AS string) AS product_id",
         "'web' AS channel",
         "0 AS quantity",
         f"cast(ts - {shift} AS timestamp) AS event_at",

@@ -47,11 +47,14 @@ def json_lines(events: DataFrame, key: str = "partition_key") -> DataFrame:
     )
 
 
-def write_json_lines(lines: DataFrame, path: str, spread: int = 8) -> None:
+def write_json_lines(lines: DataFrame, path: str, spread: int | None = None) -> None:
     """JSON files of at most 500 records, grouped by key; a second write replaces the first.
 
-    A very frequent key is spread over several tasks by a hash of the record.
+    A very frequent key is spread over several tasks by a hash of the record, over as
+    many as a shuffle has partitions if not said otherwise.
     """
+    if spread is None:
+        spread = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         lines.withColumn("_spread", F.pmod(F.xxhash64("value"), F.lit(spread)))
         .repartition("key", "_spread")
@@ -70,10 +73,15 @@ def route_validated(good_path: str, failed_path: str) -> Callable[[DataFrame, in
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        for result, path in ((OK, good_path), (FAILED, failed_path)):
-            batch.filter(F.col("result") == result).write.mode("overwrite").parquet(
-                f"{path}/batch={batch_id}"
-            )
+        # Kept between the two writes, so that a batch is read and validated once.
+        batch.persist()
+        try:
+            for result, path in ((OK, good_path), (FAILED, failed_path)):
+                batch.filter(F.col("result") == result).write.mode("overwrite").parquet(
+                    f"{path}/batch={batch_id}"
+                )
+        finally:
+            batch.unpersist()
 
     return handle
 

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from omnimart.operators import files
 from omnimart.operators.cube import reconciliation_cube
-from omnimart.plans import reports
+from omnimart.operators.checks import accepted
+from omnimart.plans import quality, reports
 from omnimart.plans.daily_run import DailyRun, GateClosed, run_evidence
 from omnimart.sources.landing import LandingSource
 from omnimart.sources.synthetic import SyntheticSource
@@ -30,6 +31,7 @@ def test_run_publishes(published, spark):
     assert manifest["status"] == "PUBLISHED"
     assert manifest["reconciliation"]["unit_delta"] == 0
     assert manifest["reconciliation"]["payment_delta"] == 0
+    assert all(g["passed"] for g in manifest["reconciliation"]["gates"])
     assert [p["name"] for p in manifest["phases"]] == ["extract", "land", "control", "marts", "reconcile"]
     for artifact in manifest["artifacts"]:
         assert files.exists(spark, f"{root}/{artifact}")
@@ -37,6 +39,7 @@ def test_run_publishes(published, spark):
     assert (sources["sources"], sources["records"]) == (8, 5928)
     checks = files.read_json(spark, f"{root}/reports/quality_report.json")["quality"]
     assert (checks["total"], checks["passed"], checks["score"]) == (24, 24, 100.0)
+    assert sum(checks["row_counts"].values()) == 5928 and checks["freshness_minutes"] is not None
     marts = files.read_json(spark, f"{root}/reports/mart_report.json")
     assert (marts["models"], marts["tests"], marts["snapshots"]) == (19, 77, 1)
     landing = files.read_json(spark, f"{root}/reports/landing_report.json")
@@ -51,7 +54,7 @@ def test_tables_have_their_rows(published, spark):
     assert run.stored("dim_product_price").count() == 24
     assert run.stored("fct_payments").count() == 960
     assert run.stored("available_to_promise").filter("available_to_promise < 0").count() == 0
-    assert spark.read.parquet(f"{root}/tables/sales_cube").count() == 12
+    assert run.stored("sales_cube").count() == 12
 
 
 def test_evidence(published, spark):
@@ -61,6 +64,8 @@ def test_evidence(published, spark):
     assert (after["status"], after["publishable"], after["source_records"]) == ("PASS", True, 5928)
     assert after["quality"]["privacy_ok"] is True
     assert set(after["steps"].values()) == {"executed"}
+    assert (after["published_events"], after["failed_tests"], after["manifest"]) == (3160, 0, "PUBLISHED")
+    assert after["landed_objects"] >= 8 and after["unit_delta"] == 0
 
 
 def test_second_run_is_incremental(published, spark):
@@ -111,22 +116,63 @@ def test_failed_contract_closes_the_gate(published, spark, tmp_path):
     source = Changed(
         published["source"], "payments", lambda d: d.withColumn("status", F.lit("pending"))
     )
-    with pytest.raises(GateClosed):
+    with pytest.raises(GateClosed, match="failed contracts"):
         DailyRun(spark, source, str(tmp_path / "out"), END, land_raw=False).run()
     assert not files.exists(spark, str(tmp_path / "out" / "reports" / "publish_manifest.json"))
     evidence = run_evidence(spark, str(tmp_path / "out"))
-    assert (evidence["status"], evidence["publishable"]) == ("NOT_RUN", False)
-
-
-def test_stages_refuse_a_failed_predecessor(published, spark, tmp_path):
+    assert (evidence["status"], evidence["publishable"]) == ("FAIL", False)
+
+
+def test_a_failed_day_leaves_the_day_before(published, spark, tmp_path, monkeypatch):
+    """Tables, facts and KPIs of day one stay as they are, and evidence speaks of day two."""
+    root, later = str(tmp_path / "out"), END + timedelta(hours=2)
+    DailyRun(spark, published["source"], root, END).run()
+    first = DailyRun(spark, published["source"], root, END)
+    before = {t: sorted(map(str, first.stored(t).collect())) for t in ("available_to_promise", "sales_cube")}
+    facts = sorted(map(str, first.fact("fct_sales").read().collect()))
+    kpis = files.read_json(spark, f"{root}/curated/kpis.json")
+    day_one = run_evidence(spark, root)["run_id"]
+
+    checks = [*quality.all_checks(), accepted("dim_product", "currency", ["none"])]
+    monkeypatch.setattr(quality, "all_checks", lambda: checks)
+    half = Changed(published["source"], "inventory", lambda d: d.withColumn("incoming", F.col("incoming") + 1))
+    second = DailyRun(spark, half, root, later, full_refresh=True)
+    with pytest.raises(GateClosed, match="table checks"):
+        second.run()
+    again = DailyRun(spark, published["source"], root, later)
+    assert before == {t: sorted(map(str, again.stored(t).collect())) for t in before}
+    assert facts == sorted(map(str, again.fact("fct_sales").read().collect()))
+    assert files.read_json(spark, f"{root}/curated/kpis.json") == kpis
+    evidence = run_evidence(spark, root)
+    assert evidence["run_id"] == second.run_id != day_one
+    assert evidence["status"] == "FAIL" and evidence["manifest"] is None and not evidence["publishable"]
+    assert evidence["steps"]["publication"] == "not run" and evidence["failed_tests"] > 0
+
+
+def test_damaged_lines_close_the_gate(spark, tmp_path):
+    SyntheticSource(spark, END).write_csv(str(tmp_path / "in"))
+    target = next((tmp_path / "in").glob("payments*"))
+    part = next(target.glob("*.csv")) if target.is_dir() else target
+    part.write_text(part.read_text() + "T-x,O-x,abc,EUR,settled,card,2026-09-01T10:00:00+00:00\n")
+    for crc in part.parent.glob(f".{part.name}.crc"):
+        crc.unlink()
+    with pytest.raises(GateClosed, match="damaged lines 1"):
+        DailyRun(spark, LandingSource(spark, str(tmp_path / "in")), str(tmp_path / "out"), END).run()
+    assert run_evidence(spark, str(tmp_path / "out"))["status"] == "FAIL"
+
+
+def test_gate_table(spark, published, tmp_path):
     run = DailyRun(spark, published["source"], str(tmp_path), END)
-    failed = {"status": "FAIL"}
-    for stage in (run.land, run.control, run.build_marts, run.publish):
-        with pytest.raises(GateClosed):
-            stage(failed)
-    ok = {"status": "PASS", "unit_delta": 0, "payment_delta": 0, "quality_checks": 24, "tests": 77}
-    with pytest.raises(GateClosed):
-        run.reconcile({**ok, "unit_delta": 1}, ok, {"status": "SKIPPED"})
+    for stage in ("extract", "control", "marts"):
+        run.gate(stage, "rows", 0)
+    run.gate("control", "payment delta", 0.004, 0.005)
+    passed = run.reconcile()
+    assert passed["status"] == "PASS" and passed["payment_delta"] == 0.004
     with pytest.raises(GateClosed):
-        run.reconcile(ok, ok, failed)
-    assert run.reconcile(ok, ok, {"status": "SKIPPED"})["status"] == "PASS"
+        DailyRun(spark, published["source"], str(tmp_path), END).publish(passed)
+    run.gate("control", "unit delta", -1)
+    for stage in (run.reconcile, lambda: run.publish(passed)):
+        with pytest.raises(GateClosed, match="unit delta -1"):
+            stage()
+    with pytest.raises(GateClosed, match="without findings"):
+        DailyRun(spark, published["source"], str(tmp_path), END).reconcile()

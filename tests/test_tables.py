@@ -44,6 +44,41 @@ def test_merge_is_repeatable(spark, table):
     assert content(table) == [(1, 1), (2, 1)]
 
 
+def test_an_older_row_never_replaces_a_newer_one(spark, table):
+    """Whatever the order of the batches, the newest row of a key is what stays."""
+    first, second = [(1, 1, day(5)), (2, 1, day(2))], [(1, 2, day(6)), (2, 0, day(1)), (3, 1, None)]
+    for batches in ((first, second), (second, first)):
+        for batch in batches:
+            table.merge(spark.createDataFrame(batch, KIND), "at")
+        assert content(table) == [(1, 2), (2, 1), (3, 1)]
+        table.overwrite(spark.createDataFrame([], KIND))
+
+
+def test_null_times_do_not_hide_the_watermark(spark, table):
+    table.merge(spark.createDataFrame([(1, 1, day(3)), (2, 1, None)], KIND), "at")
+    assert table.watermark("at") == day(3)
+    late = spark.createDataFrame([(3, 1, day(2)), (4, 1, day(4))], KIND)
+    table.merge(tables.later_than(late, "at", table.watermark("at")), "at")
+    assert content(table) == [(1, 1), (2, 1), (4, 1)]
+
+
+def test_merge_reads_the_key_range_of_the_batch(spark, table, plan):
+    table.merge(spark.createDataFrame([(k, 1, day(1)) for k in range(50)], KIND), "at")
+    near = table._read_with_part().filter(F.col("id").between(3, 5))
+    assert "GreaterThanOrEqual(id,3)" in plan(near) and "LessThanOrEqual(id,5)" in plan(near)
+
+
+def test_held_commits_are_seen_after_publication(spark, tmp_path):
+    path, part = str(tmp_path / "t"), F.date_format("at", "yyyy-MM-dd")
+    held = tables.KeyedTable(spark, path, "id", part, held=True)
+    held.merge(spark.createDataFrame([(1, 1, day(1))], KIND), "at")
+    held.merge(spark.createDataFrame([(2, 1, day(1))], KIND), "at")
+    other = tables.KeyedTable(spark, path, "id", part)
+    assert content(held) == [(1, 1), (2, 1)] and not other.exists()
+    held.publish()
+    assert content(other) == [(1, 1), (2, 1)]
+
+
 def test_rows_up_to_the_watermark_never_arrive(spark, table):
     table.merge(spark.createDataFrame([(1, 1, day(5))], KIND), "at")
     late = spark.createDataFrame([(2, 1, day(4)), (1, 7, day(5)), (3, 1, day(6))], KIND)
@@ -115,6 +150,8 @@ def test_raw_zone_replaces_only_its_day(spark, tmp_path):
     assert sorted(r["count"] for r in counts) == [3, 7]
     audit = tables.landed_files(spark, {"orders": folder}).first()
     assert audit["rows"] == 10 and audit["bytes"] > 0
+    today = tables.landed_files(spark, {"orders": folder}, "2026-01-02").first()
+    assert today["rows"] == 7 and 0 < today["bytes"] < audit["bytes"]
 
 
 def test_csv_export_quotes_every_value(spark, tmp_path):
