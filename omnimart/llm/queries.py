@@ -46,9 +46,10 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Per document: its lines, how many went, and length and checksum of the text that is left."""
+    """Per document: its lines, how many went, and length and digest of the text that is left."""
     found = line_dedup.dedup_lines(_table(spark, folder, "documents"))
-    return found.select("doc_id", "n_lines", "n_removed", F.length("text").alias("n_chars_left"), F.crc32("text").alias("text_crc32"))
+    counts = [F.col(c).cast("long").alias(c) for c in ("n_lines", "n_removed")]
+    return found.select("doc_id", *counts, F.length("text").cast("long").alias("n_chars_left"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
@@ -108,4 +109,78 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _shingles(table: str, key: str) -> str:
+    """Distinct word shingles of a table, as SQL: (id, s)."""
+    return f"""SELECT DISTINCT {key} AS id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+        FROM (SELECT {key}, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w
+              FROM {table} WHERE text IS NOT NULL AND {key} IS NOT NULL) AS words,
+             unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS pos(i)
+        WHERE len(w) > 0"""
+
+
+#: Smallest node reachable from each node of edge(a, b), which has both directions.
+_REACH = "reach(a, b) AS (SELECT a, b FROM edge UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a)"
+
+_HOST_RULES = ", ".join(f"('{r.text}', '{r.text.partition('/')[0]}', '/{r.text.partition('/')[2]}', '{r.verdict}')" for r in URL_RULES if r.host)
+
+ORACLES: dict[str, str] = {
+    "op2_url_filter": f"""
+        WITH rest AS (SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') = 0 THEN ''
+                        ELSE substr(url, strpos(url, '://') + 3) END AS r FROM pages),
+        cut AS (SELECT page_id, r, regexp_extract(r, '^[^/?#]*') AS h FROM rest),
+        parts AS (SELECT row_number() OVER () AS nth, page_id, translate(h, '{_UPPER}', '{_LOWER}') AS host,
+                         regexp_extract(substr(r, length(h) + 1), '^[^?#]*') AS path FROM cut),
+        rules(rule, own, start, verdict) AS (VALUES {_HOST_RULES}),
+        best AS (SELECT nth, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+                 FROM parts JOIN rules ON (host = own OR ends_with(host, '.' || own)) AND starts_with(path, start) GROUP BY nth),
+        found AS (SELECT page_id, host, path, rule, verdict,
+                         CASE WHEN rule IS NOT NULL THEN NULL
+                              WHEN contains(host || path, '.cheap-pills.') THEN '*.cheap-pills.*'
+                              WHEN contains(host || path, 'cheap-pills.') THEN 'cheap-pills.*'
+                              WHEN contains(host || path, 'free-bets.') THEN '*free-bets.*'
+                              WHEN contains(host || path, 'ads-track.') THEN '*ads-track.*' END AS pattern
+                  FROM parts LEFT JOIN best USING (nth))
+        SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN pattern IS NULL THEN 'allow' ELSE 'block' END) AS verdict, pattern
+        FROM found""",
+    "op3_line_dedup": f"""
+        WITH RECURSIVE line AS (SELECT doc_id, i, string_split(text, chr(10))[i] AS l
+            FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS pos(i) WHERE text IS NOT NULL),
+        full_line AS (SELECT * FROM line WHERE trim(l, ' ' || chr(9) || chr(13)) <> ''),
+        node AS (SELECT l, row_number() OVER (ORDER BY min((doc_id, i))) AS n, min((doc_id, i)) AS first FROM full_line GROUP BY l),
+        shingle AS MATERIALIZED (SELECT DISTINCT n, substr(l, k, {line_dedup.CHARS}) AS s
+            FROM node, unnest(range(1, greatest(length(l) - {line_dedup.CHARS - 1}, 1) + 1)) AS pos(k)),
+        size AS (SELECT n, count(*) AS c FROM shingle GROUP BY n),
+        pair AS (SELECT x.n AS a, y.n AS b, count(*) AS same FROM shingle x JOIN shingle y ON x.s = y.s AND x.n < y.n GROUP BY 1, 2),
+        link AS (SELECT a, b FROM pair JOIN size p ON p.n = a JOIN size q ON q.n = b WHERE 100 * same >= {line_dedup.PERCENT} * (p.c + q.c - same)),
+        edge AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+        {_REACH},
+        root AS (SELECT a AS n, least(a, min(b)) AS r FROM reach GROUP BY a),
+        -- Nodes are numbered by first occurrence, so a component's smallest node has its first line.
+        kept AS (SELECT doc_id, i, l FROM full_line JOIN node USING (l) LEFT JOIN root USING (n) WHERE r IS NULL AND (doc_id, i) = first OR r = n AND (doc_id, i) = first),
+        stays AS (SELECT doc_id, i, l FROM kept UNION ALL SELECT doc_id, i, l FROM line WHERE trim(l, ' ' || chr(9) || chr(13)) = ''),
+        left_text AS (SELECT doc_id, count(*) AS n, string_agg(l, chr(10) ORDER BY i) AS t FROM stays GROUP BY doc_id),
+        total AS (SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS n_lines,
+                         CASE WHEN text IS NULL THEN NULL ELSE coalesce(t, '') END AS t, coalesce(left_text.n, 0) AS n
+                  FROM documents LEFT JOIN left_text USING (doc_id))
+        SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_lines - n AS BIGINT) AS n_removed, CAST(length(t) AS BIGINT) AS n_chars_left, md5(t) AS text_md5
+        FROM total""",
+    "op4_decontaminate": f"""
+        WITH d AS ({_shingles("documents", "doc_id")}), b AS ({_shingles("benchmark", "item_id")}),
+        size AS (SELECT id, count(*) AS n FROM b GROUP BY id)
+        SELECT d.id AS doc_id, b.id AS item_id, any_value(n) AS n_item, count(*) AS n_shared
+        FROM b JOIN d USING (s) JOIN size ON size.id = b.id GROUP BY d.id, b.id
+        HAVING 100 * count(*) >= {decontaminate.PERCENT} * any_value(n)""",
+    "op6_ngram_jaccard": f"""
+        WITH RECURSIVE d AS MATERIALIZED ({_shingles("documents", "doc_id")}),
+        size AS (SELECT id, count(*) AS n FROM d GROUP BY id),
+        pair AS (SELECT x.id AS a, y.id AS b, count(*) AS same FROM d x JOIN d y ON x.s = y.s AND x.id < y.id GROUP BY 1, 2),
+        link AS (SELECT a, b FROM pair JOIN size p ON p.id = a JOIN size q ON q.id = b WHERE 100 * same >= {ngram_join.PERCENT} * (p.n + q.n - same)),
+        edge AS MATERIALIZED (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+        {_REACH},
+        root AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id
+        FROM documents LEFT JOIN size ON size.id = doc_id LEFT JOIN root ON root.a = doc_id""",
+}

@@ -55,7 +55,7 @@ class Rule:
         return found
 
     def rank(self) -> tuple:
-        return self.host, len(self.text), len(self.text.partition("/")[0])
+        return self.host, len(self.text), len(self.text.partition("/")[0]), self.text
 
 
 def host_rule(text: str, verdict: str) -> Rule:
