@@ -573,6 +573,37 @@ def incremental_merge(m: Model) -> DataFrame:
     return table.read()
 
 
+@query
+def corrections_out_of_order(m: Model) -> DataFrame:
+    """Sales whose corrections arrive before and after the rows that they replace.
+
+    Every seventh order was entered a day earlier with another quantity and every eleventh without a time; the
+    batches arrive newest first. The newest row of each order stays.
+    """
+    orders = staging.typed_orders(m.source.table("orders")).drop("payment_status")
+    number = F.split_part("order_id", F.lit("-"), F.lit(1)).cast("bigint")
+    earlier = orders.filter(number % 7 == 0).withColumn("quantity", F.col("quantity") + 1)
+    earlier = earlier.withColumn("ordered_at", F.col("ordered_at") - F.expr("INTERVAL 1 DAY"))
+    undated = orders.filter(number % 11 == 0).withColumn("ordered_at", F.lit(None).cast("timestamp"))
+    month = F.date_format("ordered_at", "yyyy-MM")
+    table = tables.KeyedTable(m.source.spark, _scratch(m, "corrected"), "order_id", month)
+    for batch in (undated, orders.filter(number % 2 == 0), earlier, orders.filter(number % 2 == 1), undated):
+        table.merge(batch, "ordered_at")
+    return table.read()
+
+
+@query
+def full_refresh(m: Model) -> DataFrame:
+    """A stored fact replaced as a whole by one half of the orders; nothing of the other half stays."""
+    orders = staging.typed_orders(m.source.table("orders")).drop("payment_status")
+    number = F.split_part("order_id", F.lit("-"), F.lit(1)).cast("bigint")
+    month = F.date_format("ordered_at", "yyyy-MM")
+    table = tables.KeyedTable(m.source.spark, _scratch(m, "refreshed"), "order_id", month)
+    table.merge(orders.filter(number % 2 == 0), "ordered_at")
+    table.overwrite(staging.stg_orders(m.source).select(*orders.columns).filter(number % 2 == 1))
+    return table.read()
+
+
 @query
 def snapshot_two_states(m: Model) -> DataFrame:
     """Stock history after two extracts; in the second some rows changed or are gone."""

@@ -1,7 +1,8 @@
 """DuckDB statements that recompute the registered queries from the same tables.
 
 Named blocks form a small dependency list; ``statement`` puts the blocks a
-query needs in front of it.
+query needs in front of it. Thresholds, labels, segment and status names, and output column
+names are fixed values of the models, written as text where they are used.
 """
 
 from __future__ import annotations
@@ -859,6 +860,14 @@ FINALS |= {
         SELECT * EXCLUDE (payment_status, sales_amount) {_fact_columns(
             time=('ordered_at',), money=('unit_price', 'discount_rate'), whole=('quantity',))}
         FROM stg_orders""",
+    "corrections_out_of_order": f"""
+        SELECT * EXCLUDE (payment_status, sales_amount) {_fact_columns(
+            time=('ordered_at',), money=('unit_price', 'discount_rate'), whole=('quantity',))}
+        FROM stg_orders""",
+    "full_refresh": f"""
+        SELECT * EXCLUDE (payment_status, sales_amount) {_fact_columns(
+            time=('ordered_at',), money=('unit_price', 'discount_rate'), whole=('quantity',))}
+        FROM stg_orders WHERE CAST(split_part(order_id, '-', 1) AS BIGINT) % 2 = 1""",
     "snapshot_two_states": f"""
         SELECT * FROM (WITH moments AS (SELECT TIMESTAMP '2001-11-04 06:00:00' AS t1, TIMESTAMP '2001-11-05 06:00:00' AS t2),
         stock AS (SELECT *, CAST(product_id AS BIGINT) AS n FROM inventory),

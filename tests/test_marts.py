@@ -122,6 +122,26 @@ def test_tiles_equal_ntile(spark, size):
     assert sorted(scored.select("id", "sa", "sb").collect()) == sorted(expected.collect())
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 8, 9, 100])
+@pytest.mark.parametrize("share", [0.25, 0.9, 1.0])
+def test_tiles_equal_ntile_with_nulls(spark, size, share):
+    """Nulls stand last, as one more value; also when they reach a tile's boundary."""
+    random.seed(size)
+    data = [(f"c{i}", None if random.random() < share else random.randint(0, 5)) for i in range(size)]
+    df = spark.createDataFrame(data, "id string, a int")
+    scored = tile_scores(df, "id", {"s": F.col("a")})
+    order = Window.orderBy(F.col("a").asc_nulls_last(), "id")
+    expected = df.select("id", F.ntile(4).over(order).alias("s"))
+    assert sorted(scored.select("id", "s").collect()) == sorted(expected.collect())
+
+
+def test_events_without_latency_count_as_events(spark):
+    kind = "event_at timestamp, latency_ms int"
+    df = spark.createDataFrame([(datetime(2026, 1, 1), 5), (datetime(2026, 1, 1), None), (None, 7)], kind)
+    assert tuple(reports.event_metrics(df).first()) == (3, 7)
+    assert tuple(reports.event_metrics(df.limit(0)).first()) == (0, 0)
+
+
 def test_rfm_segments(spark, rows):
     day = datetime(2026, 1, 1)
     sales = spark.createDataFrame(

@@ -12,6 +12,7 @@ from omnimart.operators.keysets import left_join_many
 from omnimart.operators.ranking import tile_scores
 from omnimart.plans import core, staging
 from omnimart.plans.catalogue import AS_OF, Model
+from omnimart.streaming import events
 from omnimart.sources.star import StarSource
 
 FOLDER = pathlib.Path("/root/testdata/sf0.001")
@@ -122,6 +123,12 @@ def test_hot_customer_is_split_by_the_fact_join(spark, small_skew_limits):
     assert "skew=true" in executed_plan(core._resolve(facts, bridge))
 
 
+def test_hot_customer_is_split_by_the_enrichment(spark, small_skew_limits):
+    facts = hot_rows(spark)
+    bridge = facts.select("source_customer_id").distinct().withColumn("customer_id", F.lit("C"))
+    assert "skew=true" in executed_plan(events.enrich(facts, bridge))
+
+
 def test_hot_payment_key_is_split(spark, small_skew_limits):
     right = hot_rows(spark)
     left = spark.createDataFrame([("hot", 1), ("none", 2)], "source_customer_id string, v int")

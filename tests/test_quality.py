@@ -35,6 +35,11 @@ def twice(df, key, value):
     return df.unionByName(df.filter(F.col(key) == value))
 
 
+def test_an_order_without_amount_disagrees_with_its_payment(sources):
+    raw = {**sources, "orders": set_where(sources["orders"], "unit_price", "order_id", "O000001", F.lit(None).cast("decimal(12,2)"))}
+    assert contracts._amount_gaps(raw["orders"], raw["payments"]).count() == 1
+
+
 CASES = [
     ("orders", lambda d: twice(d, "order_id", "O000001"), {"contract.orders.order_id_unique": 1, "stream.purchase_count_matches_batch": 1}),
     ("retail_events", lambda d: twice(d, "event_id", "W0000001"), {"contract.events.event_id_unique": 1}),

@@ -139,6 +139,19 @@ def test_windows_close_behind_the_watermark(feed, spark):
     assert [(r["events"], r["latency_p95_ms"]) for r in found] == [(40, 3800)]
 
 
+def test_open_windows_of_a_finite_source_come_from_its_stored_events(feed, spark):
+    """The stream keeps the last minutes in state; with the stored events no window is missing."""
+    feed.add(*[(f"e{i}", at(1 + i // 2, i), 100 * i, "c") for i in range(1, 41)], ("n", at(3), None, "c"))
+    stored = spark.read.parquet(feed.folder)
+    windows = events.latency_windows(feed.stream(), "5 minutes")
+    sinks.append_parquet(windows, feed.out, feed.checkpoint)
+    every = events.with_open_windows(spark.read.schema(windows.schema).parquet(feed.out), stored)
+    assert feed.read().count() < every.count()
+    assert sorted(every.collect()) == sorted(events.latency_windows(stored).collect())
+    nothing = spark.createDataFrame([], windows.schema)
+    assert sorted(events.with_open_windows(nothing, stored).collect()) == sorted(every.collect())
+
+
 def test_threshold_is_late_on_screen_but_no_alarm(spark):
     rows = [("a", at(1), 3000, "c"), ("b", at(2), 3001, "c")]
     windows = events.latency_windows(spark.createDataFrame(rows, KIND))
