@@ -42,13 +42,13 @@ class Pins:
 
     def __init__(self, spark):
         self.spark = spark
-        self.paths: dict[int, str] = {}
+        self.paths: list[str] = []
 
     def pin(self, df: DataFrame, name: str) -> DataFrame:
         path = scratch_path(self.spark, name)
         df.write.parquet(path)
         read = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(read)] = path
+        self.paths.append(path)
         read._pinned_at = path
         return read
 
@@ -56,11 +56,21 @@ class Pins:
         where = self.spark._jvm.org.apache.hadoop.fs.Path(pinned._pinned_at)
         return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
 
+    def _delete(self, path: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        self.paths.remove(path)
+
     def drop(self, *pinned: DataFrame) -> None:
         """Delete tables that no later step reads."""
         for df in pinned:
-            where = self.spark._jvm.org.apache.hadoop.fs.Path(df._pinned_at)
-            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+            self._delete(df._pinned_at)
+
+    def keep_only(self, *pinned: DataFrame) -> None:
+        """Delete all tables but those that the result still reads."""
+        kept = {df._pinned_at for df in pinned}
+        for path in [p for p in self.paths if p not in kept]:
+            self._delete(path)
 
     def join(self, big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
         """Join with a pinned table: sent to all executors if its stored size is within the

@@ -7,8 +7,8 @@ with a chance of 99.5 %, one of 0.9 with 99.998 %); candidates are compared by e
 sets, and lines linked directly or through others form a component. Of each component,
 the occurrence with the smallest (doc_id, line number) stays and all others go.
 
-Null texts stay null, empty ones empty. Rows that repeat an id are further documents: of equal
-(doc_id, line number) all occurrences of the kept line stay. Rows with a null id are kept
+Null texts stay null, empty ones empty. Of rows that repeat an id and its text, all keep the same lines; an id is taken
+to name one text. Rows with a null id are kept
 unchanged, as their lines have no place in the order. Extra columns pass through.
 Equal lines are told by a 64-bit hash.
 """
@@ -143,7 +143,7 @@ def line_sets(lines: pa.Array):
 
 def wanted_lines(docs: DataFrame) -> DataFrame:
     """Texts of the lines whose numbers a row lists in ``numbers`` with their ``nodes``."""
-    return docs.select(F.explode(F.arrays_zip("nodes", "numbers")).alias("w"), F.split("text", "\n", -1).alias("lines")).select(F.col("w.nodes").alias("node"), F.element_at("lines", F.col("w.numbers") + 1).alias("text"))
+    return docs.select(F.explode(F.arrays_zip("nodes", "numbers")).alias("w"), F.split("text", "\n", -1).alias("lines")).select(F.col("w.nodes").alias("node"), F.get("lines", F.col("w.numbers")).alias("text")).where("text is not null")
 
 
 def removals(docs: DataFrame, pins: Pins, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -173,6 +173,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     if {"n_lines", "n_removed"} & set(docs.columns):
         raise ValueError("the input has a column n_lines or n_removed")
     _, drops = removals(docs, pins, percent)
+    pins.keep_only(drops)
     gone = drops.withColumnsRenamed({"gone": "_gone"})
     gone._pinned_at = drops._pinned_at
     marked = pins.join(docs, gone, "doc_id", "left")

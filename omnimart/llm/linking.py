@@ -8,8 +8,9 @@ and a candidate pair is linked if the two shingle sets are similar enough.
    candidates for them form families, whether or not they are similar.
 2. Most families are now one component. In the others, nodes of different components are
    compared in blocks of bounded size; a block of one component is not compared with its like.
-3. Of different families, all nodes that share enough buckets are compared in pairs. Such pairs share
-   a core bucket, so only those are searched.
+3. Nodes of different families that share a core bucket and have sizes of the same or of neighbouring
+   classes are a group. In a group of few families they are compared in pairs, if they
+   share enough buckets; in a group of many families in blocks.
 
 So a bucket of many copies costs one comparison a copy, and no link between different
 components is left out.
@@ -17,6 +18,7 @@ components is left out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,6 +34,8 @@ Sets = Callable[[pa.Array], Iterator[tuple[int, int, np.ndarray, np.ndarray]]]
 #: Bounds of a block: shingles and nodes.
 BLOCK_SHINGLES = 32_768
 BLOCK_NODES = 256
+#: Families of a group whose nodes are compared in pairs; the nodes of a larger group are compared in blocks.
+FEW = 16
 
 
 def components(edges: DataFrame, pins: Pins) -> DataFrame:
@@ -187,12 +191,24 @@ def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins:
     core = postings.where("core").select("bucket", "node", "size").join(named, "node", "left").withColumn("root", F.coalesce("root", "node")).withColumn("family", F.coalesce("family", "node"))
     mixed = core.groupBy("bucket").agg(F.min("family").alias("low"), F.max("family").alias("high")).where("low <> high").select("bucket")
     rest = pins.pin(core.join(mixed, "bucket", "left_semi"), "rest")
-    part = rest.select("bucket", "root", "family").distinct()
-    across = part.toDF("bucket", "ra", "fa").join(part.toDF("bucket", "rb", "fb"), "bucket").where("fa < fb and ra <> rb")
-    left, right = rest.toDF("na", "bucket", "sa", "fa", "ra"), rest.toDF("nb", "bucket", "sb", "fb", "rb")
-    pairs = pins.pin(across.join(left, ["bucket", "ra", "fa"]).join(right, ["bucket", "rb", "fb"]).where(_fits(F.col("sa"), F.col("sb"), percent)).select(F.col("na").alias("a"), F.col("nb").alias("b")).distinct(), "pairs")
+    # Sizes of linked nodes are in the same or in neighbouring classes, so both nodes are in the group of the lower class.
+    size_class = F.floor(F.log("size") / (1.001 * max(math.log(100 / percent), 1e-9)))
+    grouped = rest.withColumn("class", size_class).withColumn("class", F.explode(F.array(F.col("class") - 1, "class")))
+    sides = grouped.select("bucket", "class", "family").distinct()
+    counted = sides.groupBy("bucket", "class").agg(F.count("*").alias("families")).where("families > 1")
+    groups = pins.pin(counted, "groups")
+    few = sides.join(groups.where(F.col("families") <= FEW).select("bucket", "class"), ["bucket", "class"])
+    across = few.withColumnRenamed("family", "fa").join(few.withColumnRenamed("family", "fb"), ["bucket", "class"]).where("fa < fb")
+    left, right = grouped.toDF("bucket", "na", "sa", "fa", "ra", "class"), grouped.toDF("bucket", "nb", "sb", "fb", "rb", "class")
+    together = across.join(left, ["bucket", "class", "fa"]).join(right, ["bucket", "class", "fb"]).where(_fits(F.col("sa"), F.col("sb"), percent) & (F.col("ra") != F.col("rb")))
+    pairs = pins.pin(together.select(F.col("na").alias("a"), F.col("nb").alias("b")).distinct(), "pairs")
     # Before whole sets are compared, a pair must share enough buckets of its whole prefixes.
     held = postings.groupBy("node").agg(F.collect_set("bucket").alias("buckets"), F.min("need").alias("need"))
     shared = pairs.join(held.toDF("a", "ba", "da"), "a").join(held.toDF("b", "bb", "db"), "b").where(F.size(F.array_intersect("ba", "bb")) >= F.least("da", "db")).select("a", "b")
     more = pins.pin(verify_pairs(shared, texts, sets, percent), "more")
+    many = groups.where(F.col("families") > FEW).select("bucket", "class")
+    if many.take(1):
+        crowd = grouped.join(many, ["bucket", "class"]).select(F.xxhash64("bucket", "class").alias("family"), "node", "size", "root")
+        crowd = pins.pin(crowd.distinct(), "crowd")
+        more = pins.pin(more.union(verify_blocks(crowd.join(texts, "node"), sets, percent)), "more")
     return components(links.union(more), pins) if more.take(1) else roots

@@ -212,4 +212,6 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, probes: int = PROB
     pairs = entry_blocks.join(_blocks(asked, QUERIES, "queries", "reach"), "part").select("entries", "queries")
     scored = map_batches(pairs, run, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = pins.pin(scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "neighbours")
+    pins.keep_only(found)
+    return found

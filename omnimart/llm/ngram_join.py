@@ -13,9 +13,9 @@ then share the smaller l of its two documents before its whole sets are compared
 
 Rows: documents of equal sets are one class, and its smallest id takes part in the join. Null
 and empty texts have no shingles and are linked with nothing; a text of fewer than five
-words is one shingle as a whole. Rows that repeat an id with another text are separate
-texts under one id: the id's component covers all of them. Rows with a null id are left out
-of the result, as they can't be named in it. Other columns are not read.
+words is one shingle as a whole. Every row gets a result, repeated rows too. An id is taken to
+name one text; if it repeats with another, links may be found for one of them only. Rows with a
+null id are left out of the result, as they can't be named in it. Other columns are not read.
 Shingles and sets are compared by 64-bit hashes.
 """
 
@@ -131,5 +131,7 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     wanted = pins.pin(prefix.select("node").distinct(), "wanted")
     texts = pins.pin(pins.join(docs.withColumnRenamed("doc_id", "node"), wanted, "node", "left_semi"), "texts")
     roots = link(prefix, texts, textops.word_sets, percent, pins)
-    found = members.join(roots.withColumnRenamed("node", "first"), "first", "left").select("doc_id", "n_shingles", F.coalesce("root", "first").alias("component_id"))
+    classes = members.join(roots.withColumnRenamed("node", "first"), "first", "left").select("doc_id", "n_shingles", F.coalesce("root", "first").alias("component_id"))
+    found = pins.pin(classes, "classes")
+    pins.keep_only(found)
     return found

@@ -58,6 +58,22 @@ def test_chain_of_edits_through_blocks(documents, monkeypatch):
     assert found == expected(pairs)
 
 
+@pytest.mark.parametrize("few", [1, 3, 1000])
+def test_groups_of_few_and_many_families(documents, monkeypatch, few):
+    """Short texts around one common passage, some of them alike, with either way of comparing a group."""
+    monkeypatch.setattr(linking, "FEW", few)
+    draw, passage = random.Random(8), " ".join(f"p{k}" for k in range(12))
+    pairs = []
+    for i in range(150):
+        own = [f"u{draw.randrange(4000)}" for _ in range(draw.randrange(2, 12))]
+        if i > 100:
+            own = pairs[draw.randrange(100)][1].split()
+            own = own[: len(own) - 12] if draw.random() < 0.5 else own + ["z"]
+        pairs.append((i, " ".join(own) + " " + passage))
+    found = {tuple(r) for r in ngram_join.similarity_classes(documents(pairs)).collect()}
+    assert found == expected(pairs)
+
+
 def test_edge_rows(spark, documents):
     long_text = " ".join(f"q{k}" for k in range(60_000))
     pairs = [(1, None), (2, ""), (3, " \t\n"), (4, "one two"), (5, "ONE  two"), (6, "one"), (7, long_text), (8, long_text + " end"), (-9, "one two")]
