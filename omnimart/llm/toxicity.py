@@ -2,7 +2,8 @@
 
 Terms are lower-cased (A-Z) words of letters and digits and, for longer words, their first five
 bytes. From at most ``positives`` and ``negatives`` labelled rows (those of the smallest hashes of
-their ids) the ``vocabulary`` terms most associated with the label are kept. Their document
+their ids) the terms associated with the label are kept, at most ``vocabulary``: those whose likelihood ratio
+statistic exceeds what the largest of as many unrelated terms would reach. Their document
 frequencies are counted over all documents; vectors are (1 + ln tf) * ln(1 + N / df),
 of length one.
 
@@ -23,6 +24,7 @@ and text of ``docs`` are read, and an id is never an input of a score.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -161,7 +163,9 @@ def _select_terms(chosen: DataFrame, vocabulary: int) -> np.ndarray:
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
     g = part(F.col("p"), share * pos) + part(F.col("n"), share * neg) + part(pos - F.col("p"), (1 - share) * pos) + part(neg - F.col("n"), (1 - share) * neg)
-    best = counts.select("term", F.round(g, 6).alias("g")).orderBy(F.desc("g"), "term").limit(vocabulary).where("g > 6").toArrow()
+    # By chance alone, the largest of n such statistics of unrelated terms is about 2 ln n.
+    tested = counts.select("term", (2 * F.round(g, 6)).alias("g"))
+    best = tested.orderBy(F.desc("g"), "term").limit(vocabulary).where(F.col("g") > 2 * math.log(max(2, counts.count()))).toArrow()
     return np.sort(best["term"].to_numpy().view(np.uint64))
 
 
@@ -251,6 +255,7 @@ def score(docs: DataFrame, index: ExampleIndex, k: int = NEAREST) -> DataFrame:
     def run(batches):
         index = sent.value
         known = len(np.unique(index.labels)) > 1
+        seen: dict[bytes, tuple[float, list[int]]] = {}  # documents of few terms often have the same vector
         for batch in batches:
             scores, evidence = [], []
             for at, end, raw, bounds in textops.pieces(batch["text"]):
@@ -258,9 +263,16 @@ def score(docs: DataFrame, index: ExampleIndex, k: int = NEAREST) -> DataFrame:
                 weight = _weights(row, term, count, index.idf, end - at)
                 cut = np.searchsorted(row, np.arange(end - at + 1))
                 for i, j in zip(cut[:-1], cut[1:]):
-                    slots, cosines = index.nearest(term[i:j], weight[i:j], k) if j > i else (np.zeros(0, np.int64), np.zeros(0))
-                    scores.append(index.score(index.vote(slots, cosines)) if known else index.base)
-                    evidence.append(index.ids[slots[:3]].tolist())
+                    vector = term[i:j].tobytes() + weight[i:j].tobytes()
+                    if vector not in seen:
+                        if len(seen) > 50_000:
+                            seen.clear()
+                        slots, cosines = index.nearest(term[i:j], weight[i:j], k) if j > i else (np.zeros(0, np.int64), np.zeros(0))
+                        value = index.score(index.vote(slots, cosines)) if known else index.base
+                        seen[vector] = value, index.ids[slots[:3]].tolist()
+                    value, nearest = seen[vector]
+                    scores.append(value)
+                    evidence.append(nearest)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))], ["doc_id", "score", "evidence"])
 
     return map_batches(docs, run, "doc_id long, score double, evidence array<long>")
