@@ -7,6 +7,7 @@ its length).
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,9 +15,9 @@ import pyarrow as pa
 
 from omnimart.llm import textops
 
-PIECE_BYTES = 1 << 21
-#: Remembered chunks of a task; beyond it they are forgotten and encoded again.
-KEPT = 400_000
+PIECE_BYTES = 1 << 20
+#: Remembered chunks of a worker process; beyond it they are forgotten and encoded again.
+KEPT = 1_500_000
 
 
 class ChunkEncoder:
@@ -25,8 +26,8 @@ class ChunkEncoder:
     ``mark_first``: the first chunk of a text is another chunk than the same bytes later on.
     """
 
-    def __init__(self, starts: Callable[[np.ndarray, np.ndarray], np.ndarray], encode: Callable[[list[str], np.ndarray], list[list[int]]], mark_first: bool):
-        self.starts, self.encode, self.mark_first = starts, encode, mark_first
+    def __init__(self, starts: Callable[[np.ndarray, np.ndarray], np.ndarray], encode: Callable[[list[str], np.ndarray], list[list[int]]], mark_first: bool, kept: int = KEPT):
+        self.starts, self.encode, self.mark_first, self.kept = starts, encode, mark_first, kept
         self._forget()
 
     def _forget(self) -> None:
@@ -58,24 +59,23 @@ class ChunkEncoder:
             head = np.searchsorted(start, heads)
             h[head] = textops.mix(h[head] + np.uint64(1))
         found, first, back = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.slot) + len(found) > KEPT:
+        if len(self.slot) + len(found) > self.kept:
             self._forget()
-        names = found.tolist()
-        new = np.array([k for k, name in enumerate(names) if name not in self.slot], dtype=np.int64)
+        slots = np.fromiter(map(self.slot.get, found.tolist(), itertools.repeat(-1)), np.int64, len(found))
+        new = np.flatnonzero(slots < 0)
         if len(new):
             data, where = raw.tobytes(), first[new]
             chunks = [data[i:j].decode("utf-8", "replace") for i, j in zip(start[where].tolist(), stop[where].tolist())]
             at_head = np.isin(start[where], heads) if self.mark_first else np.zeros(len(new), bool)
             ids = self.encode(chunks, at_head)
-            base = len(self.slot)
-            self.slot.update(zip(found[new].tolist(), range(base, base + len(new))))
+            slots[new] = np.arange(len(self.slot), len(self.slot) + len(new))
+            self.slot.update(zip(found[new].tolist(), slots[new].tolist()))
             self.length.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-            self.flat.append(np.fromiter((x for one in ids for x in one), np.uint32, int(self.length[-1].sum())))
+            self.flat.append(np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(self.length[-1].sum())))
             self.flat, self.length = [np.concatenate(self.flat)], [np.concatenate(self.length)]
-        slots = np.fromiter(map(self.slot.__getitem__, names), np.int64, len(names))[back]
-        length = self.length[0]
-        begin = np.concatenate([[0], np.cumsum(length)])
-        n = length[slots]
+        slots = slots[back]
+        begin = np.concatenate([[0], np.cumsum(self.length[0])])
+        n = self.length[0][slots]
         ends = np.cumsum(n)
         ids = self.flat[0][np.repeat(begin[slots] - (ends - n), n) + np.arange(ends[-1])]
         row_first = np.searchsorted(start, bounds)

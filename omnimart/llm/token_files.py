@@ -14,6 +14,7 @@ not read.
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 from collections.abc import Iterator
@@ -30,12 +31,14 @@ from omnimart.llm.wavelet import WaveletMatrix
 SHARD_TOKENS = 1 << 21
 SHARD = "shard long, doc_ids array<long>, ends array<long>, planes binary"
 
-_BLANK = np.zeros(256, dtype=bool)
-_BLANK[[32, 10]] = True
-_PRINTED = np.zeros(256, dtype=bool)
-_PRINTED[0x21:0x7F] = True
-_ALPHA = np.array([chr(c).isalpha() and c < 128 for c in range(256)])
-_POINT = _PRINTED & ~np.array([chr(c).isalnum() and c < 128 for c in range(256)])
+# Kinds of bytes: 1 space or line feed, 2 ASCII letter, 3 other printed ASCII but digits, 4 digit, 0 the rest.
+_KIND = np.zeros(256, dtype=np.uint8)
+for _c in range(0x21, 0x7F):
+    _KIND[_c] = 2 if chr(_c).isalpha() else 4 if chr(_c).isdigit() else 3
+_KIND[[32, 10]] = 1
+#: Whether there is a cut between two kinds, by 8 * former + latter.
+_CUT = np.zeros(64, dtype=bool)
+_CUT[[8 * 2 + 1, 8 * 3 + 1, 8 * 4 + 1, 8 * 2 + 3]] = True
 
 
 def byte_level_starts(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -45,13 +48,18 @@ def byte_level_starts(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     and so does ASCII punctuation after an ASCII letter.
     """
     cuts = np.zeros(len(raw), dtype=bool)
-    cuts[1:] = _BLANK[raw[1:]] & _PRINTED[raw[:-1]] | _POINT[raw[1:]] & _ALPHA[raw[:-1]]
-    cuts[2:] |= _BLANK[raw[2:]] & (raw[:-2] == 0xC3)
+    kind = _KIND[raw]
+    cuts[1:] = _CUT[kind[1:] | kind[:-1] << np.uint8(3)]
+    cuts[2:] |= (kind[2:] == 1) & (raw[:-2] == 0xC3)
     return cuts
 
 
+@functools.lru_cache(maxsize=1)
 def byte_level_encoder(path: str) -> ChunkEncoder:
-    """Encoder of a byte-level tokenizer file; special tokens in a text are ordinary text."""
+    """Encoder of a byte-level tokenizer file; special tokens in a text are ordinary text.
+
+    A worker process keeps it, with the chunks it has seen, for its next tasks.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
     from tokenizers import Tokenizer
 
