@@ -72,7 +72,7 @@ def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: number and hash of its ids, and whether they decode to its text."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    found = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, PIECES), PIECES)
+    found = sentencepiece_codec.encode(docs, PIECES, back=True)
     blank = F.replace(F.coalesce("text", F.lit("")), F.lit(sentencepiece_codec.MARK), F.lit(" "))
     return found.select("doc_id", F.size("token_ids").alias("n_tokens"), F.xxhash64("token_ids").alias("ids_hash"), (F.col("decoded") == blank).alias("round_trip"))
 

@@ -17,6 +17,7 @@ U+2581 is a blank to the model and comes back as one.
 
 from __future__ import annotations
 
+import functools
 import os
 import struct
 from dataclasses import dataclass, field
@@ -30,6 +31,8 @@ from omnimart.llm.chunks import ChunkEncoder
 from omnimart.llm.frames import map_batches
 
 MARK = "▁"
+#: Remembered chunks of a worker, which also holds both libraries' models.
+KEPT = 400_000
 #: Numbers of the protobuf's enumerations, fixed by the format.
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -156,6 +159,7 @@ def blank_starts(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return cuts
 
 
+@functools.lru_cache(maxsize=1)
 def _encoder(path: str, threads: int, parity: bool) -> ChunkEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "true"
     os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
@@ -186,47 +190,62 @@ def _encoder(path: str, threads: int, parity: bool) -> ChunkEncoder:
     if chunked and not model.dummy_prefix:
         chunked = False  # without the prefix a chunk in mid-text is not what the library would see alone
         prefix = ""
-    return ChunkEncoder(blank_starts if chunked else nowhere, encode, mark_first=True)
+    return ChunkEncoder(blank_starts if chunked else nowhere, encode, mark_first=True, kept=KEPT)
 
 
-def encode(docs: DataFrame, path: str, threads: int = 2, parity: bool = True) -> DataFrame:
-    """``docs`` with token_ids, the ids of ``text``."""
-    if "token_ids" in docs.columns:
-        raise ValueError("the input has a column token_ids")
+class Surface:
+    """Texts of ids."""
+
+    def __init__(self, path: str):
+        model = Model.read(path)
+        self.flat, self.bounds = model.surface()
+        self.size, self.drop = np.diff(self.bounds), int(model.dummy_prefix)
+
+    def texts(self, ids: np.ndarray, cut: np.ndarray) -> list[str]:
+        """Text of each row of ids, without the dummy prefix."""
+        n = self.size[ids]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        data = self.flat[np.repeat(self.bounds[ids] - (ends - n), n) + np.arange(total)].tobytes()
+        edge = np.concatenate([[0], ends])[cut].tolist()
+        return [data[i + (self.drop if data[i : i + 1] == b" " else 0) : j].decode("utf-8", "replace") for i, j in zip(edge[:-1], edge[1:])]
+
+
+def encode(docs: DataFrame, path: str, threads: int = 2, parity: bool = True, back: bool = False) -> DataFrame:
+    """``docs`` with token_ids, the ids of ``text``; with ``back`` also decoded, the text of these ids."""
+    added = ["token_ids", "decoded"] if back else ["token_ids"]
+    for name in added:
+        if name in docs.columns:
+            raise ValueError(f"the input has a column {name}")
 
     def run(batches):
-        encoder = _encoder(path, threads, parity)
+        encoder, surface = _encoder(path, threads, parity), Surface(path) if back else None
         for batch in batches:
             for at, end, ids, cut, _, _ in encoder.pieces(batch["text"]):
                 part = batch.slice(at, end - at)
-                yield pa.RecordBatch.from_arrays([*part.columns, textops.lists(ids.astype(np.int32), cut)], [*batch.schema.names, "token_ids"])
+                columns = [*part.columns, textops.lists(ids.astype(np.int32), cut)]
+                if back:
+                    columns.append(pa.array(surface.texts(ids, cut), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *added])
 
-    return map_batches(docs, run, T.StructType([*docs.schema.fields, T.StructField("token_ids", T.ArrayType(T.IntegerType()))]))
+    kinds = {"token_ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType()}
+    return map_batches(docs, run, T.StructType([*docs.schema.fields, *(T.StructField(c, kinds[c]) for c in added)]))
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:
-    """``rows`` with decoded, the text of ``token_ids`` (without the dummy prefix; null for null)."""
+    """``rows`` with decoded, the text of ``token_ids`` (null for null)."""
     if "decoded" in rows.columns:
         raise ValueError("the input has a column decoded")
 
     def run(batches):
-        model = Model.read(path)
-        flat, bounds = model.surface()
-        size = np.diff(bounds)
+        surface = Surface(path)
         for batch in batches:
             lists = batch["token_ids"]
             ids = lists.flatten().to_numpy()
             cut = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())])
             for first in range(0, batch.num_rows, 500):
                 last = min(first + 500, batch.num_rows)
-                own = ids[cut[first] : cut[last]]
-                n = size[own]
-                ends = np.cumsum(n)
-                total = int(ends[-1]) if len(ends) else 0
-                data = flat[np.repeat(bounds[own] - (ends - n), n) + np.arange(total)].tobytes()
-                edge = np.concatenate([[0], ends])[cut[first : last + 1] - cut[first]].tolist()
-                drop = 1 if model.dummy_prefix else 0
-                texts = [data[i + (drop if data[i : i + 1] == b" " else 0) : j].decode("utf-8", "replace") for i, j in zip(edge[:-1], edge[1:])]
+                texts = surface.texts(ids[cut[first] : cut[last]], cut[first : last + 1] - cut[first])
                 part = batch.slice(first, last - first)
                 column = pa.array(texts, pa.string(), mask=lists[first:last].is_null().to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_arrays([*part.columns, column], [*batch.schema.names, "decoded"])
