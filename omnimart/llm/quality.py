@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from omnimart.llm import textops
@@ -89,19 +90,11 @@ def fit(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, rounds: int =
 
     chosen = fresh(docs, "doc_id", "text").join(F.broadcast(rated.select("doc_id", F.col("grade").cast("int").alias("grade"))), "doc_id")
     rows = map_batches(chosen, run, "doc_id long, grade int, feature array<int>, part array<float>").toArrow()
-    ids, grade = rows["doc_id"].to_numpy(), rows["grade"].to_numpy().astype(np.int64)
+    # A fixed order, so that a model does not depend on the order of tasks.
+    rows = rows.take(pa.array(np.lexsort((pc.list_value_length(rows["feature"]).to_numpy(), rows["grade"].to_numpy(), rows["doc_id"].to_numpy()))))
     column = rows["feature"].combine_chunks()
-    index, bounds = column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy().astype(np.int64))])
-    value = rows["part"].combine_chunks().flatten().to_numpy()
-    return _fit_rows(*_by_id(ids, grade, index, value, bounds), rounds, penalty)
-
-
-def _by_id(ids, grade, index, value, bounds):
-    """The rows in a fixed order, so that a model does not depend on the order of tasks."""
-    order = np.lexsort((np.diff(bounds), grade, ids))
-    spans = [np.arange(bounds[i], bounds[i + 1]) for i in order]
-    take = np.concatenate(spans) if spans else np.zeros(0, np.int64)
-    return grade[order], index[take], value[take], np.concatenate([[0], np.cumsum(np.diff(bounds)[order])])
+    bounds = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy().astype(np.int64))])
+    return _fit_rows(rows["grade"].to_numpy(), column.flatten().to_numpy(), rows["part"].combine_chunks().flatten().to_numpy(), bounds, rounds, penalty)
 
 
 def _fit_rows(grade, index, value, bounds, rounds, penalty) -> OrdinalModel:
@@ -109,12 +102,16 @@ def _fit_rows(grade, index, value, bounds, rounds, penalty) -> OrdinalModel:
     if len(grades) < 2:
         return OrdinalModel(grades if len(grades) else np.zeros(1, np.int64), np.zeros(0), np.zeros(3 * BUCKETS))
     n, cuts = len(level), len(grades) - 1
-    row = np.repeat(np.arange(n), np.diff(bounds))
-    x = value.astype(np.float64) * SCALE
-    used, place = np.unique(index, return_inverse=True)
+    # Narrow types: these three have an entry for each feature of each row.
+    row = np.repeat(np.arange(n, dtype=np.int32), np.diff(bounds))
+    used = np.flatnonzero(np.bincount(index, minlength=3 * BUCKETS))
+    at = np.zeros(3 * BUCKETS, dtype=np.int32)
+    at[used] = np.arange(len(used))
+    place = at[index]
+    x = value * np.float32(SCALE)
     # Each feature is measured in units of its root mean square over the sample.
     unit = np.sqrt(np.bincount(place, x * x) / n) + 0.5
-    x = x / unit[place] * 0.3
+    x *= (0.3 / unit).astype(np.float32)[place]
     share = np.cumsum(np.bincount(level))[:-1] / n
     first = np.log(share / (1 - share))
     # theta_0, then logarithms of the steps between thresholds, keep the thresholds in order.
@@ -123,14 +120,14 @@ def _fit_rows(grade, index, value, bounds, rounds, penalty) -> OrdinalModel:
     state = [np.zeros(len(w) + cuts), np.zeros(len(w) + cuts)]
     for step in range(1, rounds + 1):
         edges = np.concatenate([theta[:1], theta[:1] + np.cumsum(np.exp(theta[1:]))])
-        score = np.bincount(row, x * w[place], minlength=n)
+        score = np.bincount(row, x * w.astype(np.float32)[place], minlength=n)
         upper = np.concatenate([edges, [np.inf]])[level]
         lower = np.concatenate([[-np.inf], edges])[level]
         cu, cl = _sigmoid(upper - score), _sigmoid(lower - score)
         p = np.maximum(cu - cl, 1e-9)
         du, dl = cu * (1 - cu), cl * (1 - cl)
         by_score = (du - dl) / p / n
-        slope_w = np.bincount(place, x * by_score[row], minlength=len(w)) + penalty * w
+        slope_w = np.bincount(place, x * by_score.astype(np.float32)[row], minlength=len(w)) + penalty * w
         by_edge = np.zeros(cuts)
         has_upper, has_lower = level < cuts, level > 0
         np.add.at(by_edge, level[has_upper], -(du / p)[has_upper] / n)
