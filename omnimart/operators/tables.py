@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -216,21 +216,27 @@ def landed_files(
     )
 
 
-def write_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """Export with semicolons and every value quoted; an inner quote is doubled.
+HEADER_FILE = "_header.csv"
 
-    Spark quotes the header as well and writes no byte-order mark.
+
+def write_csv(df: DataFrame, path: str, columns: Mapping[str, str]) -> None:
+    """Export the named columns under the given headings, with semicolons.
+
+    Every value is quoted and an inner quote doubled; headings are not quoted. Rows go to
+    part files without a heading. The heading, with a byte-order mark, is one file of its own that
+    Spark's readers skip; the header file followed by the parts in order is the whole export.
     """
     (
         df.select(*columns)
         .write.mode("overwrite")
-        .option("header", True)
+        .option("header", False)
         .option("sep", ";")
         .option("quoteAll", True)
         .option("quote", '"')
         .option("escape", '"')
         .csv(path)
     )
+    files.write_text(df.sparkSession, f"{path}/{HEADER_FILE}", "\ufeff" + ";".join(columns.values()) + "\n")
 
 
 def write_cube(cube: DataFrame, path: str) -> None:

@@ -647,30 +647,30 @@ def csv_landing(m: Model) -> DataFrame:
     return staging.stg_payments(LandingSource(m.source.spark, folder))
 
 
-EXPORT_COLUMNS = (
-    "product_id",
-    "product_name",
-    "category",
-    "store_stock",
-    "warehouse_stock",
-    "reserved",
-    "incoming",
-    "units_sold",
-    "selected_units_sold",
-    "safety_stock",
-    "available_to_promise",
-    "risk_level",
-)
+# Headings of the stock export by column.
+EXPORT_COLUMNS = {
+    "product_id": "product_id",
+    "product_name": "name",
+    "category": "category",
+    "store_stock": "store_stock",
+    "warehouse_stock": "warehouse_stock",
+    "reserved": "reserved",
+    "incoming": "incoming",
+    "units_sold": "units_sold",
+    "selected_units_sold": "selected_units_sold",
+    "safety_stock": "safety_stock",
+    "available_to_promise": "atp",
+    "risk_level": "risk_level",
+}
 
 
 @query
 def csv_export(m: Model) -> DataFrame:
-    """Lines of the stock export, without its header."""
+    """Lines of the stock export; its heading is a file of its own."""
     path = _scratch(m, "export")
     stock = _stock(m)
     tables.write_csv(reports.by_risk(stock), path, EXPORT_COLUMNS)
-    lines = m.source.spark.read.text(path).withColumnRenamed("value", "line")
-    return lines.filter(~F.col("line").startswith('"product_id"'))
+    return m.source.spark.read.text(path).withColumnRenamed("value", "line")
 
 
 @query

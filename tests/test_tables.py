@@ -156,9 +156,10 @@ def test_raw_zone_replaces_only_its_day(spark, tmp_path):
 
 def test_csv_export_quotes_every_value(spark, tmp_path):
     df = spark.createDataFrame([('a"b', None, 3)], "name string, note string, n int")
-    tables.write_csv(df, str(tmp_path / "out"), ["n", "name", "note"])
-    lines = [r[0] for r in spark.read.text(str(tmp_path / "out")).collect()]
-    assert '"3";"a""b";""' in lines
+    out = tmp_path / "out"
+    tables.write_csv(df, str(out), {"n": "n", "name": "label", "note": "note"})
+    assert [r[0] for r in spark.read.text(str(out)).collect()] == ['"3";"a""b";""']
+    assert (out / tables.HEADER_FILE).read_bytes() == b"\xef\xbb\xbfn;label;note\n"
 
 
 def test_json_reports(spark, tmp_path):
