@@ -30,6 +30,8 @@ from omnimart.llm.frames import fresh, map_batches
 SAMPLE = 6_000
 BUCKETS = 1 << 16
 SCALE = 30.0
+#: Entries of the sample that a training step handles at a time.
+PIECE = 500_000
 _ODD = np.uint32(0x9E3779B1)
 
 
@@ -88,13 +90,35 @@ def fit(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, rounds: int =
                     ["doc_id", "grade", "feature", "part"],
                 )
 
+    def train(rows: pa.Table) -> pa.Table:
+        model = _fit_rows(*_arrays(rows), rounds, penalty)
+        used = np.flatnonzero(model.weights)
+        kinds = np.repeat([0, 1, 2], [len(model.grades), len(model.thresholds), len(used)])
+        keys = np.concatenate([np.arange(len(model.grades)), np.arange(len(model.thresholds)), used])
+        return pa.table({"kind": kinds, "key": keys, "value": np.concatenate([model.grades, model.thresholds, model.weights[used]])})
+
     chosen = fresh(docs, "doc_id", "text").join(F.broadcast(rated.select("doc_id", F.col("grade").cast("int").alias("grade"))), "doc_id")
-    rows = map_batches(chosen, run, "doc_id long, grade int, feature array<int>, part array<float>").toArrow()
-    # A fixed order, so that a model does not depend on the order of tasks.
-    rows = rows.take(pa.array(np.lexsort((pc.list_value_length(rows["feature"]).to_numpy(), rows["grade"].to_numpy(), rows["doc_id"].to_numpy()))))
-    column = rows["feature"].combine_chunks()
-    bounds = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy().astype(np.int64))])
-    return _fit_rows(rows["grade"].to_numpy(), column.flatten().to_numpy(), rows["part"].combine_chunks().flatten().to_numpy(), bounds, rounds, penalty)
+    described = map_batches(chosen, run, "doc_id long, grade int, feature array<int>, part array<float>")
+    # The bounded sample is one group; only the fitted numbers reach the driver.
+    found = described.withColumn("sample", F.lit("all")).groupBy("sample").applyInArrow(train, "kind long, key long, value double").orderBy("kind", "key").toArrow()
+    if not found.num_rows:
+        return OrdinalModel(np.zeros(1, np.int64), np.zeros(0), np.zeros(3 * BUCKETS))
+    kind, key, value = (found[c].to_numpy() for c in ("kind", "key", "value"))
+    weights = np.zeros(3 * BUCKETS)
+    weights[key[kind == 2]] = value[kind == 2]
+    return OrdinalModel(value[kind == 0].astype(np.int64), value[kind == 1], weights)
+
+
+def _arrays(rows: pa.Table):
+    """Grade of each row, features, values, and bounds of each row's features.
+
+    Rows get a fixed order, so that a model does not depend on the order of tasks.
+    """
+    order = np.lexsort((pc.list_value_length(rows["feature"]).to_numpy(), rows["grade"].to_numpy(), rows["doc_id"].to_numpy()))
+    rows = rows.take(pa.array(order))
+    features = rows["feature"].combine_chunks()
+    bounds = np.concatenate([[0], np.cumsum(features.value_lengths().to_numpy().astype(np.int64))])
+    return rows["grade"].to_numpy(), features.flatten().to_numpy(), rows["part"].combine_chunks().flatten().to_numpy(), bounds
 
 
 def _fit_rows(grade, index, value, bounds, rounds, penalty) -> OrdinalModel:
@@ -102,15 +126,17 @@ def _fit_rows(grade, index, value, bounds, rounds, penalty) -> OrdinalModel:
     if len(grades) < 2:
         return OrdinalModel(grades if len(grades) else np.zeros(1, np.int64), np.zeros(0), np.zeros(3 * BUCKETS))
     n, cuts = len(level), len(grades) - 1
-    # Narrow types: these three have an entry for each feature of each row.
+    # Narrow types and pieces of rows: there is an entry for each feature of each row.
     row = np.repeat(np.arange(n, dtype=np.int32), np.diff(bounds))
+    ends = np.unique(np.concatenate([[0], np.searchsorted(bounds, np.arange(0, bounds[-1], PIECE)), [n]]))
+    pieces = [(int(i), int(j), slice(int(bounds[i]), int(bounds[j]))) for i, j in zip(ends[:-1], ends[1:])]
     used = np.flatnonzero(np.bincount(index, minlength=3 * BUCKETS))
     at = np.zeros(3 * BUCKETS, dtype=np.int32)
     at[used] = np.arange(len(used))
     place = at[index]
     x = value * np.float32(SCALE)
     # Each feature is measured in units of its root mean square over the sample.
-    unit = np.sqrt(np.bincount(place, x * x) / n) + 0.5
+    unit = np.sqrt(sum(np.bincount(place[s], x[s] * x[s], minlength=len(used)) for _, _, s in pieces) / n) + 0.5
     x *= (0.3 / unit).astype(np.float32)[place]
     share = np.cumsum(np.bincount(level))[:-1] / n
     first = np.log(share / (1 - share))
@@ -120,14 +146,17 @@ def _fit_rows(grade, index, value, bounds, rounds, penalty) -> OrdinalModel:
     state = [np.zeros(len(w) + cuts), np.zeros(len(w) + cuts)]
     for step in range(1, rounds + 1):
         edges = np.concatenate([theta[:1], theta[:1] + np.cumsum(np.exp(theta[1:]))])
-        score = np.bincount(row, x * w.astype(np.float32)[place], minlength=n)
+        narrow = w.astype(np.float32)
+        score = np.concatenate([np.bincount(row[s] - i, x[s] * narrow[place[s]], minlength=j - i) for i, j, s in pieces])
         upper = np.concatenate([edges, [np.inf]])[level]
         lower = np.concatenate([[-np.inf], edges])[level]
         cu, cl = _sigmoid(upper - score), _sigmoid(lower - score)
         p = np.maximum(cu - cl, 1e-9)
         du, dl = cu * (1 - cu), cl * (1 - cl)
         by_score = (du - dl) / p / n
-        slope_w = np.bincount(place, x * by_score.astype(np.float32)[row], minlength=len(w)) + penalty * w
+        slope_w, narrow = penalty * w, by_score.astype(np.float32)
+        for _, _, s in pieces:
+            slope_w += np.bincount(place[s], x[s] * narrow[row[s]], minlength=len(w))
         by_edge = np.zeros(cuts)
         has_upper, has_lower = level < cuts, level > 0
         np.add.at(by_edge, level[has_upper], -(du / p)[has_upper] / n)
