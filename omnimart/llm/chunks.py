@@ -18,6 +18,7 @@ from omnimart.llm import textops
 PIECE_BYTES = 1 << 20
 #: Remembered chunks of a worker process; beyond it they are forgotten and encoded again.
 KEPT = 1_500_000
+BATCH = 4_096
 
 
 class ChunkEncoder:
@@ -67,7 +68,8 @@ class ChunkEncoder:
             data, where = raw.tobytes(), first[new]
             chunks = [data[i:j].decode("utf-8", "replace") for i, j in zip(start[where].tolist(), stop[where].tolist())]
             at_head = np.isin(start[where], heads) if self.mark_first else np.zeros(len(new), bool)
-            ids = self.encode(chunks, at_head)
+            # In batches, as the libraries' results are many times the size of the ids.
+            ids = [x for k in range(0, len(new), BATCH) for x in self.encode(chunks[k : k + BATCH], at_head[k : k + BATCH])]
             slots[new] = np.arange(len(self.slot), len(self.slot) + len(new))
             self.slot.update(zip(found[new].tolist(), slots[new].tolist()))
             self.length.append(np.fromiter(map(len, ids), np.int64, len(ids)))

@@ -7,6 +7,7 @@ import zipfile
 from collections.abc import Callable, Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from omnimart.session import scratch_path
@@ -14,6 +15,10 @@ from omnimart.session import scratch_path
 #: Largest side that is sent to all executors, in bytes of its table; beyond it rows are shuffled.
 SENT_BYTES = 24 << 20
 
+#: Rows and bytes of a batch between Spark and a worker, where the session has Spark's own defaults: texts are
+#: long, and several batches are in memory on either side.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
+
 _shipped: set[str] = set()
 
 
@@ -31,9 +36,17 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_batches(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with a function of this package."""
+    """``mapInArrow`` with a function of this package; a worker gives unused Arrow memory back after each task."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    for key, (usual, bounded) in BATCHES.items():
+        if df.sparkSession.conf.get(key, usual) == usual:
+            df.sparkSession.conf.set(key, bounded)
+
+    def released(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(released, schema)
 
 
 class Pins:
