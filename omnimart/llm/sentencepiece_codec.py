@@ -17,7 +17,6 @@ U+2581 is a blank to the model and comes back as one.
 
 from __future__ import annotations
 
-import functools
 import os
 import struct
 from dataclasses import dataclass, field
@@ -31,7 +30,7 @@ from omnimart.llm.chunks import ChunkEncoder
 from omnimart.llm.frames import map_batches
 
 MARK = "▁"
-#: Remembered chunks of a worker, which also holds both libraries' models.
+#: Remembered chunks of a task, whose worker also holds both libraries' models.
 KEPT = 400_000
 #: Numbers of the protobuf's enumerations, fixed by the format.
 UNIGRAM, BPE = 1, 2
@@ -159,7 +158,6 @@ def blank_starts(raw: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return cuts
 
 
-@functools.lru_cache(maxsize=1)
 def _encoder(path: str, threads: int, parity: bool) -> ChunkEncoder:
     os.environ["TOKENIZERS_PARALLELISM"] = "true"
     os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
