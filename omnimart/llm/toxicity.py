@@ -1,20 +1,21 @@
 """Toxicity scores from the nearest labelled examples by exact TF-IDF cosine.
 
 Terms are lower-cased (A-Z) words of letters and digits and, for longer words, their first five
-bytes. From at most ``positives`` and ``negatives`` labelled rows (those of the smallest hashes of
-their ids) the terms associated with the label are kept, at most ``vocabulary``: those whose likelihood ratio
-statistic exceeds what the largest of as many unrelated terms would reach. Their document
-frequencies are counted over all documents; vectors are (1 + ln tf) * ln(1 + N / df),
-of length one.
-
-The same rows are the examples. Their postings lie term by term in blocks of 64 examples, and for
-each term and block the greatest weight is known. A document adds these up to a bound for each
-block and opens blocks by falling bound until the next bound is below its
-k-th best cosine, so the k nearest are exact (ties go to the smaller id). They vote
+bytes. Every term of a text counts, whether or not an example has it. A vector is
+(1 + ln tf) * ln(1 + N / df) with document frequencies over all documents, of length one. With ``associated`` each
+weight is multiplied by sqrt(1 + G), where G is the likelihood ratio statistic of the term and the label among the
+examples (0 for a term of none): plain cosines find texts of the same subject, and a toxic word or two in a
+long text hardly move them. No term is left out either way, unless ``vocabulary`` asks for the
+most associated ones only.
+
+The examples are at most ``positives`` and ``negatives`` labelled rows (those of the smallest hashes of
+their ids). Terms of many examples stand in a matrix, the others in postings; a document's
+cosines with all examples are summed from both, so the k nearest are exact (ties go to the smaller id). They vote
 with weight 1 / (0.05 + 1 - cosine); each class is weighted by how many labelled rows an example
 stands for. Votes are calibrated by a logistic curve fitted on the examples' own votes without
-themselves. A document without any kept term has no direction; its votes are those of the
-examples without any.
+themselves. A document that shares no term with any example has no neighbours; its votes are those of the
+examples without terms. Terms that no example has lengthen a document's vector; their frequencies are
+counted apart, as there is no bound to their number.
 
 Null and empty texts are such documents. Null labels or ids do not teach; a
 document with several labels counts with each. Without examples of both classes every score is the share
@@ -24,24 +25,23 @@ and text of ``docs`` are read, and an id is never an input of a score.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from omnimart.llm import textops
-from omnimart.llm.frames import fresh, map_batches
+from omnimart.llm.frames import Pins, fresh, map_batches
 
-#: Documented bounds of the labelled rows that are learnt from, and of the kept terms.
+#: Documented bounds of the labelled rows that are learnt from.
 POSITIVES = 3_000
 NEGATIVES = 5_000
-VOCABULARY = 2_048
 NEAREST = 15
-BLOCK = 64
 STEM = 5
-LEAST_DF = 4
+#: Terms in the matrix, at most; documents whose cosines are computed at once.
+COMMON = 512
+ROWS = 64
 
 
 def terms(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -54,60 +54,64 @@ def terms(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _occurrences(raw, bounds, vocabulary):
-    """Row, vocabulary index and count of the kept terms, ordered by row and index."""
+    """Row, vocabulary index and count of the vocabulary's terms, ordered by row and index."""
     h, row = terms(raw, bounds)
     at = np.searchsorted(vocabulary, h)
     at[at == len(vocabulary)] = 0
     kept = vocabulary[at] == h if len(vocabulary) else np.zeros(len(h), bool)
-    cell, count = np.unique(row[kept] * (1 << 20) + at[kept], return_counts=True)
-    return cell >> 20, cell & ((1 << 20) - 1), count
+    cell, count = np.unique((row[kept] << 32) + at[kept], return_counts=True)
+    return cell >> 32, cell & ((1 << 32) - 1), count
 
 
 @dataclass
 class ExampleIndex:
-    """Block-max inverted index over example vectors, with the examples' labels and weights."""
+    """Example vectors by term, with the examples' labels and weights."""
 
     vocabulary: np.ndarray
     idf: np.ndarray
+    strength: np.ndarray
+    n_docs: int
     ids: np.ndarray
     labels: np.ndarray
     weights: np.ndarray
     starts: np.ndarray
     slots: np.ndarray
     values: np.ndarray
-    block_max: np.ndarray
+    column: np.ndarray
+    matrix: np.ndarray
     curve: tuple[float, float] = (1.0, 0.0)
     empty: float = 0.0
     base: float = 0.0
 
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Slots and cosines of the k nearest examples, nearest first, of those with a cosine above 0."""
-        n_blocks = self.block_max.shape[1]
-        bound = weight @ self.block_max[term]
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        slots, cosines = np.zeros(0, np.int64), np.zeros(0)
-        done, step = 0, 2
-        while done < len(order):
-            if len(slots) >= k and bound[order[done]] < cosines[k - 1] - 1e-9:
-                break
-            opened = np.sort(order[done : done + step])
-            done, step = done + step, step * 2
-            first = self.starts[term[:, None], opened[None, :]]
-            n = self.starts.ravel()[term[:, None] * (n_blocks + 1) + opened[None, :] + 1] - first
-            if not n.sum():
-                continue
-            flat, size = first.ravel(), n.ravel()
-            at = np.repeat(flat - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-            part = np.repeat(np.repeat(weight, len(opened)), size) * self.values[at]
-            found, back = np.unique(self.slots[at], return_inverse=True)
-            cosine = np.bincount(back, part)
-            if without >= 0:
-                cosine, found = cosine[found != without], found[found != without]
-            slots, cosines = np.concatenate([slots, found]), np.concatenate([cosines, cosine])
-            best = np.lexsort((self.ids[slots], -np.round(cosines, 12)))[:k]
-            slots, cosines = slots[best], cosines[best]
-        return slots, cosines
+    def nearest(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n_rows: int, k: int, without: int | None = None):
+        """For each row: slots and cosines of the k nearest examples, nearest first, of those with a cosine above 0.
+
+        Entries are ordered by row. ``without`` is the slot of the first row, if the rows are examples, which are not their own neighbours.
+        """
+        cut = np.searchsorted(row, np.arange(0, n_rows + ROWS, ROWS))
+        for first, i, j in zip(range(0, n_rows, ROWS), cut[:-1], cut[1:]):
+            n = min(ROWS, n_rows - first)
+            sums = self._cosines(row[i:j] - first, term[i:j], weight[i:j], n)
+            for r in range(n):
+                own = sums[r]
+                if without is not None:
+                    own[without + first + r] = 0
+                least = np.partition(own, len(own) - k)[len(own) - k] - 1e-9 if len(own) > k else 0.0
+                slots = np.flatnonzero((own >= least) & (own > 0))
+                slots = slots[np.lexsort((self.ids[slots], -np.round(own[slots], 12)))[:k]]
+                yield slots, own[slots]
+
+    def _cosines(self, row, term, weight, n):
+        column = self.column[term]
+        common = column >= 0
+        grid = np.zeros((n, self.matrix.shape[1]))
+        grid[row[common], column[common]] = weight[common]
+        sums = grid @ self.matrix.T
+        row, term, weight = row[~common], term[~common], weight[~common]
+        first, size = self.starts[term], self.starts[term + 1] - self.starts[term]
+        at = np.repeat(first - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(size) else np.zeros(0, np.int64)
+        cell = np.repeat(row * len(self.ids), size) + self.slots[at]
+        return sums + np.bincount(cell, np.repeat(weight, size) * self.values[at], minlength=sums.size).reshape(sums.shape)
 
     def vote(self, slots: np.ndarray, cosines: np.ndarray) -> float:
         w = self.weights[slots] / (0.05 + np.maximum(0.0, 1 - cosines))
@@ -126,22 +130,23 @@ def sample(labels: DataFrame, positives: int, negatives: int) -> DataFrame:
     return rows.where("label = 1").orderBy(*order).limit(positives).union(rows.where("label = 0").orderBy(*order).limit(negatives))
 
 
-def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negatives: int = NEGATIVES, vocabulary: int = VOCABULARY, k: int = NEAREST) -> ExampleIndex:
+def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, negatives: int = NEGATIVES, vocabulary: int | None = None, k: int = NEAREST, associated: bool = False) -> ExampleIndex:
     """Index of the examples drawn from ``labels`` (doc_id, label); statistics over all of ``docs``."""
     docs = fresh(docs, "doc_id", "text")
     known = fresh(labels, "doc_id", "label").where("doc_id is not null and label is not null").distinct()
     all_rows = {int(r[0]): r[1] for r in known.groupBy((F.col("label") > 0).cast("int")).count().collect()}
     # The sample is bounded by its parameters, so it may be sent to every task.
     chosen = docs.join(F.broadcast(sample(labels, positives, negatives)), "doc_id")
-    kept = _select_terms(chosen, vocabulary)
+    kept, strength = _terms_of(chosen, vocabulary)
     df, n_docs = _frequencies(docs, kept)
     idf = np.log(1 + n_docs / np.maximum(df, 1))
-    ids, label, vectors = _example_vectors(chosen, kept, idf)
-    return _build(kept, idf, ids, label, vectors, all_rows, k)
+    strength = strength if associated else np.ones(len(kept))
+    ids, label, vectors = _example_vectors(chosen, kept, idf * strength)
+    return _build(kept, idf, strength, n_docs, ids, label, vectors, all_rows, k)
 
 
-def _select_terms(chosen: DataFrame, vocabulary: int) -> np.ndarray:
-    """Hashes of the terms whose presence tells most about the label (likelihood ratio), ascending."""
+def _terms_of(chosen: DataFrame, vocabulary: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the examples' terms, ascending, and what a term's association with the label multiplies its weight by."""
 
     def run(batches):
         for batch in batches:
@@ -155,81 +160,96 @@ def _select_terms(chosen: DataFrame, vocabulary: int) -> np.ndarray:
     totals = {int(r[0]): r[1] for r in chosen.groupBy("label").count().collect()}
     pos, neg = totals.get(1, 0), totals.get(0, 0)
     if not pos or not neg:
-        return np.zeros(0, np.uint64)
-    counts = map_batches(chosen, run, "term long, p long, n long").groupBy("term").agg(F.sum("p").cast("double").alias("p"), F.sum("n").cast("double").alias("n")).where(f"p + n >= {LEAST_DF}")
-    share = (F.col("p") + F.col("n")) / (pos + neg)
+        return np.zeros(0, np.uint64), np.zeros(0)
+    counts = map_batches(chosen, run, "term long, p long, n long").groupBy("term").agg(F.sum("p").alias("p"), F.sum("n").alias("n")).toArrow()
+    term, p, n = counts["term"].to_numpy().view(np.uint64), counts["p"].to_numpy().astype(float), counts["n"].to_numpy().astype(float)
+    share = (p + n) / (pos + neg)
 
-    def part(seen: Column, expected: Column) -> Column:
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+    def part(seen, expected):
+        there = seen > 0
+        return np.where(there, seen * np.log(np.where(there, seen, 1) / np.where(there, expected, 1)), 0)
 
-    g = part(F.col("p"), share * pos) + part(F.col("n"), share * neg) + part(pos - F.col("p"), (1 - share) * pos) + part(neg - F.col("n"), (1 - share) * neg)
-    # By chance alone, the largest of n such statistics of unrelated terms is about 2 ln n.
-    tested = counts.select("term", (2 * F.round(g, 6)).alias("g"))
-    best = tested.orderBy(F.desc("g"), "term").limit(vocabulary).where(F.col("g") > 2 * math.log(max(2, counts.count()))).toArrow()
-    return np.sort(best["term"].to_numpy().view(np.uint64))
+    g = part(p, share * pos) + part(n, share * neg) + part(pos - p, (1 - share) * pos) + part(neg - n, (1 - share) * neg)
+    g = np.maximum(0, 2 * np.round(g, 6))
+    best = np.lexsort((term, -g))[:vocabulary]
+    best = best[np.argsort(term[best])]
+    return term[best], np.sqrt(1 + g[best])
 
 
 def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
-    """Document frequency of each kept term and the number of documents, over all documents."""
+    """Document frequency of each term of the vocabulary and the number of documents, over all documents."""
+
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches):
+        vocabulary = sent.value
         df, n = np.zeros(len(vocabulary), np.int64), 0
         for batch in batches:
             n += batch.num_rows
             for _, _, raw, bounds in textops.pieces(batch["text"]):
                 df += np.bincount(_occurrences(raw, bounds, vocabulary)[1], minlength=len(vocabulary))
         # Document count under -1.
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(vocabulary))), pa.array(np.concatenate([[n], df]))], ["term", "df"])
+        found = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], found])), pa.array(np.concatenate([[n], df[found]]))], ["term", "df"])
+
+    rows = map_batches(docs, run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    df = np.zeros(len(vocabulary) + 1, np.int64)
+    df[rows["term"].to_numpy() + 1] = rows["df"].to_numpy()
+    return df[1:], int(df[0])
 
-    rows = map_batches(docs, run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).orderBy("term").toArrow()["df"].to_numpy()
-    return (rows[1:], int(rows[0])) if len(rows) else (np.zeros(len(vocabulary), np.int64), 0)
 
+def _weights(row, term, count, factor, n_rows):
+    """Weights of each row at length one, and the rows' squared lengths before."""
+    value = (1 + np.log(count)) * factor[term]
+    square = np.bincount(row, value * value, minlength=n_rows)
+    return value / np.sqrt(square)[row], square
 
-def _weights(row, term, count, idf, n_rows):
-    value = (1 + np.log(count)) * idf[term]
-    length = np.sqrt(np.bincount(row, value * value, minlength=n_rows))
-    return value / length[row]
 
+def _example_vectors(chosen: DataFrame, vocabulary: np.ndarray, factor: np.ndarray):
+    """Ids and labels of the examples, and slot, term and weight of their entries, ordered by slot."""
+    sent = chosen.sparkSession.sparkContext.broadcast((vocabulary, factor))
 
-def _example_vectors(chosen: DataFrame, vocabulary: np.ndarray, idf: np.ndarray):
     def run(batches):
+        vocabulary, factor = sent.value
         for batch in batches:
             for at, end, raw, bounds in textops.pieces(batch["text"]):
                 row, term, count = _occurrences(raw, bounds, vocabulary)
                 cut = np.searchsorted(row, np.arange(end - at + 1))
-                yield pa.RecordBatch.from_arrays([batch["doc_id"][at:end], batch["label"][at:end], textops.lists(term, cut), textops.lists(_weights(row, term, count, idf, end - at), cut)], ["doc_id", "label", "term", "weight"])
+                weight, _ = _weights(row, term, count, factor, end - at)
+                yield pa.RecordBatch.from_arrays([*(batch[c][at:end] for c in ("doc_id", "label", "key")), textops.lists(term.astype(np.int32), cut), textops.lists(weight, cut)], ["doc_id", "label", "key", "term", "weight"])
 
-    rows = map_batches(chosen, run, "doc_id long, label int, term array<long>, weight array<double>").toArrow()
-    terms_, weights = rows["term"].to_pylist(), rows["weight"].to_pylist()
+    keyed = chosen.select("doc_id", "label", "text", F.xxhash64("text").alias("key"))
+    rows = map_batches(keyed, run, "doc_id long, label int, key long, term array<int>, weight array<double>").toArrow()
     ids, label = rows["doc_id"].to_numpy(), rows["label"].to_numpy()
-    order = sorted(range(len(ids)), key=lambda i: (ids[i], label[i], terms_[i], weights[i]))
-    return ids[order], label[order], [(np.array(terms_[i], np.int64), np.array(weights[i])) for i in order]
+    order = np.lexsort((rows["key"].to_numpy(), label, ids))
+    rows = rows.take(pa.array(order)).combine_chunks()
+    size = rows["term"].combine_chunks().value_lengths().to_numpy() if len(order) else np.zeros(0, np.int64)
+    flat = [pa.concat_arrays([c.flatten() for c in rows[x].chunks]).to_numpy() if len(order) else np.zeros(0) for x in ("term", "weight")]
+    return ids[order], label[order], (np.repeat(np.arange(len(ids)), size), flat[0].astype(np.int64), flat[1])
 
 
-def _build(vocabulary, idf, ids, label, vectors, all_rows, k) -> ExampleIndex:
+def _build(vocabulary, idf, strength, n_docs, ids, label, vectors, all_rows, k) -> ExampleIndex:
     drawn = np.bincount(label, minlength=2).astype(float)
     stands = np.array([all_rows.get(c, 0) / max(drawn[c], 1) for c in (0, 1)])
     base = all_rows.get(1, 0) / max(1, sum(all_rows.values()))
-    # Neighbours in the index share their heaviest term, which keeps the bounds of blocks tight.
-    lead = [t[np.argmax(w)] if len(t) else -1 for t, w in vectors]
-    order = np.lexsort((ids, label, lead)) if len(ids) else np.zeros(0, np.int64)
-    ids, label, vectors = ids[order], label[order], [vectors[i] for i in order]
-    n_blocks = max(1, -(-len(ids) // BLOCK))
-    slot = np.repeat(np.arange(len(ids)), [len(t) for t, _ in vectors])
-    term = np.concatenate([t for t, _ in vectors]) if vectors else np.zeros(0, np.int64)
-    value = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
-    by_term = np.lexsort((slot, term))
-    term, slot, value = term[by_term], slot[by_term], value[by_term]
-    cell = term * n_blocks + slot // BLOCK
-    starts = np.searchsorted(cell, np.arange(len(vocabulary))[:, None] * n_blocks + np.arange(n_blocks + 1)[None, :])
-    block_max = np.zeros(len(vocabulary) * n_blocks)
-    np.maximum.at(block_max, cell, value)
-    index = ExampleIndex(vocabulary, idf, ids, label, stands[label], starts, slot, value, block_max.reshape(len(vocabulary), n_blocks), base=base)
-    empty = np.array([not len(t) for t, _ in vectors], dtype=bool)
+    slot, term, value = vectors
+    size = np.bincount(term, minlength=len(vocabulary))
+    often = np.argsort(-size, kind="stable")[:COMMON]
+    often = often[size[often] > len(ids) / 32]
+    column = np.full(len(vocabulary), -1)
+    column[often] = np.arange(len(often))
+    matrix = np.zeros((len(ids), len(often)))
+    common = column[term] >= 0
+    matrix[slot[common], column[term[common]]] = value[common]
+    rare = np.flatnonzero(~common)
+    rare = rare[np.argsort(term[rare], kind="stable")]
+    starts = np.searchsorted(term[rare], np.arange(len(vocabulary) + 1))
+    index = ExampleIndex(vocabulary, idf, strength, n_docs, ids, label, stands[label], starts, slot[rare].astype(np.int32), value[rare], column, matrix, base=base)
+    empty = np.bincount(slot, minlength=len(ids)) == 0
     w = index.weights
     index.empty = float(((w * label)[empty].sum() + base) / (w[empty].sum() + 1)) if len(ids) else base
     if min(drawn) > 0:
-        votes = np.array([index.vote(*index.nearest(t, v, k, without=i)) for i, (t, v) in enumerate(vectors)])
+        votes = np.array([index.vote(*found) for found in index.nearest(slot, term, value, len(ids), k, without=0)])
         index.curve = _calibrate(votes, label, w)
     return index
 
@@ -247,32 +267,74 @@ def _calibrate(votes: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tupl
     return max(float(beta[0]), 0.1), float(beta[1])
 
 
+def _unseen(docs: DataFrame, index: ExampleIndex, sent) -> DataFrame:
+    """By text (key, square): what terms of no example add to the squared length of its vector."""
+
+    def run(batches):
+        vocabulary = sent.value.vocabulary
+        for batch in batches:
+            key = batch["key"].to_numpy()
+            for at, end, raw, bounds in textops.pieces(batch["text"]):
+                h, row = terms(raw, bounds)
+                place = np.searchsorted(vocabulary, h)
+                place[place == len(vocabulary)] = 0
+                new = vocabulary[place] != h
+                h, row = h[new], row[new]
+                order = np.lexsort((h, row))
+                h, row = h[order], row[order]
+                first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])])) if len(h) else np.zeros(0, np.int64)
+                count = np.diff(np.append(first, len(h)))
+                yield pa.RecordBatch.from_arrays([pa.array(key[at:end][row[first]]), pa.array(h[first].view(np.int64)), pa.array(count.astype(np.int64))], ["key", "term", "n"])
+
+    found = map_batches(docs.select("text", F.xxhash64("text").alias("key")), run, "key long, term long, n long")
+    # Rows of the same text count in the frequency, but lengthen its vector once.
+    copies = found.groupBy("term", "key", "n").agg(F.count("*").alias("copies"))
+    df = F.sum("copies").over(Window.partitionBy("term"))
+    weight = (1 + F.log("n")) * F.log(1 + F.lit(float(index.n_docs)) / df)
+    return copies.select("key", (weight * weight).alias("square")).groupBy("key").agg(F.round(F.sum("square"), 9).alias("square"))
+
+
 def score(docs: DataFrame, index: ExampleIndex, k: int = NEAREST) -> DataFrame:
     """doc_id, score and evidence (ids of up to three nearest examples) of every document."""
     docs = fresh(docs, "doc_id", "text")
+    if not len(index.vocabulary) or len(np.unique(index.labels)) < 2:
+        value = index.score(index.empty) if len(np.unique(index.labels)) > 1 else index.base
+        return docs.select("doc_id", F.lit(float(value)).alias("score"), F.lit([]).cast("array<long>").alias("evidence"))
     sent = docs.sparkSession.sparkContext.broadcast(index)
+    pins = Pins(docs.sparkSession)
 
-    def run(batches):
+    def search(batches):
         index = sent.value
-        known = len(np.unique(index.labels)) > 1
-        seen: dict[bytes, tuple[float, list[int]]] = {}  # documents of few terms often have the same vector
+        factor = index.idf * index.strength
         for batch in batches:
-            scores, evidence = [], []
+            slots, cosines, squares = [], [], []
             for at, end, raw, bounds in textops.pieces(batch["text"]):
                 row, term, count = _occurrences(raw, bounds, index.vocabulary)
-                weight = _weights(row, term, count, index.idf, end - at)
-                cut = np.searchsorted(row, np.arange(end - at + 1))
-                for i, j in zip(cut[:-1], cut[1:]):
-                    vector = term[i:j].tobytes() + weight[i:j].tobytes()
-                    if vector not in seen:
-                        if len(seen) > 50_000:
-                            seen.clear()
-                        slots, cosines = index.nearest(term[i:j], weight[i:j], k) if j > i else (np.zeros(0, np.int64), np.zeros(0))
-                        value = index.score(index.vote(slots, cosines)) if known else index.base
-                        seen[vector] = value, index.ids[slots[:3]].tolist()
-                    value, nearest = seen[vector]
-                    scores.append(value)
-                    evidence.append(nearest)
+                weight, square = _weights(row, term, count, factor, end - at)
+                for near, cosine in index.nearest(row, term, weight, end - at, k):
+                    slots.append(near)
+                    cosines.append(cosine)
+                squares.append(square)
+            cut = np.concatenate([[0], np.cumsum([len(x) for x in slots])]).astype(np.int32)
+            flat = [np.concatenate([np.zeros(0, t), *x]).astype(t) for x, t in ((slots, np.int32), (cosines, float))]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["key"], textops.lists(flat[0], cut), textops.lists(flat[1], cut), pa.array(np.concatenate([np.zeros(0), *squares]))], ["doc_id", "key", "slots", "cosines", "own"])
+
+    def vote(batches):
+        index = sent.value
+        for batch in batches:
+            own, more = batch["own"].to_numpy(), batch["square"].to_numpy()
+            shorter = np.sqrt(own / np.maximum(own + more, 1e-300))
+            cut = batch["slots"].offsets.to_numpy()
+            slots, cosines = batch["slots"].values.to_numpy(), batch["cosines"].values.to_numpy()
+            low = batch["cosines"].offsets.to_numpy()
+            scores, evidence = [], []
+            for r in range(batch.num_rows):
+                near = slots[cut[r] : cut[r + 1]]
+                scores.append(index.score(index.vote(near, cosines[low[r] : low[r + 1]] * shorter[r])))
+                evidence.append(index.ids[near[:3]].tolist())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))], ["doc_id", "score", "evidence"])
 
-    return map_batches(docs, run, "doc_id long, score double, evidence array<long>")
+    unseen = pins.pin(_unseen(docs, index, sent), "unseen-terms")
+    found = map_batches(docs.withColumn("key", F.xxhash64("text")), search, "doc_id long, key long, slots array<int>, cosines array<double>, own double")
+    joined = pins.join(found, unseen, "key", "left").select("doc_id", "slots", "cosines", "own", F.coalesce("square", F.lit(0.0)).alias("square"))
+    return map_batches(joined, vote, "doc_id long, score double, evidence array<long>")

@@ -112,3 +112,43 @@ def test_only_text_counts(spark, documents):
     plain = {r.doc_id: r.score for r in toxicity.score(documents(docs), index).collect()}
     moved = spark.createDataFrame([(i + 5000, t, 1, 0.5) for i, t in docs], "doc_id long, text string, label int, score double")
     assert {r.doc_id - 5000: r.score for r in toxicity.score(moved, index).collect()} == plain
+
+
+def test_every_term_counts(spark, documents):
+    docs, labels = corpus(240, 3)
+    # Words of two examples and of no example: the first find each other, the second only lengthen a vector.
+    docs += [(500, "zebra quagga"), (501, "zebra quagga okapi"), (502, "okapi word unheard"), (503, "unheard unheard zebra")]
+    labels += [(500, 0)]
+    known = spark.createDataFrame(labels, LABELS)
+    for associated in (False, True):
+        index = toxicity.learn(documents(docs), known, associated=associated)
+        assert {plain_hash(t) for _, text in docs[:240] for t in plain_terms(text)} <= {int(h) for h in index.vocabulary}
+        found = {r.doc_id: r for r in toxicity.score(documents(docs), index).collect()}
+        assert all(found[i].evidence for i, _ in docs[:240]) and found[501].evidence == found[503].evidence == [500] and found[502].evidence == []
+
+
+def test_lengths_hold_terms_of_no_example(spark, documents):
+    docs, labels = corpus(120, 5)
+    docs += [(900, docs[0][1] + " unheard okapi okapi"), (901, "okapi")]
+    index = toxicity.learn(documents(docs), spark.createDataFrame(labels, LABELS))
+    rows = [r.square for r in toxicity._unseen(documents(docs), index, spark.sparkContext.broadcast(index)).orderBy("square").collect()]
+    n = len(docs)
+    okapi, once = math.log(1 + n / 2), math.log(1 + n)
+    # "unheard" has a stem as well.
+    assert rows == pytest.approx([okapi**2, 2 * once**2 + ((1 + math.log(2)) * okapi) ** 2], abs=1e-8)
+
+
+def test_toxic_rows_are_found_in_long_texts(spark, documents):
+    draw = random.Random(8)
+    calm = [f"plain{k}" for k in range(400)]
+    docs, labels = [], []
+    for i in range(400):
+        words = draw.choices(calm, k=80)
+        labels.append((i, int(i % 8 == 0)))
+        if i % 8 == 0:
+            words[draw.randrange(80)] = "moronic"
+        docs.append((i, " ".join(words)))
+    index = toxicity.learn(documents(docs), spark.createDataFrame(labels[:300], LABELS), associated=True)
+    truth = dict(labels)
+    found = [r for r in toxicity.score(documents(docs), index).collect() if r.doc_id >= 300]
+    assert sum((r.score >= 0.5) == truth[r.doc_id] for r in found) >= 0.97 * len(found)
