@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -14,8 +15,8 @@ from omnimart.operators.quantiles import nearest_rank
 from omnimart.plans import contracts, core, flash, marts, quality, reports, staging
 from omnimart.plans.warehouse import Warehouse
 from omnimart.session import pin, scratch_path
-from omnimart.sources.landing import LandingSource, source_counts as count_sources
-from omnimart.sources.schemas import file_of
+from omnimart.sources.landing import INGESTED_AT, LandingSource, source_counts as count_sources
+from omnimart.sources.schemas import SOURCE_NAMES, file_of, schema_of
 from omnimart.sources.star import StarSource, map_web_events
 from omnimart.streaming import events as stream_events, sinks, validation
 
@@ -647,6 +648,66 @@ def csv_landing(m: Model) -> DataFrame:
     return staging.stg_payments(LandingSource(m.source.spark, folder))
 
 
+@query
+def raw_zone_all_sources(m: Model) -> DataFrame:
+    """All sources landed for two days, the second day twice: rows of each day by its own folder."""
+    root, days = _scratch(m, "raw-all"), ("2001-11-04", "2001-11-05")
+    for day in (*days, days[1]):
+        folders = {n: tables.write_raw_zone(m.source.table(n), root, n, day) for n in SOURCE_NAMES}
+    parts = [
+        tables.landed_files(m.source.spark, folders, day).select("source", F.lit(day).alias("day"), "rows")
+        for day in days
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def _landed(m: Model) -> str:
+    """Folder with all sources as CSV, each with one damaged line."""
+    spark, folder = m.source.spark, _scratch(m, "landing-all")
+    for name in SOURCE_NAMES:
+        path = f"{folder}/{file_of(name)}"
+        (
+            m.source.table(name)
+            .write.option("header", True)
+            .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
+            .csv(path)
+        )
+        # One text of two lines, so that the heading stays in front.
+        heading = ",".join(schema_of(name).fieldNames())
+        spark.range(1).select(F.lit(f"{heading}\ndamaged").alias("value")).write.mode("append").text(path)
+    return folder
+
+
+@query
+def csv_landing_all_sources(m: Model) -> DataFrame:
+    """All sources as CSV: rows that fit their schema, and lines in quarantine."""
+    source = LandingSource(m.source.spark, _landed(m))
+    source.check_present()
+    bad = [
+        source.quarantine(name).agg(F.count("*").alias("damaged")).select(F.lit(name).alias("source"), "damaged")
+        for name in SOURCE_NAMES
+    ]
+    damaged = reduce(DataFrame.unionByName, bad)
+    rows = (F.col("records") - F.col("damaged")).alias("rows")
+    return count_sources(source).join(damaged, "source").select("source", rows, "damaged")
+
+
+# Load times of the landed sources, against AS_OF.
+LOADED = {"price_history": datetime(2001, 11, 5, 3, 0), "orders": datetime(2001, 11, 5, 5, 50), "payments": datetime(2001, 11, 5, 5, 50), "retail_events": datetime(2001, 11, 5, 5, 50)}
+LOADED_ELSE = datetime(2001, 11, 5, 5, 0)
+
+
+@query
+def freshness_all_sources(m: Model) -> DataFrame:
+    """Age of the newest load of each source."""
+    folder = _landed(m)
+    loaded = {
+        name: LandingSource(m.source.spark, folder, LOADED.get(name, LOADED_ELSE)).loaded(name)
+        for name in SOURCE_NAMES
+    }
+    return quality.freshness(loaded, INGESTED_AT, AS_OF)
+
+
 # Headings of the stock export by column.
 EXPORT_COLUMNS = {
     "product_id": "product_id",
@@ -685,10 +746,10 @@ def stored_cube(m: Model) -> DataFrame:
 # -- event validation and streams --------------------------------------------
 
 
-def _records(m: Model) -> DataFrame:
-    """Base64 JSON records of the web events, some incomplete, some with a bad time."""
+def _records(raw: DataFrame) -> DataFrame:
+    """Base64 JSON records of events, some incomplete, some with a bad time."""
     number = F.split_part("event_id", F.lit("-"), F.lit(2)).cast("bigint")
-    events = m.source.web_events().select(
+    events = raw.select(
         F.when(number % 19 != 0, F.col("event_id")).alias("recordId"),
         "event_id",
         "event_type",
@@ -706,8 +767,18 @@ def _records(m: Model) -> DataFrame:
 
 @query
 def event_validation(m: Model) -> DataFrame:
-    """Result of every record; good ones with the fields read back from their output."""
-    validated = validation.validate_records(_records(m))
+    """Result of every record of a web event; good ones with the fields read back from their output."""
+    return _validated(m.source.web_events())
+
+
+@query
+def retail_event_validation(m: Model) -> DataFrame:
+    """The same of purchase and web events."""
+    return _validated(m.source.table("retail_events"))
+
+
+def _validated(raw: DataFrame) -> DataFrame:
+    validated = validation.validate_records(_records(raw))
     text = F.expr("try_to_binary(data, 'base64')").cast("string")
     fields = "event_id string, latency_ms int, schema_version string, idempotency_key string"
     return validated.select(
@@ -726,10 +797,20 @@ def event_validation(m: Model) -> DataFrame:
 
 @query
 def event_routing(m: Model) -> DataFrame:
-    """Records per result after routing to the good and the failed folder by a stream."""
+    """Web events per result after routing to the good and the failed folder by a stream."""
+    return _routed(m, m.source.web_events())
+
+
+@query
+def retail_event_routing(m: Model) -> DataFrame:
+    """The same of purchase and web events."""
+    return _routed(m, m.source.table("retail_events"))
+
+
+def _routed(m: Model, raw: DataFrame) -> DataFrame:
     folder = _scratch(m, "routing")
     source = f"{folder}/in"
-    _records(m).write.parquet(source)
+    _records(raw).write.parquet(source)
     stream = m.source.spark.readStream.schema("recordId string, data string").parquet(source)
     sinks.run_available(
         validation.validate_records(stream),
@@ -756,6 +837,18 @@ def _event_stream(m: Model, resend: bool = False) -> DataFrame:
     return staging.typed_events(map_web_events(raw, m.source.product_count()))
 
 
+def _retail_stream(m: Model, resend: bool = False) -> DataFrame:
+    """Typed purchase and web events as a stream; with ``resend`` every tenth number's events arrive three times."""
+    spark, folder = m.source.spark, f"{_scratch(m, 'retail-events')}/in"
+    m.source.table("retail_events").write.parquet(folder)
+    raw = stream_events.read_event_files(spark, folder, spark.read.parquet(folder).schema)
+    if resend:
+        number = F.split_part("event_id", F.lit("-"), F.lit(2)).cast("bigint")
+        copies = F.when(number % 10 == 0, 3).otherwise(1)
+        raw = raw.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
+    return staging.typed_events(raw)
+
+
 def _streamed(m: Model, stream: DataFrame, name: str) -> DataFrame:
     folder = _scratch(m, name)
     sinks.append_parquet(stream, f"{folder}/out", f"{folder}/checkpoint")
@@ -774,11 +867,32 @@ def stream_enriched(m: Model) -> DataFrame:
 
 @query
 def stream_fact_merge(m: Model) -> DataFrame:
-    """Re-sent events merged into the fact by key; each is there once."""
+    """Re-sent web events merged into the fact by key; each is there once."""
+    return _merged(m, _event_stream(m, True))
+
+
+@query
+def retail_stream_dedup(m: Model) -> DataFrame:
+    """Ids of purchase and web events, each once; which of unequal copies stays is left to their arrival."""
+    return _streamed(m, stream_events.deduplicate(_retail_stream(m, True), "40 days"), "dedup").select("event_id")
+
+
+@query
+def retail_stream_enriched(m: Model) -> DataFrame:
+    return _streamed(m, stream_events.enrich(_retail_stream(m), m.bridge()), "enriched")
+
+
+@query
+def retail_stream_fact_merge(m: Model) -> DataFrame:
+    """Re-sent purchase and web events merged into the fact by key; of each the newest is there."""
+    return _merged(m, _retail_stream(m, True))
+
+
+def _merged(m: Model, stream: DataFrame) -> DataFrame:
     folder = _scratch(m, "fact")
     day = F.date_format("event_at", "yyyy-MM-dd")
     table = tables.KeyedTable(m.source.spark, f"{folder}/fact", "event_id", day)
-    enriched = stream_events.enrich(_event_stream(m, True), m.bridge())
+    enriched = stream_events.enrich(stream, m.bridge())
     sinks.run_available(enriched, f"{folder}/checkpoint", sinks.merge_into(table, "event_at"))
     return table.read()
 
@@ -803,6 +917,13 @@ def stream_latency_windows(m: Model) -> DataFrame:
     return stream_events.with_open_windows(_streamed(m, windows, "windows"), stored)
 
 
+@query
+def retail_stream_latency_windows(m: Model) -> DataFrame:
+    windows = stream_events.latency_windows(_retail_stream(m), "10 minutes")
+    stored = staging.typed_events(m.source.table("retail_events"))
+    return stream_events.with_open_windows(_streamed(m, windows, "windows"), stored)
+
+
 @query
 def stream_latency_alarm(m: Model) -> DataFrame:
     windows = stream_events.latency_windows(_latency_stream(m), "10 minutes")
@@ -819,9 +940,19 @@ def latency_late_marker(m: Model) -> DataFrame:
 
 @query
 def event_lines(m: Model) -> DataFrame:
-    """Events as broker lines: records per key after a write and a read."""
+    """Web events as broker lines: records per key after a write and a read."""
+    return _lines_by_key(m, m.source.web_events())
+
+
+@query
+def retail_event_lines(m: Model) -> DataFrame:
+    """The same of purchase and web events."""
+    return _lines_by_key(m, m.source.table("retail_events"))
+
+
+def _lines_by_key(m: Model, raw: DataFrame) -> DataFrame:
     folder = _scratch(m, "lines")
-    lines = sinks.json_lines(staging.typed_events(m.source.web_events()))
+    lines = sinks.json_lines(staging.typed_events(raw))
     sinks.write_json_lines(lines.filter("valid"), folder)
     fields = F.from_json("value", "partition_key string, schema_version string, latency_ms int")
     return (

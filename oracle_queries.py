@@ -931,4 +931,62 @@ FINALS |= {
         FROM web_events GROUP BY 1""",
 }
 
+#: Both halves of the events, and all eight sources.
+RETAIL_TYPED = WEB_TYPED.replace("FROM web_events", "FROM raw_events")
+RETAIL_NUMBER = "(SELECT *, CAST(split_part(event_id, '-', 2) AS BIGINT) AS n FROM raw_events)"
+VALID_RETAIL = VALID_RECORD.replace("event_id", "n")
+SOURCE_TABLES = {
+    "products": "products", "customers": "stg_customers", "customer_identities": "raw_identities", "inventory": "inventory",
+    "orders": "raw_orders", "payments": "raw_payments", "retail_events": "raw_events", "price_history": "prices",
+}
+
+
+def _all_sources(columns: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS source, {columns} FROM {table}" for name, table in SOURCE_TABLES.items())
+
+
+FINALS |= {
+    "retail_event_validation": f"""
+        SELECT CASE WHEN n % 19 <> 0 THEN event_id ELSE 'unknown' END AS record_id,
+               CASE WHEN {VALID_RETAIL} THEN 'Ok' ELSE 'ProcessingFailed' END AS result,
+               CASE WHEN {VALID_RETAIL} THEN event_id END AS event_id,
+               CASE WHEN {VALID_RETAIL} THEN CAST(latency_ms AS DOUBLE) END AS latency_ms,
+               CASE WHEN {VALID_RETAIL} THEN 'retail-event/2.1' END AS schema_version,
+               CASE WHEN {VALID_RETAIL} THEN event_id END AS idempotency_key
+        FROM {RETAIL_NUMBER}""",
+    "retail_event_routing": f"""
+        SELECT CASE WHEN {VALID_RETAIL} THEN 'good' ELSE 'failed' END AS route,
+               CASE WHEN {VALID_RETAIL} THEN 'Ok' ELSE 'ProcessingFailed' END AS result,
+               count(*) AS records
+        FROM {RETAIL_NUMBER} GROUP BY 1, 2""",
+    "retail_stream_dedup": "SELECT DISTINCT event_id FROM raw_events",
+    "retail_stream_enriched": f"""
+        SELECT e.*, b.customer_id FROM ({RETAIL_TYPED}) e
+        JOIN bridge b ON b.source_customer_id = e.source_customer_id""",
+    "retail_stream_fact_merge": f"""
+        SELECT * FROM (SELECT e.*, b.customer_id FROM ({RETAIL_TYPED}) e
+            JOIN bridge b ON b.source_customer_id = e.source_customer_id)
+        QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY event_at DESC, source_customer_id DESC,
+            event_type DESC, order_id DESC, product_id DESC, channel DESC, quantity DESC, latency_ms DESC,
+            partition_key DESC) = 1""",
+    "retail_stream_latency_windows": f"""
+        SELECT {WINDOW_TEXT} FROM ({WEB_WINDOWS.format(rows='raw_events')})""",
+    "retail_event_lines": """
+        SELECT partition_key, 'retail-event/2.1' AS schema_version, count(*) AS records,
+               CAST(sum(latency_ms) AS BIGINT) AS latency_ms
+        FROM raw_events GROUP BY 1""",
+    "raw_zone_all_sources": f"""
+        SELECT source, day, rows FROM ({_all_sources('count(*) AS rows')}),
+               (VALUES ('2001-11-04'), ('2001-11-05')) AS days(day)""",
+    "csv_landing_all_sources": _all_sources("count(*) AS rows, CAST(1 AS BIGINT) AS damaged"),
+    "freshness_all_sources": f"""
+        SELECT source, CASE WHEN source = 'price_history' THEN '2001-11-05 03:00:00.000'
+                            WHEN source IN ('orders', 'payments', 'retail_events') THEN '2001-11-05 05:50:00.000'
+                            ELSE '2001-11-05 05:00:00.000' END AS latest,
+               CAST(CASE WHEN source = 'price_history' THEN 180 WHEN source IN ('orders', 'payments', 'retail_events') THEN 10 ELSE 60 END AS DOUBLE) AS age_minutes,
+               CASE WHEN source = 'price_history' THEN 'error'
+                    WHEN source IN ('orders', 'payments', 'retail_events') THEN 'pass' ELSE 'warn' END AS status
+        FROM ({_all_sources('count(*) AS rows')}) WHERE rows > 0""",
+}
+
 ORACLES = {name: statement(final) for name, final in FINALS.items()}
