@@ -1,7 +1,7 @@
 """Cleaning pipeline over ``documents``: each stage applies one operator to all that its predecessor kept.
 
 1. ``quality``: documents whose probability of a usable grade is below one half go.
-2. ``line_dedup``: lines that occurred before, alike or nearly, go; a document that loses all its
+2. ``line_dedup``: lines that occurred before, alike or nearly by runs of four characters, go; a document that loses all its
    lines goes.
 3. ``ngram_jaccard``: of documents linked by similarity 0.8 on five-word shingles, the smallest id stays.
 4. ``decontaminate``: documents that hold a benchmark item go.
@@ -26,7 +26,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup_lines(docs)
+    found = line_dedup.dedup_lines(docs, chars=line_dedup.SHORT_CHARS)
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike("[^ \\t\\r\\n]")
     return found.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns)
 

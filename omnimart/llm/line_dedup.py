@@ -4,7 +4,9 @@ A line is what stands between line feeds. Lines that are empty or hold only blan
 alone. A line's set holds its runs of ten characters; a shorter line is one run as a whole. Forty
 minima of the set in ten bands of four make candidates (a pair of similarity 0.8 meets
 with a chance of 99.5 %, one of 0.9 with 99.998 %); candidates are compared by exact Jaccard of their
-sets, and lines linked directly or through others form a component. Of each component,
+sets, and lines linked directly or through others form a component. Runs of ten leave lines of fewer than 99
+characters with one changed character apart; with ``chars`` = 4 (the pipeline) the bound is 39. Short runs are
+common to unlike lines, so other widths than ten take 29 bands of eight (99.5 % at 0.8 as well). Of each component,
 the occurrence with the smallest (doc_id, line number) stays and all others go.
 
 Null texts stay null, empty ones empty. Of rows that repeat an id and its text, all keep the same lines; an id is taken
@@ -15,6 +17,8 @@ Equal lines are told by a 64-bit hash.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -28,19 +32,35 @@ BANDS = 10
 ROWS = 4
 PERCENT = 80
 
-_draw = np.random.RandomState(77)
-_MULTIPLY = _draw.randint(0, 1 << 31, BANDS * ROWS).astype(np.uint32) * np.uint32(2) + np.uint32(1)
-_ADD = _draw.randint(0, 1 << 31, BANDS * ROWS).astype(np.uint32)
+#: Width of the runs that also tells short lines with one changed character, and bands and rows of widths other than CHARS.
+SHORT_CHARS = 4
+SHORT_BANDS = 29
+SHORT_ROWS = 8
+
+
+def _drawn(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    draw = np.random.RandomState(seed)
+    multiply = draw.randint(0, 1 << 31, n).astype(np.uint32) * np.uint32(2) + np.uint32(1)
+    return multiply, draw.randint(0, 1 << 31, n).astype(np.uint32)
+
+
+_USUAL, _SHORT = _drawn(77, BANDS * ROWS), _drawn(78, SHORT_BANDS * SHORT_ROWS)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
-def char_shingles(codes: np.ndarray) -> np.ndarray:
-    """Hash of the run of ten characters that starts at each place but the last nine."""
-    one = codes.astype(np.uint64) + np.uint64(1)
-    two = one[:-1] * _A + one[1:]
-    four = two[:-2] * _B + two[2:]
-    eight = four[:-4] * _C + four[4:]
-    return textops.mix(eight[:-2] * _A + two[8:])
+def char_shingles(codes: np.ndarray, chars: int = CHARS) -> np.ndarray:
+    """Hash of the run of ``chars`` (1 to 15) characters that starts at each place but the last ones."""
+    runs = {1: codes.astype(np.uint64) + np.uint64(1)}
+    for width, factor in ((2, _A), (4, _B), (8, _C)):
+        if width <= chars:
+            half = runs[width // 2]
+            runs[width] = half[: -width // 2] * factor + half[width // 2 :]
+    found, done = None, 0
+    for width in sorted(runs, reverse=True):
+        if chars & width:
+            found = runs[width] if found is None else found[:-width] * _A + runs[width][done:]
+            done += width
+    return textops.mix(found)
 
 
 def line_table(texts: list[str]):
@@ -62,25 +82,32 @@ def line_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return textops.mix(((total[ends] - total[starts]) * down[np.minimum(starts, len(down) - 1)]) ^ (ends - starts).astype(np.uint64))
 
 
-def bands(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, whole: np.ndarray) -> np.ndarray:
-    """Band keys of each line, shape (lines, BANDS). ``whole`` are the lines' own hashes."""
-    keys = np.empty((len(starts), BANDS), dtype=np.uint64)
-    long = ends - starts >= CHARS
-    low = np.empty((len(starts), ROWS), dtype=np.uint32)
+def band_shape(chars: int) -> tuple[int, int]:
+    """Bands and their rows."""
+    return (BANDS, ROWS) if chars == CHARS else (SHORT_BANDS, SHORT_ROWS)
+
+
+def bands(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, whole: np.ndarray, chars: int = CHARS) -> np.ndarray:
+    """Band keys of each line, shape (lines, bands). ``whole`` are the lines' own hashes."""
+    n_bands, n_rows = band_shape(chars)
+    multiply, add = _USUAL if chars == CHARS else _SHORT
+    keys = np.empty((len(starts), n_bands), dtype=np.uint64)
+    long = ends - starts >= chars
+    low = np.empty((len(starts), n_rows), dtype=np.uint32)
     if long.any():
-        h = (char_shingles(codes) >> np.uint64(32)).astype(np.uint32)
+        h = (char_shingles(codes, chars) >> np.uint64(32)).astype(np.uint32)
         # Between the windows of two lines lie those that cross a line end; reduceat sees them as groups to skip.
-        edges = np.stack([starts[long], ends[long] - CHARS + 1], 1).ravel()
+        edges = np.stack([starts[long], ends[long] - chars + 1], 1).ravel()
         last = edges[-1] >= len(h)
         edges = edges[:-1] if last else edges
-    for band in range(BANDS):
-        for r in range(ROWS):
-            k = band * ROWS + r
+    for band in range(n_bands):
+        for r in range(n_rows):
+            k = band * n_rows + r
             if long.any():
-                low[long, r] = np.minimum.reduceat(h * _MULTIPLY[k] + _ADD[k], edges)[::2]
-            low[~long, r] = whole[~long].astype(np.uint32) * _MULTIPLY[k] + _ADD[k]
+                low[long, r] = np.minimum.reduceat(h * multiply[k] + add[k], edges)[::2]
+            low[~long, r] = whole[~long].astype(np.uint32) * multiply[k] + add[k]
         key = np.full(len(starts), band, dtype=np.uint64)
-        for r in range(0, ROWS, 2):
+        for r in range(0, n_rows, 2):
             key = textops.mix(key * _A + (low[:, r].astype(np.uint64) << np.uint64(32)) + low[:, r + 1])
         keys[:, band] = key
     return keys
@@ -93,7 +120,7 @@ def _texts(batch: pa.RecordBatch):
         yield at, [data[i:j].decode("utf-8", "replace") for i, j in zip(bounds[:-1], bounds[1:])]
 
 
-def line_rows(docs: DataFrame) -> DataFrame:
+def line_rows(docs: DataFrame, chars: int = CHARS) -> DataFrame:
     """Per line: doc_id, line (number), node (hash), size (shingles at most) and its band keys."""
 
     def run(batches):
@@ -105,10 +132,10 @@ def line_rows(docs: DataFrame) -> DataFrame:
                 node = line_hashes(codes, starts, ends)
                 _, first, back = np.unique(node, return_index=True, return_inverse=True)
                 keys = np.zeros((len(node), 0), dtype=np.uint64)
-                keys = bands(codes, starts[first], ends[first], node[first]) if _ordered(starts[first]) else _banded(codes, starts, ends, node, first)
+                keys = bands(codes, starts[first], ends[first], node[first], chars) if _ordered(starts[first]) else _banded(codes, starts, ends, node, first, chars)
                 has = np.zeros(len(node), dtype=bool)
                 has[first] = True
-                count = np.where(has, BANDS, 0)
+                count = np.where(has, band_shape(chars)[0], 0)
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"].take(pa.array(at + text)), pa.array(number.astype(np.int32)), pa.array(node.view(np.int64)), textops.lists(keys[back[has]].ravel().view(np.int64), np.concatenate([[0], np.cumsum(count)]))],
                     ["doc_id", "line", "node", "keys"],
@@ -121,15 +148,15 @@ def _ordered(starts: np.ndarray) -> bool:
     return bool(np.all(np.diff(starts) > 0))
 
 
-def _banded(codes, starts, ends, node, first):
+def _banded(codes, starts, ends, node, first, chars):
     """Band keys of the lines in ``first``, whatever their order."""
     order = np.argsort(starts[first])
-    found = np.empty((len(first), BANDS), dtype=np.uint64)
-    found[order] = bands(codes, starts[first][order], ends[first][order], node[first][order])
+    found = np.empty((len(first), band_shape(chars)[0]), dtype=np.uint64)
+    found[order] = bands(codes, starts[first][order], ends[first][order], node[first][order], chars)
     return found
 
 
-def line_sets(lines: pa.Array):
+def line_sets(lines: pa.Array, chars: int = CHARS):
     """Sets of character shingles of texts that are one line each; see ``textops.word_sets``."""
     for at, end, raw, bounds in textops.pieces(lines):
         data = raw.tobytes()
@@ -137,7 +164,7 @@ def line_sets(lines: pa.Array):
         for i, j in zip(bounds[:-1], bounds[1:]):
             codes = np.frombuffer(data[i:j].decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32)
             whole = line_hashes(codes, np.zeros(1, np.int64), np.array([len(codes)]))
-            found.append(np.unique(char_shingles(codes)) if len(codes) >= CHARS else whole)
+            found.append(np.unique(char_shingles(codes, chars)) if len(codes) >= chars else whole)
         yield at, end, np.concatenate(found), np.concatenate([[0], np.cumsum([len(x) for x in found])])
 
 
@@ -146,10 +173,10 @@ def wanted_lines(docs: DataFrame) -> DataFrame:
     return docs.select(F.explode(F.arrays_zip("nodes", "numbers")).alias("w"), F.split("text", "\n", -1).alias("lines")).select(F.col("w.nodes").alias("node"), F.get("lines", F.col("w.numbers")).alias("text")).where("text is not null")
 
 
-def removals(docs: DataFrame, pins: Pins, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def removals(docs: DataFrame, pins: Pins, percent: int = PERCENT, chars: int = CHARS) -> tuple[DataFrame, DataFrame]:
     """Line occurrences (doc_id, line, node, component, kept), and the pinned numbers to drop by document."""
     docs = fresh(docs, "doc_id", "text").where("doc_id is not null")
-    lines = pins.pin(line_rows(docs), "lines")
+    lines = pins.pin(line_rows(docs, chars), "lines")
     keys = lines.where("size(keys) > 0").select("node", F.explode("keys").alias("bucket"))
     span = Window.partitionBy("bucket")
     shared = keys.withColumn("low", F.min("node").over(span)).withColumn("high", F.max("node").over(span)).where("low <> high").select("bucket", "node").distinct()
@@ -158,7 +185,7 @@ def removals(docs: DataFrame, pins: Pins, percent: int = PERCENT) -> tuple[DataF
     owners = lines.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "line")).alias("o"))
     wanted = pins.pin(owners.groupBy("o.doc_id").agg(F.collect_list(F.struct("node", "o.line")).alias("w")).select("doc_id", F.col("w.node").alias("nodes"), F.col("w.line").alias("numbers")), "wanted")
     texts = pins.pin(wanted_lines(pins.join(docs, wanted, "doc_id")).dropDuplicates(["node"]), "line-texts")
-    roots = pins.pin(link(postings, texts, line_sets, percent, pins), "line-roots")
+    roots = pins.pin(link(postings, texts, partial(line_sets, chars=chars), percent, pins), "line-roots")
     placed = pins.join(lines.select("doc_id", "line", "node"), roots, "node", "left").select("doc_id", "line", "node", F.coalesce("root", "node").alias("component"))
     kept = placed.groupBy("component").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1").select("component", "first")
     gone = placed.join(kept, "component").where(F.struct("doc_id", "line") != F.col("first"))
@@ -167,12 +194,12 @@ def removals(docs: DataFrame, pins: Pins, percent: int = PERCENT) -> tuple[DataF
     return judged, drops
 
 
-def dedup_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def dedup_lines(docs: DataFrame, percent: int = PERCENT, chars: int = CHARS) -> DataFrame:
     """``docs`` with every line gone whose component has an earlier one, and n_lines and n_removed."""
     pins = Pins(docs.sparkSession)
     if {"n_lines", "n_removed"} & set(docs.columns):
         raise ValueError("the input has a column n_lines or n_removed")
-    _, drops = removals(docs, pins, percent)
+    _, drops = removals(docs, pins, percent, chars)
     pins.keep_only(drops)
     gone = drops.withColumnsRenamed({"gone": "_gone"})
     gone._pinned_at = drops._pinned_at

@@ -78,3 +78,44 @@ def test_empty_table_and_extra_columns(spark, documents):
 def test_repeated_ids_keep_the_same_line(documents):
     found = [r.text for r in line_dedup.dedup_lines(documents([(1, "one line of text"), (1, "one line of text")])).collect()]
     assert found == ["one line of text"] * 2
+
+
+def test_one_changed_character_in_short_lines(documents):
+    draw = random.Random(9)
+    lines = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz ", k=40 + k)) for k in range(61)]
+    changed = [x[: (at := draw.randrange(len(x)))] + "#" + x[at + 1 :] for x in lines]
+    pairs = [(1, "\n".join(lines)), (2, "\n".join(changed)), (3, "Page 12 of 90\nabc\nabd")]
+    found = {r.doc_id: r for r in line_dedup.dedup_lines(documents(pairs), chars=line_dedup.SHORT_CHARS).collect()}
+    assert found[1].n_removed == 0 and found[3].n_removed == 0
+    # A pair at the bound of 0.8 is met with a chance of 99.5 %.
+    assert found[2].n_removed >= 60
+
+
+def test_short_runs_equal_all_pairs(documents):
+    draw = random.Random(4)
+    base = ["".join(draw.choices("abcdefg hij", k=draw.choice((3, 12, 60, 150)))) for _ in range(20)]
+    lines = []
+    for _ in range(150):
+        own = list(draw.choice(base))
+        own[draw.randrange(len(own))] = draw.choice("xyzé漢")
+        lines.append("".join(own))
+    first, kept = {}, {}
+    for k, x in enumerate(lines):
+        first.setdefault(x, k)
+    names = list(first)
+    sets, groups = [{x[i : i + 4] for i in range(max(1, len(x) - 3))} for x in names], Groups(range(len(names)))
+    for a, b in itertools.combinations(range(len(names)), 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            groups.join(a, b)
+    for k, x in enumerate(names):
+        kept.setdefault(groups.root(k), x)
+    found = line_dedup.dedup_lines(documents([(1, "\n".join(lines))]), chars=line_dedup.SHORT_CHARS).collect()
+    assert found[0].text.split("\n") == sorted(kept.values(), key=first.get)
+
+
+def test_pipeline_drops_short_near_copies(spark, documents):
+    import corpus_pipeline
+
+    line = "The annual report was printed on 12 May, page 7"
+    found = corpus_pipeline.drop_repeated_lines(spark, documents([(1, line), (2, line.replace("page 7", "page 8") + "\nother text")]), "")
+    assert {r.doc_id: r.text for r in found.collect()} == {1: line, 2: "other text"}
