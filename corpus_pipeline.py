@@ -7,7 +7,7 @@
 4. ``decontaminate``: documents that hold a benchmark item go.
 5. ``sentencepiece``: the remaining texts as token ids.
 
-Rows with a null id can't be compared with others; they pass stages 2 to 4 unchanged.
+Rows with a null id have no place in the order of ids; they pass stages 2 and 3 unchanged.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.remove_contaminated(docs, items).select(*docs.columns)
+    return decontaminate.remove_contaminated(docs, items, unnamed=True).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

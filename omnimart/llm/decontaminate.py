@@ -155,8 +155,15 @@ def _search(docs: DataFrame, sent, percent: int) -> DataFrame:
     return map_batches(docs, run, "doc_id long, item_id long, n_item long, n_shared long")
 
 
-def remove_contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` without the documents that hold an item; rows with a null id stay."""
+def remove_contaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, unnamed: bool = False) -> DataFrame:
+    """``docs`` without the documents that hold an item; rows with a null id stay, or with ``unnamed`` go by their text."""
     pins = Pins(docs.sparkSession)
     hit = pins.pin(contained_items(docs, items, percent).select("doc_id").distinct(), "contaminated")
-    return pins.join(docs, hit, "doc_id", "left_anti")
+    kept = pins.join(docs, hit, "doc_id", "left_anti")
+    if not unnamed:
+        return kept
+    # Whether a text holds an item depends on nothing else, so its hash stands in for the id.
+    nameless = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    texts = fresh(docs, "doc_id", "text").where("doc_id is null").select(nameless.alias("doc_id"), "text")
+    held = pins.pin(contained_items(texts, items, percent).select(F.col("doc_id").alias("_nameless")).distinct(), "contaminated-texts")
+    return pins.join(kept.withColumn("_nameless", nameless), held, "_nameless", "left_anti").drop("_nameless").select(*docs.columns)

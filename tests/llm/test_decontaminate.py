@@ -67,3 +67,11 @@ def test_empty_tables_and_clashing_columns(spark, documents):
     assert [tuple(r) for r in decontaminate.contained_items(rows, items).collect()] == [(1, 3, 1, 1)]
     with pytest.raises(ValueError, match="item_id"):
         decontaminate.contained_items(rows, rows.select("text"))
+
+
+def test_null_ids_go_by_their_text(spark, documents):
+    docs = documents([(None, "a b c d e f"), (None, "a b c d e f"), (None, "other words that hold no item"), (None, None), (1, "a b c d e f"), (2, "clean text of other words")])
+    items = spark.createDataFrame([(3, "A b c d e")], ITEMS)
+    kept = decontaminate.remove_contaminated(docs, items, unnamed=True)
+    assert kept.columns == docs.columns
+    assert sorted(str((r.doc_id, r.text)) for r in kept.collect()) == sorted(map(str, [(None, "other words that hold no item"), (None, None), (2, "clean text of other words")]))
