@@ -113,6 +113,20 @@ def bands(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, whole: np.nda
     return keys
 
 
+def set_sizes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, chars: int = CHARS) -> np.ndarray:
+    """Number of different shingles of each line."""
+    found = np.ones(len(starts), dtype=np.int64)
+    long = np.flatnonzero(ends - starts >= chars)
+    h = char_shingles(codes, chars) if len(long) else None
+    for at in range(0, len(long), 50_000):
+        own = long[at : at + 50_000]
+        n = ends[own] - starts[own] - chars + 1
+        place = np.repeat(starts[own] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        _, row = textops.distinct(h[place], np.repeat(np.arange(len(own)), n))
+        found[own] = np.bincount(row, minlength=len(own))
+    return found
+
+
 def _texts(batch: pa.RecordBatch):
     """Runs of rows with up to about a megabyte of text: first row, texts."""
     for at, end, raw, bounds in textops.pieces(batch["text"]):
@@ -121,7 +135,7 @@ def _texts(batch: pa.RecordBatch):
 
 
 def line_rows(docs: DataFrame, chars: int = CHARS) -> DataFrame:
-    """Per line: doc_id, line (number), node (hash), size (shingles at most) and its band keys."""
+    """Per line: doc_id, line (number), node (hash), size (different shingles) and, once a piece, its band keys."""
 
     def run(batches):
         for batch in batches:
@@ -133,15 +147,16 @@ def line_rows(docs: DataFrame, chars: int = CHARS) -> DataFrame:
                 _, first, back = np.unique(node, return_index=True, return_inverse=True)
                 keys = np.zeros((len(node), 0), dtype=np.uint64)
                 keys = bands(codes, starts[first], ends[first], node[first], chars) if _ordered(starts[first]) else _banded(codes, starts, ends, node, first, chars)
+                size = set_sizes(codes, starts[first], ends[first], chars)[back]
                 has = np.zeros(len(node), dtype=bool)
                 has[first] = True
                 count = np.where(has, band_shape(chars)[0], 0)
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"].take(pa.array(at + text)), pa.array(number.astype(np.int32)), pa.array(node.view(np.int64)), textops.lists(keys[back[has]].ravel().view(np.int64), np.concatenate([[0], np.cumsum(count)]))],
-                    ["doc_id", "line", "node", "keys"],
+                    [batch["doc_id"].take(pa.array(at + text)), pa.array(number.astype(np.int32)), pa.array(node.view(np.int64)), pa.array(size), textops.lists(keys[back[has]].ravel().view(np.int64), np.concatenate([[0], np.cumsum(count)]))],
+                    ["doc_id", "line", "node", "size", "keys"],
                 )
 
-    return map_batches(docs, run, "doc_id long, line int, node long, keys array<long>")
+    return map_batches(docs, run, "doc_id long, line int, node long, size long, keys array<long>")
 
 
 def _ordered(starts: np.ndarray) -> bool:
@@ -177,10 +192,10 @@ def removals(docs: DataFrame, pins: Pins, percent: int = PERCENT, chars: int = C
     """Line occurrences (doc_id, line, node, component, kept), and the pinned numbers to drop by document."""
     docs = fresh(docs, "doc_id", "text").where("doc_id is not null")
     lines = pins.pin(line_rows(docs, chars), "lines")
-    keys = lines.where("size(keys) > 0").select("node", F.explode("keys").alias("bucket"))
+    keys = lines.where("size(keys) > 0").select("node", "size", F.explode("keys").alias("bucket"))
     span = Window.partitionBy("bucket")
-    shared = keys.withColumn("low", F.min("node").over(span)).withColumn("high", F.max("node").over(span)).where("low <> high").select("bucket", "node").distinct()
-    postings = pins.pin(shared.withColumn("need", F.lit(1)).withColumn("size", F.lit(1)).withColumn("own", F.lit(0)).withColumn("core", F.lit(True)), "postings")
+    shared = keys.withColumn("low", F.min("node").over(span)).withColumn("high", F.max("node").over(span)).where("low <> high").select("bucket", "node", "size").distinct()
+    postings = pins.pin(shared.withColumn("need", F.lit(1)).withColumn("own", F.lit(0)).withColumn("core", F.lit(True)), "postings")
     nodes = postings.select("node").distinct()
     owners = lines.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "line")).alias("o"))
     wanted = pins.pin(owners.groupBy("o.doc_id").agg(F.collect_list(F.struct("node", "o.line")).alias("w")).select("doc_id", F.col("w.node").alias("nodes"), F.col("w.line").alias("numbers")), "wanted")

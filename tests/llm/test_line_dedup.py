@@ -119,3 +119,10 @@ def test_pipeline_drops_short_near_copies(spark, documents):
     line = "The annual report was printed on 12 May, page 7"
     found = corpus_pipeline.drop_repeated_lines(spark, documents([(1, line), (2, line.replace("page 7", "page 8") + "\nother text")]), "")
     assert {r.doc_id: r.text for r in found.collect()} == {1: line, 2: "other text"}
+
+
+def test_lines_carry_the_size_of_their_set(documents):
+    lines = ["", "short", "a line of some length", "abababababababababababab", "x" * 300, "a line of some length"]
+    for chars in (line_dedup.CHARS, line_dedup.SHORT_CHARS):
+        found = {r.line: r["size"] for r in line_dedup.line_rows(documents([(1, "\n".join(lines))]), chars).collect()}
+        assert found == {k: len({x[i : i + chars] for i in range(max(1, len(x) - chars + 1))}) for k, x in enumerate(lines) if x}
