@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from omnimart.llm import decontaminate, line_dedup, multi_index, ngram_join, quality, sentencepiece_codec, shard_table, token_files, toxicity, url_rules
+from omnimart.llm import decontaminate, divergence, line_dedup, multi_index, ngram_join, quality, resampling, sentencepiece_codec, shard_table, token_files, toxicity, url_rules
 from omnimart.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -96,6 +96,17 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """Divergence of each source from the others of its language, and its most overrepresented terms."""
+    return divergence.audit(_table(spark, folder, "documents")).select("lang", "source", "part", "item", "value", "rank")
+
+
+def op12_resample(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight, score and rank of each document in a draw towards the benchmark's words."""
+    found = resampling.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_url_filter": op2_url_filter,
@@ -107,6 +118,8 @@ QUERIES = {
     "op8_shard_table": op8_shard_table,
     "op9_multi_index": op9_multi_index,
     "op10_toxicity": op10_toxicity,
+    "op11_divergence": op11_divergence,
+    "op12_resample": op12_resample,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -126,6 +139,9 @@ _REACH = "reach(a, b) AS (SELECT a, b FROM edge UNION SELECT reach.a, edge.b FRO
 
 _HOST_RULES = ", ".join(f"('{r.text}', '{r.text.partition('/')[0]}', '/{r.text.partition('/')[2]}', '{r.verdict}')" for r in URL_RULES if r.host)
 
+#: CRC-32 of a text column x as SQL: the usual table, built bit by bit, and one step a byte.
+_CRC_TABLE = "(SELECT list(list_reduce([n, 0, 1, 2, 3, 4, 5, 6, 7], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) FROM range(256) AS r(n))"
+
 ORACLES: dict[str, str] = {
     "op2_url_filter": f"""
         WITH rest AS (SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') = 0 THEN ''
@@ -183,4 +199,46 @@ ORACLES: dict[str, str] = {
         root AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
         SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id
         FROM documents LEFT JOIN size ON size.id = doc_id LEFT JOIN root ON root.a = doc_id""",
+    "op11_divergence": f"""
+        WITH d AS MATERIALIZED (SELECT row_number() OVER () AS nth, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS text,
+                                       coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+        word AS MATERIALIZED (SELECT nth, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+        kept AS MATERIALIZED (SELECT lang, term FROM word GROUP BY ALL HAVING count(DISTINCT nth) >= {divergence.LEAST_DOCS}),
+        size AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+        grp AS (SELECT DISTINCT lang, source FROM d),
+        own AS (SELECT lang, source, term, count(*) AS c FROM word JOIN kept USING (lang, term) GROUP BY ALL),
+        total AS (SELECT lang, source, sum(c) AS n FROM own GROUP BY ALL),
+        share AS MATERIALIZED (SELECT grp.lang, grp.source, term, coalesce(c, 0) AS c,
+                1 + (1000000000::HUGEINT * (coalesce(c, 0) + 1)) // (coalesce(n, 0) + v) AS p
+            FROM grp JOIN kept USING (lang) JOIN size USING (lang) LEFT JOIN own USING (lang, source, term) LEFT JOIN total USING (lang, source)),
+        whole AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(c) + 1)) // (any_value(n) + any_value(v)) AS q
+            FROM own JOIN (SELECT lang, sum(c) AS n FROM own GROUP BY lang) USING (lang) JOIN size USING (lang) GROUP BY lang, term),
+        pair AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+            FROM share a JOIN share b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        found AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+                  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+                  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM share JOIN whole USING (lang, term) WHERE c > 0 AND p > q)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+               CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+        FROM found QUALIFY part = 'pair' OR row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) <= {divergence.TOP}""",
+    "op12_resample": f"""
+        WITH crc AS MATERIALIZED (SELECT {_CRC_TABLE} AS t),
+        d AS MATERIALIZED (SELECT row_number() OVER () AS nth, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+        b AS (SELECT unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS f FROM benchmark),
+        feature AS MATERIALIZED (SELECT nth, unnest(w) AS f FROM d),
+        one AS (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM feature UNION SELECT f FROM b)),
+        bucket AS MATERIALIZED (SELECT f, xor(list_reduce(list_concat([4294967295], list_transform(range(1, length(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT))),
+            lambda c, y: xor(c >> 8, t[(xor(c, y) & 255) + 1])), 4294967295) % {resampling.BUCKETS} AS k FROM one, crc),
+        s AS (SELECT k, count(*) AS n FROM feature JOIN bucket USING (f) GROUP BY k),
+        t AS (SELECT k, count(*) AS n FROM b JOIN bucket USING (f) GROUP BY k),
+        gain AS (SELECT k, CAST(floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + {resampling.BUCKETS})::DOUBLE)
+                 / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + {resampling.BUCKETS})::DOUBLE))) AS BIGINT) AS g
+                 FROM range({resampling.BUCKETS}) AS r(k) LEFT JOIN s USING (k) LEFT JOIN t USING (k)),
+        weight AS (SELECT nth, CAST(sum(g) AS BIGINT) AS weight FROM feature JOIN bucket USING (f) JOIN gain USING (k) GROUP BY nth),
+        scored AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+            coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{resampling.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5) / 4294967296))) AS BIGINT) AS score
+            FROM d LEFT JOIN weight USING (nth)),
+        drawn AS (SELECT *, row_number() OVER (PARTITION BY n_features >= {resampling.LEAST_WORDS} ORDER BY score DESC, doc_id) AS r,
+                         count(*) OVER (PARTITION BY n_features >= {resampling.LEAST_WORDS}) AS n FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= {resampling.LEAST_WORDS} AND r <= {resampling.PERCENT} * n // 100 THEN r END AS rank FROM drawn""",
 }
