@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from omnimart.llm import decontaminate, divergence, line_dedup, multi_index, ngram_join, quality, resampling, sentencepiece_codec, shard_table, token_files, toxicity, url_rules
+from omnimart.llm import decontaminate, divergence, line_dedup, multi_index, ngram_join, quality, resampling, sentencepiece_codec, shard_table, substring_dedup, token_files, toxicity, url_rules
 from omnimart.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -107,6 +107,11 @@ def op12_resample(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: its words, how many stood in a repeated passage, and the digest of the words that are left."""
+    return substring_dedup.digest(substring_dedup.remove_repeats(_table(spark, folder, "documents")))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_url_filter": op2_url_filter,
@@ -120,6 +125,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_divergence": op11_divergence,
     "op12_resample": op12_resample,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -241,4 +247,14 @@ ORACLES: dict[str, str] = {
         drawn AS (SELECT *, row_number() OVER (PARTITION BY n_features >= {resampling.LEAST_WORDS} ORDER BY score DESC, doc_id) AS r,
                          count(*) OVER (PARTITION BY n_features >= {resampling.LEAST_WORDS}) AS n FROM scored)
         SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= {resampling.LEAST_WORDS} AND r <= {resampling.PERCENT} * n // 100 THEN r END AS rank FROM drawn""",
+    "op13_substring_dedup": f"""
+        WITH d AS MATERIALIZED (SELECT row_number() OVER () AS nth, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        span AS MATERIALIZED (SELECT nth, i, md5(array_to_string(w[i : i + {substring_dedup.LEAST - 1}], ' ')) AS h
+                              FROM d, unnest(range(1, len(w) - {substring_dedup.LEAST - 2})) AS pos(i)),
+        repeated AS (SELECT h FROM span GROUP BY h HAVING count(*) > 1),
+        gone AS (SELECT DISTINCT nth, unnest(range(i, i + {substring_dedup.LEAST})) AS j FROM span JOIN repeated USING (h)),
+        word AS (SELECT nth, j, w[j] AS x FROM d, unnest(range(1, len(w) + 1)) AS pos(j)),
+        kept AS (SELECT nth, count(*) AS n, string_agg(x, ' ' ORDER BY j) AS t FROM word ANTI JOIN gone USING (nth, j) GROUP BY nth)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (nth)""",
 }
