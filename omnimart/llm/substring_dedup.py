@@ -194,14 +194,16 @@ def repeated_spans(docs: DataFrame, pins: Pins, least: int = LEAST, run: int = R
     same = windows.groupBy("words").agg(F.sum("n").alias("n")).where("n > 1").select(F.xxhash64("words").alias("place"), F.lit(0).cast("long").alias("anchor"), F.xxhash64("words").alias("hash"), "n", "words")
     spans = search_shards(whole.repartition(parts, "place").sortWithinPartitions("place"), least, shard_words)
     hits = pins.pin(spans, "spans")
-    if crowded_there(found):
+    if windows.take(1):
         twice = search_shards(same.repartition(parts, "place").sortWithinPartitions("place"), least, shard_words)
         twice = twice.select(F.col("hash").alias("window")).distinct()
         back = windows.select(F.xxhash64("words").alias("window"), "anchor", "hash", "at").join(twice, "window").select("anchor", "hash", F.col("at").alias("first"), (F.col("at") + least).alias("end"))
         hits = pins.pin(hits.unionByName(back), "spans")
 
-    # Intervals of a segment lie on every text that has it.
-    laid = places.join(hits.groupBy("anchor", "hash").agg(F.collect_list(F.struct("first", "end")).alias("spans")), ["anchor", "hash"])
+    # Intervals of a segment lie on every text that has it. They are stored first, so that the join can split a
+    # segment that very many texts have.
+    of_segment = pins.pin(hits.groupBy("anchor", "hash").agg(F.collect_list(F.struct("first", "end")).alias("spans")), "segment-spans")
+    laid = pins.join(places, of_segment, ["anchor", "hash"])
     laid = laid.select("key", F.explode("spans").alias("s"), "start").groupBy("key").agg(F.collect_set(F.struct((F.col("start") + F.col("s.first")).alias("first"), (F.col("start") + F.col("s.end")).alias("end"))).alias("spans"))
 
     def merged(batches):
@@ -224,10 +226,6 @@ def repeated_spans(docs: DataFrame, pins: Pins, least: int = LEAST, run: int = R
     return result
 
 
-def crowded_there(found: DataFrame) -> bool:
-    return bool(found.where("hot").take(1))
-
-
 def remove_repeats(docs: DataFrame, least: int = LEAST, **settings) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, and the kept words joined by one space (``text``; empty for a null text)."""
     pins = Pins(docs.sparkSession)
