@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from omnimart.functions.scalars import moment
 from omnimart.operators import files
 from omnimart.operators.dedup import keep_latest
+from omnimart.operators.drift import conform, merged_schema
+from omnimart.operators.postings import PostingIndex
 from omnimart.session import pin
 
 PART = "_part"
@@ -38,12 +40,22 @@ class KeyedTable:
     manifest. Untouched partitions are never rewritten, and a write that fails
     leaves the current version as it was. One writer at a time is assumed.
 
+    Beside the rows lies an index from key to partition (``PostingIndex``), named by the same manifest: a
+    merge reads the index buckets of its keys and, of the rows, only partitions that hold one of them. A
+    null key is refused, as no merge could find its row again.
+
     With ``held`` a commit is only seen by this object until ``publish`` writes its
     manifest; without that, the next writer starts again from the stored version.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, key: str, partition: Column, held: bool = False
+        self,
+        spark: SparkSession,
+        path: str,
+        key: str,
+        partition: Column,
+        held: bool = False,
+        buckets: int = 256,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -51,6 +63,7 @@ class KeyedTable:
         self.partition = F.coalesce(partition, F.lit(UNDATED))
         self.held = held
         self._pending: dict | None = None
+        self.index = PostingIndex(spark, f"{self.path}/index", buckets)
 
     # -- reading -----------------------------------------------------------
 
@@ -75,9 +88,11 @@ class KeyedTable:
         """Current rows, of the named partitions only if given."""
         return self._read_with_part(parts).drop(PART)
 
-    def _read_with_part(self, parts: Sequence[str] | None = None) -> DataFrame:
+    def _read_with_part(
+        self, parts: Sequence[str] | None = None, schema: T.StructType | None = None
+    ) -> DataFrame:
         manifest = self._manifest()
-        schema = T.StructType.fromJson(manifest["schema"])
+        schema = schema or T.StructType.fromJson(manifest["schema"])
         folders = [
             f"{self.path}/data/_version={version}/{PART}={part}"
             for part, version in manifest["parts"].items()
@@ -100,8 +115,14 @@ class KeyedTable:
 
     # -- writing -----------------------------------------------------------
 
-    def replace(self, rows: DataFrame, touched: Sequence[str]) -> None:
-        """Make ``rows`` the whole content of the touched partitions."""
+    def replace(
+        self, rows: DataFrame, touched: Sequence[str], index: dict[str, list[int]] | None = None
+    ) -> None:
+        """Make ``rows`` the whole content of the touched partitions.
+
+        ``index`` is the state of the index after that; without it the table has none, and the next
+        merge looks through the stored keys and makes one.
+        """
         manifest = self._manifest()
         version = manifest["version"] + 1
         folder = f"{self.path}/data/_version={version}"
@@ -124,6 +145,8 @@ class KeyedTable:
             "version": version,
             "parts": parts,
             "schema": schema.jsonValue(),
+            "index": index,
+            "buckets": self.index.buckets,
         }
         if not self.held:
             self.publish()
@@ -132,7 +155,7 @@ class KeyedTable:
         """Make what was committed the state that all readers see."""
         if self._pending is None:
             return
-        content = {k: self._pending[k] for k in ("version", "parts", "schema")}
+        content = dict(self._pending)
         files.publish_text(
             self.spark, f"{self.path}/manifest/{content['version']:010d}.json", json.dumps(content)
         )
@@ -141,14 +164,29 @@ class KeyedTable:
     def overwrite(self, rows: DataFrame) -> None:
         """Full refresh: the new rows replace every partition."""
         placed = pin(rows.withColumn(PART, self.partition), "refresh")
-        self.replace(placed, sorted({*self.partitions(), *_part_names(placed)}))
+        index = self._add_postings(placed, {})
+        self.replace(placed, sorted({*self.partitions(), *_part_names(placed)}), index)
+
+    def _add_postings(self, rows: DataFrame, state: dict, base: bool = False) -> dict[str, list[int]]:
+        places = rows.select(F.col(self.key).alias("key"), F.col(PART).alias("place"))
+        version = self._manifest()["version"] + 1
+        return self.index.add(places, state, -version if base else version)
+
+    def _index_state(self) -> dict[str, list[int]]:
+        """State of the index, made anew where the table has none of as many buckets."""
+        manifest = self._manifest()
+        if manifest.get("index") is not None and manifest["buckets"] == self.index.buckets:
+            return manifest["index"]
+        # An older version than the merge's own, which follows.
+        return self._add_postings(self._read_with_part().filter(F.col(self.key).isNotNull()), {}, base=True)
 
-    def merge(self, batch: DataFrame, time: str) -> None:
+    def merge(self, batch: DataFrame, time: str, evolve: bool = False) -> None:
         """Keep the latest row of each key, be it stored or in the batch.
 
         The result does not depend on the order in which batches arrive. Only partitions
-        that hold a stored row of a batch key or receive a row are rewritten. Stored rows
-        are searched within the batch's key range, which skips files and row groups.
+        that hold a stored row of a batch key or receive a row are read and rewritten.
+        Other columns or types than the stored ones are refused, or with ``evolve`` taken over
+        where the drift report accepts them; rows written before then need not be rewritten.
         """
         batch = pin(
             keep_latest(batch, self.key, time).withColumn(PART, self.partition), "merge-batch"
@@ -156,18 +194,27 @@ class KeyedTable:
         incoming = _part_names(batch)
         if not incoming:
             return
+        keys = batch.select(F.col(self.key).alias("key"))
+        buckets = self.index.touched(keys)
         if not self.exists():
-            self.replace(batch, incoming)
+            self.replace(batch, incoming, self._add_postings(batch, {}))
             return
-        check_schema(self.schema(), T.StructType([f for f in batch.schema if f.name != PART]))
-        keys = batch.select(self.key)
-        low, high = batch.agg(F.min(self.key), F.max(self.key)).first()
-        near = self._read_with_part().filter(F.col(self.key).between(low, high))
-        stored = pin(near.join(keys, self.key, "left_semi").select(*batch.columns), "merge-stored")
-        touched = sorted({*incoming, *_part_names(stored)})
-        latest = keep_latest(stored.unionByName(batch), self.key, time)
-        kept = self._read_with_part(touched).join(keys, self.key, "left_anti")
-        self.replace(kept.select(*batch.columns).unionByName(latest), touched)
+        schema, incoming_schema = self.schema(), T.StructType([f for f in batch.schema if f.name != PART])
+        if evolve:
+            schema = merged_schema(schema, incoming_schema)
+        if schema is None or not evolve:
+            check_schema(self.schema(), incoming_schema)
+        batch = conform(batch, T.StructType([*schema, T.StructField(PART, T.StringType())]))
+        state = self._index_state()
+        places = self.index.find(keys, state, buckets).select("place").distinct().collect()
+        holding = sorted(r.place for r in places if r.place in self._manifest()["parts"])
+        touched = sorted({*incoming, *holding})
+        own = batch.select(self.key)
+        stored = self._read_with_part(holding, schema).join(own, self.key, "left_semi").select(*batch.columns)
+        latest = pin(keep_latest(stored.unionByName(batch), self.key, time), "merge-latest")
+        kept = self._read_with_part(touched, schema).join(own, self.key, "left_anti")
+        index = self._add_postings(latest, state)
+        self.replace(kept.select(*batch.columns).unionByName(latest), touched, index)
 
 
 def _part_names(df: DataFrame) -> list[str]:

@@ -961,3 +961,6 @@ def _lines_by_key(m: Model, raw: DataFrame) -> DataFrame:
         .groupBy("e.partition_key", "e.schema_version")
         .agg(F.count("*").alias("records"), F.sum("e.latency_ms").alias("latency_ms"))
     )
+
+
+from omnimart.plans import catalogue_state  # noqa: E402, F401  registers its queries

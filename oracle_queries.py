@@ -989,4 +989,67 @@ FINALS |= {
         FROM ({_all_sources('count(*) AS rows')}) WHERE rows > 0""",
 }
 
+#: Key of a row of each source as the samples name it.
+SAMPLE_KEYS = {
+    "products": "product_id", "customers": "customer_id", "customer_identities": "source_system || '|' || source_customer_id",
+    "inventory": "product_id", "orders": "order_id", "payments": "transaction_id", "retail_events": "event_id",
+    "price_history": "product_id || '|' || strftime(valid_from, '%Y-%m-%d')",
+}
+LANDED_TIMES = {"orders": "ordered_at", "payments": "paid_at", "retail_events": "event_at"}
+SEARCHED = (" Size 1", "small", "LARGE ANODIZED", "zz", "7", "ck", "brushed tin", "%")
+
+
+def _sample(name: str, table: str) -> str:
+    key = SAMPLE_KEYS[name]
+    return f"""SELECT '{name}' AS source, row_number() OVER (ORDER BY md5(k)) AS sample_rank, k AS sample_key, md5(k) AS sample_hash
+        FROM (SELECT {key} AS k FROM {table}) QUALIFY sample_rank <= 10"""
+
+
+def _landing(name: str, table: str) -> str:
+    time = LANDED_TIMES.get(name)
+    first, last = (f"strftime({f}({time}), '%Y-%m-%d %H:%M:%S.%g')" if time else "CAST(NULL AS VARCHAR)" for f in ("min", "max"))
+    p95 = "CAST(quantile_disc(latency_ms, 0.95) AS BIGINT)" if name == "retail_events" else "CAST(NULL AS BIGINT)"
+    return f"SELECT '{name}' AS source, count(*) AS rows, {first} AS first_at, {last} AS last_at, {p95} AS latency_p95_ms FROM {table}"
+
+
+FINALS |= {
+    "stream_full_outer": FINALS["batch_stream_full_outer"],
+    "stream_windows_settled": FINALS["retail_stream_latency_windows"],
+    "stream_rows_accounted": """
+        SELECT strftime(date_trunc('hour', event_at), '%Y-%m-%d %H:%M:%S.%g') AS hour, count(*) AS events,
+               CAST(sum(latency_ms) AS BIGINT) AS latency_ms
+        FROM raw_events GROUP BY 1""",
+    "retail_stream_alarm": f"""
+        SELECT {WINDOW_TEXT} FROM ({WEB_WINDOWS.format(rows='raw_events')}) WHERE p95 > 3000""",
+    "stream_dedup_ever": FINALS["stg_events_dedup"],
+    "customers_by_sketch": f"""
+        SELECT channel, period, revenue, orders, units, customers, true AS within FROM ({FINALS['kpi_cube']})""",
+    "latency_p95_by_sketch": """
+        SELECT lower(event_type) AS event_type, count(*) AS row_count, count(*) AS sketched,
+               CAST(quantile_disc(latency_ms, 0.95) AS BIGINT) AS latency_p95_ms, true AS within
+        FROM raw_events WHERE latency_ms IS NOT NULL GROUP BY 1""",
+    "cube_advanced": FINALS["kpi_cube"],
+    "key_difference_by_digest": FINALS["key_set_difference"],
+    "text_search_indexed": " UNION ALL ".join(
+        f"SELECT '{t}' AS text, product_id FROM products"
+        f" WHERE contains(lower(concat_ws(' ', product_name, category, collection_name)), lower(trim('{t}')))"
+        for t in SEARCHED
+    ),
+    "clustered_days": """
+        SELECT strftime(day, '%Y-%m-%d') AS day, count(order_id) AS orders, CAST(sum(quantity) AS BIGINT) AS units, true AS few_files
+        FROM (VALUES (DATE '1999-03-04'), (DATE '2000-02-29'), (DATE '2001-11-01')) AS days(day)
+        LEFT JOIN typed_orders ON CAST(ordered_at AS DATE) = day GROUP BY day""",
+    "drift_merge": """
+        SELECT "column", stored_type, incoming_type, change, true AS accepted,
+               (SELECT count(*) FROM stg_payments WHERE "column" NOT IN ('currency', 'terminal')
+                  OR CAST(split_part(transaction_id, '-', 2) AS BIGINT) % 2 = CASE "column" WHEN 'terminal' THEN 1 ELSE 0 END) AS values
+        FROM (VALUES ('transaction_id', 'string', 'string', 'same'), ('order_id', 'string', 'string', 'same'),
+                     ('amount', 'decimal(12,2)', 'decimal(20,2)', 'widened'), ('currency', 'string', NULL, 'removed'),
+                     ('status', 'string', 'string', 'same'), ('payment_method', 'string', 'string', 'same'),
+                     ('paid_at', 'timestamp', 'timestamp', 'same'), ('attempts', 'int', 'bigint', 'widened'),
+                     ('terminal', NULL, 'string', 'added')) AS c("column", stored_type, incoming_type, change)""",
+    "landing_samples": " UNION ALL ".join(f"SELECT * FROM ({_sample(n, t)})" for n, t in SOURCE_TABLES.items()),
+    "landing_reports": " UNION ALL ".join(_landing(n, t) for n, t in SOURCE_TABLES.items()),
+}
+
 ORACLES = {name: statement(final) for name, final in FINALS.items()}
