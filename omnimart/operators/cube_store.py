@@ -54,14 +54,16 @@ class CubeStore:
     def advance(self, sales: DataFrame, as_of: datetime, changed: Iterable[int] = ()) -> None:
         """Bring the cube to ``as_of``; ``changed`` are days (by ``day_of``) whose sales were corrected or are new.
 
-        Days that were never stored count as changed. ``sales`` is filtered to the changed days, on the order time.
+        Days that were never stored, and the one that the last moment lay in, count as changed. ``sales`` is filtered to the changed days, on the order time.
         """
         before = self.manifest()
         anchor = as_of.hour * 3600 + as_of.minute * 60 + as_of.second
         if before["version"] and before["anchor"] != anchor:
             raise ValueError("the stored days change at another time of day")
         today = self.day_of(as_of)
-        new = {d for d in range(today - max(self.periods), today + 1) if str(d) not in before["days"]}
+        # The day of the last moment had only begun then.
+        last = today if before["day"] is None else before["day"]
+        new = {d for d in range(today - max(self.periods), today + 1) if str(d) not in before["days"] or d >= last}
         dirty = sorted(new | {d for d in changed if d >= today - max(self.periods)})
         version = before["version"] + 1
         wanted = F.lit(False)

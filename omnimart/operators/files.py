@@ -26,6 +26,14 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(jvm_path))
 
 
+def largest_file(spark: SparkSession, path: str) -> tuple[int, str]:
+    """Size and path of the largest file at a path or directly below it; zero if there is none."""
+    jvm_path, fs = _path(spark, path)
+    if not fs.exists(jvm_path):
+        return 0, path
+    return max(((s.getLen(), s.getPath().toString()) for s in fs.listStatus(jvm_path) if s.isFile()), default=(0, path))
+
+
 def fingerprint(spark: SparkSession, path: str) -> str:
     """Digest of names, sizes and modification times of the files directly below a folder and
     below its folders."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -45,7 +46,9 @@ class KeyedTable:
     null key is refused, as no merge could find its row again.
 
     With ``held`` a commit is only seen by this object until ``publish`` writes its
-    manifest; without that, the next writer starts again from the stored version.
+    manifest; without that, the next writer starts again from the stored version. With ``at`` the
+    table is the one of that version (0: none yet), whatever manifests there are, so that several
+    tables can be switched by the one file that names their versions.
     """
 
     def __init__(
@@ -55,13 +58,15 @@ class KeyedTable:
         key: str,
         partition: Column,
         held: bool = False,
-        buckets: int = 256,
+        buckets: int = 32,
+        at: int | None = None,
     ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.key = key
         self.partition = F.coalesce(partition, F.lit(UNDATED))
         self.held = held
+        self.at = at
         self._pending: dict | None = None
         self.index = PostingIndex(spark, f"{self.path}/index", buckets)
 
@@ -70,11 +75,21 @@ class KeyedTable:
     def _manifest(self) -> dict:
         if self._pending is not None:
             return self._pending
-        versions = [n for n in files.children(self.spark, f"{self.path}/manifest") if n[0] != "."]
+        if self.at is not None:
+            versions = [f"{self.at:010d}.json"] if self.at else []
+        else:
+            versions = self._versions()
         if not versions:
             return {"version": 0, "parts": {}, "schema": None}
         return json.loads(files.read_text(self.spark, f"{self.path}/manifest/{versions[-1]}"))
 
+    def _versions(self) -> list[str]:
+        return [n for n in files.children(self.spark, f"{self.path}/manifest") if n[0] != "."]
+
+    @property
+    def version(self) -> int:
+        return self._manifest()["version"]
+
     def exists(self) -> bool:
         return self._manifest()["version"] > 0
 
@@ -152,15 +167,42 @@ class KeyedTable:
             self.publish()
 
     def publish(self) -> None:
-        """Make what was committed the state that all readers see."""
+        """Make what was committed the state that all readers see.
+
+        Readers of a pinned version see it once they are given its number (``version``).
+        """
         if self._pending is None:
             return
         content = dict(self._pending)
+        if self.at is not None:
+            # A manifest of this number that no reader was ever given is what a broken publication has left.
+            files.delete(self.spark, f"{self.path}/manifest/{content['version']:010d}.json")
+            self.at = content["version"]
         files.publish_text(
             self.spark, f"{self.path}/manifest/{content['version']:010d}.json", json.dumps(content)
         )
         self._pending = None
 
+    def tidy(self, keep: int = 2) -> None:
+        """Delete what no manifest of the last ``keep`` versions names, for readers that began before the last."""
+        versions = [v for v in self._versions() if self.at is None or int(v.split(".")[0]) <= self.at]
+        named: dict[str, set[str]] = {"data": set(), "index": set()}
+        for name in versions[-keep:]:
+            content = json.loads(files.read_text(self.spark, f"{self.path}/manifest/{name}"))
+            named["data"] |= {f"_version={v}/{PART}={p}" for p, v in content["parts"].items()}
+            named["index"] |= {f"_version={v}/_bucket={b}" for b, vs in (content.get("index") or {}).items() for v in vs}
+        for kind, kept in named.items():
+            held = {path.split("/")[0] for path in kept}
+            for folder in files.children(self.spark, f"{self.path}/{kind}"):
+                if folder not in held:
+                    files.delete(self.spark, f"{self.path}/{kind}/{folder}")
+                    continue
+                for part in files.children(self.spark, f"{self.path}/{kind}/{folder}"):
+                    if "=" in part and f"{folder}/{part}" not in kept:
+                        files.delete(self.spark, f"{self.path}/{kind}/{folder}/{part}")
+        for name in versions[:-keep]:
+            files.delete(self.spark, f"{self.path}/manifest/{name}")
+
     def overwrite(self, rows: DataFrame) -> None:
         """Full refresh: the new rows replace every partition."""
         placed = pin(rows.withColumn(PART, self.partition), "refresh")
@@ -227,9 +269,19 @@ def later_than(df: DataFrame, time: str, watermark) -> DataFrame:
     return df if watermark is None else df.filter(F.col(time) > moment(watermark))
 
 
-def write_raw_zone(df: DataFrame, root: str, source: str, ingestion_date: str) -> str:
-    """One day of a raw source; a second run replaces that day only."""
+LOADED_AT = "_ingested_at"
+
+
+def write_raw_zone(
+    df: DataFrame, root: str, source: str, ingestion_date: str, loaded_at: datetime | None = None
+) -> str:
+    """One day of a raw source; a second run replaces that day only.
+
+    ``loaded_at`` is stored with every row, as the time that freshness is judged by later.
+    """
     folder = f"{root.rstrip('/')}/raw/{source}"
+    if loaded_at is not None:
+        df = df.withColumn(LOADED_AT, moment(loaded_at))
     (
         df.withColumn("ingestion_date", F.lit(ingestion_date))
         .write.mode("overwrite")
@@ -286,6 +338,46 @@ def write_csv(df: DataFrame, path: str, columns: Mapping[str, str]) -> None:
     files.write_text(df.sparkSession, f"{path}/{HEADER_FILE}", "\ufeff" + ";".join(columns.values()) + "\n")
 
 
+FILE = "file"
+
+
+def write_export(
+    df: DataFrame,
+    path: str,
+    columns: Mapping[str, str],
+    order: Sequence[Column],
+    rows_per_file: int = 1_000_000,
+) -> None:
+    """Export the named columns as whole files: each begins with the heading and holds its share of the rows in order.
+
+    Values are quoted with inner quotes doubled, separated by semicolons; headings are not quoted and follow a
+    byte-order mark. Files are numbered folders (``file=0``, ``file=1``...) in the order of the rows.
+    """
+
+    def quoted(column: str) -> Column:
+        text = F.coalesce(F.col(column).cast("string"), F.lit(""))
+        return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+
+    rows = df.select(*columns).orderBy(*order)
+    rows = pin(rows.select(F.concat_ws(";", *map(quoted, columns)).alias("value"), F.monotonically_increasing_id().alias("_at")), "export")
+    # Rows before each partition of the sorted table: one number a partition.
+    part = F.shiftright("_at", 33)
+    counts = sorted((r.part, r.n) for r in rows.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())
+    before, total = [], 0
+    for number, n in counts:
+        before.append((number, total))
+        total += n
+    offsets = df.sparkSession.createDataFrame(before, "part bigint, before bigint")
+    place = F.col("before") + F.col("_at").bitwiseAND((1 << 33) - 1)
+    placed = rows.withColumn("part", part.cast("bigint")).join(F.broadcast(offsets), "part").select("value", place.alias("_at"))
+    placed = placed.withColumn(FILE, F.floor(F.col("_at") / rows_per_file))
+    heading = F.lit("\ufeff" + ";".join(columns.values())).alias("value")
+    n_files = max(1, -(-total // rows_per_file))
+    headings = df.sparkSession.range(n_files).select(heading, F.lit(-1).cast("bigint").alias("_at"), F.col("id").alias(FILE))
+    lines = placed.unionByName(headings).repartition(min(n_files, 200), FILE).sortWithinPartitions(FILE, "_at")
+    lines.select("value", FILE).write.mode("overwrite").partitionBy(FILE).text(path)
+
+
 def write_cube(cube: DataFrame, path: str) -> None:
     """Cube cells in folders by channel and period, so a report reads one of them."""
     cube.write.mode("overwrite").partitionBy("channel", "period").parquet(path)

@@ -8,14 +8,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from omnimart.functions.scalars import moment
-from omnimart.operators import clustered, cube, drift, keysets, sampling, sketches, tables
+from omnimart.operators import checks, clustered, cube, drift, files, keysets, sampling, sketches, tables
 from omnimart.operators.cube_store import CubeStore
 from omnimart.operators.quantiles import nearest_rank
 from omnimart.operators.trigrams import TrigramIndex
-from omnimart.plans import staging
-from omnimart.plans.catalogue import AS_OF, Model, _scratch, query
-from omnimart.sources.schemas import SOURCE_NAMES
-from omnimart.streaming import events as stream_events, matching, resends, windows
+from omnimart.plans import contracts, core, marts, quality, reports, staging
+from omnimart.plans.catalogue import AS_OF, EXPORT_COLUMNS, LOADED, LOADED_ELSE, Model, _contracts, _scratch, _stock, query
+from omnimart.plans.daily_run import DailyRun, GateClosed, run_evidence
+from omnimart.session import pin
+from omnimart.sources.landing import LandingSource
+from omnimart.sources.schemas import SOURCE_NAMES, file_of
+from omnimart.streaming import events as stream_events, matching, resends, sinks, windows
 
 # -- settled streams ---------------------------------------------------------
 
@@ -244,3 +247,116 @@ def drift_merge(m: Model) -> DataFrame:
     counts = after.agg(*(F.count(c).alias(c) for c in after.columns))
     filled = counts.unpivot([], after.columns, "column", "values")
     return report.join(filled, "column")
+
+
+# -- landing, exports, publication -------------------------------------------
+
+
+@query
+def csv_landing_quoted(m: Model) -> DataFrame:
+    """Products whose names hold a line break and quotes, written as CSV and read back; none is damaged."""
+    folder = _scratch(m, "landing-quoted")
+    first = F.split_part("name", F.lit(" "), F.lit(1))
+    name = F.concat(first, F.lit('\n"'), F.col("product_id"), F.lit('", two'))
+    rows = m.source.table("products").withColumn("name", name)
+    rows.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(f"{folder}/{file_of('products')}")
+    source = LandingSource(m.source.spark, folder)
+    damaged = source.quarantine("products").agg(F.count("*")).scalar()
+    return source.table("products").select("product_id", "name", "category", "price", damaged.alias("damaged"))
+
+
+@query
+def freshness_stored(m: Model) -> DataFrame:
+    """Age of each source by the load times stored with its rows in the raw zone; three sources were loaded twice."""
+    root, spark = _scratch(m, "raw-stamped"), m.source.spark
+    for name in SOURCE_NAMES:
+        first = LOADED[name] if name == "price_history" else LOADED_ELSE
+        tables.write_raw_zone(m.source.table(name), root, name, "2001-11-04", first)
+    for name in (n for n in LOADED if n != "price_history"):
+        tables.write_raw_zone(m.source.table(name), root, name, "2001-11-05", LOADED[name])
+    loaded = {n: spark.read.parquet(f"{root}/raw/{n}") for n in SOURCE_NAMES}
+    return quality.freshness(loaded, tables.LOADED_AT, AS_OF)
+
+
+@query
+def csv_export_files(m: Model) -> DataFrame:
+    """Lines of the stock export as whole files of a hundred rows, each under its heading."""
+    path = _scratch(m, "export-files")
+    tables.write_export(_stock(m), path, EXPORT_COLUMNS, [F.col("product_id")], rows_per_file=100)
+    return m.source.spark.read.text(path).select("file", F.col("value").alias("line"))
+
+
+@query
+def kpi_record_scored(m: Model) -> DataFrame:
+    """The KPI record with the score of the contracts."""
+    score = checks.score(contracts.as_check_results(_contracts(m))).first()["score"]
+    sales = pin(m.sales("product_id", "sales_amount").select("customer_id", "product_id", "quantity", "sales_amount"), "sales")
+    available = marts.available_to_promise(m.inventory(), sales)
+    return reports.kpi_record(sales, m.products(), m.events("latency_ms"), available, score)
+
+
+@query
+def top_departments(m: Model) -> DataFrame:
+    """The seven best of more departments than that."""
+    products = m.products().withColumn("category", F.col("department"))
+    return reports.top_categories(m.selected("product_id", "sales_amount"), products)
+
+
+@query
+def lost_fact_rows(m: Model) -> DataFrame:
+    """Rows without a customer by fact, and whether the strict lookup refuses the fact."""
+    spark, parts = m.source.spark, []
+    staged = {"fct_sales": staging.stg_orders(m.source, wanted=("source_customer_id",)), "fct_retail_event": staging.stg_retail_events(m.source, wanted=("source_customer_id",))}
+    for name, rows in staged.items():
+        try:
+            core.require_resolved(rows, m.bridge())
+            refused = False
+        except LookupError:
+            refused = True
+        lost = core.unresolved(rows, m.bridge()).agg(F.count("*").alias("lost"))
+        parts.append(lost.select(F.lit(name).alias("fact"), "lost", F.lit(refused).alias("refused")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+STRICT_FROM = datetime(2000, 1, 1)
+
+
+@query
+def stream_strict_merge(m: Model) -> DataFrame:
+    """Events merged by the strict rule: of those that come behind the stored maximum, none arrives."""
+    spark, folder = m.source.spark, _scratch(m, "strict")
+    events = staging.stg_retail_events(m.source)
+    number = F.split_part("event_id", F.lit("-"), F.lit(2)).cast("bigint")
+    early = (F.col("event_at") < moment(STRICT_FROM)) & (number % 20 != 0)
+    table = tables.KeyedTable(spark, f"{folder}/fact", "event_id", F.date_format("event_at", "yyyy-MM"))
+    for rows in (events.filter(early), events.filter(~early)):
+        rows.write.mode("append").parquet(f"{folder}/in")
+        stream = stream_events.read_event_files(spark, f"{folder}/in", events.schema)
+        sinks.run_available(stream, f"{folder}/checkpoint", sinks.merge_into(table, "event_at", strict=True))
+    return table.read()
+
+
+def _closed_run(m: Model) -> str:
+    """Folder of a daily run over the mapped sources, whose deliberate gaps close the gate."""
+    root = _scratch(m, "daily-run")
+    try:
+        DailyRun(m.source.spark, m.source, root, AS_OF, land_raw=False).run()
+    except GateClosed:
+        pass  # what was found stands in the reports
+    return root
+
+
+@query
+def gate_table(m: Model) -> DataFrame:
+    """Findings of a daily run up to the gate that closed."""
+    report = files.read_json(m.source.spark, f"{_closed_run(m)}/reports/gates.json")
+    rows = [(g["stage"], g["finding"], g["value"], g["limit"], g["passed"], report["status"]) for g in report["gates"]]
+    return m.source.spark.createDataFrame(rows, "stage string, finding string, value double, limit double, passed boolean, status string")
+
+
+@query
+def run_evidence_steps(m: Model) -> DataFrame:
+    """State of each step of that run, and the records it counted."""
+    found = run_evidence(m.source.spark, _closed_run(m))
+    rows = [(step, state, found["source_records"], found["publishable"]) for step, state in found["steps"].items()]
+    return m.source.spark.createDataFrame(rows, "step string, state string, source_records bigint, publishable boolean")

@@ -2,14 +2,16 @@
 
 Each stage adds its findings to one gate table (stage, finding, value, limit) and ends the run
 when one of them is beyond its limit. Tables are written to folders of the run and facts are
-merged without being published; only the last stage, after all gates, switches readers over. So a
-failed run leaves the state of the last good one. All reports carry the run's id, and
+merged without being published; only the last stage, after all gates, switches readers over, by one
+file that names the folder of every table and the version of every fact. So a
+failed run leaves the state of the last good one, wherever it fails. All reports carry the run's id, and
 evidence counts a report only if it belongs to the newest run. Only one-row summaries
 reach the driver.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Callable
@@ -24,6 +26,7 @@ from omnimart.operators.checks import run_checks, score, summary
 from omnimart.operators.cube import sales_cube
 from omnimart.operators.snapshot import Snapshot
 from omnimart.operators.tables import (
+    LOADED_AT,
     KeyedTable,
     landed_files,
     later_than,
@@ -31,7 +34,7 @@ from omnimart.operators.tables import (
     write_raw_zone,
 )
 from omnimart.plans import contracts, core, marts, quality, reports, staging
-from omnimart.session import pin
+from omnimart.session import pin, released
 from omnimart.sources.landing import source_counts
 from omnimart.sources.schemas import SOURCE_NAMES
 from omnimart.streaming.sinks import json_lines, write_json_lines
@@ -77,9 +80,14 @@ class DailyRun:
         content = {**content, "run_id": self.run_id, "generated_at": written}
         return files.write_json(self.spark, self.path("reports", f"{name}.json"), content)
 
+    def current(self) -> dict:
+        """What readers see: the newest switch file, with folders, fact versions and KPIs."""
+        names = [n for n in files.children(self.spark, self.path("tables", "current")) if n[0] != "."]
+        return files.read_json(self.spark, self.path("tables", "current", names[-1])) if names else {}
+
     def published(self) -> dict[str, str]:
         """Folder of each full-refresh table, as readers see it."""
-        return files.read_json(self.spark, self.path("tables", "current.json")).get("folders", {})
+        return self.current().get("folders", {})
 
     def stored(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(self._written.get(name) or self.published()[name]))
@@ -94,10 +102,13 @@ class DailyRun:
         return self.stored(name)
 
     def timed(self, name: str, stage: Callable[..., dict], *inputs: dict) -> dict:
-        started = time.perf_counter()
-        result = stage(*inputs)
-        took = round((time.perf_counter() - started) * 1000, 1)
-        self.phases.append({"name": name, "status": result["status"], "duration_ms": took})
+        started, status = time.perf_counter(), FAIL
+        try:
+            result = stage(*inputs)
+            status = result["status"]
+        finally:
+            took = round((time.perf_counter() - started) * 1000, 1)
+            self.phases.append({"name": name, "status": status, "duration_ms": took})
         return result
 
     def gate(self, stage: str, finding: str, value, limit=0) -> None:
@@ -142,7 +153,7 @@ class DailyRun:
             return {"status": SKIPPED}
         day = self.as_of.strftime("%Y-%m-%d")
         folders = {
-            name: write_raw_zone(self.source.table(name), self.root, name, day)
+            name: write_raw_zone(self.source.table(name), self.root, name, day, self.as_of)
             for name in SOURCE_NAMES
         }
         audit = landed_files(self.spark, folders, day).agg(
@@ -169,6 +180,29 @@ class DailyRun:
             },
         )
 
+    def judge_freshness(self) -> dict:
+        """Age of the newest stored load of each source, read back from its newest day in the raw zone.
+
+        Old loads are reported, very old or missing ones close the gate. A run without a raw zone has nothing to judge.
+        """
+        loaded = {}
+        for name in SOURCE_NAMES:
+            days = [d for d in files.children(self.spark, self.path("raw", name)) if "=" in d]
+            if days:
+                newest = self.spark.read.parquet(self.path("raw", name, days[-1]))
+                stamped = LOADED_AT in newest.columns
+                loaded[name] = newest if stamped else newest.withColumn(LOADED_AT, F.lit(None).cast("timestamp"))
+        if not loaded:
+            return {"status": SKIPPED}
+        ages = [r.asDict() for r in quality.freshness(loaded, LOADED_AT, self.as_of).collect()]
+        missing = sorted(set(SOURCE_NAMES) - set(loaded))
+        states = [a["status"] for a in ages] + ["error"] * len(missing)
+        self.gate("freshness", "stale sources", states.count("error"))
+        status = FAIL if "error" in states else "WARN" if "warn" in states else PASS
+        result = self.report("freshness_report", {"status": status, "sources": ages, "missing": missing})
+        self.pass_gate("freshness")
+        return result
+
     def control(self, extracted: dict) -> dict:
         """The contracts on the raw sources and the batch, stream and payment totals."""
         raw = contracts.stored(
@@ -225,7 +259,7 @@ class DailyRun:
         )
         stock = tables["stg_inventory"]
         history = Snapshot(self.spark, self.path("tables", "stock_history"), "product_id", STOCK_COLUMNS)
-        history.table.held = True
+        history.table.held, history.table.at = True, self.current().get("facts", {}).get("stock_history", 0)
         self._facts["stock_history"] = history.table
         history.apply(stock.select("product_id", *STOCK_COLUMNS), self.as_of)
         available = tables["available_to_promise"] = self.refresh(
@@ -269,7 +303,8 @@ class DailyRun:
         key, time = FACTS[name]
         if name not in self._facts:
             day = F.date_format(time, "yyyy-MM-dd")
-            self._facts[name] = KeyedTable(self.spark, self.path("tables", name), key, day, held=True)
+            version = self.current().get("facts", {}).get(name, 0)
+            self._facts[name] = KeyedTable(self.spark, self.path("tables", name), key, day, held=True, at=version)
         return self._facts[name]
 
     def load_fact(self, name: str, build: Callable[[datetime | None], DataFrame]) -> DataFrame:
@@ -296,12 +331,22 @@ class DailyRun:
         self.pass_gate("publish")
         if reconciled.get("run_id") != self.run_id or reconciled.get("status") != PASS:
             raise GateClosed("no passed gate table of this run")
-        before = self.published()
+        last = self.current()
+        before = last.get("folders", {})
+        # Manifests of facts are written first; no reader looks at them before the switch names their versions.
         for table in self._facts.values():
             table.publish()
-        current = {"run_id": self.run_id, "folders": {**before, **self._written}}
-        files.write_json(self.spark, self.path("tables", "current.json"), current)
-        files.write_json(self.spark, self.path("curated", "kpis.json"), {**self._kpis, "run_id": self.run_id})
+        kpis = {**self._kpis, "run_id": self.run_id}
+        current = {
+            "number": last.get("number", 0) + 1,
+            "run_id": self.run_id,
+            "folders": {**before, **self._written},
+            "facts": {**last.get("facts", {}), **{n: t.version for n, t in self._facts.items()}},
+            "kpis": kpis,
+        }
+        content = json.dumps(current, ensure_ascii=False, default=str)
+        files.publish_text(self.spark, self.path("tables", "current", f"{current['number']:010d}.json"), content)
+        files.write_json(self.spark, self.path("curated", "kpis.json"), kpis)
         manifest = self.report(
             "publish_manifest",
             {
@@ -327,10 +372,25 @@ class DailyRun:
             for folder in files.children(self.spark, self.path("tables", name)):
                 if f"tables/{name}/{folder}" not in kept:
                     files.delete(self.spark, self.path("tables", name, folder))
+        for table in self._facts.values():
+            table.tidy()
 
     def run(self) -> dict:
+        """All stages; the run report names every one that ran, with its time, also where one failed."""
+        status, started = FAIL, time.perf_counter()
+        try:
+            with released(self.spark):
+                manifest = self._stages()
+            status = manifest["status"]
+            return manifest
+        finally:
+            total = round((time.perf_counter() - started) * 1000, 1)
+            self.report("run_report", {"status": status, "phases": self.phases, "total_ms": total})
+
+    def _stages(self) -> dict:
         extracted = self.timed("extract", self.extract)
         self.timed("land", self.land, extracted)
+        self.judge_freshness()
         controlled = self.timed("control", self.control, extracted)
         self.timed("marts", self.build_marts, controlled)
         reconciled = self.timed("reconcile", self.reconcile)

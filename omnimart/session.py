@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +57,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return "/".join((scratch_root(spark), "omnimart", app, f"{name}-{uuid.uuid4().hex[:12]}"))
 
 
+#: Paths pinned in the innermost ``released`` block of this thread.
+_pinned: ContextVar[list[str] | None] = ContextVar("pinned", default=None)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what ``pin`` stores within the block, on success and on failure.
+
+    Results that leave the block must not read pinned tables.
+    """
+    paths: list[str] = []
+    token = _pinned.set(paths)
+    try:
+        yield
+    finally:
+        _pinned.reset(token)
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def pin(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a shared Parquet table and read it back.
 
@@ -61,5 +85,7 @@ def pin(df: DataFrame, name: str) -> DataFrame:
     executor is lost, and each later pass reads only the columns it needs.
     """
     path = scratch_path(df.sparkSession, name)
+    if (paths := _pinned.get()) is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

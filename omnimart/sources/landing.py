@@ -16,6 +16,14 @@ BAD_RECORD = "_bad_record"
 INGESTED_AT = "_ingested_at"
 
 
+#: Bytes of a file that one task reads.
+LARGEST_FILE = 256 << 20
+
+
+class OversizedFile(ValueError):
+    """A landing file is too large to be read by one task."""
+
+
 class MissingSources(FileNotFoundError):
     """At least one source file is absent; the message lists all of them."""
 
@@ -24,13 +32,23 @@ class LandingSource:
     """Typed reads of the landing files.
 
     A value that does not fit its column becomes null and the whole line is kept
-    in ``quarantine``; nothing is inferred from the data.
+    in ``quarantine``; nothing is inferred from the data. A quoted value may hold line breaks. For that a
+    file is read as a whole by one task, so it may have at most ``largest`` bytes; a source
+    of more is a folder of several files.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, loaded_at: datetime | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        loaded_at: datetime | None = None,
+        largest: int = LARGEST_FILE,
+    ):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.loaded_at = loaded_at
+        self.largest = largest
+        self._measured: set[str] = set()
 
     def check_present(self) -> None:
         present = set(files.children(self.spark, self.folder))
@@ -38,11 +56,21 @@ class LandingSource:
         if missing:
             raise MissingSources(", ".join(missing))
 
+    def _bounded(self, name: str) -> None:
+        """Refuse a source with a file that is too large for one task."""
+        if name not in self._measured:
+            size, path = files.largest_file(self.spark, f"{self.folder}/{file_of(name)}")
+            if size > self.largest:
+                raise OversizedFile(f"{path} has {size} bytes; write it as files of at most {self.largest}")
+            self._measured.add(name)
+
     def _read(self, name: str) -> DataFrame:
+        self._bounded(name)
         schema = schema_of(name).add(BAD_RECORD, "string")
         return (
             self.spark.read.schema(schema)
             .option("header", True)
+            .option("multiLine", True)
             .option("encoding", "UTF-8")
             .option("escape", '"')
             .option("nullValue", None)

@@ -1052,4 +1052,39 @@ FINALS |= {
     "landing_reports": " UNION ALL ".join(_landing(n, t) for n, t in SOURCE_TABLES.items()),
 }
 
+EXPORT_HEADING = "product_id;name;category;store_stock;warehouse_stock;reserved;incoming;units_sold;selected_units_sold;safety_stock;atp;risk_level"
+
+FINALS |= {
+    "csv_landing_quoted": """
+        SELECT product_id, split_part(product_name, ' ', 1) || chr(10) || '"' || product_id || '", two' AS name, category,
+               CAST(current_price AS DOUBLE) AS price, CAST(0 AS BIGINT) AS damaged
+        FROM products""",
+    "freshness_stored": FINALS["freshness_all_sources"],
+    "csv_export_files": f"""
+        SELECT (row_number() OVER (ORDER BY product_id) - 1) // 100 AS file, {EXPORT_LINE} AS line
+        FROM ({DEMAND_ROWS.format(where=RECENT)})
+        UNION ALL SELECT f AS file, '{EXPORT_HEADING}' FROM (SELECT unnest(range((count(*) + 99) // 100)) AS f FROM products)""",
+    "kpi_record_scored": f"""
+        SELECT k.*, q.score AS quality_score FROM ({FINALS['kpi_record']}) k, ({FINALS['quality_score']}) q""",
+    "top_departments": FINALS["top_categories"].replace("p.category,", "p.department AS category,"),
+    "lost_fact_rows": """
+        SELECT fact, count(*) FILTER (source_customer_id NOT IN (SELECT source_customer_id FROM bridge)) AS lost,
+               count(*) FILTER (source_customer_id NOT IN (SELECT source_customer_id FROM bridge)) > 0 AS refused
+        FROM (SELECT 'fct_sales' AS fact, source_customer_id FROM stg_orders
+              UNION ALL SELECT 'fct_retail_event', source_customer_id FROM stg_events) GROUP BY 1""",
+    "stream_strict_merge": f"""
+        SELECT * {EVENT_CASTS} FROM stg_events
+        WHERE event_at >= TIMESTAMP '2000-01-01' OR CAST(split_part(event_id, '-', 2) AS BIGINT) % 20 <> 0""",
+    "gate_table": f"""
+        SELECT *, abs(value) <= "limit" AS passed, 'FAIL' AS status FROM (
+            SELECT 'extract' AS stage, 'damaged lines' AS finding, 0.0::DOUBLE AS value, 0.0::DOUBLE AS "limit"
+            UNION ALL SELECT 'control', 'failed contracts', CAST(count(*) FILTER (violations > 0) AS DOUBLE), 0.0 FROM ({_CONTRACTS})
+            UNION ALL SELECT 'control', 'unit delta', CAST(unit_delta AS DOUBLE), 0.0 FROM ({FINALS['total_reconciliation']})
+            UNION ALL SELECT 'control', 'payment delta', amount_delta, 0.005 FROM ({FINALS['total_reconciliation']}))""",
+    "run_evidence_steps": f"""
+        SELECT step, CASE step WHEN 'sources' THEN 'executed' ELSE 'not run' END AS state,
+               (SELECT CAST(sum(rows) AS BIGINT) FROM ({_all_sources('count(*) AS rows')})) AS source_records, false AS publishable
+        FROM (VALUES ('sources'), ('landing'), ('quality'), ('marts'), ('gates'), ('publication')) AS s(step)""",
+}
+
 ORACLES = {name: statement(final) for name, final in FINALS.items()}
