@@ -9,8 +9,8 @@ characters with one changed character apart; with ``chars`` = 4 (the pipeline) t
 common to unlike lines, so other widths than ten take 29 bands of eight (99.5 % at 0.8 as well). Of each component,
 the occurrence with the smallest (doc_id, line number) stays and all others go.
 
-Null texts stay null, empty ones empty. Of rows that repeat an id and its text, all keep the same lines; an id is taken
-to name one text. Rows with a null id are kept
+Null texts stay null, empty ones empty. Of rows that repeat an id and its text, all keep the same lines; rows that repeat
+an id with another text are documents of their own, ordered by a hash of the text. Rows with a null id are kept
 unchanged, as their lines have no place in the order. Extra columns pass through.
 Equal lines are told by a 64-bit hash.
 """
@@ -21,10 +21,10 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from omnimart.llm import textops
-from omnimart.llm.frames import Pins, fresh, map_batches
+from omnimart.llm.frames import SENT_BYTES, Pins, fresh, map_batches
 from omnimart.llm.linking import link
 
 CHARS = 10
@@ -134,6 +134,51 @@ def _texts(batch: pa.RecordBatch):
         yield at, [data[i:j].decode("utf-8", "replace") for i, j in zip(bounds[:-1], bounds[1:])]
 
 
+def line_places(docs: DataFrame) -> DataFrame:
+    """Per line: doc_id, copy (hash of its text, ``docs`` has it), line (number) and node (hash)."""
+
+    def run(batches):
+        for batch in batches:
+            for at, texts in _texts(batch):
+                codes, text, number, starts, ends = line_table(texts)
+                if len(starts):
+                    row = pa.array(at + text)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch["doc_id"].take(row), batch["copy"].take(row), pa.array(number.astype(np.int32)), pa.array(line_hashes(codes, starts, ends).view(np.int64))], ["doc_id", "copy", "line", "node"]
+                    )
+
+    return map_batches(docs, run, "doc_id long, copy long, line int, node long")
+
+
+def line_keys(docs: DataFrame, chars: int = CHARS) -> DataFrame:
+    """Band keys of each different line of a piece: node, keys."""
+
+    def run(batches):
+        for batch in batches:
+            for _, texts in _texts(batch):
+                codes, _, _, starts, ends = line_table(texts)
+                if not len(starts):
+                    continue
+                node = line_hashes(codes, starts, ends)
+                _, first = np.unique(node, return_index=True)
+                first.sort()
+                keys = bands(codes, starts[first], ends[first], node[first], chars)
+                yield pa.RecordBatch.from_arrays([pa.array(node[first].view(np.int64)), textops.lists(keys.ravel().view(np.int64), np.arange(len(first) + 1) * keys.shape[1])], ["node", "keys"])
+
+    return map_batches(docs, run, "node long, keys array<long>")
+
+
+def sized_lines(lines: DataFrame, chars: int = CHARS) -> DataFrame:
+    """``lines`` (node, text) with size, the number of different shingles."""
+
+    def run(batches):
+        for batch in batches:
+            sizes = [np.diff(bounds) for _, _, _, bounds in line_sets(batch["text"], chars)]
+            yield pa.RecordBatch.from_arrays([batch["node"], batch["text"], pa.array(np.concatenate(sizes) if sizes else np.zeros(0, np.int64))], ["node", "text", "size"])
+
+    return map_batches(lines, run, "node long, text string, size long")
+
+
 def line_rows(docs: DataFrame, chars: int = CHARS) -> DataFrame:
     """Per line: doc_id, line (number), node (hash), size (different shingles) and, once a piece, its band keys."""
 
@@ -189,23 +234,33 @@ def wanted_lines(docs: DataFrame) -> DataFrame:
 
 
 def removals(docs: DataFrame, pins: Pins, percent: int = PERCENT, chars: int = CHARS) -> tuple[DataFrame, DataFrame]:
-    """Line occurrences (doc_id, line, node, component, kept), and the pinned numbers to drop by document."""
-    docs = fresh(docs, "doc_id", "text").where("doc_id is not null")
-    lines = pins.pin(line_rows(docs, chars), "lines")
-    keys = lines.where("size(keys) > 0").select("node", "size", F.explode("keys").alias("bucket"))
-    span = Window.partitionBy("bucket")
-    shared = keys.withColumn("low", F.min("node").over(span)).withColumn("high", F.max("node").over(span)).where("low <> high").select("bucket", "node", "size").distinct()
-    postings = pins.pin(shared.withColumn("need", F.lit(1)).withColumn("own", F.lit(0)).withColumn("core", F.lit(True)), "postings")
-    nodes = postings.select("node").distinct()
-    owners = lines.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "line")).alias("o"))
-    wanted = pins.pin(owners.groupBy("o.doc_id").agg(F.collect_list(F.struct("node", "o.line")).alias("w")).select("doc_id", F.col("w.node").alias("nodes"), F.col("w.line").alias("numbers")), "wanted")
-    texts = pins.pin(wanted_lines(pins.join(docs, wanted, "doc_id")).dropDuplicates(["node"]), "line-texts")
-    roots = pins.pin(link(postings, texts, partial(line_sets, chars=chars), percent, pins), "line-roots")
-    placed = pins.join(lines.select("doc_id", "line", "node"), roots, "node", "left").select("doc_id", "line", "node", F.coalesce("root", "node").alias("component"))
-    kept = placed.groupBy("component").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n")).where("n > 1").select("component", "first")
-    gone = placed.join(kept, "component").where(F.struct("doc_id", "line") != F.col("first"))
-    drops = pins.pin(gone.groupBy("doc_id").agg(F.collect_set("line").alias("gone")), "drops")
-    judged = placed.join(kept, "component", "left").select("doc_id", "line", "node", "component", (F.col("first").isNull() | (F.struct("doc_id", "line") == F.col("first"))).alias("kept"))
+    """Line occurrences (doc_id, copy, line, node, component, kept), and the pinned numbers to drop by document and copy."""
+    docs = fresh(docs, "doc_id", "text").where("doc_id is not null").withColumn("copy", F.xxhash64("text"))
+    lines = pins.pin(line_places(docs), "lines")
+    # Keys are needed twice: to find the buckets of several lines, and then those lines.
+    keys = pins.pin(line_keys(docs, chars), "line-keys")
+    every = keys.select("node", F.explode("keys").alias("bucket"))
+    spans = every.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+    buckets = pins.pin(spans.select("bucket"), "buckets")
+    shared = pins.pin(pins.join(every, buckets, "bucket", "left_semi").distinct(), "shared")
+    pins.drop(keys, buckets)
+    nodes = pins.pin(shared.select("node").distinct(), "nodes")
+    owners = pins.join(lines, nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "copy", "line")).alias("o"))
+    listed = owners.groupBy("o.doc_id", "o.copy").agg(F.collect_list(F.struct("node", "o.line")).alias("w"))
+    wanted = pins.pin(listed.select("doc_id", "copy", F.col("w.node").alias("nodes"), F.col("w.line").alias("numbers")), "wanted")
+    texts = pins.pin(sized_lines(wanted_lines(pins.join(docs, wanted, ["doc_id", "copy"])).dropDuplicates(["node"]), chars), "line-texts")
+    sized = shared.join(texts.select("node", "size"), "node").select("bucket", "node", "size")
+    postings = pins.pin(sized.select("*", F.lit(1).alias("need"), F.lit(0).alias("own"), F.lit(True).alias("core")), "postings")
+    pins.drop(shared, nodes, wanted)
+    roots = link(postings, texts, partial(line_sets, chars=chars), percent, pins)
+    pins.drop(postings, texts)
+    at = F.struct("doc_id", "copy", "line")
+    placed = pins.join(lines, roots, "node", "left").select("doc_id", "copy", "line", "node", F.coalesce("root", "node").alias("component"))
+    kept = placed.groupBy("component").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("component", "first")
+    kept = pins.pin(kept, "kept")
+    gone = pins.join(placed, kept, "component").where(at != F.col("first"))
+    drops = pins.pin(gone.groupBy("doc_id", "copy").agg(F.collect_set("line").alias("gone")), "drops")
+    judged = placed.join(kept, "component", "left").select("doc_id", "copy", "line", "node", "component", (F.col("first").isNull() | (at == F.col("first"))).alias("kept"))
     return judged, drops
 
 
@@ -216,9 +271,10 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, chars: int = CHARS) ->
         raise ValueError("the input has a column n_lines or n_removed")
     _, drops = removals(docs, pins, percent, chars)
     pins.keep_only(drops)
-    gone = drops.withColumnsRenamed({"gone": "_gone"})
-    gone._pinned_at = drops._pinned_at
-    marked = pins.join(docs, gone, "doc_id", "left")
+    gone = drops.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy"), F.col("gone").alias("_gone"))
+    fits = pins.size(drops) <= SENT_BYTES
+    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_copy"))
+    marked = docs.join(F.broadcast(gone) if fits else gone, same, "left")
     cut = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("_gone", i)), "\n")
     return marked.select(
         *(F.when(F.col("_gone").isNull(), F.col("text")).otherwise(cut).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns),

@@ -4,16 +4,19 @@ A posting says that a node stands in a bucket; nodes that share enough buckets a
 and a candidate pair is linked if the two shingle sets are similar enough.
 
 1. The hub of a bucket is its most typical node (fewest shingles of its own). Every node is
-   compared with the hub that it shares most buckets with. Nodes and all hubs that are
-   candidates for them form families, whether or not they are similar.
+   compared with the hub that it shares most buckets with, and then with its other hubs that this has not yet linked
+   it to. That is a number of pairs in proportion to the postings. Nodes and all their hubs form families,
+   whether or not they are similar.
 2. Most families are now one component. In the others, nodes of different components are
-   compared in blocks of bounded size; a block of one component is not compared with its like.
+   compared in blocks of bounded size; a block of one component is not compared with its like. A pair of blocks
+   returns a spanning forest of the components that it joins, so fewer links than it has nodes.
 3. Nodes of different families that share a core bucket and have sizes of the same or of neighbouring
-   classes are a group. In a group of few families they are compared in pairs, if they
-   share enough buckets; in a group of many families in blocks.
+   classes are a group. In a group with few pairs between its families they are compared in pairs, if they
+   share enough buckets; in a larger group in blocks.
 
 So a bucket of many copies costs one comparison a copy, and no link between different
-components is left out.
+components is left out. After the first step components are found on the components so far and the new
+links between them, not on all links again.
 """
 
 from __future__ import annotations
@@ -34,8 +37,8 @@ Sets = Callable[[pa.Array], Iterator[tuple[int, int, np.ndarray, np.ndarray]]]
 #: Bounds of a block: shingles and nodes.
 BLOCK_SHINGLES = 32_768
 BLOCK_NODES = 256
-#: Families of a group whose nodes are compared in pairs; the nodes of a larger group are compared in blocks.
-FEW = 16
+#: Pairs between the families of a group that are compared as pairs; the nodes of a larger group are compared in blocks.
+FEW = 4096
 
 
 def components(edges: DataFrame, pins: Pins) -> DataFrame:
@@ -124,22 +127,64 @@ def _similar(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> n
     return (common > 0) & (100 * common >= percent * (size_l[:, None] + size_r[None, :] - common))
 
 
-def verify_blocks(members: DataFrame, sets: Sets, percent: int) -> DataFrame:
-    """Links (a, b) that join different components of a family.
+def merged(roots: DataFrame, links: DataFrame, pins: Pins) -> DataFrame:
+    """``roots`` (node, root), pinned, after further ``links`` (a, b), on the graph of the components so far."""
 
-    ``members`` (family, root, node, size, text) holds whole families. A pair of blocks yields
-    at most one link for each two components that it joins.
+    def placed(side: str) -> DataFrame:
+        return roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
+
+    between = links.join(placed("a"), "a", "left").join(placed("b"), "b", "left")
+    between = between.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a <> b").distinct()
+    joined = pins.pin(components(between, pins), "joined").withColumnRenamed("root", "top")
+    lifted = roots.join(joined.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    # Joined nodes were roots or stood alone, so they have no row of their own yet.
+    return pins.pin(lifted.union(joined.select("node", F.col("top").alias("root"))), "roots")
+
+
+def _forest(a: np.ndarray, b: np.ndarray, ra: np.ndarray, rb: np.ndarray) -> np.ndarray:
+    """Places of links that join components not yet joined by those before them."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = up.get(y, y)
+            x = y
+        return x
+
+    kept = []
+    for k, (x, y) in enumerate(zip(ra[a].tolist(), rb[b].tolist())):
+        x, y = top(x), top(y)
+        if x != y:
+            up[x] = y
+            kept.append(k)
+    return np.array(kept, dtype=np.int64)
+
+
+def blocks_of(members: DataFrame) -> DataFrame:
+    """``members`` (family, root, node, size) with a block number: nodes of a large component in blocks of their own,
+    small components together. Blocks are dealt out by hash, so no family is gathered for it."""
+    roots = members.groupBy("family", "root").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"))
+    roots = roots.withColumn("parts", F.greatest(F.ceil(F.col("n") / BLOCK_NODES), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
+    large = (F.col("n") > BLOCK_NODES // 2) | (F.col("shingles") > BLOCK_SHINGLES // 2)
+    pooled = roots.where(~large).groupBy("family").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_NODES), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).alias("pool"))
+    placed = roots.join(pooled, "family", "left").select("family", "root", large.alias("large"), "parts", "pool")
+    own = F.xxhash64("root", F.pmod(F.xxhash64("node"), F.col("parts")))
+    shared = F.xxhash64(F.lit("small"), F.pmod(F.xxhash64("root"), F.col("pool")))
+    return members.join(placed, ["family", "root"]).select("family", F.when(F.col("large"), own).otherwise(shared).alias("block"), "node", "root")
+
+
+def verify_blocks(members: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins: Pins) -> DataFrame:
+    """Links (a, b) that join different components of a family, a spanning forest for each pair of blocks.
+
+    ``members`` (family, root, node, size) holds whole families. Texts are joined to blocks, not to families.
     """
-    rank = Window.partitionBy("family").orderBy(F.desc("root_size"), "root", "node")
-    total = F.sum("size").over(rank.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    counted = members.withColumn("root_size", F.count("*").over(Window.partitionBy("family", "root")))
-    cut = counted.withColumn("block", F.floor(total / BLOCK_SHINGLES) + F.floor((F.row_number().over(rank) - 1) / BLOCK_NODES)).select("family", "block", "node", "root", "text")
+    cut = pins.pin(blocks_of(members), "blocks")
     blocks = cut.groupBy("family", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     left, right = blocks.toDF("family", "i", "li", "hi"), blocks.toDF("family", "j", "lj", "hj")
     two = left.join(right, "family").where("i <= j and not (li = hi and lj = hj and li = lj)").select("family", "i", "j")
     # A pair of blocks is one group; a block compared with itself stands on both sides.
     sides = two.select("family", "i", "j", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("i").alias("block")), F.struct(F.lit(1).alias("side"), F.col("j").alias("block")))).alias("s")).select("family", "i", "j", "s.side", "s.block")
-    rows = sides.join(cut, ["family", "block"]).select("family", "i", "j", "side", "node", "root", "text")
+    rows = sides.join(cut, ["family", "block"]).join(texts.select("node", "text"), "node").select("family", "i", "j", "side", "node", "root", "text")
 
     def run(group: pa.Table) -> pa.Table:
         parts = []
@@ -152,9 +197,8 @@ def verify_blocks(members: DataFrame, sets: Sets, percent: int) -> DataFrame:
             parts.append((own["node"].to_numpy(), own["root"].to_numpy(), found))
         (na, ra, sa), (nb, rb, sb) = parts
         a, b = np.nonzero(_similar(sa, sb, percent) & (ra[:, None] != rb[None, :]))
-        joined = np.stack([np.minimum(ra[a], rb[b]), np.maximum(ra[a], rb[b])], 1)
-        _, first = np.unique(joined, axis=0, return_index=True)
-        return pa.table({"a": na[a[first]], "b": nb[b[first]]})
+        kept = _forest(a, b, ra, rb)
+        return pa.table({"a": na[a[kept]], "b": nb[b[kept]]})
 
     ship(members.sparkSession)
     return rows.groupBy("family", "i", "j").applyInArrow(run, "a long, b long")
@@ -174,41 +218,62 @@ def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins:
     candidates = met.groupBy("node", F.struct("hub.own", "hub.node").alias("hub")).agg(F.count("*").alias("n"), F.min(F.least("need", "hub.need")).alias("need")).where("n >= need")
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("n"), "hub"))
     followed = pins.pin(candidates.select(F.col("hub.node").alias("a"), F.col("node").alias("b"), place.alias("place")), "followed")
-    stars = pins.pin(verify_pairs(followed.where("place = 1"), texts, sets, percent), "stars")
+    stars = pins.pin(verify_pairs(followed.where("place = 1").select("a", "b"), texts, sets, percent), "stars")
     roots = pins.pin(components(stars, pins), "roots")
-    families = pins.pin(components(followed, pins).withColumnRenamed("root", "family"), "families")
+    pins.drop(stars)
+    open_pairs = _apart(followed.where("place > 1").select("a", "b"), roots)
+    more = pins.pin(verify_pairs(open_pairs, texts, sets, percent), "more-stars")
+    if more.take(1):
+        roots = merged(roots, more, pins)
+    families = pins.pin(components(followed.select("a", "b"), pins).withColumnRenamed("root", "family"), "families")
+    pins.drop(followed, more)
 
     placed = postings.select("node", "size").distinct().join(families, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = placed.groupBy("family").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("family")
-    inside = pins.pin(placed.join(several, "family", "left_semi"), "inside")
-    links = stars
+    inside = pins.pin(placed.join(several, "family", "left_semi").select("family", "root", "node", "size"), "inside")
     if inside.take(1):
-        within = pins.pin(verify_blocks(inside.join(texts, "node"), sets, percent), "within")
-        links = links.union(within)
-        roots = pins.pin(components(links, pins), "roots")
+        within = pins.pin(verify_blocks(inside, texts, sets, percent, pins), "within")
+        roots = merged(roots, within, pins)
+        pins.drop(within)
+    pins.drop(inside)
 
     named = families.join(roots, "node", "left").select("node", "family", F.coalesce("root", "node").alias("root"))
     core = postings.where("core").select("bucket", "node", "size").join(named, "node", "left").withColumn("root", F.coalesce("root", "node")).withColumn("family", F.coalesce("family", "node"))
     mixed = core.groupBy("bucket").agg(F.min("family").alias("low"), F.max("family").alias("high")).where("low <> high").select("bucket")
-    rest = pins.pin(core.join(mixed, "bucket", "left_semi"), "rest")
+    rest = pins.pin(core.join(mixed, "bucket", "left_semi").select("bucket", "node", "size", "family", "root"), "rest")
     # Sizes of linked nodes are in the same or in neighbouring classes, so both nodes are in the group of the lower class.
     size_class = F.floor(F.log("size") / (1.001 * max(math.log(100 / percent), 1e-9)))
     grouped = rest.withColumn("class", size_class).withColumn("class", F.explode(F.array(F.col("class") - 1, "class")))
-    sides = grouped.select("bucket", "class", "family").distinct()
-    counted = sides.groupBy("bucket", "class").agg(F.count("*").alias("families")).where("families > 1")
+    sides = grouped.groupBy("bucket", "class", "family").agg(F.count("*").alias("n"))
+    # Pairs of nodes of different families: half of the square of all nodes without the squares of the families.
+    counted = sides.groupBy("bucket", "class").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")).where("pairs > 0")
     groups = pins.pin(counted, "groups")
-    few = sides.join(groups.where(F.col("families") <= FEW).select("bucket", "class"), ["bucket", "class"])
+    few = sides.join(groups.where(F.col("pairs") <= FEW).select("bucket", "class"), ["bucket", "class"]).select("bucket", "class", "family")
     across = few.withColumnRenamed("family", "fa").join(few.withColumnRenamed("family", "fb"), ["bucket", "class"]).where("fa < fb")
-    left, right = grouped.toDF("bucket", "na", "sa", "fa", "ra", "class"), grouped.toDF("bucket", "nb", "sb", "fb", "rb", "class")
+    left, right = (grouped.select("bucket", "class", *(F.col(c).alias(f"{c[0]}{side}") for c in ("node", "size", "family", "root"))) for side in "ab")
     together = across.join(left, ["bucket", "class", "fa"]).join(right, ["bucket", "class", "fb"]).where(_fits(F.col("sa"), F.col("sb"), percent) & (F.col("ra") != F.col("rb")))
     pairs = pins.pin(together.select(F.col("na").alias("a"), F.col("nb").alias("b")).distinct(), "pairs")
     # Before whole sets are compared, a pair must share enough buckets of its whole prefixes.
     held = postings.groupBy("node").agg(F.collect_set("bucket").alias("buckets"), F.min("need").alias("need"))
     shared = pairs.join(held.toDF("a", "ba", "da"), "a").join(held.toDF("b", "bb", "db"), "b").where(F.size(F.array_intersect("ba", "bb")) >= F.least("da", "db")).select("a", "b")
-    more = pins.pin(verify_pairs(shared, texts, sets, percent), "more")
-    many = groups.where(F.col("families") > FEW).select("bucket", "class")
+    found = pins.pin(verify_pairs(shared, texts, sets, percent), "across")
+    pins.drop(pairs)
+    if found.take(1):
+        roots = merged(roots, found, pins)
+    many = groups.where(F.col("pairs") > FEW).select("bucket", "class")
     if many.take(1):
-        crowd = grouped.join(many, ["bucket", "class"]).select(F.xxhash64("bucket", "class").alias("family"), "node", "size", "root")
-        crowd = pins.pin(crowd.distinct(), "crowd")
-        more = pins.pin(more.union(verify_blocks(crowd.join(texts, "node"), sets, percent)), "more")
-    return components(links.union(more), pins) if more.take(1) else roots
+        crowd = grouped.join(many, ["bucket", "class"]).select(F.xxhash64("bucket", "class").alias("family"), "node", "size").distinct()
+        crowd = crowd.join(roots, "node", "left").select("family", F.coalesce("root", "node").alias("root"), "node", "size")
+        crowd = pins.pin(crowd, "crowd")
+        links = pins.pin(verify_blocks(crowd, texts, sets, percent, pins), "crowd-links")
+        roots = merged(roots, links, pins)
+        pins.drop(crowd, links)
+    pins.drop(rest, groups, families, found)
+    return roots
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose nodes are not of one component yet."""
+    left, right = (roots.select(F.col("node").alias(s), F.col("root").alias(f"r{s}")) for s in "ab")
+    both = pairs.join(left, "a", "left").join(right, "b", "left")
+    return both.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")

@@ -11,10 +11,10 @@ document takes the l whose longer prefix costs least: the postings that it meets
 verification of the at most ``postings / l`` documents that can share l of them. A pair must
 then share the smaller l of its two documents before its whole sets are compared.
 
-Rows: documents of equal sets are one class, and its smallest id takes part in the join. Null
+Rows: documents of equal sets are one class, and one of them takes part in the join. Null
 and empty texts have no shingles and are linked with nothing; a text of fewer than five
-words is one shingle as a whole. Every row gets a result, repeated rows too. An id is taken to
-name one text; if it repeats with another, links may be found for one of them only. Rows with a
+words is one shingle as a whole. Every row gets a result, repeated rows too. Rows that repeat an id with
+another text are documents of their own, each with its own links. Rows with a
 null id are left out of the result, as they can't be named in it. Other columns are not read.
 Shingles and sets are compared by 64-bit hashes.
 """
@@ -39,7 +39,7 @@ _EDGE = np.uint64(int(REGION * 2**64))
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles and a 128-bit digest of the shingle set (s1, s2)."""
+    """Per row: doc_id, copy, n_shingles and a 128-bit digest of the shingle set (s1, s2)."""
 
     def run(batches):
         for batch in batches:
@@ -52,11 +52,11 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                         total[full] = np.add.reduceat(textops.mix(h ^ np.uint64(salt)), starts[full])
                     digest.append(total.view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"][at:end], pa.array(np.diff(bounds)), *map(pa.array, digest)],
-                    ["doc_id", "n_shingles", "s1", "s2"],
+                    [batch["doc_id"][at:end], batch["copy"][at:end], pa.array(np.diff(bounds)), *map(pa.array, digest)],
+                    ["doc_id", "copy", "n_shingles", "s1", "s2"],
                 )
 
-    return map_batches(docs, run, "doc_id long, n_shingles long, s1 long, s2 long")
+    return map_batches(docs, run, "doc_id long, copy long, n_shingles long, s1 long, s2 long")
 
 
 def region_postings(docs: DataFrame, percent: int, most: int = MOST) -> DataFrame:
@@ -119,19 +119,27 @@ def _order():
 def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest id reachable by links) of every document."""
     pins = Pins(docs.sparkSession)
-    docs = fresh(docs, "doc_id", "text").where("doc_id is not null")
+    docs = fresh(docs, "doc_id", "text").where("doc_id is not null").withColumn("copy", F.xxhash64("text"))
     sets = pins.pin(shingle_sets(docs), "sets")
-    classes = sets.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("first"))
-    members = pins.pin(sets.join(classes, ["n_shingles", "s1", "s2"], "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("first")), "members")
-    copies = pins.pin(members.where("first <> doc_id").select("doc_id").distinct(), "copies")
-    alone = pins.join(docs, copies, "doc_id", "left_anti")
-    # A repeated id with other texts keeps each of them; equal rows count once.
+    own = F.struct("doc_id", "copy")
+    classes = sets.where("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min(own).alias("first"))
+    members = sets.join(classes, ["n_shingles", "s1", "s2"], "left").withColumn("first", F.coalesce("first", own))
+    members = pins.pin(members.select("doc_id", "copy", "n_shingles", "first", F.xxhash64("first.doc_id", "first.copy").alias("node")), "members")
+    copies = pins.pin(members.where(F.col("first") != own).select("doc_id", "copy").distinct(), "copies")
+    # One document of each class, under the class's number; rows that repeat it count once.
+    alone = pins.join(docs, copies, ["doc_id", "copy"], "left_anti").select(F.xxhash64("doc_id", "copy").alias("doc_id"), "text")
     postings = prefixes(region_postings(alone, percent), percent)
     prefix = pins.pin(postings.groupBy("bucket", "node").agg(F.min("need").alias("need"), F.max("size").alias("size"), F.min("own").alias("own"), F.max("core").alias("core")), "prefix")
     wanted = pins.pin(prefix.select("node").distinct(), "wanted")
-    texts = pins.pin(pins.join(docs.withColumnRenamed("doc_id", "node"), wanted, "node", "left_semi"), "texts")
+    texts = pins.pin(pins.join(alone.withColumnRenamed("doc_id", "node"), wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
     roots = link(prefix, texts, textops.word_sets, percent, pins)
-    classes = members.join(roots.withColumnRenamed("node", "first"), "first", "left").select("doc_id", "n_shingles", F.coalesce("root", "first").alias("component_id"))
-    found = pins.pin(classes, "classes")
+    pins.drop(sets, prefix, texts, wanted)
+    # Components carry the smallest id of their documents.
+    linked = roots.union(roots.select("root", "root").distinct())
+    ids = members.select("node", F.col("first.doc_id").alias("id")).distinct()
+    least = linked.join(ids, "node").groupBy("root").agg(F.min("id").alias("component_id"))
+    named = pins.pin(linked.join(least, "root").select("node", "component_id"), "named")
+    found = pins.join(members, named, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "first.doc_id").alias("component_id"))
+    found = pins.pin(found, "classes")
     pins.keep_only(found)
     return found

@@ -126,3 +126,33 @@ def test_lines_carry_the_size_of_their_set(documents):
     for chars in (line_dedup.CHARS, line_dedup.SHORT_CHARS):
         found = {r.line: r["size"] for r in line_dedup.line_rows(documents([(1, "\n".join(lines))]), chars).collect()}
         assert found == {k: len({x[i : i + chars] for i in range(max(1, len(x) - chars + 1))}) for k, x in enumerate(lines) if x}
+
+
+def test_near_copies_are_linked_by_fewer_links_than_lines(documents, monkeypatch):
+    """A crowd of near copies is joined by a spanning forest, not by a link for each pair of them."""
+    from omnimart.llm import linking
+
+    draw, counts, inner = random.Random(12), [], linking.verify_blocks
+
+    def counted(*settings):
+        found = inner(*settings)
+        counts.append(found.count())
+        return found
+
+    monkeypatch.setattr(linking, "verify_blocks", counted)
+    base = "".join(draw.choices("abcdefghijklmnop ", k=260))
+    lines = []
+    for _ in range(300):
+        own = list(base)
+        own[draw.randrange(len(own))] = "#"
+        own[draw.randrange(len(own))] = "%"
+        lines.append("".join(own))
+    found = line_dedup.dedup_lines(documents(list(enumerate(lines)))).collect()
+    assert sum(r.n_removed for r in found) >= 290
+    assert sum(counts) < 300
+
+
+def test_repeated_ids_with_other_texts_lose_no_other_lines(documents):
+    pairs = [(1, "a line that is here twice"), (2, "a line that is here twice\nsecond line of two"), (2, "first of its own words\nnothing like it before"), (2, "a line that is here twice")]
+    found = {(r.doc_id, r.n_lines, r.text) for r in line_dedup.dedup_lines(documents(pairs)).collect()}
+    assert found == {(1, 1, "a line that is here twice"), (2, 2, "second line of two"), (2, 2, "first of its own words\nnothing like it before"), (2, 1, "")}

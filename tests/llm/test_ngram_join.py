@@ -109,3 +109,10 @@ def test_hashes_tell_rows_apart():
     texts = ["a b", None, "", "b a", "a b"]
     sets = [h[b[k] : b[k + 1]].tolist() for _, end, h, b in textops.word_sets(pa.array(texts)) for k in range(end)]
     assert sets[0] == sets[4] and sets[0] != sets[3] and sets[1] == sets[2] == []
+
+
+def test_repeated_ids_with_other_texts_keep_their_links(documents):
+    a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
+    pairs = [(5, a), (5, b), (5, "alone in its words here now"), (7, a), (8, b + " more"), (1, b + " more words")]
+    found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.similarity_classes(documents(pairs)).collect())
+    assert found == [(1, 28, 1), (5, 2, 5), (5, 26, 1), (5, 26, 5), (7, 26, 5), (8, 27, 1)]
