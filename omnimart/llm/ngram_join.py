@@ -118,6 +118,12 @@ def _order():
 
 def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest id reachable by links) of every document."""
+    return linked_rows(docs, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def linked_rows(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The classes with copy, the hash of the row's text, and first: whether the row is the first of its component,
+    by id and then by copy. Equal rows are first together."""
     pins = Pins(docs.sparkSession)
     docs = fresh(docs, "doc_id", "text").where("doc_id is not null").withColumn("copy", F.xxhash64("text"))
     sets = pins.pin(shingle_sets(docs), "sets")
@@ -136,10 +142,10 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     pins.drop(sets, prefix, texts, wanted)
     # Components carry the smallest id of their documents.
     linked = roots.union(roots.select("root", "root").distinct())
-    ids = members.select("node", F.col("first.doc_id").alias("id")).distinct()
-    least = linked.join(ids, "node").groupBy("root").agg(F.min("id").alias("component_id"))
-    named = pins.pin(linked.join(least, "root").select("node", "component_id"), "named")
-    found = pins.join(members, named, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "first.doc_id").alias("component_id"))
-    found = pins.pin(found, "classes")
+    ids = members.select("node", F.col("first").alias("id")).distinct()
+    least = linked.join(ids, "node").groupBy("root").agg(F.min("id").alias("least"))
+    named = pins.pin(linked.join(least, "root").select("node", "least"), "named")
+    found = pins.join(members, named, "node", "left").withColumn("least", F.coalesce("least", "first"))
+    found = pins.pin(found.select("doc_id", "copy", "n_shingles", F.col("least.doc_id").alias("component_id"), (F.col("least") == own).alias("first")), "classes")
     pins.keep_only(found)
     return found

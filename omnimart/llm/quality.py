@@ -100,10 +100,12 @@ def fit(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, rounds: int =
     chosen = fresh(docs, "doc_id", "text").join(F.broadcast(rated.select("doc_id", F.col("grade").cast("int").alias("grade"))), "doc_id")
     described = map_batches(chosen, run, "doc_id long, grade int, feature array<int>, part array<float>")
     # The bounded sample is one group; only the fitted numbers reach the driver.
-    found = described.withColumn("sample", F.lit("all")).groupBy("sample").applyInArrow(train, "kind long, key long, value double").orderBy("kind", "key").toArrow()
+    found = described.withColumn("sample", F.lit("all")).groupBy("sample").applyInArrow(train, "kind long, key long, value double").toArrow()
     if not found.num_rows:
         return OrdinalModel(np.zeros(1, np.int64), np.zeros(0), np.zeros(3 * BUCKETS))
-    kind, key, value = (found[c].to_numpy() for c in ("kind", "key", "value"))
+    # Few numbers, sorted here: a sort in the cluster would sample its input and so fit a second time.
+    order = np.lexsort((found["key"].to_numpy(), found["kind"].to_numpy()))
+    kind, key, value = (found[c].to_numpy()[order] for c in ("kind", "key", "value"))
     weights = np.zeros(3 * BUCKETS)
     weights[key[kind == 2]] = value[kind == 2]
     return OrdinalModel(value[kind == 0].astype(np.int64), value[kind == 1], weights)

@@ -82,3 +82,76 @@ def test_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= names
     for n in range(1, 11):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
+
+
+def plain_short_lines(pairs):
+    """Kept lines by all pairs of lines over runs of four characters; pairs in the order of documents."""
+    import itertools
+
+    from llm.conftest import Groups
+
+    first = {}
+    for i, text in pairs:
+        for k, line in enumerate((text or "").split("\n")):
+            if line.strip(" \t\r"):
+                first.setdefault(line, (i, k))
+    names = list(first)
+    sets = [{x[j : j + 4] for j in range(max(1, len(x) - 3))} for x in names]
+    groups = Groups(range(len(names)))
+    for a, b in itertools.combinations(range(len(names)), 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            groups.join(a, b)
+    leader, place = {}, {x: k for k, x in enumerate(names)}
+    for k, x in enumerate(names):
+        leader.setdefault(groups.root(k), first[x])
+    return {
+        i: None if text is None else "\n".join(x for k, x in enumerate(text.split("\n")) if not x.strip(" \t\r") or leader[groups.root(place[x])] == (i, k))
+        for i, text in pairs
+    }
+
+
+def test_line_stage_against_all_pairs_of_short_runs(spark, documents):
+    draw = random.Random(31)
+    base = ["".join(draw.choices("abcdefghijklm nop", k=draw.choice((20, 60, 90)))) for _ in range(25)]
+
+    def line():
+        own = list(draw.choice(base))
+        for _ in range(draw.choice((0, 1, 1, 4))):
+            own[draw.randrange(len(own))] = draw.choice("xyzé")
+        return "".join(own)
+
+    pairs = [(i, "\n".join([*(line() for _ in range(draw.randrange(4))), f"own line {i * i} of text {i ** 3}"])) for i in range(60)]
+    found = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, documents(pairs), "").collect()}
+    plain = plain_short_lines(pairs)
+    assert found == {i: t for i, t in plain.items() if t.strip(" \t\r\n") or t == dict(pairs)[i]}
+
+
+def test_columns_of_any_name_pass(spark, tmp_path):
+    extra = "selected boolean, n_lines int, gone int, node int, others string, nameless int, copy int, `a b` int, expected_grade double, token_ids int, lang string, source string"
+    rows = [(i, f"words of document {i * i} and {i ** 3} that no other has", True, 1, 2, 3, "o", 4, 5, 6, 0.5, 7, "en", "s") for i in range(6)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {extra}")
+    folder = str(tmp_path / "sf")
+    write(spark, folder, docs, [], [(1, "an item that is nowhere in these texts")])
+    now = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, folder)
+        assert now.columns == docs.columns
+    assert sorted(map(tuple, now.collect())) == sorted(rows)
+    assert corpus_pipeline.run(spark, folder).count() == 6
+
+
+def test_copies_without_an_id_go(spark, documents, tmp_path):
+    text = "a text that stands here several times, whoever sent it"
+    other = " ".join(f"word{k}" for k in range(40))
+    pairs = [(None, text), (None, text), (5, text), (None, other), (None, other + " more"), (None, None)]
+    by_lines = [r.text for r in corpus_pipeline.drop_repeated_lines(spark, documents(pairs), "").collect()]
+    assert sorted(map(str, by_lines)) == ["None", text, other]
+    groups = corpus_pipeline.keep_one_of_each_group(spark, documents(pairs), "").collect()
+    assert sorted((str(r.doc_id), str(r.text)[:6]) for r in groups) == [("5", "a text"), ("None", "None"), ("None", "word0 ")]
+
+
+def test_rows_of_one_id_with_other_texts_stay_apart(spark, documents):
+    a, b = " ".join(f"a{k}" for k in range(30)), " ".join(f"b{k}" for k in range(30))
+    pairs = [(1, a), (2, a + " more"), (2, b), (3, b + " more"), (2, "only here in the world of texts")]
+    kept = corpus_pipeline.keep_one_of_each_group(spark, documents(pairs), "").collect()
+    assert sorted((r.doc_id, r.text[:5]) for r in kept) == [(1, "a0 a1"), (2, "b0 b1"), (2, "only ")]

@@ -90,3 +90,46 @@ def test_extra_columns_pass_through(spark):
     model = quality.OrdinalModel(np.array([0, 1]), np.array([0.5]), np.zeros(3 * quality.BUCKETS))
     found = quality.score(rows, model, tail=1).first()
     assert found.grade == 5 and found.feature == [1, 2] and found.tail_probability == pytest.approx(1 / (1 + np.exp(0.5)))
+
+
+def test_fit_reaches_the_loss_of_a_plain_optimiser():
+    """Penalised likelihood of the fitted numbers against gradient descent with numeric slopes on the same loss."""
+    draw = np.random.RandomState(5)
+    n, f, penalty = 240, 8, 1e-2
+    value = draw.rand(n, f).astype(np.float32) / 10
+    latent = (value - value.mean(axis=0)) @ draw.randn(f) * 60 + draw.logistic(size=n)
+    grade = np.digitize(latent, [-1.0, 1.5])
+    model = quality._fit_rows(grade, np.tile(np.arange(f), n).astype(np.int32), value.ravel(), np.arange(n + 1) * f, 1500, penalty)
+    unit = np.sqrt(((value.astype(float) * quality.SCALE) ** 2).sum(axis=0) / n) + 0.5
+    scale = quality.SCALE * 0.3 / unit
+
+    def loss(p):
+        w, edges = p[:f], np.concatenate([p[f : f + 1], p[f : f + 1] + np.cumsum(np.exp(p[f + 1 :]))])
+        score = value @ (w * scale)
+        cdf = 1 / (1 + np.exp(-np.clip(np.concatenate([[-60.0], edges, [60.0]])[None, :] - score[:, None], -60, 60)))
+        return -np.log(np.maximum(cdf[np.arange(n), grade + 1] - cdf[np.arange(n), grade], 1e-9)).mean() + penalty / 2 * (w @ w)
+
+    found = np.concatenate([model.weights[:f] / scale, model.thresholds[:1], np.log(np.diff(model.thresholds))])
+    p, rate = np.concatenate([np.zeros(f), [-1.0, 0.5]]), 1.0
+    for _ in range(1500):
+        slope = np.array([(loss(p + h) - loss(p - h)) / 2e-5 for h in np.eye(len(p)) * 1e-5])
+        while loss(p - rate * slope) > loss(p) and rate > 1e-9:
+            rate /= 2
+        p, rate = p - rate * slope, rate * 1.5
+    assert loss(found) <= loss(p) + 2e-3
+    assert np.corrcoef(value @ (found[:f] * scale), value @ (p[:f] * scale))[0, 1] > 0.999
+
+
+def test_the_sample_is_fitted_once(spark, documents, monkeypatch):
+    """No step samples the result of the fit, which would run it again."""
+    docs = [(i, ("good calm words " if i % 2 else "$$$ ### !!! ") * 5 + str(i)) for i in range(60)]
+    fits = spark.sparkContext.accumulator(0)
+    inner = quality._fit_rows
+
+    def counted(*settings):
+        fits.add(1)
+        return inner(*settings)
+
+    monkeypatch.setattr(quality, "_fit_rows", counted)
+    quality.fit(documents(docs), spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, grade int"), rounds=5)
+    assert fits.value == 1
