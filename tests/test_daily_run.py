@@ -176,3 +176,51 @@ def test_gate_table(spark, published, tmp_path):
             stage()
     with pytest.raises(GateClosed, match="without findings"):
         DailyRun(spark, published["source"], str(tmp_path), END).reconcile()
+
+
+def test_run_report_has_every_phase(published, spark):
+    report = files.read_json(spark, f"{published['root']}/reports/run_report.json")
+    assert report["status"] == "PUBLISHED" and report["total_ms"] >= sum(p["duration_ms"] for p in report["phases"])
+    assert report["phases"][-1]["name"] == "publish" and all(p["status"] != "FAIL" for p in report["phases"])
+
+
+def test_load_times_are_stored_and_judged(published, spark):
+    stored = spark.read.parquet(f"{published['root']}/raw/orders")
+    assert [r[0] for r in stored.select("_ingested_at").distinct().collect()] == [END]
+    for hours, status in ((1, "WARN"), (2, "WARN"), (3, None)):
+        run = DailyRun(spark, published["source"], published["root"], END + timedelta(hours=hours), land_raw=False)
+        if status is None:
+            with pytest.raises(GateClosed, match="stale sources 8"):
+                run.judge_freshness()
+        else:
+            assert run.judge_freshness()["status"] == status
+    assert DailyRun(spark, published["source"], published["root"] + "-none", END).judge_freshness()["status"] == "SKIPPED"
+
+
+def test_a_switch_that_breaks_leaves_everything_old(published, spark, tmp_path, monkeypatch):
+    """Facts and marts change together: the one file that names them all is written after the facts' own manifests."""
+    from omnimart.plans import daily_run
+
+    root = str(tmp_path / "out")
+    DailyRun(spark, published["source"], root, END).run()
+    first = DailyRun(spark, published["source"], root, END)
+    facts, marts, switch = first.fact("fct_sales").version, first.published(), first.current()
+    inner = files.publish_text
+
+    def broken(spark, path, text):
+        if "/tables/current/" in path:
+            raise OSError("disk full")
+        inner(spark, path, text)
+
+    half = Changed(published["source"], "orders", lambda d: d.withColumn("ordered_at", F.col("ordered_at") + F.expr("INTERVAL 1 MINUTE")))
+    monkeypatch.setattr(daily_run.files, "publish_text", broken)
+    monkeypatch.setattr(daily_run.DailyRun, "pass_gate", lambda self, stage: None)
+    second = DailyRun(spark, half, root, END + timedelta(hours=1), full_refresh=True)
+    with pytest.raises(OSError):
+        second.run()
+    again = DailyRun(spark, published["source"], root, END + timedelta(hours=1))
+    assert again.current() == switch and again.published() == marts and again.fact("fct_sales").version == facts
+    monkeypatch.undo()
+    third = DailyRun(spark, published["source"], root, END + timedelta(hours=1), full_refresh=True)
+    assert third.run()["status"] == "PUBLISHED"
+    assert DailyRun(spark, published["source"], root, END).fact("fct_sales").version > facts

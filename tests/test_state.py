@@ -302,3 +302,13 @@ def test_landing_report(spark):
     assert tuple(report) == ("events", 21, START + timedelta(seconds=1), START + timedelta(seconds=20), 19)
     empty = sampling.landing_report("none", rows.limit(0)).first()
     assert tuple(empty) == ("none", 0, None, None, None)
+
+
+def test_every_model_is_a_view(spark):
+    from omnimart.plans.warehouse import MODELS, Warehouse
+    from omnimart.sources.star import StarSource
+
+    names = Warehouse(StarSource(spark, "/root/testdata/sf0.001")).register_views("w_")
+    assert names == [f"w_{m}" for m in MODELS]
+    paid = spark.sql("SELECT count(*) FROM w_fct_sales s JOIN w_payment_reconciliation p USING (order_id)").first()[0]
+    assert paid >= spark.table("w_fct_sales").count() > 0

@@ -229,3 +229,14 @@ def test_json_lines_hold_at_most_500_records(spark, tmp_path):
 
 def test_sample_is_bounded(spark):
     assert events.sample(spark.range(100)).count() == 10
+
+
+def test_null_keys_of_a_stream_batch_are_refused(spark, feed, tmp_path):
+    """A row without a key could not be found again; its batch fails and the table stays as it was."""
+    feed.add(("a", at(1), 1, "WEB-1"))
+    table = KeyedTable(spark, str(tmp_path / "keyed"), "event_id", F.date_format("event_at", "yyyy-MM-dd"))
+    sinks.run_available(feed.stream(), feed.checkpoint, sinks.merge_into(table, "event_at"))
+    feed.add((None, at(2), 1, "WEB-1"))
+    with pytest.raises(Exception, match="a key is null"):
+        sinks.run_available(feed.stream(), feed.checkpoint, sinks.merge_into(table, "event_at"))
+    assert [r.event_id for r in table.read().collect()] == ["a"]

@@ -213,3 +213,63 @@ def test_synthetic_source_is_deterministic_and_survives_csv(spark, tmp_path):
         .table("orders").groupBy("channel").count().collect()
     }
     assert abs(shares["web"] / 20000 - 0.48) < 0.02 and abs(shares["store"] / 20000 - 0.44) < 0.02
+
+
+def test_quoted_line_breaks_stay_in_their_row(spark, tmp_path):
+    (tmp_path / "products.csv").write_text(
+        "product_id,name,category,department,collection,price,currency\n"
+        '1,"Robe ""longue""\nbleue, deux pièces",robes,F,E26,10.50,EUR\n2,Veste,vestes,H,E26,20.00,EUR\n'
+    )
+    source = LandingSource(spark, str(tmp_path))
+    found = {r.product_id: r.name for r in source.table("products").collect()}
+    assert found == {"1": 'Robe "longue"\nbleue, deux pièces', "2": "Veste"}
+    assert source.quarantine("products").count() == 0
+
+
+def test_a_file_too_large_for_a_task_is_refused(spark, tmp_path):
+    from omnimart.sources.landing import OversizedFile
+
+    (tmp_path / "orders.csv").write_text("order_id\n" + "x\n" * 100)
+    with pytest.raises(OversizedFile, match="orders.csv"):
+        LandingSource(spark, str(tmp_path), largest=50).table("orders")
+
+
+def test_exports_are_whole_files(spark, tmp_path):
+    df = spark.createDataFrame([(k, f'n"{k}', None) for k in range(25)], "id int, name string, note string").repartition(5)
+    out = tmp_path / "out"
+    tables.write_export(df, str(out), {"id": "Id", "name": "label", "note": "note"}, [F.desc("id")], rows_per_file=10)
+    lines = []
+    for k in range(3):
+        (part,) = (out / f"file={k}").glob("part-*")
+        text = part.read_bytes()
+        assert text.startswith(b"\xef\xbb\xbfId;label;note\n")
+        lines.append(text.decode("utf-8-sig").splitlines()[1:])
+    assert [len(x) for x in lines] == [10, 10, 5]
+    assert sum(lines, []) == [f'"{k}";"n""{k}";""' for k in range(24, -1, -1)]
+    tables.write_export(df.limit(0), str(out), {"id": "Id"}, [F.col("id")])
+    assert [r[0] for r in spark.read.text(str(out)).select("value").collect()] == ["Id"]
+
+
+def test_superseded_folders_are_deleted(spark, table):
+    for n in range(1, 6):
+        table.merge(spark.createDataFrame([(1, n, day(1)), (n, n, day(2))], KIND), "at")
+    before = content(table)
+    table.tidy(keep=2)
+    assert content(table) == before and len(table._versions()) == 2
+    named = {v for name in table._versions() for v in tables.json.loads(files.read_text(spark, f"{table.path}/manifest/{name}"))["parts"].values()}
+    assert {int(n.split("=")[1]) for n in files.children(spark, f"{table.path}/data")} == named
+    table.merge(spark.createDataFrame([(1, 99, day(9))], KIND), "at")
+    assert (1, 99) in content(table)
+
+
+def test_pins_are_released(spark):
+    from omnimart.session import pin, released
+
+    with pytest.raises(KeyError):
+        with released(spark):
+            path = pin(spark.range(3), "gone").inputFiles()[0].rsplit("/", 1)[0]
+            assert files.exists(spark, path)
+            raise KeyError
+    assert not files.exists(spark, path)
+    kept = pin(spark.range(3), "kept")
+    assert kept.count() == 3
