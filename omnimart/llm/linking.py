@@ -135,6 +135,9 @@ def merged(roots: DataFrame, links: DataFrame, pins: Pins) -> DataFrame:
 
     between = links.join(placed("a"), "a", "left").join(placed("b"), "b", "left")
     between = between.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a <> b").distinct()
+    between = pins.pin(between, "between")
+    if not between.take(1):
+        return roots
     joined = pins.pin(components(between, pins), "joined").withColumnRenamed("root", "top")
     lifted = roots.join(joined.withColumnRenamed("node", "root"), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
     # Joined nodes were roots or stood alone, so they have no row of their own yet.
@@ -223,12 +226,14 @@ def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins:
     pins.drop(stars)
     open_pairs = _apart(followed.where("place > 1").select("a", "b"), roots)
     more = pins.pin(verify_pairs(open_pairs, texts, sets, percent), "more-stars")
-    if more.take(1):
-        roots = merged(roots, more, pins)
-    families = pins.pin(components(followed.select("a", "b"), pins).withColumnRenamed("root", "family"), "families")
+    roots = merged(roots, more, pins)
+    # Verified pairs are candidates too, so families are unions of components.
+    families = merged(roots, followed.select("a", "b"), pins).withColumnRenamed("root", "family")
     pins.drop(followed, more)
 
-    placed = postings.select("node", "size").distinct().join(families, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # The smallest node of a family or component has no row of its own there.
+    placed = postings.select("node", "size").distinct().join(families, "node", "left").join(roots, "node", "left")
+    placed = placed.select("node", "size", F.coalesce("family", "node").alias("family"), F.coalesce("root", "node").alias("root"))
     several = placed.groupBy("family").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("family")
     inside = pins.pin(placed.join(several, "family", "left_semi").select("family", "root", "node", "size"), "inside")
     if inside.take(1):
@@ -241,6 +246,8 @@ def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins:
     core = postings.where("core").select("bucket", "node", "size").join(named, "node", "left").withColumn("root", F.coalesce("root", "node")).withColumn("family", F.coalesce("family", "node"))
     mixed = core.groupBy("bucket").agg(F.min("family").alias("low"), F.max("family").alias("high")).where("low <> high").select("bucket")
     rest = pins.pin(core.join(mixed, "bucket", "left_semi").select("bucket", "node", "size", "family", "root"), "rest")
+    if not rest.take(1):
+        return roots
     # Sizes of linked nodes are in the same or in neighbouring classes, so both nodes are in the group of the lower class.
     size_class = F.floor(F.log("size") / (1.001 * max(math.log(100 / percent), 1e-9)))
     grouped = rest.withColumn("class", size_class).withColumn("class", F.explode(F.array(F.col("class") - 1, "class")))
@@ -248,18 +255,19 @@ def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins:
     # Pairs of nodes of different families: half of the square of all nodes without the squares of the families.
     counted = sides.groupBy("bucket", "class").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")).where("pairs > 0")
     groups = pins.pin(counted, "groups")
+    if not groups.take(1):
+        return roots
     few = sides.join(groups.where(F.col("pairs") <= FEW).select("bucket", "class"), ["bucket", "class"]).select("bucket", "class", "family")
     across = few.withColumnRenamed("family", "fa").join(few.withColumnRenamed("family", "fb"), ["bucket", "class"]).where("fa < fb")
     left, right = (grouped.select("bucket", "class", *(F.col(c).alias(f"{c[0]}{side}") for c in ("node", "size", "family", "root"))) for side in "ab")
     together = across.join(left, ["bucket", "class", "fa"]).join(right, ["bucket", "class", "fb"]).where(_fits(F.col("sa"), F.col("sb"), percent) & (F.col("ra") != F.col("rb")))
     pairs = pins.pin(together.select(F.col("na").alias("a"), F.col("nb").alias("b")).distinct(), "pairs")
-    # Before whole sets are compared, a pair must share enough buckets of its whole prefixes.
-    held = postings.groupBy("node").agg(F.collect_set("bucket").alias("buckets"), F.min("need").alias("need"))
-    shared = pairs.join(held.toDF("a", "ba", "da"), "a").join(held.toDF("b", "bb", "db"), "b").where(F.size(F.array_intersect("ba", "bb")) >= F.least("da", "db")).select("a", "b")
-    found = pins.pin(verify_pairs(shared, texts, sets, percent), "across")
+    if pairs.take(1):
+        # Before whole sets are compared, a pair must share enough buckets of its whole prefixes.
+        held = postings.groupBy("node").agg(F.collect_set("bucket").alias("buckets"), F.min("need").alias("need"))
+        shared = pairs.join(held.toDF("a", "ba", "da"), "a").join(held.toDF("b", "bb", "db"), "b").where(F.size(F.array_intersect("ba", "bb")) >= F.least("da", "db")).select("a", "b")
+        roots = merged(roots, verify_pairs(shared, texts, sets, percent), pins)
     pins.drop(pairs)
-    if found.take(1):
-        roots = merged(roots, found, pins)
     many = groups.where(F.col("pairs") > FEW).select("bucket", "class")
     if many.take(1):
         crowd = grouped.join(many, ["bucket", "class"]).select(F.xxhash64("bucket", "class").alias("family"), "node", "size").distinct()
@@ -268,7 +276,7 @@ def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins:
         links = pins.pin(verify_blocks(crowd, texts, sets, percent, pins), "crowd-links")
         roots = merged(roots, links, pins)
         pins.drop(crowd, links)
-    pins.drop(rest, groups, families, found)
+    pins.drop(rest, groups)
     return roots
 
 

@@ -116,3 +116,16 @@ def test_repeated_ids_with_other_texts_keep_their_links(documents):
     pairs = [(5, a), (5, b), (5, "alone in its words here now"), (7, a), (8, b + " more"), (1, b + " more words")]
     found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.similarity_classes(documents(pairs)).collect())
     assert found == [(1, 28, 1), (5, 2, 5), (5, 26, 1), (5, 26, 5), (7, 26, 5), (8, 27, 1)]
+
+
+def test_the_smallest_node_of_a_family_is_compared_as_well(spark):
+    """Two copies that are unlike the hub they share, one of them the smallest node of all."""
+    from omnimart.llm.frames import Pins
+
+    pins = Pins(spark)
+    texts = {1: "a b c d e f g h i j k l", 2: "hub " * 3 + "x y z w v u t s", 3: "a b c d e f g h i j k l"}
+    rows = [(bucket, node, 1, 8, 0.0 if node == 2 else 0.5, True) for bucket, nodes in ((10, (1, 2)), (11, (2, 3))) for node in nodes]
+    postings = pins.pin(spark.createDataFrame(rows, "bucket long, node long, need int, size int, own double, core boolean"), "p")
+    held = pins.pin(spark.createDataFrame(list(texts.items()), "node long, text string"), "t")
+    found = linking.link(postings, held, textops.word_sets, 80, pins)
+    assert [tuple(r) for r in found.collect()] == [(3, 1)]
