@@ -6,7 +6,7 @@ minima of the set in ten bands of four make candidates (a pair of similarity 0.8
 with a chance of 99.5 %, one of 0.9 with 99.998 %); candidates are compared by exact Jaccard of their
 sets, and lines linked directly or through others form a component. Runs of ten leave lines of fewer than 99
 characters with one changed character apart; with ``chars`` = 4 (the pipeline) the bound is 39. Short runs are
-common to unlike lines, so other widths than ten take 29 bands of eight (99.5 % at 0.8 as well). Of each component,
+common to unlike lines, so other widths than ten take 18 bands of six (99.6 % at 0.8). Of each component,
 the occurrence with the smallest (doc_id, line number) stays and all others go.
 
 Null texts stay null, empty ones empty. Of rows that repeat an id and its text, all keep the same lines; rows that repeat
@@ -34,8 +34,8 @@ PERCENT = 80
 
 #: Width of the runs that also tells short lines with one changed character, and bands and rows of widths other than CHARS.
 SHORT_CHARS = 4
-SHORT_BANDS = 29
-SHORT_ROWS = 8
+SHORT_BANDS = 18
+SHORT_ROWS = 6
 
 
 def _drawn(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
