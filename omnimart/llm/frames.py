@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Sequence
@@ -75,9 +76,15 @@ class Pins:
         self.paths.remove(path)
 
     def drop(self, *pinned: DataFrame) -> None:
-        """Delete tables that no later step reads."""
+        """Delete tables that no later step reads, and shuffle files of the steps that wrote them.
+
+        Spark removes shuffle files when the driver's garbage collector finds their query unused, which a driver with
+        little to do on its own may not run for a long time; so it is asked to.
+        """
         for df in pinned:
             self._delete(df._pinned_at)
+        gc.collect()
+        self.spark._jvm.System.gc()
 
     def keep_only(self, *pinned: DataFrame) -> None:
         """Delete all tables but those that the result still reads."""
