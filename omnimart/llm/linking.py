@@ -263,9 +263,9 @@ def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins:
     together = across.join(left, ["bucket", "class", "fa"]).join(right, ["bucket", "class", "fb"]).where(_fits(F.col("sa"), F.col("sb"), percent) & (F.col("ra") != F.col("rb")))
     pairs = pins.pin(together.select(F.col("na").alias("a"), F.col("nb").alias("b")).distinct(), "pairs")
     if pairs.take(1):
-        # Before whole sets are compared, a pair must share enough buckets of its whole prefixes.
-        held = postings.groupBy("node").agg(F.collect_set("bucket").alias("buckets"), F.min("need").alias("need"))
-        shared = pairs.join(held.toDF("a", "ba", "da"), "a").join(held.toDF("b", "bb", "db"), "b").where(F.size(F.array_intersect("ba", "bb")) >= F.least("da", "db")).select("a", "b")
+        shared = pairs
+        if postings.agg(F.max("need")).first()[0] > 1:
+            shared = _sharing(pairs, postings)
         roots = merged(roots, verify_pairs(shared, texts, sets, percent), pins)
     pins.drop(pairs)
     many = groups.where(F.col("pairs") > FEW).select("bucket", "class")
@@ -285,3 +285,10 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     left, right = (roots.select(F.col("node").alias(s), F.col("root").alias(f"r{s}")) for s in "ab")
     both = pairs.join(left, "a", "left").join(right, "b", "left")
     return both.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+
+
+def _sharing(pairs: DataFrame, postings: DataFrame) -> DataFrame:
+    """Pairs that share enough buckets of their whole prefixes; that they share one is known."""
+    held = postings.groupBy("node").agg(F.collect_set("bucket").alias("buckets"), F.min("need").alias("need"))
+    both = pairs.join(held.toDF("a", "ba", "da"), "a").join(held.toDF("b", "bb", "db"), "b")
+    return both.where(F.size(F.array_intersect("ba", "bb")) >= F.least("da", "db")).select("a", "b")
