@@ -13,7 +13,7 @@ from omnimart.operators import files
 from omnimart.operators.dedup import keep_latest
 from omnimart.operators.drift import conform, merged_schema
 from omnimart.operators.postings import PostingIndex
-from omnimart.session import pin
+from omnimart.session import CODEC, pin
 
 PART = "_part"
 
@@ -144,7 +144,7 @@ class KeyedTable:
         # Rebalancing gathers a partition into few files and splits an oversized one; in the
         # order of the key, row groups can be skipped by key range.
         gathered = rows.hint("rebalance", PART).sortWithinPartitions(PART, self.key)
-        gathered.write.mode("overwrite").partitionBy(PART).parquet(folder)
+        gathered.write.mode("overwrite").option("compression", CODEC).partitionBy(PART).parquet(folder)
         written = [
             name.split("=", 1)[1]
             for name in files.children(self.spark, folder)
@@ -286,12 +286,19 @@ def write_raw_zone(
         df.withColumn("ingestion_date", F.lit(ingestion_date))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", CODEC)
         .partitionBy("ingestion_date")
         .parquet(folder)
     )
     return folder
 
 
+def landed_day(df: DataFrame, root: str, source: str, ingestion_date: str) -> DataFrame:
+    """Rows of ``df`` as one day of the raw zone has them, so that landing them again does not make them again."""
+    folder = f"{root.rstrip('/')}/raw/{source}/ingestion_date={ingestion_date}"
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def landed_files(
     spark: SparkSession, folders: dict[str, str], ingestion_date: str | None = None
 ) -> DataFrame:
