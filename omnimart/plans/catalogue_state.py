@@ -269,11 +269,14 @@ def csv_landing_quoted(m: Model) -> DataFrame:
 def freshness_stored(m: Model) -> DataFrame:
     """Age of each source by the load times stored with its rows in the raw zone; three sources were loaded twice."""
     root, spark = _scratch(m, "raw-stamped"), m.source.spark
+    given = {name: m.source.table(name) for name in SOURCE_NAMES}
     for name in SOURCE_NAMES:
         first = LOADED[name] if name == "price_history" else LOADED_ELSE
-        tables.write_raw_zone(m.source.table(name), root, name, "2001-11-04", first)
+        tables.write_raw_zone(given[name], root, name, "2001-11-04", first)
     for name in (n for n in LOADED if n != "price_history"):
-        tables.write_raw_zone(m.source.table(name), root, name, "2001-11-05", LOADED[name])
+        # The same rows, read from where they landed first.
+        again = tables.landed_day(given[name], root, name, "2001-11-04")
+        tables.write_raw_zone(again, root, name, "2001-11-05", LOADED[name])
     loaded = {n: spark.read.parquet(f"{root}/raw/{n}") for n in SOURCE_NAMES}
     return quality.freshness(loaded, tables.LOADED_AT, AS_OF)
 
