@@ -35,3 +35,11 @@ def test_order_lines_are_joined_without_their_texts(spark):
 def test_a_source_is_made_once_for_all_its_landings(spark, made, name):
     assert catalogue.QUERIES[name](spark, FOLDER).count()
     assert max(made.values()) == 1
+
+
+def test_checked_models_are_cut_to_what_is_read(spark):
+    source = StarSource(spark, FOLDER)
+    whole, cut = Warehouse(source), Warehouse(source, quality.USED)
+    for name, columns in quality.USED.items():
+        assert cut[name].columns == list(columns)
+        assert sorted(map(str, cut[name].collect())) == sorted(map(str, whole[name].select(*columns).collect()))
