@@ -328,12 +328,13 @@ STRICT_FROM = datetime(2000, 1, 1)
 def stream_strict_merge(m: Model) -> DataFrame:
     """Events merged by the strict rule: of those that come behind the stored maximum, none arrives."""
     spark, folder = m.source.spark, _scratch(m, "strict")
-    events = staging.stg_retail_events(m.source)
+    # Stored once for both deliveries.
+    events = pin(staging.stg_retail_events(m.source), "events")
     number = F.split_part("event_id", F.lit("-"), F.lit(2)).cast("bigint")
     early = (F.col("event_at") < moment(STRICT_FROM)) & (number % 20 != 0)
     table = tables.KeyedTable(spark, f"{folder}/fact", "event_id", F.date_format("event_at", "yyyy-MM"))
     for rows in (events.filter(early), events.filter(~early)):
-        rows.write.mode("append").parquet(f"{folder}/in")
+        rows.write.mode("append").option("compression", CODEC).parquet(f"{folder}/in")
         stream = stream_events.read_event_files(spark, f"{folder}/in", events.schema)
         sinks.run_available(stream, f"{folder}/checkpoint", sinks.merge_into(table, "event_at", strict=True))
     return table.read()
