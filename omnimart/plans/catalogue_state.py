@@ -310,13 +310,15 @@ def lost_fact_rows(m: Model) -> DataFrame:
     """Rows without a customer by fact, and whether the strict lookup refuses the fact."""
     spark, parts = m.source.spark, []
     staged = {"fct_sales": staging.stg_orders(m.source, wanted=("source_customer_id",)), "fct_retail_event": staging.stg_retail_events(m.source, wanted=("source_customer_id",))}
+    bridge = pin(m.bridge(), "bridge")
     for name, rows in staged.items():
+        rows = pin(rows.select("source_customer_id"), "customers-of-rows")
         try:
-            core.require_resolved(rows, m.bridge())
+            core.require_resolved(rows, bridge)
             refused = False
         except LookupError:
             refused = True
-        lost = core.unresolved(rows, m.bridge()).agg(F.count("*").alias("lost"))
+        lost = core.unresolved(rows, bridge).agg(F.count("*").alias("lost"))
         parts.append(lost.select(F.lit(name).alias("fact"), "lost", F.lit(refused).alias("refused")))
     return reduce(DataFrame.unionByName, parts)
 

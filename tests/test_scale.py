@@ -70,3 +70,12 @@ def test_batches_of_a_table_read_stored_rows(spark, monkeypatch, name, method):
     monkeypatch.setattr(catalogue.catalogue_state, "pin", lambda df, n: pinned.append(n) or pin(df, n))
     catalogue.QUERIES[name](spark, FOLDER)
     assert len(calls) == 1 and "events" in pinned
+
+
+def test_lost_rows_are_looked_up_in_stored_ids(spark, monkeypatch):
+    from omnimart.plans import core
+
+    found, unresolved = [], core.unresolved
+    monkeypatch.setattr(core, "unresolved", lambda rows, bridge: found.append((rows.columns, joins(rows))) or unresolved(rows, bridge))
+    assert catalogue.QUERIES["lost_fact_rows"](spark, FOLDER).count() == 2
+    assert len(found) == 4 and all(f == (["source_customer_id"], 0) for f in found)
