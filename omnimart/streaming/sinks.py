@@ -49,7 +49,7 @@ def json_lines(events: DataFrame, key: str = "partition_key") -> DataFrame:
 
 
 def write_json_lines(lines: DataFrame, path: str, spread: int | None = None) -> None:
-    """JSON files of at most 500 records, grouped by key; a second write replaces the first.
+    """Gzipped JSON files of at most 500 records, grouped by key; a second write replaces the first.
 
     A very frequent key is spread over several tasks by a hash of the record, over as
     many as a shuffle has partitions if not said otherwise.
@@ -62,6 +62,7 @@ def write_json_lines(lines: DataFrame, path: str, spread: int | None = None) ->
         .select("value")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", MAX_BATCH_RECORDS)
+        .option("compression", "gzip")
         .text(path)
     )
 

@@ -79,3 +79,11 @@ def test_lost_rows_are_looked_up_in_stored_ids(spark, monkeypatch):
     monkeypatch.setattr(core, "unresolved", lambda rows, bridge: found.append((rows.columns, joins(rows))) or unresolved(rows, bridge))
     assert catalogue.QUERIES["lost_fact_rows"](spark, FOLDER).count() == 2
     assert len(found) == 4 and all(f == (["source_customer_id"], 0) for f in found)
+
+
+def test_event_lines_are_packed(spark, tmp_path):
+    rows = [(f"k{k % 3}", f'{{"n": {k}}}') for k in range(1200)]
+    sinks.write_json_lines(spark.createDataFrame(rows, "key string, value string"), str(tmp_path / "lines"), 1)
+    parts = list((tmp_path / "lines").glob("part-*"))
+    assert parts and all(p.name.endswith(".gz") for p in parts)
+    assert sorted(r[0] for r in spark.read.text(str(tmp_path / "lines")).collect()) == sorted(v for _, v in rows)
