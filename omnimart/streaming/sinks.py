@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from omnimart.operators.tables import KeyedTable, later_than
-from omnimart.session import CODEC
+from omnimart.session import CODEC, pin, released
 from omnimart.streaming.validation import FAILED, OK, enriched_json, is_valid, payload_fields
 
 MAX_BATCH_RECORDS = 500
@@ -75,15 +75,13 @@ def route_validated(good_path: str, failed_path: str) -> Callable[[DataFrame, in
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # Kept between the two writes, so that a batch is read and validated once.
-        batch.persist()
-        try:
+        # Stored for the two writes, so that a batch is read and validated once and needs no memory.
+        with released(batch.sparkSession):
+            validated = pin(batch, "validated")
             for result, path in ((OK, good_path), (FAILED, failed_path)):
-                batch.filter(F.col("result") == result).write.mode("overwrite").option("compression", CODEC).parquet(
+                validated.filter(F.col("result") == result).write.mode("overwrite").option("compression", CODEC).parquet(
                     f"{path}/batch={batch_id}"
                 )
-        finally:
-            batch.unpersist()
 
     return handle
 

@@ -55,13 +55,22 @@ def is_valid(fields: Column) -> Column:
 
 def enriched_json(fields: Column) -> Column:
     """The event with its schema version and idempotency key, as JSON text."""
-    kept = F.filter(F.map_entries(fields), lambda entry: ~entry["key"].isin(*ADDED))
-    version = F.parse_json(F.lit(f'"{SCHEMA_VERSION}"'))
-    added = F.array(
-        F.struct(F.lit(ADDED[0]).alias("key"), version.alias("value")),
-        F.struct(F.lit(ADDED[1]).alias("key"), fields["event_id"].alias("value")),
-    )
-    return F.to_json(F.map_from_entries(F.concat(kept, added)))
+    carried = F.arrays_overlap(F.map_keys(fields), F.array(*map(F.lit, ADDED)))
+    others = F.map_from_entries(F.filter(F.map_entries(fields), lambda entry: ~entry["key"].isin(*ADDED)))
+    # The added ones follow the text of the fields, so that no second map is built for them.
+    key = F.coalesce(F.to_json(fields["event_id"]), F.lit("null"))
+    added = F.concat(F.lit(f'"{ADDED[0]}":"{SCHEMA_VERSION}","{ADDED[1]}":'), key, F.lit("}"))
+
+    def extended(text: Column) -> Column:
+        return F.concat(F.substring(text, F.lit(1), F.length(text) - 1), F.when(text == "{}", "").otherwise(","), added)
+
+    # The one-element array names the text, so it is made once.
+    return F.transform(F.array(F.to_json(F.when(carried, others).otherwise(fields))), extended)[0]
+
+
+def base64_line(binary: Column) -> Column:
+    """Base64 without the line breaks that the encoder puts in."""
+    return F.replace(F.base64(binary), F.lit("\r\n"), F.lit(""))
 
 
 def validate_records(records: DataFrame) -> DataFrame:
@@ -75,11 +84,11 @@ def validate_records(records: DataFrame) -> DataFrame:
     checked = records.withColumn("_fields", payload_fields(decoded)).withColumn(
         "_good", is_valid(F.col("_fields")) & F.col("recordId").isNotNull()
     )
-    encoded = F.base64(F.concat(enriched_json(F.col("_fields")), F.lit("\n")).cast("binary"))
+    encoded = base64_line(F.concat(enriched_json(F.col("_fields")), F.lit("\n")).cast("binary"))
     return checked.select(
         F.coalesce("recordId", F.lit("unknown")).alias("recordId"),
         F.when(F.col("_good"), OK).otherwise(FAILED).alias("result"),
-        F.when(F.col("_good"), F.regexp_replace(encoded, r"\s", ""))
+        F.when(F.col("_good"), encoded)
         .otherwise(F.coalesce("data", F.lit("")))
         .alias("data"),
     )

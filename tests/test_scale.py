@@ -94,3 +94,28 @@ def test_landing_files_stay_below_what_a_task_reads(spark, monkeypatch):
     folder = catalogue._landed(catalogue.Model(StarSource(spark, FOLDER)))
     whole = StarSource(spark, FOLDER).table("payments").count()
     assert len([f for f in files.children(spark, f"{folder}/payments.csv") if f.startswith("part-")]) >= whole // 100
+
+
+def test_added_fields_follow_without_a_second_map(spark):
+    """The text is that of a map with the two fields at its end."""
+    from pyspark.sql import functions as F
+    from omnimart.streaming import validation
+
+    texts = ['{"event_id":"a","n":1.50,"s":"x\\"y","o":{"b":[1,null]}}', '{"schema_version":"old","event_id":null,"idempotency_key":7}', '{"schema_version":"old"}', "{}", '{"event_id":{"k":"é"},"n":null,"n":2}', None, "[1]"]
+    fields = spark.createDataFrame([(t,) for t in texts], "t string").select("t", validation.payload_fields(F.col("t")).alias("f"))
+    kept = F.filter(F.map_entries("f"), lambda entry: ~entry["key"].isin(*validation.ADDED))
+    version = F.struct(F.lit(validation.ADDED[0]).alias("key"), F.parse_json(F.lit(f'"{validation.SCHEMA_VERSION}"')).alias("value"))
+    key = F.struct(F.lit(validation.ADDED[1]).alias("key"), F.col("f")["event_id"].alias("value"))
+    plain = F.to_json(F.map_from_entries(F.concat(kept, F.array(version, key))))
+    for row in fields.select("t", validation.enriched_json(F.col("f")).alias("found"), plain.alias("plain")).collect():
+        assert row.found == row.plain, row.t
+    added = validation.enriched_json(F.col("f"))._jc.toString()
+    assert added.count("to_json") == 2 and "parse_json" not in added
+
+
+def test_routing_stores_a_batch_instead_of_keeping_it(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda self, *a: pytest.fail("kept in memory"))
+    rows = spark.createDataFrame([("a", "Ok", "x"), ("b", "ProcessingFailed", "y")], "recordId string, result string, data string")
+    sinks.route_validated(str(tmp_path / "good"), str(tmp_path / "failed"))(rows, 0)
+    assert [r.recordId for r in spark.read.parquet(str(tmp_path / "good")).collect()] == ["a"]
+    assert [r.recordId for r in spark.read.parquet(str(tmp_path / "failed")).collect()] == ["b"]
