@@ -138,21 +138,30 @@ class KeyedTable:
         ``index`` is the state of the index after that; without it the table has none, and the next
         merge looks through the stored keys and makes one.
         """
-        manifest = self._manifest()
-        version = manifest["version"] + 1
-        folder = f"{self.path}/data/_version={version}"
+        written = self._write(rows)
+        stale = set(written) - set(touched)
+        if stale:
+            raise ValueError(f"rows outside the touched partitions: {sorted(stale)}")
+        self._commit(rows, touched, written, index)
+
+    def _write(self, rows: DataFrame) -> list[str]:
+        """Write rows below the next version, which no manifest names yet; the partitions they are in."""
+        folder = f"{self.path}/data/_version={self.version + 1}"
         # Rebalancing gathers a partition into few files and splits an oversized one; in the
         # order of the key, row groups can be skipped by key range.
         gathered = rows.hint("rebalance", PART).sortWithinPartitions(PART, self.key)
         gathered.write.mode("overwrite").option("compression", CODEC).partitionBy(PART).parquet(folder)
-        written = [
+        return [
             name.split("=", 1)[1]
             for name in files.children(self.spark, folder)
             if name.startswith(f"{PART}=")
         ]
-        stale = set(written) - set(touched)
-        if stale:
-            raise ValueError(f"rows outside the touched partitions: {sorted(stale)}")
+
+    def _commit(
+        self, rows: DataFrame, touched: Sequence[str], written: Sequence[str], index: dict[str, list[int]] | None
+    ) -> None:
+        manifest = self._manifest()
+        version = manifest["version"] + 1
         parts = {p: v for p, v in manifest["parts"].items() if p not in set(touched)}
         parts.update({p: version for p in written})
         schema = T.StructType([f for f in rows.schema if f.name != PART])
@@ -230,17 +239,16 @@ class KeyedTable:
         Other columns or types than the stored ones are refused, or with ``evolve`` taken over
         where the drift report accepts them; rows written before then need not be rewritten.
         """
-        batch = pin(
-            keep_latest(batch, self.key, time).withColumn(PART, self.partition), "merge-batch"
-        )
+        latest = keep_latest(batch, self.key, time).withColumn(PART, self.partition)
+        if not self.exists():
+            self._load(latest)
+            return
+        batch = pin(latest, "merge-batch")
         incoming = _part_names(batch)
         if not incoming:
             return
         keys = batch.select(F.col(self.key).alias("key"))
         buckets = self.index.touched(keys)
-        if not self.exists():
-            self.replace(batch, incoming, self._add_postings(batch, {}))
-            return
         schema, incoming_schema = self.schema(), T.StructType([f for f in batch.schema if f.name != PART])
         if evolve:
             schema = merged_schema(schema, incoming_schema)
@@ -258,6 +266,18 @@ class KeyedTable:
         index = self._add_postings(latest, state)
         self.replace(kept.select(*batch.columns).unionByName(latest), touched, index)
 
+    def _load(self, rows: DataFrame) -> None:
+        """First rows of the table: written once, and the index made from what was written."""
+        written = self._write(rows)
+        if not written:
+            return
+        folder = f"{self.path}/data/_version={self.version + 1}"
+        placed = self.spark.read.schema(rows.schema).option("basePath", folder).parquet(*(f"{folder}/{PART}={p}" for p in written))
+        odd = {r[0] for r in placed.select(PART).distinct().collect()} ^ set(written)
+        if odd:
+            raise ValueError(f"texts that cannot name a partition: {sorted(map(str, odd))}")
+        self._commit(rows, written, written, self._add_postings(placed, {}))
+
 
 def _part_names(df: DataFrame) -> list[str]:
     """Partition names of a table: as many as it has days or months."""

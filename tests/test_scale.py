@@ -119,3 +119,41 @@ def test_routing_stores_a_batch_instead_of_keeping_it(spark, tmp_path, monkeypat
     sinks.route_validated(str(tmp_path / "good"), str(tmp_path / "failed"))(rows, 0)
     assert [r.recordId for r in spark.read.parquet(str(tmp_path / "good")).collect()] == ["a"]
     assert [r.recordId for r in spark.read.parquet(str(tmp_path / "failed")).collect()] == ["b"]
+
+
+def pins(monkeypatch, module):
+    names, pin = [], module.pin
+    monkeypatch.setattr(module, "pin", lambda df, name: names.append(name) or pin(df, name))
+    return names
+
+
+def test_first_rows_of_a_table_are_written_once(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from omnimart.operators import tables
+
+    names = pins(monkeypatch, tables)
+    table = tables.KeyedTable(spark, str(tmp_path / "t"), "id", F.col("day"))
+    empty = spark.createDataFrame([], "id string, day string, at timestamp, v int")
+    table.merge(empty, "at")
+    assert not table.exists()
+    with pytest.raises(ValueError):
+        table.merge(spark.sql("SELECT CAST(null AS STRING) AS id, 'a' AS day, timestamp'2026-01-01' AS at, 1 AS v"), "at")
+    with pytest.raises(ValueError):
+        table.merge(spark.sql("SELECT '1' AS id, 'a/=b' AS day, timestamp'2026-01-01' AS at, 1 AS v"), "at")
+    assert not table.exists()
+    rows = "VALUES ('1', 'a', 1), ('1', 'b', 2), ('2', 'b', 3), ('3', null, 4)"
+    first = spark.sql(f"SELECT col1 AS id, col2 AS day, timestamp_seconds(col3) AS at, col3 AS v FROM ({rows})")
+    table.merge(first, "at")
+    assert not names
+    table.merge(first.filter("id = '2'").withColumn("day", F.lit("c")).withColumn("v", F.lit(9)).withColumn("at", F.timestamp_seconds(F.lit(9))), "at")
+    assert sorted(r.v for r in table.read().collect()) == [2, 4, 9]
+
+
+def test_events_told_apart_are_written_once(spark, monkeypatch):
+    from omnimart.streaming import resends
+
+    names = pins(monkeypatch, resends)
+    found = catalogue.QUERIES["stream_dedup_ever"](spark, FOLDER)
+    assert set(names) == {"once"}
+    assert found.count() == found.select("event_id").distinct().count() == catalogue.QUERIES["stg_events_dedup"](spark, FOLDER).count()
