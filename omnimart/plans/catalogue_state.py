@@ -13,7 +13,7 @@ from omnimart.operators.cube_store import CubeStore
 from omnimart.operators.quantiles import nearest_rank
 from omnimart.operators.trigrams import TrigramIndex
 from omnimart.plans import contracts, core, marts, quality, reports, staging
-from omnimart.plans.catalogue import AS_OF, EXPORT_COLUMNS, LOADED, LOADED_ELSE, Model, _contracts, _scratch, _stock, query
+from omnimart.plans.catalogue import AS_OF, EXPORT_COLUMNS, LOADED, LOADED_ELSE, Model, _scratch, _stock, query
 from omnimart.plans.daily_run import DailyRun, GateClosed, run_evidence
 from omnimart.session import CODEC, pin
 from omnimart.sources.landing import LandingSource
@@ -292,10 +292,15 @@ def csv_export_files(m: Model) -> DataFrame:
 @query
 def kpi_record_scored(m: Model) -> DataFrame:
     """The KPI record with the score of the contracts."""
-    score = checks.score(contracts.as_check_results(_contracts(m))).first()["score"]
-    sales = pin(m.sales("product_id", "sales_amount").select("customer_id", "product_id", "quantity", "sales_amount"), "sales")
+    # Stored for the contracts, and read again for the facts.
+    raw = contracts.stored(staging.typed_sources(m.source), "orders", "retail_events", "payments", more={"retail_events": ("channel", "latency_ms")})
+    score = checks.score(contracts.as_check_results(contracts.run_contracts(raw, AS_OF))).first()["score"]
+    bridge = m.bridge()
+    orders = staging.latest_orders(raw["orders"], ("product_id", "sales_amount", "source_customer_id"))
+    sales = pin(core.fct_sales(orders, bridge).select("customer_id", "product_id", "quantity", "sales_amount"), "sales")
+    events = core.fct_retail_event(staging.latest_events(raw["retail_events"], ("latency_ms", "source_customer_id")), bridge)
     available = marts.available_to_promise(m.inventory(), sales)
-    return reports.kpi_record(sales, m.products(), m.events("latency_ms"), available, score)
+    return reports.kpi_record(sales, m.products(), events, available, score)
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
@@ -67,14 +67,16 @@ USED = {
 }
 
 
-def stored(raw: Mapping[str, DataFrame], *names: str) -> dict[str, DataFrame]:
-    """The sources with the named large ones stored once, in the columns used here.
+def stored(
+    raw: Mapping[str, DataFrame], *names: str, more: Mapping[str, Sequence[str]] = {}
+) -> dict[str, DataFrame]:
+    """The sources with the named large ones stored once, in the columns used here and any more that a caller reads.
 
     Worth it for a source that is costly to produce (parsed text, a join), since
     several contracts read it. The writes run side by side.
     """
     with ThreadPoolExecutor(max_workers=len(names)) as pool:
-        tables = pool.map(lambda n: pin(raw[n].select(*USED[n]), n), names)
+        tables = pool.map(lambda n: pin(raw[n].select(*USED[n], *more.get(n, ())), n), names)
         return {**raw, **dict(zip(names, tables))}
 
 

@@ -64,15 +64,14 @@ def stg_orders(
     source: Source, since: datetime | None = None, wanted: Collection[str] | None = None
 ) -> DataFrame:
     """Latest row per order; ``wanted`` names the columns a caller uses, by default all."""
+    return latest_orders(typed_orders(source.table("orders", since)), wanted)
+
+
+def latest_orders(typed: DataFrame, wanted: Collection[str] | None = None) -> DataFrame:
+    """The same of orders that are typed already, in at least the columns that ``wanted`` calls for."""
     if wanted is not None and "sales_amount" in wanted:
         wanted = {*wanted, "quantity", "unit_price"}
-    latest = keep_latest_part(
-        typed_orders(source.table("orders", since)),
-        "order_id",
-        "ordered_at",
-        ORDER_PRECEDENCE,
-        wanted,
-    )
+    latest = keep_latest_part(typed, "order_id", "ordered_at", ORDER_PRECEDENCE, wanted)
     if wanted is not None and "sales_amount" not in wanted:
         return latest
     return latest.withColumn("sales_amount", line_amount("quantity", "unit_price"))
@@ -121,13 +120,11 @@ def typed_events(raw: DataFrame) -> DataFrame:
 def stg_retail_events(
     source: Source, since: datetime | None = None, wanted: Collection[str] | None = None
 ) -> DataFrame:
-    return keep_latest_part(
-        typed_events(source.table("retail_events", since)),
-        "event_id",
-        "event_at",
-        EVENT_PRECEDENCE,
-        wanted,
-    )
+    return latest_events(typed_events(source.table("retail_events", since)), wanted)
+
+
+def latest_events(typed: DataFrame, wanted: Collection[str] | None = None) -> DataFrame:
+    return keep_latest_part(typed, "event_id", "event_at", EVENT_PRECEDENCE, wanted)
 
 
 def typed_identities(raw: DataFrame) -> DataFrame:

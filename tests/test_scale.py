@@ -157,3 +157,8 @@ def test_events_told_apart_are_written_once(spark, monkeypatch):
     found = catalogue.QUERIES["stream_dedup_ever"](spark, FOLDER)
     assert set(names) == {"once"}
     assert found.count() == found.select("event_id").distinct().count() == catalogue.QUERIES["stg_events_dedup"](spark, FOLDER).count()
+
+
+def test_contracts_and_kpis_read_the_same_stored_sources(spark, made):
+    assert catalogue.QUERIES["kpi_record_scored"](spark, FOLDER).count() == 1
+    assert made["orders"] == made["retail_events"] == made["payments"] == 1
