@@ -26,6 +26,7 @@ and text of ``docs`` are read, and an id is never an input of a score.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,9 @@ STEM = 5
 #: Terms in the matrix, at most; documents whose cosines are computed at once.
 COMMON = 512
 ROWS = 64
+#: Cosines that may be among the nearest are computed in double precision; single precision over COMMON terms of vectors of length
+#: one is less than half of this off.
+SLACK = 1e-4
 
 
 def terms(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -53,12 +57,32 @@ def terms(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([word, textops.mix(stem[longer] + np.uint64(1))]), np.concatenate([row, row[longer]])
 
 
-def _occurrences(raw, bounds, vocabulary):
+class Vocabulary:
+    """Places of hashes among ascending ones. Leading bits tell where to begin, so a search takes a step or two."""
+
+    def __init__(self, known: np.ndarray):
+        bits = max(1, len(known).bit_length())
+        self.known, self.shift = known, np.uint64(64 - bits)
+        self.first = np.searchsorted(known, np.arange(1 << bits, dtype=np.uint64) << self.shift)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each hash, and whether it is there; the place of another one means nothing."""
+        if not len(self.known):
+            return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+        last = len(self.known) - 1
+        at = np.minimum(self.first[h >> self.shift], last)
+        left = np.flatnonzero(self.known[at] < h)
+        while len(left):
+            left = left[at[left] < last]
+            at[left] += 1
+            left = left[self.known[at[left]] < h[left]]
+        return at, self.known[at] == h
+
+
+def _occurrences(raw, bounds, vocabulary: Vocabulary):
     """Row, vocabulary index and count of the vocabulary's terms, ordered by row and index."""
     h, row = terms(raw, bounds)
-    at = np.searchsorted(vocabulary, h)
-    at[at == len(vocabulary)] = 0
-    kept = vocabulary[at] == h if len(vocabulary) else np.zeros(len(h), bool)
+    at, kept = vocabulary.find(h)
     cell, count = np.unique((row[kept] << 32) + at[kept], return_counts=True)
     return cell >> 32, cell & ((1 << 32) - 1), count
 
@@ -91,27 +115,37 @@ class ExampleIndex:
         cut = np.searchsorted(row, np.arange(0, n_rows + ROWS, ROWS))
         for first, i, j in zip(range(0, n_rows, ROWS), cut[:-1], cut[1:]):
             n = min(ROWS, n_rows - first)
-            sums = self._cosines(row[i:j] - first, term[i:j], weight[i:j], n)
+            grid, rare, sums = self._cosines(row[i:j] - first, term[i:j], weight[i:j], n)
             for r in range(n):
                 own = sums[r]
                 if without is not None:
                     own[without + first + r] = 0
-                least = np.partition(own, len(own) - k)[len(own) - k] - 1e-9 if len(own) > k else 0.0
+                least = np.partition(own, len(own) - k)[len(own) - k] - SLACK if len(own) > k else 0.0
                 slots = np.flatnonzero((own >= least) & (own > 0))
-                slots = slots[np.lexsort((self.ids[slots], -np.round(own[slots], 12)))[:k]]
-                yield slots, own[slots]
+                used = np.flatnonzero(grid[r])
+                cosines = self.matrix[np.ix_(slots, used)] @ grid[r, used] + rare[r, slots]
+                best = np.lexsort((self.ids[slots], -np.round(cosines, 12)))[:k]
+                yield slots[best], cosines[best]
+
+    @cached_property
+    def _single(self) -> np.ndarray:
+        return self.matrix.T.astype(np.float32)
+
+    def __getstate__(self):
+        return {name: value for name, value in self.__dict__.items() if name != "_single"}
 
     def _cosines(self, row, term, weight, n):
+        """Weights of the matrix's terms, sums over the other terms, and cosines that are less than SLACK / 2 off."""
         column = self.column[term]
         common = column >= 0
         grid = np.zeros((n, self.matrix.shape[1]))
         grid[row[common], column[common]] = weight[common]
-        sums = grid @ self.matrix.T
         row, term, weight = row[~common], term[~common], weight[~common]
         first, size = self.starts[term], self.starts[term + 1] - self.starts[term]
         at = np.repeat(first - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(size) else np.zeros(0, np.int64)
         cell = np.repeat(row * len(self.ids), size) + self.slots[at]
-        return sums + np.bincount(cell, np.repeat(weight, size) * self.values[at], minlength=sums.size).reshape(sums.shape)
+        rare = np.bincount(cell, np.repeat(weight, size) * self.values[at], minlength=n * len(self.ids)).reshape(n, len(self.ids))
+        return grid, rare, rare + grid.astype(np.float32) @ self._single
 
     def vote(self, slots: np.ndarray, cosines: np.ndarray) -> float:
         w = self.weights[slots] / (0.05 + np.maximum(0.0, 1 - cosines))
@@ -182,12 +216,12 @@ def _frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, i
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches):
-        vocabulary = sent.value
-        df, n = np.zeros(len(vocabulary), np.int64), 0
+        vocabulary = Vocabulary(sent.value)
+        df, n = np.zeros(len(vocabulary.known), np.int64), 0
         for batch in batches:
             n += batch.num_rows
             for _, _, raw, bounds in textops.pieces(batch["text"]):
-                df += np.bincount(_occurrences(raw, bounds, vocabulary)[1], minlength=len(vocabulary))
+                df += np.bincount(_occurrences(raw, bounds, vocabulary)[1], minlength=len(vocabulary.known))
         # Document count under -1.
         found = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], found])), pa.array(np.concatenate([[n], df[found]]))], ["term", "df"])
@@ -210,7 +244,7 @@ def _example_vectors(chosen: DataFrame, vocabulary: np.ndarray, factor: np.ndarr
     sent = chosen.sparkSession.sparkContext.broadcast((vocabulary, factor))
 
     def run(batches):
-        vocabulary, factor = sent.value
+        vocabulary, factor = Vocabulary(sent.value[0]), sent.value[1]
         for batch in batches:
             for at, end, raw, bounds in textops.pieces(batch["text"]):
                 row, term, count = _occurrences(raw, bounds, vocabulary)
@@ -271,14 +305,12 @@ def _unseen(docs: DataFrame, index: ExampleIndex, sent) -> DataFrame:
     """By text (key, square): what terms of no example add to the squared length of its vector."""
 
     def run(batches):
-        vocabulary = sent.value.vocabulary
+        vocabulary = Vocabulary(sent.value.vocabulary)
         for batch in batches:
             key = batch["key"].to_numpy()
             for at, end, raw, bounds in textops.pieces(batch["text"]):
                 h, row = terms(raw, bounds)
-                place = np.searchsorted(vocabulary, h)
-                place[place == len(vocabulary)] = 0
-                new = vocabulary[place] != h
+                new = ~vocabulary.find(h)[1]
                 h, row = h[new], row[new]
                 order = np.lexsort((h, row))
                 h, row = h[order], row[order]
@@ -305,11 +337,11 @@ def score(docs: DataFrame, index: ExampleIndex, k: int = NEAREST) -> DataFrame:
 
     def search(batches):
         index = sent.value
-        factor = index.idf * index.strength
+        factor, vocabulary = index.idf * index.strength, Vocabulary(index.vocabulary)
         for batch in batches:
             slots, cosines, squares = [], [], []
             for at, end, raw, bounds in textops.pieces(batch["text"]):
-                row, term, count = _occurrences(raw, bounds, index.vocabulary)
+                row, term, count = _occurrences(raw, bounds, vocabulary)
                 weight, square = _weights(row, term, count, factor, end - at)
                 for near, cosine in index.nearest(row, term, weight, end - at, k):
                     slots.append(near)

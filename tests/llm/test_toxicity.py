@@ -152,3 +152,29 @@ def test_toxic_rows_are_found_in_long_texts(spark, documents):
     truth = dict(labels)
     found = [r for r in toxicity.score(documents(docs), index).collect() if r.doc_id >= 300]
     assert sum((r.score >= 0.5) == truth[r.doc_id] for r in found) >= 0.97 * len(found)
+
+
+def test_vocabulary_finds_what_is_there():
+    draw = np.random.RandomState(3)
+    ends = np.array([0, 1, 2**63, 2**64 - 1], np.uint64)
+    for known in (np.zeros(0, np.uint64), ends[:1], ends, draw.randint(0, 40, 30).astype(np.uint64), draw.randint(0, 2**63 - 1, 5000).astype(np.uint64)):
+        known = np.unique(known)
+        asked = np.concatenate([known, known[::3] + np.uint64(1), ends])
+        place, there = toxicity.Vocabulary(known).find(asked)
+        assert (there == np.isin(asked, known)).all()
+        assert (known[place[there]] == asked[there]).all()
+
+
+def test_nearest_by_double_precision():
+    """Cosines closer than single precision tells are ordered as double precision orders them."""
+    n, k = 40, 5
+    matrix = np.zeros((n, 2))
+    matrix[:, 0] = 0.5 + 1e-10 * np.random.RandomState(4).permutation(n)
+    matrix[:, 1] = 0.1
+    none = np.zeros(0, np.int64)
+    index = toxicity.ExampleIndex(np.arange(2, dtype=np.uint64), np.ones(2), np.ones(2), n, np.arange(n), np.zeros(n, np.int64), np.ones(n), np.zeros(3, np.int64), none, np.zeros(0), np.arange(2), matrix)
+    (slots, cosines), = index.nearest(np.zeros(2, np.int64), np.arange(2), np.array([0.8, 0.6]), 1, k)
+    whole = matrix @ np.array([0.8, 0.6])
+    assert slots.tolist() == np.argsort(-whole)[:k].tolist()
+    assert np.allclose(cosines, np.sort(whole)[::-1][:k], rtol=0, atol=1e-14)
+    assert index._single.dtype == np.float32 and "_single" not in index.__getstate__()
