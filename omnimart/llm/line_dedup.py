@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from omnimart.llm import textops
 from omnimart.llm.frames import SENT_BYTES, Pins, fresh, map_batches
-from omnimart.llm.linking import link
+from omnimart.llm.linking import MARKS, link, marks
 
 CHARS = 10
 BANDS = 10
@@ -94,17 +94,23 @@ def bands(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, whole: np.nda
     keys = np.empty((len(starts), n_bands), dtype=np.uint64)
     long = ends - starts >= chars
     low = np.empty((len(starts), n_rows), dtype=np.uint32)
-    if long.any():
-        h = (char_shingles(codes, chars) >> np.uint64(32)).astype(np.uint32)
-        # Between the windows of two lines lie those that cross a line end; reduceat sees them as groups to skip.
-        edges = np.stack([starts[long], ends[long] - chars + 1], 1).ravel()
-        last = edges[-1] >= len(h)
-        edges = edges[:-1] if last else edges
+    some = bool(long.any())
+    if some:
+        # Only windows of these lines; those between two lines cross a line end.
+        inside = np.zeros(len(codes) - chars + 2, dtype=np.int8)
+        inside[starts[long]] += 1
+        inside[ends[long] - chars + 1] -= 1
+        h = (char_shingles(codes, chars) >> np.uint64(32)).astype(np.uint32)[np.cumsum(inside, dtype=np.int8)[:-1].view(bool)]
+        n = ends[long] - starts[long] - chars + 1
+        edges = np.cumsum(n) - n
+        drawn = np.empty_like(h)
     for band in range(n_bands):
         for r in range(n_rows):
             k = band * n_rows + r
-            if long.any():
-                low[long, r] = np.minimum.reduceat(h * multiply[k] + add[k], edges)[::2]
+            if some:
+                np.multiply(h, multiply[k], out=drawn)
+                np.add(drawn, add[k], out=drawn)
+                low[long, r] = np.minimum.reduceat(drawn, edges)
             low[~long, r] = whole[~long].astype(np.uint32) * multiply[k] + add[k]
         key = np.full(len(starts), band, dtype=np.uint64)
         for r in range(0, n_rows, 2):
@@ -134,49 +140,43 @@ def _texts(batch: pa.RecordBatch):
         yield at, [data[i:j].decode("utf-8", "replace") for i, j in zip(bounds[:-1], bounds[1:])]
 
 
-def line_places(docs: DataFrame) -> DataFrame:
-    """Per line: doc_id, copy (hash of its text, ``docs`` has it), line (number) and node (hash)."""
+def line_places(docs: DataFrame, chars: int = CHARS) -> DataFrame:
+    """Per line: doc_id, copy (hash of its text, ``docs`` has it), line (number), node (hash) and, once a piece, its band keys."""
 
     def run(batches):
         for batch in batches:
             for at, texts in _texts(batch):
                 codes, text, number, starts, ends = line_table(texts)
-                if len(starts):
-                    row = pa.array(at + text)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch["doc_id"].take(row), batch["copy"].take(row), pa.array(number.astype(np.int32)), pa.array(line_hashes(codes, starts, ends).view(np.int64))], ["doc_id", "copy", "line", "node"]
-                    )
-
-    return map_batches(docs, run, "doc_id long, copy long, line int, node long")
-
-
-def line_keys(docs: DataFrame, chars: int = CHARS) -> DataFrame:
-    """Band keys of each different line of a piece: node, keys."""
-
-    def run(batches):
-        for batch in batches:
-            for _, texts in _texts(batch):
-                codes, _, _, starts, ends = line_table(texts)
                 if not len(starts):
                     continue
                 node = line_hashes(codes, starts, ends)
                 _, first = np.unique(node, return_index=True)
                 first.sort()
                 keys = bands(codes, starts[first], ends[first], node[first], chars)
-                yield pa.RecordBatch.from_arrays([pa.array(node[first].view(np.int64)), textops.lists(keys.ravel().view(np.int64), np.arange(len(first) + 1) * keys.shape[1])], ["node", "keys"])
+                count = np.zeros(len(node), dtype=np.int64)
+                count[first] = keys.shape[1]
+                row = pa.array(at + text)
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].take(row), batch["copy"].take(row), pa.array(number.astype(np.int32)), pa.array(node.view(np.int64)), textops.lists(keys.ravel().view(np.int64), np.concatenate([[0], np.cumsum(count)]))],
+                    ["doc_id", "copy", "line", "node", "keys"],
+                )
 
-    return map_batches(docs, run, "node long, keys array<long>")
+    return map_batches(docs, run, "doc_id long, copy long, line int, node long, keys array<long>")
 
 
 def sized_lines(lines: DataFrame, chars: int = CHARS) -> DataFrame:
-    """``lines`` (node, text) with size, the number of different shingles."""
+    """``lines`` (node, text) with size, the number of different shingles, and their marks."""
 
     def run(batches):
         for batch in batches:
-            sizes = [np.diff(bounds) for _, _, _, bounds in line_sets(batch["text"], chars)]
-            yield pa.RecordBatch.from_arrays([batch["node"], batch["text"], pa.array(np.concatenate(sizes) if sizes else np.zeros(0, np.int64))], ["node", "text", "size"])
+            sizes, signs = [np.zeros(0, np.int64)], [np.zeros((0, MARKS), np.int64)]
+            for _, _, h, bounds in line_sets(batch["text"], chars):
+                sizes.append(np.diff(bounds))
+                signs.append(marks(h, bounds))
+            flat = np.concatenate(signs)
+            yield pa.RecordBatch.from_arrays([batch["node"], batch["text"], pa.array(np.concatenate(sizes)), textops.lists(flat.ravel(), np.arange(len(flat) + 1) * MARKS)], ["node", "text", "size", "marks"])
 
-    return map_batches(lines, run, "node long, text string, size long")
+    return map_batches(lines, run, "node long, text string, size long, marks array<long>")
 
 
 def line_rows(docs: DataFrame, chars: int = CHARS) -> DataFrame:
@@ -220,12 +220,24 @@ def line_sets(lines: pa.Array, chars: int = CHARS):
     """Sets of character shingles of texts that are one line each; see ``textops.word_sets``."""
     for at, end, raw, bounds in textops.pieces(lines):
         data = raw.tobytes()
-        found = []
-        for i, j in zip(bounds[:-1], bounds[1:]):
-            codes = np.frombuffer(data[i:j].decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32)
-            whole = line_hashes(codes, np.zeros(1, np.int64), np.array([len(codes)]))
-            found.append(np.unique(char_shingles(codes, chars)) if len(codes) >= chars else whole)
-        yield at, end, np.concatenate(found), np.concatenate([[0], np.cumsum([len(x) for x in found])])
+        texts = [data[i:j].decode("utf-8", "replace") for i, j in zip(bounds[:-1], bounds[1:])]
+        if len(texts) == 1 and len(texts[0]) >= chars:
+            # It may be a very long line, whose places would take several times its memory.
+            h = np.unique(char_shingles(np.frombuffer(texts[0].encode("utf-32-le"), dtype=np.uint32), chars))
+            yield at, end, h, np.array([0, len(h)])
+            continue
+        codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
+        length = np.array([len(t) for t in texts])
+        ends = np.cumsum(length)
+        starts = ends - length
+        n = np.where(length >= chars, length - chars + 1, 0)
+        row = np.repeat(np.arange(len(n)), n)
+        place = np.arange(n.sum()) + np.repeat(starts - np.cumsum(n) + n, n)
+        short = np.flatnonzero(n == 0)
+        h = char_shingles(codes, chars)[place] if len(row) else np.zeros(0, np.uint64)
+        h, row = np.concatenate([h, line_hashes(codes, starts[short], ends[short])]), np.concatenate([row, short])
+        h, row = textops.distinct(h, row)
+        yield at, end, h, np.searchsorted(row, np.arange(len(n) + 1))
 
 
 def wanted_lines(docs: DataFrame) -> DataFrame:
@@ -236,9 +248,9 @@ def wanted_lines(docs: DataFrame) -> DataFrame:
 def removals(docs: DataFrame, pins: Pins, percent: int = PERCENT, chars: int = CHARS) -> tuple[DataFrame, DataFrame]:
     """Line occurrences (doc_id, copy, line, node, component, kept), and the pinned numbers to drop by document and copy."""
     docs = fresh(docs, "doc_id", "text").where("doc_id is not null").withColumn("copy", F.xxhash64("text"))
-    lines = pins.pin(line_places(docs), "lines")
-    # Keys are needed twice: to find the buckets of several lines, and then those lines.
-    keys = pins.pin(line_keys(docs, chars), "line-keys")
+    # Keys are needed twice: to find the buckets of several lines, and then those lines. They go before the lines do.
+    keys = pins.pin(line_places(docs, chars), "line-keys")
+    lines = pins.pin(keys.select("doc_id", "copy", "line", "node"), "lines")
     every = keys.select("node", F.explode("keys").alias("bucket"))
     spans = every.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     buckets = pins.pin(spans.select("bucket"), "buckets")
@@ -249,7 +261,7 @@ def removals(docs: DataFrame, pins: Pins, percent: int = PERCENT, chars: int = C
     listed = owners.groupBy("o.doc_id", "o.copy").agg(F.collect_list(F.struct("node", "o.line")).alias("w"))
     wanted = pins.pin(listed.select("doc_id", "copy", F.col("w.node").alias("nodes"), F.col("w.line").alias("numbers")), "wanted")
     texts = pins.pin(sized_lines(wanted_lines(pins.join(docs, wanted, ["doc_id", "copy"])).dropDuplicates(["node"]), chars), "line-texts")
-    sized = shared.join(texts.select("node", "size"), "node").select("bucket", "node", "size")
+    sized = shared.join(texts.select("node", "size", "marks"), "node").select("bucket", "node", "size", "marks")
     postings = pins.pin(sized.select("*", F.lit(1).alias("need"), F.lit(0).alias("own"), F.lit(True).alias("core")), "postings")
     pins.drop(shared, nodes, wanted)
     roots = link(postings, texts, partial(line_sets, chars=chars), percent, pins)
@@ -278,6 +290,6 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, chars: int = CHARS) ->
     cut = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("_gone", i)), "\n")
     return marked.select(
         *(F.when(F.col("_gone").isNull(), F.col("text")).otherwise(cut).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns),
-        F.coalesce(1 + F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))), F.lit(0)).alias("n_lines"),
+        F.coalesce(1 + F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))), F.lit(0)).alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).alias("n_removed"),
     )

@@ -17,6 +17,11 @@ and a candidate pair is linked if the two shingle sets are similar enough.
 So a bucket of many copies costs one comparison a copy, and no link between different
 components is left out. After the first step components are found on the components so far and the new
 links between them, not on all links again.
+
+Postings may have ``marks``: 256 parities of a node's shingles, by hash. Shingles that two nodes share cancel out in the
+marks' difference, so that this has at most as many bits as there are shingles in one of the nodes only. Candidates
+whose marks differ by more than the similarity allows are no links and are left before their texts are read; they make
+no family either, else chains of unlike nodes would grow into families that are compared as a whole.
 """
 
 from __future__ import annotations
@@ -39,6 +44,10 @@ BLOCK_SHINGLES = 32_768
 BLOCK_NODES = 256
 #: Pairs between the families of a group that are compared as pairs; the nodes of a larger group are compared in blocks.
 FEW = 4096
+#: With marks, larger groups of up to so many nodes are compared as pairs, too, if their marks leave few of them.
+FEW_NODES = 4096
+#: Words of 64 parities.
+MARKS = 4
 
 
 def components(edges: DataFrame, pins: Pins) -> DataFrame:
@@ -78,6 +87,20 @@ def _fits(x, y, percent: int):
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
+def marks(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Parities of each row's distinct hashes, shape (rows, MARKS)."""
+    n, width = len(bounds) - 1, 64 * MARKS
+    cell = np.repeat(np.arange(n), np.diff(bounds)) * width + (h >> np.uint64(40)).astype(np.int64) % width
+    odd = (np.bincount(cell, minlength=n * width) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64).reshape(n, MARKS)
+
+
+def _alike(x, y, size_x, size_y, percent: int):
+    """Whether two nodes' marks let their sets reach the similarity, which bounds the shingles that one of them has only."""
+    differ = sum((F.bit_count(x[k].bitwiseXOR(y[k])) for k in range(MARKS)), F.lit(0))
+    return (100 + percent) * differ <= (100 - percent) * (size_x + size_y)
+
+
 def verify_pairs(pairs: DataFrame, texts: DataFrame, sets: Sets, percent: int) -> DataFrame:
     """Pairs (a, b) whose whole sets reach the similarity."""
 
@@ -127,6 +150,49 @@ def _similar(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> n
     return (common > 0) & (100 * common >= percent * (size_l[:, None] + size_r[None, :] - common))
 
 
+def _may(size_l: np.ndarray, size_r: np.ndarray, marks_l: np.ndarray, marks_r: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of two lists of sets may reach the similarity by their sizes and marks."""
+    differ = np.zeros((len(size_l), len(size_r)), dtype=np.int64)
+    for k in range(MARKS):
+        differ += np.bitwise_count(marks_l[:, None, k].view(np.uint64) ^ marks_r[None, :, k].view(np.uint64))
+    return (100 + percent) * differ <= (100 - percent) * (size_l[:, None] + size_r[None, :])
+
+
+def alike_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Per group of ``members`` (bucket, class, node, size, root, marks) the pairs (a, b) of different components that their marks let
+    pass, or, if they are more than FEW, one row without nodes."""
+
+    def run(group: pa.Table) -> pa.Table:
+        node, size, root = (group[c].to_numpy() for c in ("node", "size", "root"))
+        signs = group["marks"].combine_chunks().flatten().to_numpy().reshape(-1, MARKS)
+        found, total = [], 0
+        for at in range(0, len(node), BLOCK_NODES):
+            own = slice(at, at + BLOCK_NODES)
+            i, j = np.nonzero(_may(size[own], size, signs[own], signs, percent) & (root[own][:, None] < root[None, :]))
+            found.append((node[own][i], node[j]))
+            total += len(i)
+            if total > FEW:
+                found = None
+                break
+        columns = [[None], [None]] if found is None else [np.concatenate(x) for x in zip(*found)]
+        n = len(columns[0])
+        return pa.table({"bucket": group["bucket"].combine_chunks()[:1].take(pa.array([0] * n)), "class": group["class"].combine_chunks()[:1].take(pa.array([0] * n)), "a": pa.array(columns[0], pa.int64()), "b": pa.array(columns[1], pa.int64())})
+
+    ship(members.sparkSession)
+    return members.groupBy("bucket", "class").applyInArrow(run, "bucket long, class long, a long, b long")
+
+
+def _links(left: list[np.ndarray], right: list[np.ndarray], may: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs in ``may`` that reach the similarity."""
+    a, b = np.nonzero(may)
+    if len(a) <= len(left) + len(right):
+        same = np.array([textops.jaccard_at_least(left[i], right[j], percent) for i, j in zip(a.tolist(), b.tolist())], dtype=bool)
+        return a[same], b[same]
+    rows, columns = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
+    i, j = np.nonzero(_similar([left[k] for k in rows], [right[k] for k in columns], percent) & may[np.ix_(rows, columns)])
+    return rows[i], columns[j]
+
+
 def merged(roots: DataFrame, links: DataFrame, pins: Pins) -> DataFrame:
     """``roots`` (node, root), pinned, after further ``links`` (a, b), on the graph of the components so far."""
 
@@ -193,13 +259,14 @@ def verify_blocks(members: DataFrame, texts: DataFrame, sets: Sets, percent: int
         parts = []
         for side in (0, 1):
             own = group.filter(pa.array(group["side"].to_numpy() == side)).combine_chunks()
-            found = []
+            found, signs = [], [np.zeros((0, MARKS), np.int64)]
             for column in own["text"].chunks:
                 for at, end, h, bounds in sets(column):
                     found += [h[bounds[k] : bounds[k + 1]].copy() for k in range(end - at)]
-            parts.append((own["node"].to_numpy(), own["root"].to_numpy(), found))
-        (na, ra, sa), (nb, rb, sb) = parts
-        a, b = np.nonzero(_similar(sa, sb, percent) & (ra[:, None] != rb[None, :]))
+                    signs.append(marks(h, bounds))
+            parts.append((own["node"].to_numpy(), own["root"].to_numpy(), found, np.concatenate(signs)))
+        (na, ra, sa, ma), (nb, rb, sb, mb) = parts
+        a, b = _links(sa, sb, _may(*(np.array([len(x) for x in side], dtype=np.int64) for side in (sa, sb)), ma, mb, percent) & (ra[:, None] != rb[None, :]), percent)
         kept = _forest(a, b, ra, rb)
         return pa.table({"a": na[a[kept]], "b": nb[b[kept]]})
 
@@ -214,10 +281,13 @@ def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins:
     candidates if they share at least the smaller of their ``need`` buckets and their sizes
     allow the similarity; of the buckets that linked nodes share, at least one is ``core`` to both.
     ``own`` is the share of a node's shingles that no other node has. ``texts`` (node, text)
-    has the texts that ``sets`` makes shingle sets of.
+    has the texts that ``sets`` makes shingle sets of. With a column ``marks`` (see ``marks``) only candidates that they let pass are compared.
     """
-    hubs = postings.groupBy("bucket").agg(F.min(F.struct("own", "node", "size", "need")).alias("hub"))
+    marked = ["marks"] if "marks" in postings.columns else []
+    hubs = postings.groupBy("bucket").agg(F.min(F.struct("own", "node", "size", "need", *marked)).alias("hub"))
     met = postings.join(hubs, "bucket").where((F.col("node") != F.col("hub.node")) & _fits(F.col("size"), F.col("hub.size"), percent))
+    if marked:
+        met = met.where(_alike(F.col("marks"), F.col("hub.marks"), F.col("size"), F.col("hub.size"), percent))
     candidates = met.groupBy("node", F.struct("hub.own", "hub.node").alias("hub")).agg(F.count("*").alias("n"), F.min(F.least("need", "hub.need")).alias("need")).where("n >= need")
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("n"), "hub"))
     followed = pins.pin(candidates.select(F.col("hub.node").alias("a"), F.col("node").alias("b"), place.alias("place")), "followed")
@@ -243,9 +313,9 @@ def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins:
     pins.drop(inside)
 
     named = families.join(roots, "node", "left").select("node", "family", F.coalesce("root", "node").alias("root"))
-    core = postings.where("core").select("bucket", "node", "size").join(named, "node", "left").withColumn("root", F.coalesce("root", "node")).withColumn("family", F.coalesce("family", "node"))
+    core = postings.where("core").select("bucket", "node", "size", *marked).join(named, "node", "left").withColumn("root", F.coalesce("root", "node")).withColumn("family", F.coalesce("family", "node"))
     mixed = core.groupBy("bucket").agg(F.min("family").alias("low"), F.max("family").alias("high")).where("low <> high").select("bucket")
-    rest = pins.pin(core.join(mixed, "bucket", "left_semi").select("bucket", "node", "size", "family", "root"), "rest")
+    rest = pins.pin(core.join(mixed, "bucket", "left_semi").select("bucket", "node", "size", "family", "root", *marked), "rest")
     if not rest.take(1):
         return roots
     # Sizes of linked nodes are in the same or in neighbouring classes, so both nodes are in the group of the lower class.
@@ -253,22 +323,36 @@ def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins:
     grouped = rest.withColumn("class", size_class).withColumn("class", F.explode(F.array(F.col("class") - 1, "class")))
     sides = grouped.groupBy("bucket", "class", "family").agg(F.count("*").alias("n"))
     # Pairs of nodes of different families: half of the square of all nodes without the squares of the families.
-    counted = sides.groupBy("bucket", "class").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")).where("pairs > 0")
+    counted = sides.groupBy("bucket", "class").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"), F.sum("n").alias("nodes")).where("pairs > 0")
+    is_few = (F.col("pairs") <= FEW) & (F.col("nodes") <= FEW_NODES) if marked else F.col("pairs") <= FEW
     groups = pins.pin(counted, "groups")
     if not groups.take(1):
         return roots
-    few = sides.join(groups.where(F.col("pairs") <= FEW).select("bucket", "class"), ["bucket", "class"]).select("bucket", "class", "family")
-    across = few.withColumnRenamed("family", "fa").join(few.withColumnRenamed("family", "fb"), ["bucket", "class"]).where("fa < fb")
-    left, right = (grouped.select("bucket", "class", *(F.col(c).alias(f"{c[0]}{side}") for c in ("node", "size", "family", "root"))) for side in "ab")
-    together = across.join(left, ["bucket", "class", "fa"]).join(right, ["bucket", "class", "fb"]).where(_fits(F.col("sa"), F.col("sb"), percent) & (F.col("ra") != F.col("rb")))
-    pairs = pins.pin(together.select(F.col("na").alias("a"), F.col("nb").alias("b")).distinct(), "pairs")
+    few = groups.where(is_few).select("bucket", "class")
+    left, right = (grouped.select("bucket", "class", *(F.col(c).alias(f"{c[0]}{side}") for c in ("node", "size", "family", "root", *marked))) for side in "ab")
+    if marked:
+        # A group has at most FEW_NODES nodes, so those of one family may meet, too.
+        together = left.join(few, ["bucket", "class"], "left_semi").join(right, ["bucket", "class"])
+        together = together.where((F.col("fa") < F.col("fb")) & _alike(F.col("ma"), F.col("mb"), F.col("sa"), F.col("sb"), percent))
+    else:
+        families_of = sides.join(few, ["bucket", "class"]).select("bucket", "class", "family")
+        across = families_of.withColumnRenamed("family", "fa").join(families_of.withColumnRenamed("family", "fb"), ["bucket", "class"]).where("fa < fb")
+        together = across.join(left, ["bucket", "class", "fa"]).join(right, ["bucket", "class", "fb"])
+    together = together.where(_fits(F.col("sa"), F.col("sb"), percent) & (F.col("ra") != F.col("rb")))
+    together = together.select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    many = groups.where(~is_few).select("bucket", "class")
+    if marked:
+        middle = groups.where(~is_few & (F.col("nodes") <= FEW_NODES)).select("bucket", "class")
+        seen = pins.pin(alike_pairs(grouped.join(middle, ["bucket", "class"], "left_semi"), percent), "alike")
+        together = together.union(seen.where("a is not null").select("a", "b"))
+        many = groups.where(F.col("nodes") > FEW_NODES).select("bucket", "class").union(seen.where("a is null").select("bucket", "class"))
+    pairs = pins.pin(together.distinct(), "pairs")
     if pairs.take(1):
         shared = pairs
         if postings.agg(F.max("need")).first()[0] > 1:
             shared = _sharing(pairs, postings)
         roots = merged(roots, verify_pairs(shared, texts, sets, percent), pins)
     pins.drop(pairs)
-    many = groups.where(F.col("pairs") > FEW).select("bucket", "class")
     if many.take(1):
         crowd = grouped.join(many, ["bucket", "class"]).select(F.xxhash64("bucket", "class").alias("family"), "node", "size").distinct()
         crowd = crowd.join(roots, "node", "left").select("family", F.coalesce("root", "node").alias("root"), "node", "size")
@@ -276,7 +360,7 @@ def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins:
         links = pins.pin(verify_blocks(crowd, texts, sets, percent, pins), "crowd-links")
         roots = merged(roots, links, pins)
         pins.drop(crowd, links)
-    pins.drop(rest, groups)
+    pins.drop(rest, groups, *([seen] if marked else []))
     return roots
 
 

@@ -1,10 +1,13 @@
 import itertools
 import random
+from functools import partial
 
+import numpy as np
 import pytest
 
 from llm.conftest import Groups
-from omnimart.llm import line_dedup
+from omnimart.llm import line_dedup, linking, textops
+from omnimart.llm.frames import Pins
 
 
 def shingles(line):
@@ -156,3 +159,61 @@ def test_repeated_ids_with_other_texts_lose_no_other_lines(documents):
     pairs = [(1, "a line that is here twice"), (2, "a line that is here twice\nsecond line of two"), (2, "first of its own words\nnothing like it before"), (2, "a line that is here twice")]
     found = {(r.doc_id, r.n_lines, r.text) for r in line_dedup.dedup_lines(documents(pairs)).collect()}
     assert found == {(1, 1, "a line that is here twice"), (2, 2, "second line of two"), (2, 2, "first of its own words\nnothing like it before"), (2, 1, "")}
+
+
+def test_marks_pass_all_links():
+    draw = np.random.RandomState(5)
+    for n in (1, 5, 40, 90, 300, 2000):
+        for _ in range(20):
+            pool = np.unique(draw.randint(1, 2**62, n).astype(np.uint64) * np.uint64(3))
+            cut = draw.randint(0, max(1, n // 8) + 1)
+            a, b = pool[cut:], pool[: len(pool) - draw.randint(0, max(1, n // 8) + 1)]
+            sets = [x for x in (a, b) if len(x)]
+            if len(sets) < 2:
+                continue
+            signs = linking.marks(np.concatenate(sets), np.cumsum([0, len(a), len(b)]))
+            if textops.jaccard_at_least(a, b, 80):
+                assert linking._may(np.array([len(a)]), np.array([len(b)]), signs[:1], signs[1:], 80).all()
+
+
+def test_unlike_candidates_are_not_read(spark, monkeypatch):
+    """Lines of one bucket that share few shingles are left by their marks, and make no family to compare in blocks."""
+    lines = [f"{chr(97 + k) * 20} an entirely different line number {k * 7919} {chr(98 + k) * 30}" for k in range(12)]
+    lines += [lines[0] + "." + "x" * 2, lines[3] + ",y"]
+    texts = spark.createDataFrame([(k, t) for k, t in enumerate(lines)], "node long, text string")
+    pins = Pins(spark)
+    sized = pins.pin(line_dedup.sized_lines(texts, 4), "test-lines")
+    postings = sized.selectExpr("1L as bucket", "node", "size", "marks", "1 as need", "0 as own", "true as core")
+    compared = []
+    verify = linking.verify_pairs
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verify(pairs, *rest)
+
+    def blocks(*_):
+        raise AssertionError("compared in blocks")
+
+    monkeypatch.setattr(linking, "verify_pairs", counted)
+    monkeypatch.setattr(linking, "verify_blocks", blocks)
+    roots = linking.link(pins.pin(postings, "test-postings"), sized, partial(line_dedup.line_sets, chars=4), 80, pins)
+    assert {(r.node, r.root) for r in roots.collect()} == {(12, 0), (13, 3)}
+    assert sum(compared) <= 4
+
+
+@pytest.mark.parametrize("few", [3, 6, 4096])
+def test_groups_of_all_sizes_lose_no_link(spark, monkeypatch, few):
+    """Groups compared as pairs, by marks first, or in blocks: the hub, the node of the smallest hash, is unlike all others."""
+    monkeypatch.setattr(linking, "FEW", few)
+    lines = ["z" * 10 + "y" * 10 + "0123456789" * 4] + [f"{chr(98 + k // 2) * 3}{'abcdefghij'[k // 2:]}{'klmnopqrstuvwxyz' * 3}{chr(65 + k // 2) * (20 + k % 2)}" for k in range(10)]
+    pins = Pins(spark)
+    texts = spark.createDataFrame([(k, t) for k, t in enumerate(lines)], "node long, text string")
+    sized = pins.pin(line_dedup.sized_lines(texts, 4), "test-lines")
+    postings = pins.pin(sized.selectExpr("1L as bucket", "node", "size", "marks", "1 as need", "0 as own", "true as core"), "test-postings")
+    sets = {k: {t[i : i + 4] for i in range(len(t) - 3)} for k, t in enumerate(lines)}
+    groups = Groups(sets)
+    for a, b in itertools.combinations(sets, 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            groups.join(a, b)
+    roots = linking.link(postings, sized, partial(line_dedup.line_sets, chars=4), 80, pins)
+    assert {r.node: r.root for r in roots.collect()} == {n: groups.root(n) for n in sets if groups.root(n) != n}
