@@ -176,7 +176,7 @@ def alike_pairs(members: DataFrame, percent: int) -> DataFrame:
                 break
         columns = [[None], [None]] if found is None else [np.concatenate(x) for x in zip(*found)]
         n = len(columns[0])
-        return pa.table({"bucket": group["bucket"].combine_chunks()[:1].take(pa.array([0] * n)), "class": group["class"].combine_chunks()[:1].take(pa.array([0] * n)), "a": pa.array(columns[0], pa.int64()), "b": pa.array(columns[1], pa.int64())})
+        return pa.table({"bucket": group["bucket"].combine_chunks()[:1].take(pa.array(np.zeros(n, np.int64))), "class": group["class"].combine_chunks()[:1].take(pa.array(np.zeros(n, np.int64))), "a": pa.array(columns[0], pa.int64()), "b": pa.array(columns[1], pa.int64())})
 
     ship(members.sparkSession)
     return members.groupBy("bucket", "class").applyInArrow(run, "bucket long, class long, a long, b long")
