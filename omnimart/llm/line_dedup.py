@@ -12,7 +12,7 @@ the occurrence with the smallest (doc_id, line number) stays and all others go.
 Null texts stay null, empty ones empty. Of rows that repeat an id and its text, all keep the same lines; rows that repeat
 an id with another text are documents of their own, ordered by a hash of the text. Rows with a null id are kept
 unchanged, as their lines have no place in the order. Extra columns pass through.
-Equal lines are told by a 64-bit hash.
+Equal lines are told by a 64-bit hash, shingles of compared lines by its leading 48 bits.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from omnimart.llm import textops
 from omnimart.llm.frames import SENT_BYTES, Pins, fresh, map_batches
-from omnimart.llm.linking import MARKS, link, marks
+from omnimart.llm.linking import FINE, MARKS, link, marks
 
 CHARS = 10
 BANDS = 10
@@ -47,6 +47,9 @@ def _drawn(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 _USUAL, _SHORT = _drawn(77, BANDS * ROWS), _drawn(78, SHORT_BANDS * SHORT_ROWS)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
+#: Bits of a hash that ``textops.distinct_leading`` keeps.
+LEADING = np.uint64(((1 << 48) - 1) << 16)
+
 
 def char_shingles(codes: np.ndarray, chars: int = CHARS) -> np.ndarray:
     """Hash of the run of ``chars`` (1 to 15) characters that starts at each place but the last ones."""
@@ -91,11 +94,11 @@ def bands(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, whole: np.nda
     """Band keys of each line, shape (lines, bands). ``whole`` are the lines' own hashes."""
     n_bands, n_rows = band_shape(chars)
     multiply, add = _USUAL if chars == CHARS else _SHORT
-    keys = np.empty((len(starts), n_bands), dtype=np.uint64)
-    long = ends - starts >= chars
-    low = np.empty((len(starts), n_rows), dtype=np.uint32)
-    some = bool(long.any())
-    if some:
+    low = np.empty((n_bands * n_rows, len(starts)), dtype=np.uint32)
+    is_long = ends - starts >= chars
+    long, short = np.flatnonzero(is_long), np.flatnonzero(~is_long)
+    low[:, short] = whole[short].astype(np.uint32) * multiply[:, None] + add[:, None]
+    if len(long):
         # Only windows of these lines; those between two lines cross a line end.
         inside = np.zeros(len(codes) - chars + 2, dtype=np.int8)
         inside[starts[long]] += 1
@@ -104,19 +107,15 @@ def bands(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, whole: np.nda
         n = ends[long] - starts[long] - chars + 1
         edges = np.cumsum(n) - n
         drawn = np.empty_like(h)
-    for band in range(n_bands):
-        for r in range(n_rows):
-            k = band * n_rows + r
-            if some:
-                np.multiply(h, multiply[k], out=drawn)
-                np.add(drawn, add[k], out=drawn)
-                low[long, r] = np.minimum.reduceat(drawn, edges)
-            low[~long, r] = whole[~long].astype(np.uint32) * multiply[k] + add[k]
-        key = np.full(len(starts), band, dtype=np.uint64)
-        for r in range(0, n_rows, 2):
-            key = textops.mix(key * _A + (low[:, r].astype(np.uint64) << np.uint64(32)) + low[:, r + 1])
-        keys[:, band] = key
-    return keys
+        for k in range(n_bands * n_rows):
+            np.multiply(h, multiply[k], out=drawn)
+            np.add(drawn, add[k], out=drawn)
+            low[k, long] = np.minimum.reduceat(drawn, edges)
+    rows = low.reshape(n_bands, n_rows, len(starts)).astype(np.uint64)
+    keys = np.repeat(np.arange(n_bands, dtype=np.uint64)[:, None], len(starts), axis=1)
+    for r in range(0, n_rows, 2):
+        keys = textops.mix(keys * _A + (rows[:, r] << np.uint64(32)) + rows[:, r + 1])
+    return np.ascontiguousarray(keys.T)
 
 
 def set_sizes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, chars: int = CHARS) -> np.ndarray:
@@ -165,18 +164,21 @@ def line_places(docs: DataFrame, chars: int = CHARS) -> DataFrame:
 
 
 def sized_lines(lines: DataFrame, chars: int = CHARS) -> DataFrame:
-    """``lines`` (node, text) with size, the number of different shingles, and their marks."""
+    """``lines`` (node, text) with size, the number of different shingles, and their marks and finer marks."""
 
     def run(batches):
         for batch in batches:
-            sizes, signs = [np.zeros(0, np.int64)], [np.zeros((0, MARKS), np.int64)]
+            sizes, fine = [np.zeros(0, np.int64)], [np.zeros((0, FINE), np.int64)]
             for _, _, h, bounds in line_sets(batch["text"], chars):
                 sizes.append(np.diff(bounds))
-                signs.append(marks(h, bounds))
-            flat = np.concatenate(signs)
-            yield pa.RecordBatch.from_arrays([batch["node"], batch["text"], pa.array(np.concatenate(sizes)), textops.lists(flat.ravel(), np.arange(len(flat) + 1) * MARKS)], ["node", "text", "size", "marks"])
+                fine.append(marks(h, bounds, FINE))
+            fine = np.concatenate(fine)
+            # A parity of the marks is that of the fine ones that fall together there.
+            signs = np.bitwise_xor.reduce(fine.reshape(len(fine), FINE // MARKS, MARKS), axis=1)
+            lists = [textops.lists(x.ravel(), np.arange(len(x) + 1) * x.shape[1]) for x in (signs, fine)]
+            yield pa.RecordBatch.from_arrays([batch["node"], batch["text"], pa.array(np.concatenate(sizes)), *lists], ["node", "text", "size", "marks", "fine"])
 
-    return map_batches(lines, run, "node long, text string, size long, marks array<long>")
+    return map_batches(lines, run, "node long, text string, size long, marks array<long>, fine array<long>")
 
 
 def line_rows(docs: DataFrame, chars: int = CHARS) -> DataFrame:
@@ -223,7 +225,7 @@ def line_sets(lines: pa.Array, chars: int = CHARS):
         texts = [data[i:j].decode("utf-8", "replace") for i, j in zip(bounds[:-1], bounds[1:])]
         if len(texts) == 1 and len(texts[0]) >= chars:
             # It may be a very long line, whose places would take several times its memory.
-            h = np.unique(char_shingles(np.frombuffer(texts[0].encode("utf-32-le"), dtype=np.uint32), chars))
+            h = np.unique(char_shingles(np.frombuffer(texts[0].encode("utf-32-le"), dtype=np.uint32), chars) & LEADING)
             yield at, end, h, np.array([0, len(h)])
             continue
         codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
@@ -236,13 +238,15 @@ def line_sets(lines: pa.Array, chars: int = CHARS):
         short = np.flatnonzero(n == 0)
         h = char_shingles(codes, chars)[place] if len(row) else np.zeros(0, np.uint64)
         h, row = np.concatenate([h, line_hashes(codes, starts[short], ends[short])]), np.concatenate([row, short])
-        h, row = textops.distinct(h, row)
+        h, row = textops.distinct_leading(h, row)
         yield at, end, h, np.searchsorted(row, np.arange(len(n) + 1))
 
 
 def wanted_lines(docs: DataFrame) -> DataFrame:
     """Texts of the lines whose numbers a row lists in ``numbers`` with their ``nodes``."""
-    return docs.select(F.explode(F.arrays_zip("nodes", "numbers")).alias("w"), F.split("text", "\n", -1).alias("lines")).select(F.col("w.nodes").alias("node"), F.get("lines", F.col("w.numbers")).alias("text")).where("text is not null")
+    # The lambda holds a text's lines, so that a text is split once and not for each of its numbers.
+    texts = F.flatten(F.transform(F.array(F.split("text", "\n", -1)), lambda lines: F.transform("numbers", lambda k: F.get(lines, k))))
+    return docs.select(F.inline(F.arrays_zip("nodes", texts))).toDF("node", "text").where("text is not null")
 
 
 def removals(docs: DataFrame, pins: Pins, percent: int = PERCENT, chars: int = CHARS) -> tuple[DataFrame, DataFrame]:
@@ -268,7 +272,10 @@ def removals(docs: DataFrame, pins: Pins, percent: int = PERCENT, chars: int = C
     pins.drop(postings, texts)
     at = F.struct("doc_id", "copy", "line")
     placed = pins.join(lines, roots, "node", "left").select("doc_id", "copy", "line", "node", F.coalesce("root", "node").alias("component"))
-    kept = placed.groupBy("component").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("component", "first")
+    # Most lines stand alone; only the places of the others are compared.
+    several = placed.groupBy("component").count().where("count > 1").select("component")
+    several = pins.pin(several, "several")
+    kept = pins.join(placed, several, "component", "left_semi").groupBy("component").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("component", "first")
     kept = pins.pin(kept, "kept")
     gone = pins.join(placed, kept, "component").where(at != F.col("first"))
     drops = pins.pin(gone.groupBy("doc_id", "copy").agg(F.collect_set("line").alias("gone")), "drops")

@@ -9,7 +9,9 @@ and a candidate pair is linked if the two shingle sets are similar enough.
    whether or not they are similar.
 2. Most families are now one component. In the others, nodes of different components are
    compared in blocks of bounded size; a block of one component is not compared with its like. A pair of blocks
-   returns a spanning forest of the components that it joins, so fewer links than it has nodes.
+   returns a spanning forest of the components that it joins, so fewer links than it has nodes. With marks (see below),
+   families of up to FAMILY_NODES nodes are compared in pairs instead. Larger ones are chains of unlike nodes, whose
+   square would outgrow the input: there each component is a family of its own, and step 3 compares what shares a bucket.
 3. Nodes of different families that share a core bucket and have sizes of the same or of neighbouring
    classes are a group. In a group with few pairs between its families they are compared in pairs, if they
    share enough buckets; in a larger group in blocks.
@@ -21,7 +23,8 @@ links between them, not on all links again.
 Postings may have ``marks``: 256 parities of a node's shingles, by hash. Shingles that two nodes share cancel out in the
 marks' difference, so that this has at most as many bits as there are shingles in one of the nodes only. Candidates
 whose marks differ by more than the similarity allows are no links and are left before their texts are read; they make
-no family either, else chains of unlike nodes would grow into families that are compared as a whole.
+no family either, else chains of unlike nodes would grow into families that are compared as a whole. If ``texts`` has
+``fine``, 1024 such parities, pairs are judged by these, too, before their texts are read.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from omnimart.llm import textops
-from omnimart.llm.frames import Pins, map_batches, ship
+from omnimart.llm.frames import SENT_BYTES, Pins, map_batches, ship
 
 #: Cuts a text column into runs of rows with the hashes of each row's ascending shingle set.
 Sets = Callable[[pa.Array], Iterator[tuple[int, int, np.ndarray, np.ndarray]]]
@@ -46,8 +49,12 @@ BLOCK_NODES = 256
 FEW = 4096
 #: With marks, larger groups of up to so many nodes are compared as pairs, too, if their marks leave few of them.
 FEW_NODES = 4096
+#: With marks, families of up to so many nodes are compared as a whole, and larger ones bucket by bucket.
+FAMILY_NODES = 64
 #: Words of 64 parities.
 MARKS = 4
+#: Words of the finer marks, which stand with the texts: long sets fill the first ones, so that unlike pairs pass them.
+FINE = 16
 
 
 def components(edges: DataFrame, pins: Pins) -> DataFrame:
@@ -87,22 +94,22 @@ def _fits(x, y, percent: int):
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
-def marks(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Parities of each row's distinct hashes, shape (rows, MARKS)."""
-    n, width = len(bounds) - 1, 64 * MARKS
+def marks(h: np.ndarray, bounds: np.ndarray, words: int = MARKS) -> np.ndarray:
+    """Parities of each row's distinct hashes, shape (rows, words)."""
+    n, width = len(bounds) - 1, 64 * words
     cell = np.repeat(np.arange(n), np.diff(bounds)) * width + (h >> np.uint64(40)).astype(np.int64) % width
     odd = (np.bincount(cell, minlength=n * width) & 1).astype(np.uint8)
-    return np.packbits(odd, bitorder="little").view(np.int64).reshape(n, MARKS)
+    return np.packbits(odd, bitorder="little").view(np.int64).reshape(n, words)
 
 
-def _alike(x, y, size_x, size_y, percent: int):
+def _alike(x, y, size_x, size_y, percent: int, words: int = MARKS):
     """Whether two nodes' marks let their sets reach the similarity, which bounds the shingles that one of them has only."""
-    differ = sum((F.bit_count(x[k].bitwiseXOR(y[k])) for k in range(MARKS)), F.lit(0))
+    differ = sum((F.bit_count(x[k].bitwiseXOR(y[k])) for k in range(words)), F.lit(0))
     return (100 + percent) * differ <= (100 - percent) * (size_x + size_y)
 
 
-def verify_pairs(pairs: DataFrame, texts: DataFrame, sets: Sets, percent: int) -> DataFrame:
-    """Pairs (a, b) whose whole sets reach the similarity."""
+def verify_pairs(pairs: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins: Pins | None = None) -> DataFrame:
+    """Pairs (a, b) whose whole sets reach the similarity. With ``fine`` in ``texts``, and ``pins``, only texts of pairs that these let pass are dealt out."""
 
     def run(batches):
         for batch in batches:
@@ -120,6 +127,15 @@ def verify_pairs(pairs: DataFrame, texts: DataFrame, sets: Sets, percent: int) -
                         waiting = own.copy()
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(kept))
 
+    if "fine" in texts.columns:
+        left, right = (texts.select(F.col("node").alias(s), F.col("size").alias(f"s{s}"), F.col("fine").alias(f"f{s}")) for s in "ab")
+        near = _alike(F.col("fa"), F.col("fb"), F.col("sa"), F.col("sb"), percent, FINE)
+        pairs = pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
+        if pins is not None:
+            pairs = pins.pin(pairs, "near-pairs")
+            if pins.size(pairs) <= SENT_BYTES:
+                read = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+                texts = texts.join(F.broadcast(read), "node", "left_semi")
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
     return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb"), run, "a long, b long")
@@ -281,7 +297,8 @@ def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins:
     candidates if they share at least the smaller of their ``need`` buckets and their sizes
     allow the similarity; of the buckets that linked nodes share, at least one is ``core`` to both.
     ``own`` is the share of a node's shingles that no other node has. ``texts`` (node, text)
-    has the texts that ``sets`` makes shingle sets of. With a column ``marks`` (see ``marks``) only candidates that they let pass are compared.
+    has the texts that ``sets`` makes shingle sets of. With a column ``marks`` (see ``marks``), which ``texts`` has then, too, like ``size``,
+    only candidates that they let pass are compared.
     """
     marked = ["marks"] if "marks" in postings.columns else []
     hubs = postings.groupBy("bucket").agg(F.min(F.struct("own", "node", "size", "need", *marked)).alias("hub"))
@@ -291,28 +308,39 @@ def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins:
     candidates = met.groupBy("node", F.struct("hub.own", "hub.node").alias("hub")).agg(F.count("*").alias("n"), F.min(F.least("need", "hub.need")).alias("need")).where("n >= need")
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("n"), "hub"))
     followed = pins.pin(candidates.select(F.col("hub.node").alias("a"), F.col("node").alias("b"), place.alias("place")), "followed")
-    stars = pins.pin(verify_pairs(followed.where("place = 1").select("a", "b"), texts, sets, percent), "stars")
+    stars = pins.pin(verify_pairs(followed.where("place = 1").select("a", "b"), texts, sets, percent, pins), "stars")
     roots = pins.pin(components(stars, pins), "roots")
     pins.drop(stars)
     open_pairs = _apart(followed.where("place > 1").select("a", "b"), roots)
-    more = pins.pin(verify_pairs(open_pairs, texts, sets, percent), "more-stars")
+    more = pins.pin(verify_pairs(open_pairs, texts, sets, percent, pins), "more-stars")
     roots = merged(roots, more, pins)
     # Verified pairs are candidates too, so families are unions of components.
     families = merged(roots, followed.select("a", "b"), pins).withColumnRenamed("root", "family")
     pins.drop(followed, more)
 
     # The smallest node of a family or component has no row of its own there.
-    placed = postings.select("node", "size").distinct().join(families, "node", "left").join(roots, "node", "left")
-    placed = placed.select("node", "size", F.coalesce("family", "node").alias("family"), F.coalesce("root", "node").alias("root"))
-    several = placed.groupBy("family").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("family")
-    inside = pins.pin(placed.join(several, "family", "left_semi").select("family", "root", "node", "size"), "inside")
+    sized = texts.select("node", "size", "marks") if marked else postings.select("node", "size").distinct()
+    placed = sized.join(families, "node", "left").join(roots, "node", "left")
+    placed = placed.select("node", "size", *marked, F.coalesce("family", "node").alias("family"), F.coalesce("root", "node").alias("root"))
+    several = placed.groupBy("family").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("nodes")).where("low <> high")
+    wide = pins.pin(several.where(F.col("nodes") > FAMILY_NODES).select("family"), "wide") if marked else None
+    several = several.where(F.col("nodes") <= FAMILY_NODES) if marked else several
+    inside = pins.pin(placed.join(several.select("family"), "family", "left_semi").select("family", "root", "node", "size", *marked), "inside")
     if inside.take(1):
-        within = pins.pin(verify_blocks(inside, texts, sets, percent, pins), "within")
+        if marked:
+            left, right = (inside.select("family", *(F.col(c).alias(f"{c[0]}{side}") for c in ("root", "node", "size", *marked))) for side in "ab")
+            likely = left.join(right, "family").where((F.col("ra") < F.col("rb")) & _alike(F.col("ma"), F.col("mb"), F.col("sa"), F.col("sb"), percent))
+            within = verify_pairs(likely.select(F.col("na").alias("a"), F.col("nb").alias("b")), texts, sets, percent, pins)
+        else:
+            within = verify_blocks(inside, texts, sets, percent, pins)
+        within = pins.pin(within, "within")
         roots = merged(roots, within, pins)
         pins.drop(within)
     pins.drop(inside)
 
     named = families.join(roots, "node", "left").select("node", "family", F.coalesce("root", "node").alias("root"))
+    if marked:
+        named = named.join(wide.withColumn("wide", F.lit(True)), "family", "left").select("node", F.when(F.col("wide"), F.col("root")).otherwise(F.col("family")).alias("family"), "root")
     core = postings.where("core").select("bucket", "node", "size", *marked).join(named, "node", "left").withColumn("root", F.coalesce("root", "node")).withColumn("family", F.coalesce("family", "node"))
     mixed = core.groupBy("bucket").agg(F.min("family").alias("low"), F.max("family").alias("high")).where("low <> high").select("bucket")
     rest = pins.pin(core.join(mixed, "bucket", "left_semi").select("bucket", "node", "size", "family", "root", *marked), "rest")
@@ -351,7 +379,7 @@ def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins:
         shared = pairs
         if postings.agg(F.max("need")).first()[0] > 1:
             shared = _sharing(pairs, postings)
-        roots = merged(roots, verify_pairs(shared, texts, sets, percent), pins)
+        roots = merged(roots, verify_pairs(shared, texts, sets, percent, pins), pins)
     pins.drop(pairs)
     if many.take(1):
         crowd = grouped.join(many, ["bucket", "class"]).select(F.xxhash64("bucket", "class").alias("family"), "node", "size").distinct()

@@ -140,6 +140,15 @@ def distinct(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return h[first], row[first].astype(np.int64)
 
 
+def distinct_leading(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``distinct``, for the leading 48 bits of the hashes; the others are zero. It sorts one number, so it is several times as fast."""
+    key = np.sort((row.astype(np.uint64) << np.uint64(48)) | (h >> np.uint64(16)))
+    first = np.ones(len(key), dtype=bool)
+    first[1:] = key[1:] != key[:-1]
+    key = key[first]
+    return key << np.uint64(16), (key >> np.uint64(48)).astype(np.int64)
+
+
 def word_sets(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Sets of word shingles: first row, end row, hashes, and bounds of each row's ascending hashes."""
     for at, end, raw, bounds in pieces(texts):

@@ -217,3 +217,47 @@ def test_groups_of_all_sizes_lose_no_link(spark, monkeypatch, few):
             groups.join(a, b)
     roots = linking.link(postings, sized, partial(line_dedup.line_sets, chars=4), 80, pins)
     assert {r.node: r.root for r in roots.collect()} == {n: groups.root(n) for n in sets if groups.root(n) != n}
+
+
+def test_chains_of_unlike_lines_are_not_compared_as_a_whole(spark, monkeypatch):
+    """Long lines near their hub, by coarse marks, but not alike: compared by bucket and fine marks, and only the texts of the alike pair are read."""
+    draw = random.Random(3)
+    base = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz ", k=1500))
+    lines = [base]
+    for _ in range(linking.FAMILY_NODES + 6):
+        at = draw.randrange(1100)
+        lines.append(base[:at] + "".join(draw.choices("abcdefghijklmnopqrstuvwxyz ", k=300)) + base[at + 300 :])
+    lines.append(lines[5] + "...")
+    pins = Pins(spark)
+    sized = pins.pin(line_dedup.sized_lines(spark.createDataFrame(list(enumerate(lines)), "node long, text string"), 4), "test-lines")
+    postings = pins.pin(sized.selectExpr("1L as bucket", "node", "size", "marks", "1 as need", "0 as own", "true as core"), "test-postings")
+
+    def blocks(*_):
+        raise AssertionError("compared in blocks")
+
+    read, pin = [], Pins.pin
+
+    def counted(self, df, name):
+        found = pin(self, df, name)
+        if name == "near-pairs":
+            read.append(found.count())
+        return found
+
+    monkeypatch.setattr(linking, "verify_blocks", blocks)
+    monkeypatch.setattr(Pins, "pin", counted)
+    roots = linking.link(postings, sized, partial(line_dedup.line_sets, chars=4), 80, pins)
+    assert {(r.node, r.root) for r in roots.collect()} == {(len(lines) - 1, 5)}
+    assert 1 <= sum(read) <= 20
+
+
+def test_leading_hashes_make_the_same_sets():
+    draw = np.random.RandomState(2)
+    h, row = draw.randint(0, 2**62, 500).astype(np.uint64)[draw.randint(0, 500, 4000)] * np.uint64(5), draw.randint(0, 300, 4000)
+    whole, rows = textops.distinct(h, row)
+    leading, same = textops.distinct_leading(h, row)
+    assert (rows == same).all() and (whole & line_dedup.LEADING == leading).all()
+
+
+def test_wanted_lines_of_a_text(spark):
+    docs = spark.createDataFrame([([7, 8, 9], [2, 0, 5], "a\nb\n"), ([4], [1], "c\nd"), ([3], [0], None)], "nodes array<long>, numbers array<int>, text string")
+    assert {tuple(r) for r in line_dedup.wanted_lines(docs).collect()} == {(7, ""), (8, "a"), (4, "d")}
