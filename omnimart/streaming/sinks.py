@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from omnimart.operators.tables import KeyedTable, later_than
 from omnimart.session import CODEC, pin, released
-from omnimart.streaming.validation import FAILED, OK, enriched_json, is_valid, payload_fields
+from omnimart.streaming.validation import FAILED, OK, enriched_json, is_plain, is_valid, payload_fields, plain_line
 
 MAX_BATCH_RECORDS = 500
 
@@ -41,18 +41,22 @@ def append_parquet(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
 
 def json_lines(events: DataFrame, key: str = "partition_key") -> DataFrame:
     """Key, enriched JSON text and validity of each event, as a message broker takes them."""
+    if is_plain(events.schema):
+        line = plain_line(events)
+        return events.select(F.col(key).alias("key"), line["value"].alias("value"), line["valid"].alias("valid"))
     text = F.to_json(F.struct(*events.columns), {"ignoreNullFields": "false"})
-    fields = events.select(F.col(key).alias("key"), payload_fields(text).alias("fields"))
-    return fields.select(
-        "key", enriched_json(F.col("fields")).alias("value"), is_valid(F.col("fields")).alias("valid")
-    )
+    # The one-element array names the fields, and no filter on generated columns moves below them: a text is parsed once,
+    # and not again for every condition of its validity.
+    line = F.transform(F.array(payload_fields(text)), lambda fields: F.struct(enriched_json(fields).alias("value"), is_valid(fields).alias("valid")))
+    return events.select(F.col(key).alias("key"), F.inline(line))
 
 
 def write_json_lines(lines: DataFrame, path: str, spread: int | None = None) -> None:
     """Gzipped JSON files of at most 500 records, grouped by key; a second write replaces the first.
 
     A very frequent key is spread over several tasks by a hash of the record, over as
-    many as a shuffle has partitions if not said otherwise.
+    many as a shuffle has partitions if not said otherwise. Every task moves its own files into the folder, instead of
+    the driver those of all tasks; a repeated task has the same rows and so replaces its files by as many.
     """
     if spread is None:
         spread = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -62,6 +66,7 @@ def write_json_lines(lines: DataFrame, path: str, spread: int | None = None) ->
         .select("value")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", MAX_BATCH_RECORDS)
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
         .option("compression", "gzip")
         .text(path)
     )

@@ -240,3 +240,22 @@ def test_null_keys_of_a_stream_batch_are_refused(spark, feed, tmp_path):
     with pytest.raises(Exception, match="a key is null"):
         sinks.run_available(feed.stream(), feed.checkpoint, sinks.merge_into(table, "event_at"))
     assert [r.event_id for r in table.read().collect()] == ["a"]
+
+
+def test_lines_of_plain_events_are_those_of_their_parsed_fields(spark, monkeypatch):
+    """An event of texts, integers and times is not parsed from its own text, others once for all conditions."""
+    kind = "event_id string, event_type string, source_customer_id string, product_id string, event_at timestamp, n int, b boolean, partition_key string"
+    texts = ["a", "}", "]", "[x]", '"', "\\", "\n\t\r\x00\x1f\x7f", "é 😀", "", None, "null", "1.50", "/", "</a>", "[", "}}"]
+    rows = [(t, t, "c", t, at, n, b, "k") for t in texts for at, n, b in ((datetime(2026, 1, 1, 2, 3, 4, 567000), 7, True), (None, None, None), (datetime(1, 1, 1), -1, False))]
+    df = spark.createDataFrame(rows, kind).unionByName(spark.createDataFrame(rows[:1], kind).withColumn("event_at", F.expr("timestamp_seconds(-70000000000)"))).unionByName(spark.createDataFrame(rows[:1], kind).withColumn("event_at", F.expr("timestamp_seconds(300000000000)")))
+    frames = [df, df.withColumn("event_at", F.col("event_at").cast("string")), df.drop("event_id"), df.drop("event_at"), df.withColumn("event_at", F.lit("2026-01-01T00:00:00Z")), df.withColumn("event_id", F.col("n").cast("bigint"))]
+    for frame in frames:
+        found = sinks.json_lines(frame)
+        assert "from_json" not in found._jdf.queryExecution().optimizedPlan().toString()
+        with monkeypatch.context() as m:
+            m.setattr(sinks, "is_plain", lambda schema: False)
+            parsed = sinks.json_lines(frame)
+        assert parsed.filter("valid")._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+        assert found.schema.names == parsed.schema.names and sorted(map(str, found.collect())) == sorted(map(str, parsed.collect()))
+    assert "from_json" in sinks.json_lines(df.withColumn("x", F.lit(1.5)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" in sinks.json_lines(df.withColumn("schema_version", F.lit("old")))._jdf.queryExecution().optimizedPlan().toString()
