@@ -14,7 +14,8 @@ and a candidate pair is linked if the two shingle sets are similar enough.
    square would outgrow the input: there each component is a family of its own, and step 3 compares what shares a bucket.
 3. Nodes of different families that share a core bucket and have sizes of the same or of neighbouring
    classes are a group. In a group with few pairs between its families they are compared in pairs, if they
-   share enough buckets; in a larger group in blocks.
+   share enough buckets; in a larger group in blocks. With marks, the nodes of a bucket but its hub are a group, one of many nodes by class, and marks
+   are compared where the group lies, so that pairs are written only if their marks let them pass.
 
 So a bucket of many copies costs one comparison a copy, and no link between different
 components is left out. After the first step components are found on the components so far and the new
@@ -47,7 +48,7 @@ BLOCK_SHINGLES = 32_768
 BLOCK_NODES = 256
 #: Pairs between the families of a group that are compared as pairs; the nodes of a larger group are compared in blocks.
 FEW = 4096
-#: With marks, larger groups of up to so many nodes are compared as pairs, too, if their marks leave few of them.
+#: With marks, groups of up to so many nodes are compared as pairs, if their marks leave few of them.
 FEW_NODES = 4096
 #: With marks, families of up to so many nodes are compared as a whole, and larger ones bucket by bucket.
 FAMILY_NODES = 64
@@ -133,9 +134,7 @@ def verify_pairs(pairs: DataFrame, texts: DataFrame, sets: Sets, percent: int, p
         pairs = pairs.join(left, "a").join(right, "b").where(near).select("a", "b")
         if pins is not None:
             pairs = pins.pin(pairs, "near-pairs")
-            if pins.size(pairs) <= SENT_BYTES:
-                read = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-                texts = texts.join(F.broadcast(read), "node", "left_semi")
+            texts = _texts_of(texts, pairs.select(F.explode(F.array("a", "b")).alias("node")), pairs, pins)
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
     return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb"), run, "a long, b long")
@@ -175,27 +174,70 @@ def _may(size_l: np.ndarray, size_r: np.ndarray, marks_l: np.ndarray, marks_r: n
 
 
 def alike_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Per group of ``members`` (bucket, class, node, size, root, marks) the pairs (a, b) of different components that their marks let
-    pass, or, if they are more than FEW, one row without nodes."""
+    """Per group of ``members`` (bucket, class, node, size, family, signs) the pairs (a, b) of different families that sizes and signs let
+    pass, or, if they are more than FEW, one row without nodes. Groups are sorted, not gathered; small ones are compared many at once."""
+
+    few = FEW
+
+    def judged(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        bucket, part, node, size, family = (rows[c].to_numpy() for c in ("bucket", "class", "node", "size", "family"))
+        signs = rows["signs"].combine_chunks()
+        words, at = np.diff(signs.offsets.to_numpy()), signs.offsets.to_numpy()[:-1].astype(np.int64)
+        flat = signs.values.to_numpy().view(np.uint64)
+        long = np.flatnonzero(words == FINE)
+        coarse = np.empty((len(node), MARKS), dtype=np.uint64)
+        coarse[words == MARKS] = flat[at[words == MARKS][:, None] + np.arange(MARKS)]
+        fine = flat[at[long][:, None] + np.arange(FINE)]
+        coarse[long] = np.bitwise_xor.reduce(fine.reshape(len(long), FINE // MARKS, MARKS), axis=1)
+        place = np.full(len(node), -1)
+        place[long] = np.arange(len(long))
+        new = np.flatnonzero(np.append(True, (bucket[1:] != bucket[:-1]) | (part[1:] != part[:-1])))
+        group = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(node))))
+        end = np.append(new, len(node))[group + 1]
+        found, total = [], np.zeros(len(new), dtype=np.int64)
+        own = np.arange(len(node))
+        for away in range(1, int((end - own).max(initial=0))):
+            own = own[own + away < end[own]]
+            own = own[total[group[own]] <= few]
+            i, j = own, own + away
+            keep = (family[i] != family[j]) & (100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j]))
+            i, j = i[keep], j[keep]
+            bound = (100 - percent) * (size[i] + size[j])
+            keep = (100 + percent) * np.bitwise_count(coarse[i] ^ coarse[j]).sum(axis=1, dtype=np.int64) <= bound
+            i, j, bound = i[keep], j[keep], bound[keep]
+            both = np.flatnonzero((place[i] >= 0) & (place[j] >= 0))
+            far = (100 + percent) * np.bitwise_count(fine[place[i[both]]] ^ fine[place[j[both]]]).sum(axis=1, dtype=np.int64) > bound[both]
+            keep = np.ones(len(i), dtype=bool)
+            keep[both[far]] = False
+            found.append((i[keep], j[keep]))
+            total += np.bincount(group[i[keep]], minlength=len(new))
+        i, j = (np.concatenate([x[k] for x in found] or [np.zeros(0, np.int64)]) for k in (0, 1))
+        keep = total[group[i]] <= few
+        i, j, crowded = i[keep], j[keep], new[total > few]
+        where = pa.array(np.concatenate([i, crowded]))
+        nodes = [pa.concat_arrays([pa.array(f(node[i], node[j])), pa.nulls(len(crowded), pa.int64())]) for f in (np.minimum, np.maximum)]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket).take(where), pa.array(part).take(where), *nodes], ["bucket", "class", "a", "b"])
 
-    def run(group: pa.Table) -> pa.Table:
-        node, size, root = (group[c].to_numpy() for c in ("node", "size", "root"))
-        signs = group["marks"].combine_chunks().flatten().to_numpy().reshape(-1, MARKS)
-        found, total = [], 0
-        for at in range(0, len(node), BLOCK_NODES):
-            own = slice(at, at + BLOCK_NODES)
-            i, j = np.nonzero(_may(size[own], size, signs[own], signs, percent) & (root[own][:, None] < root[None, :]))
-            found.append((node[own][i], node[j]))
-            total += len(i)
-            if total > FEW:
-                found = None
-                break
-        columns = [[None], [None]] if found is None else [np.concatenate(x) for x in zip(*found)]
-        n = len(columns[0])
-        return pa.table({"bucket": group["bucket"].combine_chunks()[:1].take(pa.array(np.zeros(n, np.int64))), "class": group["class"].combine_chunks()[:1].take(pa.array(np.zeros(n, np.int64))), "a": pa.array(columns[0], pa.int64()), "b": pa.array(columns[1], pa.int64())})
-
-    ship(members.sparkSession)
-    return members.groupBy("bucket", "class").applyInArrow(run, "bucket long, class long, a long, b long")
+    def run(batches):
+        waiting, group = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bucket, part = batch["bucket"].to_numpy(), batch["class"].to_numpy()
+            # The last group may go on in the next batch.
+            done = int(np.count_nonzero((bucket != bucket[-1]) | (part != part[-1])))
+            if waiting and (done or group != (bucket[-1], part[-1])):
+                yield from judged(pa.Table.from_batches([*waiting, batch.slice(0, done)]))
+                waiting = []
+            elif done:
+                yield from judged(pa.Table.from_batches([batch.slice(0, done)]))
+            waiting.append(batch.slice(done))
+            group = bucket[-1], part[-1]
+        if waiting:
+            yield from judged(pa.Table.from_batches(waiting))
+
+    sorted_rows = members.select("bucket", "class", "node", "size", "family", "signs").repartition("bucket", "class").sortWithinPartitions("bucket", "class")
+    return map_batches(sorted_rows, run, "bucket long, class long, a long, b long")
 
 
 def _links(left: list[np.ndarray], right: list[np.ndarray], may: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -341,54 +383,88 @@ def link(postings: DataFrame, texts: DataFrame, sets: Sets, percent: int, pins:
     named = families.join(roots, "node", "left").select("node", "family", F.coalesce("root", "node").alias("root"))
     if marked:
         named = named.join(wide.withColumn("wide", F.lit(True)), "family", "left").select("node", F.when(F.col("wide"), F.col("root")).otherwise(F.col("family")).alias("family"), "root")
-    core = postings.where("core").select("bucket", "node", "size", *marked).join(named, "node", "left").withColumn("root", F.coalesce("root", "node")).withColumn("family", F.coalesce("family", "node"))
+    core = postings.where("core").select("bucket", "node", "size", "own", *marked).join(named, "node", "left").withColumn("root", F.coalesce("root", "node")).withColumn("family", F.coalesce("family", "node"))
+    if marked:
+        return _across(core, texts, roots, sets, percent, pins)
     mixed = core.groupBy("bucket").agg(F.min("family").alias("low"), F.max("family").alias("high")).where("low <> high").select("bucket")
-    rest = pins.pin(core.join(mixed, "bucket", "left_semi").select("bucket", "node", "size", "family", "root", *marked), "rest")
+    rest = pins.pin(core.join(mixed, "bucket", "left_semi").select("bucket", "node", "size", "family", "root"), "rest")
     if not rest.take(1):
         return roots
-    # Sizes of linked nodes are in the same or in neighbouring classes, so both nodes are in the group of the lower class.
-    size_class = F.floor(F.log("size") / (1.001 * max(math.log(100 / percent), 1e-9)))
-    grouped = rest.withColumn("class", size_class).withColumn("class", F.explode(F.array(F.col("class") - 1, "class")))
+    grouped = rest.withColumn("class", _size_class(percent)).withColumn("class", F.explode(F.array(F.col("class") - 1, "class")))
     sides = grouped.groupBy("bucket", "class", "family").agg(F.count("*").alias("n"))
     # Pairs of nodes of different families: half of the square of all nodes without the squares of the families.
-    counted = sides.groupBy("bucket", "class").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"), F.sum("n").alias("nodes")).where("pairs > 0")
-    is_few = (F.col("pairs") <= FEW) & (F.col("nodes") <= FEW_NODES) if marked else F.col("pairs") <= FEW
+    counted = sides.groupBy("bucket", "class").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")).where("pairs > 0")
     groups = pins.pin(counted, "groups")
     if not groups.take(1):
         return roots
-    few = groups.where(is_few).select("bucket", "class")
-    left, right = (grouped.select("bucket", "class", *(F.col(c).alias(f"{c[0]}{side}") for c in ("node", "size", "family", "root", *marked))) for side in "ab")
-    if marked:
-        # A group has at most FEW_NODES nodes, so those of one family may meet, too.
-        together = left.join(few, ["bucket", "class"], "left_semi").join(right, ["bucket", "class"])
-        together = together.where((F.col("fa") < F.col("fb")) & _alike(F.col("ma"), F.col("mb"), F.col("sa"), F.col("sb"), percent))
-    else:
-        families_of = sides.join(few, ["bucket", "class"]).select("bucket", "class", "family")
-        across = families_of.withColumnRenamed("family", "fa").join(families_of.withColumnRenamed("family", "fb"), ["bucket", "class"]).where("fa < fb")
-        together = across.join(left, ["bucket", "class", "fa"]).join(right, ["bucket", "class", "fb"])
+    few = groups.where(F.col("pairs") <= FEW).select("bucket", "class")
+    left, right = (grouped.select("bucket", "class", *(F.col(c).alias(f"{c[0]}{side}") for c in ("node", "size", "family", "root"))) for side in "ab")
+    families_of = sides.join(few, ["bucket", "class"]).select("bucket", "class", "family")
+    across = families_of.withColumnRenamed("family", "fa").join(families_of.withColumnRenamed("family", "fb"), ["bucket", "class"]).where("fa < fb")
+    together = across.join(left, ["bucket", "class", "fa"]).join(right, ["bucket", "class", "fb"])
     together = together.where(_fits(F.col("sa"), F.col("sb"), percent) & (F.col("ra") != F.col("rb")))
-    together = together.select(F.col("na").alias("a"), F.col("nb").alias("b"))
-    many = groups.where(~is_few).select("bucket", "class")
-    if marked:
-        middle = groups.where(~is_few & (F.col("nodes") <= FEW_NODES)).select("bucket", "class")
-        seen = pins.pin(alike_pairs(grouped.join(middle, ["bucket", "class"], "left_semi"), percent), "alike")
-        together = together.union(seen.where("a is not null").select("a", "b"))
-        many = groups.where(F.col("nodes") > FEW_NODES).select("bucket", "class").union(seen.where("a is null").select("bucket", "class"))
-    pairs = pins.pin(together.distinct(), "pairs")
+    pairs = pins.pin(together.select(F.col("na").alias("a"), F.col("nb").alias("b")).distinct(), "pairs")
     if pairs.take(1):
         shared = pairs
         if postings.agg(F.max("need")).first()[0] > 1:
             shared = _sharing(pairs, postings)
         roots = merged(roots, verify_pairs(shared, texts, sets, percent, pins), pins)
     pins.drop(pairs)
-    if many.take(1):
-        crowd = grouped.join(many, ["bucket", "class"]).select(F.xxhash64("bucket", "class").alias("family"), "node", "size").distinct()
-        crowd = crowd.join(roots, "node", "left").select("family", F.coalesce("root", "node").alias("root"), "node", "size")
-        crowd = pins.pin(crowd, "crowd")
-        links = pins.pin(verify_blocks(crowd, texts, sets, percent, pins), "crowd-links")
-        roots = merged(roots, links, pins)
-        pins.drop(crowd, links)
-    pins.drop(rest, groups, *([seen] if marked else []))
+    roots = _crowds(grouped, groups.where(F.col("pairs") > FEW).select("bucket", "class"), texts, roots, sets, percent, pins)
+    pins.drop(rest, groups)
+    return roots
+
+
+def _size_class(percent: int):
+    """Sizes of linked nodes are in the same or in neighbouring classes, so both nodes are in the group of the lower class."""
+    return F.floor(F.log("size") / (1.001 * max(math.log(100 / percent), 1e-9)))
+
+
+def _crowds(grouped: DataFrame, many: DataFrame, texts: DataFrame, roots: DataFrame, sets: Sets, percent: int, pins: Pins) -> DataFrame:
+    """``roots`` after the groups ``many`` of ``grouped`` (bucket, class, node, size) have been compared in blocks."""
+    if not many.take(1):
+        return roots
+    crowd = grouped.join(many, ["bucket", "class"]).select(F.xxhash64("bucket", "class").alias("family"), "node", "size").distinct()
+    crowd = crowd.join(roots, "node", "left").select("family", F.coalesce("root", "node").alias("root"), "node", "size")
+    crowd = pins.pin(crowd, "crowd")
+    links = pins.pin(verify_blocks(crowd, _texts_of(texts, crowd.select("node"), crowd, pins), sets, percent, pins), "crowd-links")
+    roots = merged(roots, links, pins)
+    pins.drop(crowd, links)
+    return roots
+
+
+def _texts_of(texts: DataFrame, nodes: DataFrame, pinned: DataFrame, pins: Pins) -> DataFrame:
+    """Those of ``texts`` that ``nodes``, which ``pinned`` holds, call for, if these may be sent to all executors: no others are dealt out then."""
+    return texts.join(F.broadcast(nodes.distinct()), "node", "left_semi") if pins.size(pinned) <= SENT_BYTES else texts
+
+
+def _across(core: DataFrame, texts: DataFrame, roots: DataFrame, sets: Sets, percent: int, pins: Pins) -> DataFrame:
+    """``roots`` after step 3 of postings with marks, of which one shared bucket makes a candidate.
+
+    Every node has been compared with the hub of each of its buckets, so hubs and buckets of two nodes are left out.
+    A pair is judged in its group by the finer marks, if both sets are long, else by the coarse ones; only pairs that pass are written.
+    """
+    buckets = core.groupBy("bucket").agg(F.min("family").alias("low"), F.max("family").alias("high"), F.count("*").alias("nodes"), F.min(F.struct("own", "node")).alias("hub"))
+    buckets = buckets.where("low <> high and nodes > 2").select("bucket", F.col("hub.node").alias("hub"), (F.col("nodes") > FEW_NODES + 1).alias("large"))
+    rest = core.join(buckets, "bucket").where("node <> hub").select("bucket", "node", "size", "family", "large", "marks")
+    rest = pins.pin(rest, "rest")
+    if not rest.take(1):
+        return roots
+    # A bucket of few nodes is one group, others are groups by size.
+    of_sizes = F.explode(F.when(F.col("large"), F.array(F.col("class") - 1, "class")).otherwise(F.array(F.lit(-2).cast("bigint"))))
+    grouped = rest.withColumn("class", _size_class(percent)).withColumn("class", of_sizes)
+    crowded = grouped.where("large").groupBy("bucket", "class").count().where(F.col("count") > FEW_NODES).select("bucket", "class")
+    crowded = pins.pin(crowded, "crowded")
+    long = texts.where(F.col("size") > 64 * MARKS).select("node", "fine")
+    members = pins.join(grouped, crowded, ["bucket", "class"], "left_anti").join(long, "node", "left").withColumn("signs", F.coalesce("fine", "marks"))
+    seen = pins.pin(alike_pairs(members, percent), "alike")
+    pairs = pins.pin(seen.where("a is not null").select("a", "b").distinct(), "pairs")
+    if pairs.take(1):
+        read = _texts_of(texts.select("node", "text"), pairs.select(F.explode(F.array("a", "b")).alias("node")), pairs, pins)
+        roots = merged(roots, verify_pairs(pairs, read, sets, percent), pins)
+    many = crowded.union(seen.where("a is null").select("bucket", "class"))
+    roots = _crowds(grouped, many, texts, roots, sets, percent, pins)
+    pins.drop(rest, crowded, seen, pairs)
     return roots
 
 

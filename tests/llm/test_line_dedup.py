@@ -261,3 +261,68 @@ def test_leading_hashes_make_the_same_sets():
 def test_wanted_lines_of_a_text(spark):
     docs = spark.createDataFrame([([7, 8, 9], [2, 0, 5], "a\nb\n"), ([4], [1], "c\nd"), ([3], [0], None)], "nodes array<long>, numbers array<int>, text string")
     assert {tuple(r) for r in line_dedup.wanted_lines(docs).collect()} == {(7, ""), (8, "a"), (4, "d")}
+
+
+def test_pairs_that_finer_marks_tell_apart_are_not_written(spark, monkeypatch):
+    """Pairs of a bucket are judged where the bucket lies: their number grows with its square, that of the written ones does not."""
+    draw = random.Random(4)
+    base = "".join(draw.choices("abcdefghijklmnopqrstuvwxyz ", k=1500))
+    lines = [base]
+    for _ in range(linking.FAMILY_NODES + 6):
+        at = draw.randrange(1100)
+        lines.append(base[:at] + "".join(draw.choices("abcdefghijklmnopqrstuvwxyz ", k=300)) + base[at + 300 :])
+    lines.append(lines[5] + "...")
+    pins = Pins(spark)
+    sized = pins.pin(line_dedup.sized_lines(spark.createDataFrame(list(enumerate(lines)), "node long, text string"), 4), "test-lines")
+    # A second bucket has two nodes, one of them its hub, which the other one has been compared with.
+    postings = sized.selectExpr("explode(if(node < 2, array(1L, 2L), array(1L))) as bucket", "node", "size", "marks", "1 as need", "0 as own", "true as core")
+    written, pin = {}, Pins.pin
+
+    def counted(self, df, name):
+        found = pin(self, df, name)
+        if name in ("pairs", "rest"):
+            written[name] = found.count()
+        return found
+
+    monkeypatch.setattr(Pins, "pin", counted)
+    roots = linking.link(pin(pins, postings, "test-postings"), sized, partial(line_dedup.line_sets, chars=4), 80, pins)
+    assert {(r.node, r.root) for r in roots.collect()} == {(len(lines) - 1, 5)}
+    assert 1 <= written["pairs"] <= 20 and written["rest"] == len(lines) - 1
+
+
+def test_groups_that_span_batches_are_judged_whole(spark, monkeypatch):
+    few = 8
+    monkeypatch.setattr(linking, "FEW", few)
+    draw, rows, sets = random.Random(5), [], {}
+    for bucket in range(-30, 30):
+        base = [draw.getrandbits(64) for _ in range(draw.choice([5, 40, 250, 280, 900]))]
+        for k in range(draw.choice([1, 2, 3, 9, 25])):
+            own = sorted({*draw.sample(base, len(base) - draw.randrange(1 + len(base) // 5)), *(draw.getrandbits(64) for _ in range(draw.randrange(1 + len(base) // 5)))})
+            node = len(sets)
+            sets[node] = np.array(own, dtype=np.uint64)
+            words = linking.MARKS if len(own) <= 64 * linking.MARKS else linking.FINE
+            signs = linking.marks(sets[node], np.array([0, len(own)]), words)[0].tolist()
+            rows.append((bucket, draw.choice([-2, -2, 3]), node, len(own), draw.randrange(8), signs))
+    expected, crowded = set(), set()
+    for group in {r[:2] for r in rows}:
+        pairs = set()
+        for x, y in itertools.combinations([r for r in rows if r[:2] == group], 2):
+            words = min(len(x[5]), len(y[5]))
+            x_signs, y_signs = (linking.marks(sets[r[2]], np.array([0, r[3]]), words)[0] for r in (x, y))
+            differ = int(np.bitwise_count(x_signs.view(np.uint64) ^ y_signs.view(np.uint64)).sum())
+            if x[4] != y[4] and 100 * min(x[3], y[3]) >= 80 * max(x[3], y[3]) and 180 * differ <= 20 * (x[3] + y[3]):
+                pairs.add((*group, x[2], y[2]))
+        if len(pairs) > few:
+            crowded.add((*group, None, None))
+        else:
+            expected |= pairs
+    draw.shuffle(rows)
+    members = spark.createDataFrame(rows, "bucket long, class long, node long, size long, family long, signs array<long>").repartition(3)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    for batch in ("1", "7", "5000"):
+        spark.conf.set(size, batch)
+        found = [tuple(r) for r in linking.alike_pairs(members, 80).collect()]
+        assert len(found) == len(set(found)) and set(found) == expected | crowded
+    spark.conf.set(size, before)
+    assert expected and crowded
