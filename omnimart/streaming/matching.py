@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from omnimart.streaming.settled import Input, Settled, run_settled
+from omnimart.streaming.settled import ON_DISK, Input, Settled, run_settled
 
 
 def compare_streams(batch: DataFrame, stream: DataFrame, folder: str, apart: str = "1 minute", delay: str = "1 hour", delay_ms: int = 3_600_000) -> Settled:
     """Join two streams (order_id, at, quantity), each of which has a key once, by key.
 
     Rows of a pair lie at most ``apart`` from each other, so that a row without a partner is told, and leaves
-    the state, as soon as the watermark has passed it by as much. The state holds ``delay`` and ``apart`` of either side.
+    the state, as soon as the watermark has passed it by as much. The state holds ``delay`` and ``apart`` of either side, and whole rows of
+    at least the newest batch, which may be a large part of the input: it lies on disk.
     """
     left = batch.select(F.col("order_id").alias("batch_key"), F.col("at").alias("batch_at"), F.col("quantity").alias("batch_quantity"))
     right = stream.select(F.col("order_id").alias("stream_key"), F.col("at").alias("stream_at"), F.col("quantity").alias("stream_quantity"))
@@ -21,7 +22,7 @@ def compare_streams(batch: DataFrame, stream: DataFrame, folder: str, apart: str
         "batch": Input(left, F.col("batch_at"), F.col("batch_at"), delay_ms),
         "stream": Input(right, F.col("stream_at"), F.col("stream_at"), delay_ms),
     }
-    return run_settled(joined, inputs, folder)
+    return run_settled(joined, inputs, folder, state=ON_DISK)
 
 
 def settled_pairs(run: Settled) -> DataFrame:

@@ -13,9 +13,11 @@ each under the batch's own folder, which a repeated batch overwrites. Open state
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from omnimart.operators import files
@@ -24,6 +26,13 @@ from omnimart.streaming.sinks import run_available
 
 RESULT = "result"
 
+#: State on the executors' disks, with bounded memory, instead of in their heaps. A run that began otherwise goes on as it began.
+ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+}
+
 
 @dataclass(frozen=True)
 class Input:
@@ -101,10 +110,10 @@ class Settled:
         return state.select("value.*")
 
 
-def run_settled(result: DataFrame, inputs: Mapping[str, Input], folder: str, then: Callable[[DataFrame, Mapping[str, DataFrame], int], None] | None = None) -> Settled:
+def run_settled(result: DataFrame, inputs: Mapping[str, Input], folder: str, then: Callable[[DataFrame, Mapping[str, DataFrame], int], None] | None = None, state: Mapping[str, str] | None = None) -> Settled:
     """Run ``result``, a stateful stream over ``inputs``, on all that has arrived.
 
-    ``then`` is given the results and late rows of each batch. It must bear a repeated batch.
+    ``then`` is given the results and late rows of each batch. It must bear a repeated batch. ``state`` are settings of the state store.
     """
     spark = result.sparkSession
     settled = Settled(spark, folder.rstrip("/"), {RESULT: result.schema} | {n: i.stream.schema for n, i in inputs.items()})
@@ -119,8 +128,8 @@ def run_settled(result: DataFrame, inputs: Mapping[str, Input], folder: str, the
         both = both.unionByName(part, allowMissingColumns=True)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # Kept between the passes, so that the operator runs once a batch.
-        batch.persist()
+        # Kept between the passes, so that the operator runs once a batch; on disk, as a batch may be a large part of the input.
+        batch.persist(StorageLevel.DISK_ONLY)
         try:
             largest = batch.agg(*(F.max(f"{n}_at").alias(n) for n, i in inputs.items() if i.time is not None)).first().asDict()
             bound = marks.late_before(batch_id, inputs)
@@ -136,5 +145,21 @@ def run_settled(result: DataFrame, inputs: Mapping[str, Input], folder: str, the
         finally:
             batch.unpersist()
 
-    run_available(both, settled.checkpoint, handle)
+    with _set(spark, state or {}):
+        run_available(both, settled.checkpoint, handle)
     return settled
+
+
+@contextmanager
+def _set(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """Settings for queries that start within the block; what a session has set itself stands."""
+    given = spark.conf.getAll
+    for key, value in conf.items():
+        if key not in given:
+            spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key in conf:
+            if key not in given:
+                spark.conf.unset(key)

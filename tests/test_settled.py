@@ -81,6 +81,18 @@ def test_pairs_equal_the_full_outer_join(spark, feed, tmp_path):
     assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, map(tuple, expected.collect())))
 
 
+def test_rows_waiting_for_a_partner_lie_on_disk(spark, feed, tmp_path):
+    """The state of a comparison holds whole batches, which need not fit into the heap; other queries keep the session's state store."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    rows = [(f"o{k}", START + timedelta(minutes=k), k) for k in range(20)]
+    run = matching.compare_streams(feed("l", FACTS, rows[:10], rows[10:]), feed("r", FACTS, rows[1:]), str(tmp_path / "run"))
+    offsets = (tmp_path / "run" / "checkpoint" / "offsets" / "0").read_text()
+    assert "RocksDBStateStoreProvider" in offsets and "HDFSBackedStateStoreProvider" not in offsets
+    assert spark.conf.get(provider) == before and provider not in spark.conf.getAll
+    assert [r.order_id for r in matching.mismatches(matching.settled_pairs(run)).collect()] == ["o0"]
+
+
 def test_copies_are_told_at_any_distance(spark, feed, tmp_path):
     first = [(f"e{k}", START + timedelta(minutes=k), 100 + k) for k in range(300)]
     again = [first[5], first[5], first[250], first[299]]  # long after the state has forgotten the first two
